@@ -12,6 +12,7 @@ import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from formlens.config import FILL_VALUE
 
@@ -99,5 +100,7 @@ def _normalize_series(s):
 
 def normalize_header(c: Column) -> Column:
     """Arrow-batched Python normalisation for header tables (exact NFKD)."""
-    udf = F.pandas_udf(_normalize_series, "string")
-    return udf(c)
+    return _normalize_udf(c)
+
+
+_normalize_udf = F.pandas_udf(_normalize_series, StringType())

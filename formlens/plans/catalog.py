@@ -439,3 +439,306 @@ def report_suite_by_year(spark, sf):
     f = form(spark, sf)
     cleaned = K.build_cleaned(f, "raw", YEAR)
     return R.report_suite(cleaned, M.quality_summary(f, cleaned, "raw"))
+
+
+# ---------------------------------------------------------------------------
+# Header tables
+# ---------------------------------------------------------------------------
+
+from formlens.functions.text import WS_RE2, normalize_text  # noqa: E402
+from formlens.operators import headers as H  # noqa: E402
+
+
+def headers_of(spark: SparkSession, sf: str) -> DataFrame:
+    return D.file_headers(spark, sf)
+
+
+def _values(rows, cols):
+    return D.values_sql(rows, cols)
+
+
+_FH = f"fh AS ({D.file_headers_sql()})"
+_HN = (
+    f"hn AS (SELECT file_id, pos, header, "
+    f"lower(trim(regexp_replace(strip_accents(header), '{WS_RE2}+', ' ', 'g'))) AS header_norm FROM fh)"
+)
+_FILES = "files AS (SELECT DISTINCT file_id FROM fh)"
+
+
+def _h_sql(*ctes: str, select: str) -> str:
+    return Q.with_ctes(_FH, _HN, _FILES, *ctes, select=select)
+
+
+_RULE_SIZES = H.kind_rule_sizes()
+_KINDS = [
+    f"rules AS (SELECT * FROM {_values(H.kind_rule_rows(), ['r', 'rule', 'header_norm'])})",
+    f"res AS (SELECT * FROM {_values(H.alias_resolution_rows(), ['x', 'header_norm', 'resolved'])})",
+    "pres AS (SELECT DISTINCT file_id, header_norm FROM hn)",
+    "direct AS (SELECT p.file_id, r.rule, count(DISTINCT p.header_norm) AS n FROM pres p JOIN rules r ON r.header_norm = p.header_norm GROUP BY ALL)",
+    "resolved AS (SELECT DISTINCT p.file_id, coalesce(x.resolved, p.header_norm) AS header_norm FROM pres p LEFT JOIN res x ON x.header_norm = p.header_norm)",
+    "via AS (SELECT r.file_id, 'cleaned_alias' AS rule, count(DISTINCT r.header_norm) AS n FROM resolved r "
+    "JOIN rules q ON q.header_norm = r.header_norm AND q.rule = 'cleaned_min' GROUP BY ALL)",
+    "cnt AS (SELECT * FROM direct UNION ALL SELECT * FROM via)",
+    "kc AS (SELECT f.file_id, "
+    "CAST(coalesce(max(n) FILTER (WHERE rule = 'markers'), 0) AS BIGINT) AS n_markers, "
+    "CAST(coalesce(max(n) FILTER (WHERE rule = 'raw_mandatory'), 0) AS BIGINT) AS n_raw_mandatory, "
+    "CAST(coalesce(max(n) FILTER (WHERE rule = 'cleaned_min'), 0) AS BIGINT) AS n_cleaned_min, "
+    "CAST(coalesce(max(n) FILTER (WHERE rule = 'cleaned_alias'), 0) AS BIGINT) AS n_cleaned_alias "
+    "FROM files f LEFT JOIN cnt c ON c.file_id = f.file_id GROUP BY f.file_id)",
+    "kinds AS (SELECT file_id, CASE "
+    f"WHEN n_markers = {_RULE_SIZES['markers']} THEN 'raw' "
+    f"WHEN n_raw_mandatory = {_RULE_SIZES['raw_mandatory']} THEN 'raw' "
+    f"WHEN n_cleaned_min = {_RULE_SIZES['cleaned_min']} THEN 'cleaned' "
+    f"WHEN n_cleaned_alias = {_RULE_SIZES['cleaned_min']} THEN 'cleaned' ELSE 'unknown' END AS kind, "
+    "n_markers, n_raw_mandatory, n_cleaned_min, n_cleaned_alias FROM kc)",
+]
+
+
+def _fuzzy_vocabulary_rows() -> list[tuple[str, str, str, float]]:
+    """difflib results for every (target, header) the header table can hold."""
+    dim = {(t, n) for t, n, _, _ in H.target_dim_rows()}
+    vocab = sorted({normalize_text(r[3]) for r in D.template_rows()})
+    rows = []
+    for target in H.TARGETS:
+        for n in vocab:
+            if (target, n) in dim:
+                continue
+            canonical, score = H.fuzzy_best(n, target)
+            if canonical is not None:
+                rows.append((target, n, canonical, score))
+    return rows
+
+
+_CAND = _KINDS + [
+    "tgt AS (SELECT file_id, kind AS target FROM kinds WHERE kind IN ('raw', 'cleaned'))",
+    "th AS (SELECT h.file_id, h.pos, h.header, h.header_norm, t.target FROM hn h JOIN tgt t ON t.file_id = h.file_id)",
+    f"dim AS (SELECT * FROM {_values(H.target_dim_rows(), ['d', 'target', 'header_norm', 'canonical', 'layer'])})",
+    f"fz AS (SELECT * FROM {_values(_fuzzy_vocabulary_rows(), ['z', 'target', 'header_norm', 'canonical', 'score'])})",
+    "cand AS (SELECT th.file_id, th.pos, th.header, th.header_norm, th.target, "
+    "coalesce(d.canonical, z.canonical) AS canonical, "
+    "CASE WHEN d.canonical IS NOT NULL THEN d.layer WHEN z.canonical IS NOT NULL THEN 'fuzzy' END AS layer, "
+    "CASE WHEN d.canonical IS NULL THEN z.score END AS score "
+    "FROM th LEFT JOIN dim d ON d.target = th.target AND d.header_norm = th.header_norm "
+    "LEFT JOIN fz z ON z.target = th.target AND z.header_norm = th.header_norm)",
+]
+
+
+def _plan_sql(mode: str) -> str:
+    ids = ", ".join(D.sql_str(n) for n in H.IDENTIFIER_NORMS)
+    if mode == "safe":
+        blocked = f"(layer = 'fuzzy' AND header_norm IN ({ids}))"
+        order = "CASE WHEN lay2 = 'fuzzy' THEN 1 ELSE 0 END, pos"
+    else:
+        blocked = "FALSE"
+        order = "pos"
+    return _h_sql(
+        *_CAND,
+        f"c2 AS (SELECT *, CASE WHEN {blocked} THEN NULL ELSE canonical END AS can2, "
+        f"CASE WHEN {blocked} THEN NULL ELSE layer END AS lay2 FROM cand)",
+        f"rk AS (SELECT *, CASE WHEN can2 IS NOT NULL THEN row_number() OVER (PARTITION BY file_id, can2 ORDER BY {order}) END AS claim FROM c2)",
+        select=(
+            "SELECT file_id, pos, header, CASE WHEN claim = 1 THEN can2 END AS canonical, "
+            "CASE WHEN claim = 1 THEN lay2 END AS layer, "
+            "CASE WHEN can2 IS NULL THEN 'unmatched' WHEN claim <> 1 THEN 'conflict' "
+            "WHEN can2 = header THEN 'unchanged' ELSE 'renamed' END AS status FROM rk"
+        ),
+    )
+
+
+@register("header_normalise", _h_sql(select="SELECT file_id, pos, header, header_norm FROM hn"))
+def header_normalise(spark, sf):
+    """Normalised header names (NFKD, no marks, collapsed spaces, lower case)."""
+    return H.normalise_headers(headers_of(spark, sf))
+
+
+@register(
+    "header_catalogue",
+    _h_sql(select="SELECT file_id, pos, header, count(*) OVER (PARTITION BY file_id) AS n_columns FROM fh"),
+)
+def header_catalogue(spark, sf):
+    """Headers with position and the column count of their export."""
+    return H.header_catalogue(headers_of(spark, sf))
+
+
+@register(
+    "header_drop_unnamed",
+    _h_sql(select="SELECT file_id, pos, header FROM fh WHERE NOT regexp_full_match(header, '(Unnamed:.*|_c\\d+)')"),
+)
+def header_drop_unnamed(spark, sf):
+    """Header lists without empty-header columns."""
+    return H.drop_unnamed(headers_of(spark, sf))
+
+
+_DIFF = [
+    "act AS (SELECT file_id, header_norm, CAST(min(pos) AS INTEGER) AS first_pos, arg_max(header, pos) AS spelling FROM hn GROUP BY ALL)",
+    f"expd AS (SELECT * FROM {_values(H.expected_rows(), ['e', 'schema', 'ord', 'expected', 'expected_norm'])})",
+    "diff AS ("
+    "SELECT f.file_id, e.schema, CASE WHEN a.header_norm IS NULL THEN 'missing' ELSE 'match' END AS status, "
+    "CAST(e.ord AS INTEGER) AS ord, e.expected AS header "
+    "FROM files f CROSS JOIN expd e LEFT JOIN act a ON a.file_id = f.file_id AND a.header_norm = e.expected_norm "
+    "UNION ALL SELECT a.file_id, s.schema, 'extra', a.first_pos, a.spelling FROM act a "
+    "CROSS JOIN (SELECT DISTINCT schema FROM expd) s "
+    "WHERE NOT EXISTS (SELECT 1 FROM expd e WHERE e.schema = s.schema AND e.expected_norm = a.header_norm))",
+]
+
+
+@register("schema_diff", _h_sql(*_DIFF, select="SELECT * FROM diff"))
+def schema_diff(spark, sf):
+    """Matched, missing and extra headers per export and schema."""
+    return H.schema_diff(headers_of(spark, sf))
+
+
+_SIZES = {s: len(H.norm_map(h)) for s, h in C.EXPECTED_SCHEMAS.items()}
+
+
+@register(
+    "schema_conformance",
+    _h_sql(
+        *_DIFF,
+        select=(
+            "SELECT file_id, schema, count(*) FILTER (WHERE status = 'match') AS n_matched, "
+            "count(*) FILTER (WHERE status = 'missing') AS n_missing, "
+            "count(*) FILTER (WHERE status = 'extra') AS n_extra, "
+            "CAST(CASE schema " + " ".join(f"WHEN '{s}' THEN {n}" for s, n in _SIZES.items()) + " END AS BIGINT) AS n_expected "
+            "FROM diff GROUP BY ALL"
+        ),
+    ),
+)
+def schema_conformance(spark, sf):
+    """Conformance counts per export against the raw and minimum cleaned schemas."""
+    return H.schema_conformance(headers_of(spark, sf))
+
+
+@register("file_kind", _h_sql(*_KINDS, select="SELECT * FROM kinds"))
+def file_kind(spark, sf):
+    """Raw, cleaned or unknown per export."""
+    return H.file_kinds(headers_of(spark, sf))
+
+
+@register("header_exact", _h_sql(*_CAND, select="SELECT file_id, pos, header, canonical FROM cand WHERE layer = 'exact'"))
+def header_exact(spark, sf):
+    """Headers equal (normalised) to an expected name."""
+    c = H.candidates(headers_of(spark, sf))
+    return c.where(F.col("layer") == "exact").select("file_id", "pos", "header", "canonical")
+
+
+@register("header_alias", _h_sql(*_CAND, select="SELECT file_id, pos, header, canonical FROM cand WHERE layer = 'alias'"))
+def header_alias(spark, sf):
+    """Headers resolved through the alias dictionary."""
+    c = H.candidates(headers_of(spark, sf))
+    return c.where(F.col("layer") == "alias").select("file_id", "pos", "header", "canonical")
+
+
+@register(
+    "header_fuzzy",
+    _h_sql(*_CAND, select="SELECT file_id, pos, header, canonical, score FROM cand WHERE layer = 'fuzzy'"),
+)
+def header_fuzzy(spark, sf):
+    """Fuzzy candidates (difflib ratio >= 0.60) for the remaining headers."""
+    c = H.candidates(headers_of(spark, sf))
+    return c.where(F.col("layer") == "fuzzy").select("file_id", "pos", "header", "canonical", "score")
+
+
+@register("header_plan", _plan_sql("safe"))
+def header_plan(spark, sf):
+    """One-to-one rename plan, exact and alias claims first."""
+    return H.header_plan(headers_of(spark, sf), "safe")
+
+
+@register("header_plan_greedy", _plan_sql("greedy"))
+def header_plan_greedy(spark, sf):
+    """O16/O17 in file order, as a column-by-column loop assigns names."""
+    return H.header_plan(headers_of(spark, sf), "greedy")
+
+
+_RAW_FILES = "rawf AS (SELECT file_id FROM kinds WHERE kind = 'raw')"
+
+
+def _raw_headers(spark, sf) -> DataFrame:
+    h = headers_of(spark, sf)
+    kinds = H.file_kinds(h).where(F.col("kind") == "raw").select("file_id")
+    return h.join(kinds, "file_id", "left_semi")
+
+
+@register(
+    "header_positions",
+    _h_sql(
+        *_KINDS, _RAW_FILES,
+        f"exp63 AS (SELECT * FROM {_values(list(enumerate(C.RAW_COLUMNS, start=1)), ['e', 'pos', 'expected'])})",
+        "pd AS (SELECT h.file_id, h.pos, e.expected, h.header AS actual FROM fh h JOIN rawf r ON r.file_id = h.file_id "
+        "JOIN exp63 e ON e.pos = h.pos WHERE h.header <> e.expected)",
+        select="SELECT file_id, pos, expected, actual FROM pd QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY pos) <= 5",
+    ),
+)
+def header_positions(spark, sf):
+    """First five position differences of raw exports against the exact order."""
+    return H.position_differences(_raw_headers(spark, sf))
+
+
+_REQ = f"req AS (SELECT * FROM {_values(list(enumerate(C.MANDATORY_RAW, start=1)), ['q', 'ord', 'header'])})"
+
+
+@register(
+    "required_missing",
+    _h_sql(
+        *_KINDS, _RAW_FILES, _REQ,
+        select=(
+            "SELECT f.file_id, CAST(r.ord AS INTEGER) AS ord, r.header FROM rawf f CROSS JOIN req r "
+            "WHERE NOT EXISTS (SELECT 1 FROM fh h WHERE h.file_id = f.file_id AND h.header = r.header)"
+        ),
+    ),
+)
+def required_missing(spark, sf):
+    """Mandatory raw headers (exact names) missing from raw exports."""
+    return H.required_missing(_raw_headers(spark, sf))
+
+
+@register(
+    "extra_columns",
+    _h_sql(
+        *_KINDS, _RAW_FILES, _REQ,
+        select="SELECT h.file_id, h.pos, h.header FROM fh h JOIN rawf f ON f.file_id = h.file_id WHERE h.header NOT IN (SELECT header FROM req)",
+    ),
+)
+def extra_columns(spark, sf):
+    """Columns of raw exports outside the mandatory list."""
+    return H.extra_columns(_raw_headers(spark, sf))
+
+
+def _findings_sql() -> str:
+    known = list(dict.fromkeys(C.MINIMUM_CLEANED + C.OPTIONAL_CLEANED + [C.YEAR_LABEL]))
+    lists = {
+        "mand": list(enumerate(C.MANDATORY_RAW, start=1)),
+        "mini": list(enumerate(C.MINIMUM_CLEANED, start=1)),
+        "opt": list(enumerate(C.OPTIONAL_CLEANED, start=1)),
+        "known": list(enumerate(known, start=1)),
+    }
+    ctes = [f"{k} AS (SELECT * FROM {_values(v, ['v', 'ord', 'header'])})" for k, v in lists.items()]
+
+    def miss(kind, lst, sev, name):
+        return (
+            f"SELECT f.file_id, f.kind, '{sev}' AS severity, '{name}' AS finding, CAST(r.ord AS INTEGER) AS ord, r.header "
+            f"FROM kinds f CROSS JOIN {lst} r WHERE f.kind = '{kind}' AND NOT EXISTS "
+            f"(SELECT 1 FROM fh h WHERE h.file_id = f.file_id AND h.header = r.header)"
+        )
+
+    def extra(kind, lst, sev, name):
+        return (
+            f"SELECT h.file_id, f.kind, '{sev}', '{name}', h.pos, h.header FROM fh h JOIN kinds f ON f.file_id = h.file_id "
+            f"WHERE f.kind = '{kind}' AND h.header NOT IN (SELECT header FROM {lst})"
+        )
+
+    body = " UNION ALL ".join([
+        miss("raw", "mand", "error", "missing_mandatory"),
+        extra("raw", "mand", "warning", "extra_column"),
+        miss("cleaned", "mini", "error", "missing_minimum"),
+        miss("cleaned", "opt", "notice", "missing_optional"),
+        extra("cleaned", "known", "info", "unknown_column"),
+    ])
+    return _h_sql(*_KINDS, *ctes, select=body)
+
+
+@register("schema_findings", _findings_sql())
+def schema_findings(spark, sf):
+    """Error, warning, notice and info findings per export."""
+    return H.schema_findings(headers_of(spark, sf))

@@ -301,7 +301,9 @@ def values_sql(rows: list[tuple], columns: list[str]) -> str:
             return "NULL"
         if isinstance(v, bool):
             return "TRUE" if v else "FALSE"
-        if isinstance(v, (int, float)):
+        if isinstance(v, float):
+            return f"CAST('{v!r}' AS DOUBLE)"
+        if isinstance(v, int):
             return repr(v)
         return sql_str(v)
 
