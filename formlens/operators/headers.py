@@ -26,8 +26,10 @@ from formlens.operators.common import attach_small
 
 UNNAMED_RE = r"^(Unnamed:.*|_c\d+)$"
 
-# Expected header list used for harmonisation, per detected file kind.
-TARGETS = {"raw": C.MANDATORY_RAW, "cleaned": C.CLEANED_COLUMNS}
+# Expected header list used for harmonisation, per detected file kind: raw
+# exports are matched to the mandatory headers plus the submission
+# timestamp (the build reads it for the analysis year).
+TARGETS = {"raw": C.MANDATORY_RAW + [C.SUBMITTED_LABEL], "cleaned": C.CLEANED_COLUMNS}
 
 # Required sets for file-kind detection, in rule order.
 KIND_RULES = {

@@ -742,3 +742,34 @@ def _findings_sql() -> str:
 def schema_findings(spark, sf):
     """Error, warning, notice and info findings per export."""
     return H.schema_findings(headers_of(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Scans and sinks
+# ---------------------------------------------------------------------------
+
+from formlens.session import shared_path  # noqa: E402
+from formlens.sources import read_cleaned, read_exports, write_cleaned  # noqa: E402
+
+_CLEANED_ALL_SELECT = "SELECT * FROM cleaned"
+
+
+@register("csv_scan_union", _all_sql(select=_CLEANED_ALL_SELECT))
+def csv_scan_union(spark, sf):
+    """O1-O3: exports written as CSV in two header layouts, scanned back with
+    header discovery, harmonised per layout, stacked and cleaned."""
+    base = shared_path(spark, "exports")
+    dirs = D.write_form_exports(form(spark, sf), base)
+    rows, _plan = read_exports(spark, dirs)
+    out = K.build_cleaned(rows, "raw", YEAR, file_col="file_id", keep=["respondent_id", "file_id"])
+    return out.withColumns({
+        "respondent_id": F.col("respondent_id").cast("bigint"),
+        "file_id": F.col("file_id").cast("bigint"),
+    })
+
+
+@register("cleaned_sink_roundtrip", _all_sql(select=_CLEANED_ALL_SELECT))
+def cleaned_sink_roundtrip(spark, sf):
+    """The stacked cleaned table written partitioned by year and read back."""
+    path = write_cleaned(cleaned_all(spark, sf), shared_path(spark, "cleaned"))
+    return read_cleaned(spark, path)

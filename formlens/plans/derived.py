@@ -320,3 +320,23 @@ def file_headers_sql() -> str:
         f"JOIN {tv} ON f.tpl = t.tpl AND f.variant = t.variant\n"
         f"WHERE {_KEEP_SQL}"
     )
+
+
+def write_form_exports(form: DataFrame, base: str) -> list[str]:
+    """Write the derived form as CSV exports with two header layouts.
+
+    Even export ids keep the form headers; odd ones get upper-case headers
+    in reverse column order (a later year's layout).  Both halves are
+    written in full.  Returns the two directories.
+    """
+    keys = ["file_id", "respondent_id"]
+    cols = [c for c in form.columns if c not in keys]
+    opts = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    even = form.where((F.col("file_id") % 2) == 0)
+    odd = form.where((F.col("file_id") % 2) == 1).select(
+        *keys, *[F.col(_q_spark(c)).alias(c.upper()) for c in reversed(cols)]
+    )
+    a, b = f"{base}/layout_a", f"{base}/layout_b"
+    even.write.mode("overwrite").options(**opts).csv(a)
+    odd.write.mode("overwrite").options(**opts).csv(b)
+    return [a, b]
