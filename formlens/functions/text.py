@@ -46,14 +46,36 @@ def col_of(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+# Every character Python treats as whitespace (rule: str.isspace over the BMP).
+WS_CHARS = "".join(ch for ch in map(chr, range(0x10000)) if ch.isspace())
+_SPACES = " " * len(WS_CHARS)
+
+
+def _to_spaces(c: Column) -> Column:
+    """Map every whitespace character to a plain space (no regex)."""
+    return F.translate(c, WS_CHARS, _SPACES)
+
+
 def collapse_ws(c: Column) -> Column:
-    """Whitespace runs become one space, then edge spaces are removed."""
-    return F.trim(F.regexp_replace(c, WS + "+", " "))
+    """Whitespace runs become one space, then edge spaces are removed.
+
+    ``translate`` turns all whitespace into spaces; the regex only runs on
+    values that contain a double space.
+    """
+    t = _to_spaces(c)
+    return F.trim(F.when(F.instr(t, "  ") > 0, F.regexp_replace(t, " {2,}", " ")).otherwise(t))
 
 
 def strip_ws(c: Column) -> Column:
-    """Remove edge whitespace only (inner runs are kept)."""
-    return F.regexp_replace(c, "^" + WS + "+|" + WS + "+$", "")
+    """Remove edge whitespace only (inner runs are kept).
+
+    The regex only runs when the first or last character is whitespace.
+    """
+    ws = F.lit(WS_CHARS)
+    edge = (F.length(c) > 0) & (
+        (F.instr(ws, F.substring(c, 1, 1)) > 0) | (F.instr(ws, F.substring(c, -1, 1)) > 0)
+    )
+    return F.when(edge, F.regexp_replace(c, "^" + WS + "+|" + WS + "+$", "")).otherwise(c)
 
 
 def clean_category(c: Column, fill: str = FILL_VALUE) -> Column:

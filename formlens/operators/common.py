@@ -35,3 +35,19 @@ def raise_if_missing(columns: list[str], required: list[str], what: str) -> None
     if missing:
         listed = ", ".join(repr(c) for c in missing)
         raise FormValidationError(f"{what}: missing columns {listed}")
+
+
+def materialize_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Compute an aggregate once and reuse it without recomputing its input.
+
+    Within the bound it becomes a local relation (its size was checked);
+    beyond it the result is checkpointed to the shared checkpoint folder,
+    which also cuts the lineage so a lost executor does not replay the scan.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    from formlens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -109,8 +109,17 @@ def _df(spark: SparkSession, rows, schema: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def normalise_headers(headers: DataFrame) -> DataFrame:
-    """Add ``header_norm`` (strip, NFKD, no marks, collapsed spaces, lower)."""
-    return headers.withColumn("header_norm", normalize_header(F.col("header")))
+    """Add ``header_norm`` (strip, NFKD, no marks, collapsed spaces, lower).
+
+    Python runs only on the distinct header strings (a few hundred even for
+    many thousands of exports); the result is joined back with a checked
+    broadcast.  A table that already has ``header_norm`` is returned as is.
+    """
+    if "header_norm" in headers.columns:
+        return headers
+    distinct = headers.select("header").distinct()
+    normed = distinct.select("header", normalize_header(F.col("header")).alias("header_norm"))
+    return attach_small(headers, normed, ["header"], "left").select(*headers.columns, "header_norm")
 
 
 def header_catalogue(headers: DataFrame) -> DataFrame:
@@ -276,9 +285,11 @@ def candidates(headers: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
     Files of unknown kind have no target and are left out.
     """
     spark = headers.sparkSession
-    kinds = kinds if kinds is not None else file_kinds(headers)
-    targeted = attach_small(
-        normalise_headers(headers),
+    normed = normalise_headers(headers)
+    kinds = kinds if kinds is not None else file_kinds(normed)
+    # both sides are metadata-sized (one row per file or per column); the
+    # join strategy is left to AQE's runtime size check
+    targeted = normed.join(
         kinds.where(F.col("kind").isin(*TARGETS)).select("file_id", F.col("kind").alias("target")),
         ["file_id"], "inner",
     )
@@ -288,7 +299,7 @@ def candidates(headers: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
     fuzzy = unmatched.select(
         "target", "header_norm", _fuzzy_udf(F.col("header_norm"), F.col("target")).alias("fz")
     ).select("target", "header_norm", F.col("fz.canonical").alias("fz_canonical"), F.col("fz.score").alias("fz_score"))
-    joined = attach_small(layered, fuzzy, ["target", "header_norm"], "left")
+    joined = layered.join(fuzzy, ["target", "header_norm"], "left")
     return joined.select(
         "file_id", "pos", "header", "header_norm", "target",
         F.coalesce("canonical", "fz_canonical").alias("canonical"),
@@ -308,6 +319,8 @@ def header_plan(headers: DataFrame, mode: str = "safe", kinds: DataFrame | None
     Output ``(file_id, pos, header, canonical, layer, status)`` with status
     ``unchanged``, ``renamed``, ``unmatched`` or ``conflict``.
     """
+    if mode not in ("safe", "greedy"):
+        raise ValueError(f"unknown mode {mode!r}")
     cand = candidates(headers, kinds)
     if mode == "safe":
         blocked = (F.col("layer") == "fuzzy") & F.col("header_norm").isin(*IDENTIFIER_NORMS)
@@ -404,7 +417,7 @@ def schema_findings(headers: DataFrame, kinds: DataFrame | None = None) -> DataF
     """
     kinds = kinds if kinds is not None else file_kinds(headers)
     k = kinds.select("file_id", "kind")
-    hk = attach_small(headers, k, ["file_id"], "inner")
+    hk = headers.join(k, ["file_id"], "inner")
     raw_h = hk.where(F.col("kind") == "raw")
     cl_h = hk.where(F.col("kind") == "cleaned")
     known = C.MINIMUM_CLEANED + C.OPTIONAL_CLEANED + [C.YEAR_LABEL]
@@ -429,4 +442,4 @@ def schema_findings(headers: DataFrame, kinds: DataFrame | None = None) -> DataF
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return attach_small(out, k, ["file_id"], "inner").select("file_id", "kind", "severity", "finding", "ord", "header")
+    return out.join(k, ["file_id"], "inner").select("file_id", "kind", "severity", "finding", "ord", "header")

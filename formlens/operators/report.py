@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from formlens import config as C
 from formlens.functions import strip_category
+from formlens.operators.common import materialize_small
 
 YEAR = "analysis_year"
 
@@ -87,22 +88,22 @@ def _bins_expr(x, lo, hi, n):
     return F.least(F.floor((x - lo) * n / (hi - lo)), n - F.lit(1)).cast("int") + F.lit(1)
 
 
-def age_histogram(df: DataFrame, by_year: bool | None = None, age: str = "age", year: str = YEAR,
-                  max_bins: int = C.HIST_MAX_BINS, min_bins: int = C.HIST_MIN_BINS) -> DataFrame:
-    """Histogram rows ``(year, bin, bin_lo, bin_hi, n)`` including empty bins.
-
-    ``by_year=None`` decides like the report: by year when there is more
-    than one analysis year.  Single year: ``min(10, max(5, distinct ages))``
-    bins; by year: 10 bins with edges common to all years.  When min = max
-    the range is widened by 0.5 on each side.  Ages are first counted per
-    (year, age) so that the edges, bin count and bins work on that small
-    table; the edges reach the bins as scalar subqueries (no join).
-    """
-    counted = (
+def age_counts(df: DataFrame, age: str = "age", year: str = YEAR) -> DataFrame:
+    """Non-null ages counted per (year, age): ``(year, x, c)``."""
+    return (
         df.where(F.col(age).isNotNull())
-        .groupBy(F.col(year).alias("year"), F.col(age).alias("x"))
+        .groupBy(F.col(year).alias("year"), F.col(age).cast("double").alias("x"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
+
+
+def histogram_from_counts(counted: DataFrame, by_year: bool | None = None,
+                          max_bins: int = C.HIST_MAX_BINS, min_bins: int = C.HIST_MIN_BINS) -> DataFrame:
+    """Histogram rows from ``(year, x, c)`` counts (see ``age_histogram``).
+
+    ``counted`` should be materialised (it is small); the edges and the bin
+    count reach the bins as scalar subqueries over it.
+    """
     stats = counted.agg(
         F.min("x").alias("mn"), F.max("x").alias("mx"),
         F.count_distinct("x").alias("nd"), F.count_distinct("year").alias("ny"),
@@ -119,7 +120,7 @@ def age_histogram(df: DataFrame, by_year: bool | None = None, age: str = "age",
     )
     lo, hi, n = (edges.select(c).scalar() for c in ("lo", "hi", "nb"))
     binned = (
-        counted.withColumn("bin", _bins_expr(F.col("x").cast("double"), lo, hi, n))
+        counted.withColumn("bin", _bins_expr(F.col("x"), lo, hi, n))
         .groupBy("year", "bin").agg(F.sum("c").alias("n"))
     )
     grid = counted.select("year").distinct().select("year", F.explode(F.sequence(F.lit(1), n)).alias("bin"))
@@ -135,19 +136,62 @@ def age_histogram(df: DataFrame, by_year: bool | None = None, age: str = "age",
     )
 
 
+def age_histogram(df: DataFrame, by_year: bool | None = None, age: str = "age", year: str = YEAR,
+                  max_bins: int = C.HIST_MAX_BINS, min_bins: int = C.HIST_MIN_BINS) -> DataFrame:
+    """Histogram rows ``(year, bin, bin_lo, bin_hi, n)`` including empty bins.
+
+    ``by_year=None`` decides like the report: by year when there is more
+    than one analysis year.  Single year: ``min(10, max(5, distinct ages))``
+    bins; by year: 10 bins with edges common to all years.  When min = max
+    the range is widened by 0.5 on each side.  Ages are counted per
+    (year, age) in one pass over the data; that small table is
+    materialised once and edges, bin count and bins are computed from it.
+    """
+    counted = materialize_small(age_counts(df, age, year))
+    return histogram_from_counts(counted, by_year, max_bins, min_bins)
+
+
 # --- O44 ---------------------------------------------------------------------
 
 def report_suite(cleaned: DataFrame, summary: DataFrame | None = None, keys: list[str] | None = None,
-                 k: int = C.TOP_K, fill: str = C.FILL_VALUE) -> DataFrame:
-    """All chosen reports as one long table.
+                 k: int = C.TOP_K, fill: str = C.FILL_VALUE, input_columns: int | None = None,
+                 kind: str = "raw") -> DataFrame:
+    """All chosen reports as one long table, from one pass over the data.
 
     ``(ord, report, category, year, n, rank, bin_lo, bin_hi)``: the quality
     summary first (ord 0), then the chosen keys in order; unknown keys are
-    ignored.  The five categorical reports share one unpivot and one
-    data-sized aggregate; the age histogram is one more small aggregate.
+    ignored.  Each row of ``cleaned`` is unpivoted into one entry per
+    categorical report, one for its age and one for its birth date, and a
+    single partial aggregate counts them per (report, category, age, year).
+    That table is small (categories x years + ages x years); it is
+    materialised once and ranks, histogram bins and the quality counts are
+    all derived from it.
+
+    The quality table is either given (``summary``) or, with
+    ``input_columns``, computed from the same pass (the cleaned table is a
+    row-preserving projection of its input).
     """
     keys = [key for key in (keys or C.REPORT_KEYS) if key in C.REPORT_CATALOGUE or key == "edad"]
+    cat_keys = [key for key in keys if key in C.REPORT_CATALOGUE]
+    items = [
+        F.struct(F.lit(keys.index(key) + 1).alias("ord"), F.lit(key).alias("report"),
+                 strip_category(F.col(_name_of(C.REPORT_CATALOGUE[key][0])), fill).alias("category"),
+                 F.lit(None).cast("double").alias("x"))
+        for key in cat_keys
+    ]
+    items.append(F.struct(F.lit(-1).alias("ord"), F.lit("_age").alias("report"), F.lit(None).cast("string").alias("category"),
+                          F.col("age").cast("double").alias("x")))
+    items.append(F.struct(F.lit(-2).alias("ord"), F.lit("_birth").alias("report"),
+                          F.when(F.col("birth_date").isNotNull(), "set").otherwise("null").alias("category"),
+                          F.lit(None).cast("double").alias("x")))
+    counts = materialize_small(
+        cleaned.select(F.col(YEAR).alias("year"), F.inline(F.array(*items)))
+        .groupBy("ord", "report", "category", "x", "year")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     parts = []
+    if summary is None and input_columns is not None:
+        summary = _quality_from_counts(counts, input_columns, len(cleaned.columns), kind)
     if summary is not None:
         parts.append(summary.select(
             F.lit(0).alias("ord"), F.lit("resumen_calidad").alias("report"),
@@ -155,26 +199,17 @@ def report_suite(cleaned: DataFrame, summary: DataFrame | None = None, keys: lis
             F.col("value").cast("long").alias("n"), F.col("ord").cast("int").alias("rank"),
             F.lit(None).cast("double").alias("bin_lo"), F.lit(None).cast("double").alias("bin_hi"),
         ))
-    cat_keys = [key for key in keys if key in C.REPORT_CATALOGUE]
     if cat_keys:
-        names = {key: _name_of(C.REPORT_CATALOGUE[key][0]) for key in cat_keys}
-        order = {key: keys.index(key) + 1 for key in cat_keys}
-        long = cleaned.select(
-            F.col(YEAR).alias("year"),
-            F.inline(F.array(*[
-                F.struct(F.lit(order[key]).alias("ord"), F.lit(key).alias("report"),
-                         strip_category(F.col(names[key]), fill).alias("category"))
-                for key in cat_keys
-            ])),
-        )
-        per_year = long.groupBy("ord", "report", "category", "year").agg(F.count(F.lit(1)).alias("n"))
+        per_year = counts.where(F.col("ord") > 0).select("ord", "report", "category", "year", "n")
         ranked = _rank_categories(per_year, ["ord", "report", "category"], k)
         parts.append(ranked.select(
             "ord", "report", "category", "year", F.col("n").cast("long").alias("n"), F.col("rank").cast("int"),
             F.lit(None).cast("double").alias("bin_lo"), F.lit(None).cast("double").alias("bin_hi"),
         ))
     if "edad" in keys:
-        hist = age_histogram(cleaned)
+        ages = counts.where((F.col("report") == "_age") & F.col("x").isNotNull()).select(
+            "year", "x", F.col("n").alias("c"))
+        hist = histogram_from_counts(ages)
         parts.append(hist.select(
             F.lit(keys.index("edad") + 1).alias("ord"), F.lit("edad").alias("report"),
             F.col("bin").cast("string").alias("category"), F.col("year").cast("int").alias("year"),
@@ -186,5 +221,23 @@ def report_suite(cleaned: DataFrame, summary: DataFrame | None = None, keys: lis
     return out
 
 
+def _quality_from_counts(counts: DataFrame, input_columns: int, output_columns: int, kind: str) -> DataFrame:
+    """The six quality indicators from the suite's aggregate (no extra pass)."""
+    base = C.QUALITY_BASE_RAW if kind == "raw" else C.QUALITY_BASE_CLEANED
+    labels = [t.format(base=base) for t in C.QUALITY_LABELS]
+    stats = counts.agg(
+        F.sum(F.when(F.col("report") == "_birth", F.col("n"))).alias("rows"),
+        F.sum(F.when((F.col("report") == "_birth") & (F.col("category") == "set"), F.col("n"))).alias("births"),
+        F.sum(F.when((F.col("report") == "_age") & F.col("x").isNotNull(), F.col("n"))).alias("ages"),
+    )
+    values = [F.col("rows"), F.lit(input_columns), F.col("rows"), F.lit(output_columns), F.col("births"), F.col("ages")]
+    rows = F.array(*[
+        F.struct(F.lit(i + 1).alias("ord"), F.lit(lab).alias("indicator"),
+                 F.coalesce(v.cast("long"), F.lit(0).cast("long")).alias("value"))
+        for i, (lab, v) in enumerate(zip(labels, values))
+    ])
+    return stats.select(F.inline(rows))
+
+
 def _name_of(label: str) -> str:
     return C.LABEL_TO_NAME.get(label, label)
