@@ -773,3 +773,20 @@ def cleaned_sink_roundtrip(spark, sf):
     """The stacked cleaned table written partitioned by year and read back."""
     path = write_cleaned(cleaned_all(spark, sf), shared_path(spark, "cleaned"))
     return read_cleaned(spark, path)
+
+
+@register("stream_intake", _all_sql(select=_CLEANED_ALL_SELECT))
+def stream_intake(spark, sf):
+    """O1-O4 incrementally: exports picked up by a file stream and cleaned per micro-batch."""
+    from formlens.streaming import read_intake, start_intake
+
+    base = shared_path(spark, "stream")
+    D.write_form_exports(form(spark, sf), f"{base}/inbox")
+    q = start_intake(spark, f"{base}/inbox/*", f"{base}/sink", f"{base}/checkpoint", YEAR,
+                     keep=["respondent_id", "file_id"])
+    q.awaitTermination()
+    out = read_intake(spark, f"{base}/sink")
+    return out.select(*[c for c in ["respondent_id", "file_id", *C.CLEANED_NAMES]]).withColumns({
+        "respondent_id": F.col("respondent_id").cast("bigint"),
+        "file_id": F.col("file_id").cast("bigint"),
+    })

@@ -1,0 +1,5 @@
+"""Incremental intake of exports with Structured Streaming (foreachBatch)."""
+
+from formlens.streaming.intake import process_exports, read_intake, start_intake
+
+__all__ = ["process_exports", "read_intake", "start_intake"]
