@@ -204,9 +204,12 @@ def build_cleaned(df: DataFrame, kind: str, year: int, fill: str = C.FILL_VALUE,
     if kind not in ("raw", "cleaned"):
         raise FormValidationError(f"unknown file kind {kind!r}")
     keep = [k for k in (keep or []) if k in df.columns]
-    staged = with_analysis_year(df, year, file_col) if C.YEAR_LABEL not in df.columns else df.withColumn(
-        "analysis_year", coerce_number(col_of(C.YEAR_LABEL)).cast("int")
-    )
+    if kind == "cleaned" and C.YEAR_LABEL in df.columns:
+        # a cleaned export keeps its own year column
+        staged = df.withColumn("analysis_year", coerce_number(col_of(C.YEAR_LABEL)).cast("int"))
+    else:
+        # raw exports always derive it (the mapping never carries a year column)
+        staged = with_analysis_year(df, year, file_col)
     if kind == "raw":
         staged = drop_unnamed(staged)
         check_mapping(staged)

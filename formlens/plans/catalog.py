@@ -790,3 +790,29 @@ def stream_intake(spark, sf):
         "respondent_id": F.col("respondent_id").cast("bigint"),
         "file_id": F.col("file_id").cast("bigint"),
     })
+
+
+@register("intake_year", _year_sql(select="SELECT * FROM cleaned"))
+def intake_year(spark, sf):
+    """CSV exports in two layouts -> detect, harmonise, validate, filter, build."""
+    from formlens.plans.intake import run_intake
+
+    base = shared_path(spark, "intake")
+    dirs = D.write_form_exports(form(spark, sf), base)
+    res = run_intake(spark, dirs, YEAR, keep=["respondent_id"])
+    return res.cleaned.withColumn("respondent_id", F.col("respondent_id").cast("bigint"))
+
+
+@register("cleaned_csv_roundtrip", _all_sql(select=_CLEANED_ALL_SELECT))
+def cleaned_csv_roundtrip(spark, sf):
+    """O4 + O12 + O34 (cleaned branch): the stacked cleaned table written as a
+    labelled CSV export, detected as ``cleaned``, harmonised and rebuilt."""
+    from formlens.plans.intake import run_intake
+
+    path = shared_path(spark, "cleaned-csv")
+    write_cleaned(cleaned_all(spark, sf), path, fmt="csv", labels=True, partition_by=None)
+    res = run_intake(spark, path, YEAR, keep=["respondent_id", "file_id"])
+    return res.cleaned.withColumns({
+        "respondent_id": F.col("respondent_id").cast("bigint"),
+        "file_id": F.col("file_id").cast("bigint"),
+    })

@@ -1,6 +1,6 @@
 """Sources and sinks: drifting-header CSV exports in, partitioned tables out."""
 
-from formlens.sources.scan import header_table, read_exports
+from formlens.sources.scan import Exports, header_table, read_exports, scan_exports
 from formlens.sources.sink import for_csv, read_cleaned, write_cleaned
 
-__all__ = ["for_csv", "header_table", "read_cleaned", "read_exports", "write_cleaned"]
+__all__ = ["Exports", "for_csv", "header_table", "read_cleaned", "read_exports", "scan_exports", "write_cleaned"]

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import csv
 import io
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formlens.operators import headers as H
-from formlens.operators.common import FormValidationError
+from formlens.operators.common import FormValidationError, materialize_small
 
 CSV_OPTIONS = {
     "header": "true",
@@ -109,6 +110,14 @@ def column_names(plan_rows: list, headers: list[str]) -> list[str]:
     return names
 
 
+@dataclass
+class Exports:
+    rows: DataFrame      # harmonised columns + ``source_file``
+    plan: DataFrame      # rename plan per file (file_id = source_file)
+    headers: DataFrame   # discovered header table (materialised)
+    kinds: DataFrame     # detected kind per file (materialised)
+
+
 def read_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe",
                  options: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Scan CSV exports with drifting headers into one DataFrame.
@@ -117,9 +126,21 @@ def read_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
     ``source_file`` (the file path, the plan's ``file_id``); ``plan`` is the
     rename plan of every file.  Exports of unknown kind are an error.
     """
+    ex = scan_exports(spark, paths, mode, options)
+    return ex.rows, ex.plan
+
+
+def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe",
+                 options: dict[str, str] | None = None) -> Exports:
+    """``read_exports`` with the header table and file kinds kept for reuse.
+
+    Header discovery reads each file once as text; its result (one row per
+    column per file) and the kinds (one row per file) are materialised with
+    a size check, so validation and the row scans do not repeat it.
+    """
     opts = dict(CSV_OPTIONS, **(options or {}))
-    headers = header_table(spark, paths)
-    kinds = H.file_kinds(headers)
+    headers = materialize_small(header_table(spark, paths))
+    kinds = materialize_small(H.file_kinds(headers))
     unknown = kinds.where(F.col("kind") == "unknown").select("file_id").limit(5).collect()
     if unknown:
         raise FormValidationError(f"exports of unknown kind: {[r['file_id'] for r in unknown]}")
@@ -149,4 +170,4 @@ def read_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    return out, plan
+    return Exports(rows=out, plan=plan, headers=headers, kinds=kinds)

@@ -44,3 +44,21 @@ def test_csv_sink_formats_birth_date(spark):
     write_cleaned(df, path, fmt="csv", labels=True)
     parts = [p for p in os.listdir(path) if p.startswith(C.YEAR_LABEL)]
     assert parts == [f"{C.YEAR_LABEL}=2025"]
+
+
+def test_run_intake_mixed_kinds(spark):
+    from formlens.plans.intake import run_intake
+
+    base = tempfile.mkdtemp(prefix="formlens-intake-")
+    hdr = list(C.RAW_COLUMNS)
+    row = ["01/02/2025 10:00:00", "a@b.c", "si", "01/02/2025"] + ["v"] * (len(hdr) - 4)
+    write_csv(os.path.join(base, "raw.csv"), hdr, [row, row])
+    cl_hdr = [h for h in C.CLEANED_COLUMNS if h != C.BIRTH_LABEL]
+    cl_row = ["2024" if h == C.YEAR_LABEL else "20" if h == C.AGE_LABEL else "x" for h in cl_hdr]
+    write_csv(os.path.join(base, "cleaned.csv"), cl_hdr, [cl_row])
+    res = run_intake(spark, base, 2025)
+    got = sorted((r["analysis_year"], r["age"]) for r in res.cleaned.collect())
+    assert got == [(2024, 20.0), (2025, None), (2025, None)]
+    notices = res.findings.where("severity = 'notice'").collect()
+    assert [r["header"] for r in notices] == [C.BIRTH_LABEL]
+    assert res.report.where("report = 'resumen_calidad'").count() == 6
