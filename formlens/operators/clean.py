@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from formlens import config as C
 from formlens.functions import (
@@ -50,33 +51,40 @@ def filter_year(df: DataFrame, year: int, column: str = C.FILLED_LABEL,
                 observation: Observation | None = None) -> DataFrame:
     """Keep rows whose fill-in date falls in ``year``; the column becomes typed.
 
-    With an ``Observation`` the four counts (total, null or invalid, other
-    year, kept) are collected in the same pass as the rows.
+    A stored timestamp column is filtered with a range the Parquet scan can
+    use (``PushedFilters``).  Text dates cannot be pushed down, so the filter
+    tests the year of a single parse per row.  With an ``Observation`` the
+    four counts (total, null or invalid, other year, kept) are collected in
+    the same pass as the rows (an observed plan keeps its filter above the
+    observation, so use it on text dates).
     """
     if column not in df.columns:
         raise FormValidationError(f"column {column!r} is needed to filter by year")
-    parsed = df.withColumn(column, parse_day_first(col_of(column)))
-    d = col_of(column)
-    keep = in_year(d, year)
+    c = col_of(column)
+    typed = isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
     if observation is not None:
-        parsed = parsed.observe(
+        parsed = df.withColumn(column, c.cast("timestamp_ntz") if typed else parse_day_first(c))
+        y = F.year(col_of(column))
+        return parsed.observe(
             observation,
             F.count(F.lit(1)).alias("total"),
-            F.count_if(d.isNull()).alias("null_or_invalid"),
-            F.count_if(d.isNotNull() & ~keep).alias("other_year"),
-            F.count_if(keep).alias("kept"),
-        )
-    return parsed.where(keep)
+            F.count_if(y.isNull()).alias("null_or_invalid"),
+            F.count_if(y != F.lit(int(year))).alias("other_year"),
+            F.count_if(y == F.lit(int(year))).alias("kept"),
+        ).where(y == F.lit(int(year)))
+    if typed:
+        return df.where(in_year(c, year)).withColumn(column, c.cast("timestamp_ntz"))
+    return df.where(F.year(parse_day_first(c)) == F.lit(int(year))).withColumn(column, parse_day_first(c))
 
 
 def year_filter_counts(df: DataFrame, year: int, column: str = C.FILLED_LABEL) -> DataFrame:
-    d = parse_day_first(col_of(column))
-    keep = in_year(d, year)
-    return df.agg(
+    """Total, null or invalid, other year and kept, from one parse per row."""
+    y = df.select(F.year(parse_day_first(col_of(column))).alias("y"))
+    return y.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(d.isNull()).alias("null_or_invalid"),
-        F.count_if(d.isNotNull() & ~keep).alias("other_year"),
-        F.count_if(keep).alias("kept"),
+        F.count_if(F.col("y").isNull()).alias("null_or_invalid"),
+        F.count_if(F.col("y") != F.lit(int(year))).alias("other_year"),
+        F.count_if(F.col("y") == F.lit(int(year))).alias("kept"),
     )
 
 

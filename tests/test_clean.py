@@ -88,11 +88,20 @@ def test_year_filter_counts_add_up(spark):
     assert kept == 3 and obs.get["kept"] == 3 and obs.get["other_year"] == 1
 
 
-def test_year_filter_is_a_range(spark):
-    df = raw_export(spark, ROWS)
+def test_year_filter_typed_column_is_a_range(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2025, 1, 1),), (dt.datetime(2024, 12, 31, 23, 59),), (None,)], f"`{C.FILLED_LABEL}` timestamp_ntz"
+    )
     kept = K.filter_year(df, 2025)
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
-    assert "1998" not in plan and ">= 2025-01-01" in plan
+    assert ">= 2025-01-01" in plan and "< 2026-01-01" in plan
+    assert kept.count() == 1
+
+
+def test_year_filter_text_parses_once(spark):
+    kept = K.filter_year(raw_export(spark, ROWS), 2025)
+    assert kept.count() == 3
+    assert dict(kept.dtypes)[C.FILLED_LABEL] == "timestamp_ntz"
 
 
 def test_build_from_cleaned_input(spark):

@@ -32,7 +32,9 @@ def test_year_range_reaches_the_parquet_scan(spark):
     spark.createDataFrame(
         [(dt.datetime(2025, 3, 1),), (dt.datetime(2024, 3, 1),)], "filled_on timestamp_ntz"
     ).write.parquet(path)
-    df = spark.read.parquet(path).where(in_year(F.col("filled_on"), 2025))
+    from formlens.operators.clean import filter_year
+
+    df = filter_year(spark.read.parquet(path), 2025, column="filled_on")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(filled_on), GreaterThanOrEqual(filled_on" in plan
     assert df.count() == 1
