@@ -59,3 +59,18 @@ def multi_year(df: DataFrame, column: str = "analysis_year") -> DataFrame:
     return df.agg(F.count_distinct(column).alias("n_years")).select(
         "n_years", (F.col("n_years") > 1).alias("multi_year")
     )
+
+
+def year_warnings(df: DataFrame, configured: int, file_col: str = "file_id") -> DataFrame:
+    """Exports whose derived analysis year differs from the configured year.
+
+    Ages are computed at the end of the derived year while the fill-in
+    filter uses the configured one; when they differ the export is listed
+    ``(file_id, analysis_year, configured_year)``.
+    """
+    from formlens.operators.clean import analysis_year_by_file
+
+    years = analysis_year_by_file(df, file_col)
+    return years.where(F.col("analysis_year") != F.lit(int(configured))).select(
+        file_col, "analysis_year", F.lit(int(configured)).alias("configured_year")
+    )

@@ -816,3 +816,15 @@ def cleaned_csv_roundtrip(spark, sf):
         "respondent_id": F.col("respondent_id").cast("bigint"),
         "file_id": F.col("file_id").cast("bigint"),
     })
+
+
+@register(
+    "year_mismatch",
+    Q.with_ctes(
+        _FORM, Q.years_cte("form", "ym"),
+        select=f"SELECT file_id, analysis_year, {YEAR} AS configured_year FROM ym WHERE analysis_year <> {YEAR}",
+    ),
+)
+def year_mismatch(spark, sf):
+    """Q7: exports whose derived analysis year is not the configured year."""
+    return M.year_warnings(form(spark, sf), YEAR)

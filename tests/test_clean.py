@@ -125,3 +125,18 @@ def test_single_file_year_uses_scalar_mode(spark):
 def test_with_labels_roundtrip(spark):
     out = K.with_labels(K.build_cleaned(raw_export(spark, ROWS), "raw", 2025))
     assert out.columns == C.CLEANED_COLUMNS
+
+
+def test_strict_mode_raises_when_nothing_is_left(spark):
+    obs = Observation("strict")
+    kept = K.filter_year(raw_export(spark, ROWS), 1990, observation=obs)
+    assert kept.count() == 0
+    with pytest.raises(FormValidationError):
+        K.raise_if_empty(obs, 1990)
+
+
+def test_year_warnings(spark):
+    from formlens.operators.metrics import year_warnings
+
+    got = {(r["file_id"], r["analysis_year"]) for r in year_warnings(raw_export(spark, ROWS), 2025).collect()}
+    assert got == {(2, 2023)}
