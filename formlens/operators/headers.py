@@ -122,6 +122,25 @@ def normalise_headers(headers: DataFrame) -> DataFrame:
     return attach_small(headers, normed, ["header"], "left").select(*headers.columns, "header_norm")
 
 
+def prepare_headers(headers: DataFrame) -> DataFrame:
+    """Normalised header table, hash-partitioned by file, lineage cut.
+
+    Every later per-file step (kind detection, conflict windows, diffs,
+    findings) is clustered by ``file_id``, so this one shuffle serves them
+    all; a file has at most a few hundred header rows, so no partition can
+    be skewed by a large export.  The table is checkpointed to the shared
+    checkpoint folder: derived steps reuse it instead of recomputing the
+    discovery and the Python normalisation, and a lost executor does not
+    replay them.  A table that already has ``header_norm`` is returned as is.
+    """
+    if "header_norm" in headers.columns:
+        return headers
+    from formlens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(headers.sparkSession)
+    return normalise_headers(headers).repartition("file_id").checkpoint(eager=True)
+
+
 def header_catalogue(headers: DataFrame) -> DataFrame:
     """Every header with its 1-based position and the file's column count."""
     w = Window.partitionBy("file_id")  # at most a few hundred rows per file
@@ -158,7 +177,8 @@ def schema_diff(headers: DataFrame) -> DataFrame:
     position.  Comparison is on normalised names.
     """
     spark = headers.sparkSession
-    actual = _actual_by_norm(normalise_headers(headers))
+    headers = prepare_headers(headers)
+    actual = _actual_by_norm(headers)
     files = headers.select("file_id").distinct()
     exp_rows = expected_rows()
     per_file = _expected_per_file(files, exp_rows, ["schema", "ord", "expected", "expected_norm"])
@@ -194,47 +214,51 @@ def schema_conformance(headers: DataFrame) -> DataFrame:
 # O11, O12
 # ---------------------------------------------------------------------------
 
+def kind_flag_rows() -> list[tuple[str, int, int, int, str | None]]:
+    """(header_norm, marker, raw_mandatory, cleaned_min, resolved) per known name.
+
+    ``resolved`` is the name after alias resolution when it is a minimum
+    cleaned column (the fourth detection rule counts those), else null.
+    """
+    sets = {rule: set(norm_map(h)) for rule, h in KIND_RULES.items()}
+    aliases = {a: normalize_text(c) for a, c in alias_map().items()}
+    rows = []
+    for n in sorted(set().union(*sets.values(), aliases)):
+        res = aliases.get(n, n)
+        rows.append((n, int(n in sets["markers"]), int(n in sets["raw_mandatory"]),
+                     int(n in sets["cleaned_min"]), res if res in sets["cleaned_min"] else None))
+    return rows
+
+
 def file_kinds(headers: DataFrame) -> DataFrame:
     """``raw``, ``cleaned`` or ``unknown`` per file (first rule that holds).
 
-    Relational division: distinct normalised headers per file joined to the
-    required sets (broadcast, fixed size), counted per (file, rule).
+    Relational division in one aggregate: each distinct normalised header
+    of a file is looked up in a broadcast flags table (fixed size) and the
+    flags are summed per file.  On the file-partitioned header table
+    neither the distinct nor the aggregate shuffles.
     """
     spark = headers.sparkSession
-    present = normalise_headers(headers).select("file_id", "header_norm").distinct()
-    rules = F.broadcast(_df(spark, kind_rule_rows(), "rule string, header_norm string"))
-    direct = present.join(rules, "header_norm").groupBy("file_id", "rule").agg(
-        F.count_distinct("header_norm").alias("n")
+    headers = prepare_headers(headers)
+    present = headers.select("file_id", "header_norm").distinct()
+    flags = F.broadcast(_df(spark, kind_flag_rows(),
+                            "header_norm string, m int, r int, c int, resolved string"))
+    counts = present.join(flags, "header_norm", "left").groupBy("file_id").agg(
+        F.coalesce(F.sum("m"), F.lit(0)).cast("long").alias("n_markers"),
+        F.coalesce(F.sum("r"), F.lit(0)).cast("long").alias("n_raw_mandatory"),
+        F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n_cleaned_min"),
+        F.count_distinct("resolved").cast("long").alias("n_cleaned_alias"),
     )
-    resolve = F.broadcast(_df(spark, alias_resolution_rows(), "header_norm string, resolved string"))
-    resolved = (
-        present.join(resolve, "header_norm", "left")
-        .select("file_id", F.coalesce("resolved", "header_norm").alias("header_norm"))
-        .distinct()
-    )
-    cleaned_rules = F.broadcast(_df(spark, [r for r in kind_rule_rows() if r[0] == "cleaned_min"],
-                                    "rule string, header_norm string"))
-    via_alias = resolved.join(cleaned_rules, "header_norm").groupBy("file_id").agg(
-        F.count_distinct("header_norm").alias("n")
-    ).select("file_id", F.lit("cleaned_alias").alias("rule"), "n")
-    counts = direct.unionByName(via_alias).groupBy("file_id").pivot(
-        "rule", ["markers", "raw_mandatory", "cleaned_min", "cleaned_alias"]
-    ).agg(F.first("n"))
-    files = headers.select("file_id").distinct()
     sz = kind_rule_sizes()
-    c = {r: F.coalesce(F.col(r), F.lit(0)).cast("long") for r in ["markers", "raw_mandatory", "cleaned_min", "cleaned_alias"]}
     kind = (
-        F.when(c["markers"] == sz["markers"], "raw")
-        .when(c["raw_mandatory"] == sz["raw_mandatory"], "raw")
-        .when(c["cleaned_min"] == sz["cleaned_min"], "cleaned")
-        .when(c["cleaned_alias"] == sz["cleaned_min"], "cleaned")
+        F.when(F.col("n_markers") == sz["markers"], "raw")
+        .when(F.col("n_raw_mandatory") == sz["raw_mandatory"], "raw")
+        .when(F.col("n_cleaned_min") == sz["cleaned_min"], "cleaned")
+        .when(F.col("n_cleaned_alias") == sz["cleaned_min"], "cleaned")
         .otherwise("unknown")
     )
-    return files.join(counts, "file_id", "left").select(
-        "file_id", kind.alias("kind"),
-        c["markers"].alias("n_markers"), c["raw_mandatory"].alias("n_raw_mandatory"),
-        c["cleaned_min"].alias("n_cleaned_min"), c["cleaned_alias"].alias("n_cleaned_alias"),
-    )
+    return counts.select("file_id", kind.alias("kind"), "n_markers", "n_raw_mandatory", "n_cleaned_min",
+                         "n_cleaned_alias")
 
 
 # ---------------------------------------------------------------------------
@@ -285,7 +309,7 @@ def candidates(headers: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
     Files of unknown kind have no target and are left out.
     """
     spark = headers.sparkSession
-    normed = normalise_headers(headers)
+    normed = prepare_headers(headers)
     kinds = kinds if kinds is not None else file_kinds(normed)
     # both sides are metadata-sized (one row per file or per column); the
     # join strategy is left to AQE's runtime size check
@@ -299,7 +323,9 @@ def candidates(headers: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
     fuzzy = unmatched.select(
         "target", "header_norm", _fuzzy_udf(F.col("header_norm"), F.col("target")).alias("fz")
     ).select("target", "header_norm", F.col("fz.canonical").alias("fz_canonical"), F.col("fz.score").alias("fz_score"))
-    joined = layered.join(fuzzy, ["target", "header_norm"], "left")
+    # a few rows per distinct unmatched header: checked broadcast, so the
+    # header rows are not shuffled for this join
+    joined = attach_small(layered, fuzzy, ["target", "header_norm"], "left")
     return joined.select(
         "file_id", "pos", "header", "header_norm", "target",
         F.coalesce("canonical", "fz_canonical").alias("canonical"),
@@ -321,7 +347,8 @@ def header_plan(headers: DataFrame, mode: str = "safe", kinds: DataFrame | None
     """
     if mode not in ("safe", "greedy"):
         raise ValueError(f"unknown mode {mode!r}")
-    cand = candidates(headers, kinds)
+    headers = prepare_headers(headers)
+    cand = candidates(headers, kinds if kinds is not None else file_kinds(headers))
     if mode == "safe":
         blocked = (F.col("layer") == "fuzzy") & F.col("header_norm").isin(*IDENTIFIER_NORMS)
         cand = cand.withColumns({
@@ -415,6 +442,7 @@ def schema_findings(headers: DataFrame, kinds: DataFrame | None = None) -> DataF
     column, ``notice`` for a missing optional one, ``info`` for unknown
     columns (left out of the output).  Exact names, as the build needs them.
     """
+    headers = prepare_headers(headers)
     kinds = kinds if kinds is not None else file_kinds(headers)
     k = kinds.select("file_id", "kind")
     hk = headers.join(k, ["file_id"], "inner")
