@@ -165,15 +165,19 @@ def analysis_year_by_file(df: DataFrame, file_col: str = "file_id") -> DataFrame
     of all rows is combined map-side; the mode is then taken over the tiny
     per-(file, year) counts.
     """
+    # Null years are skipped inside the aggregate (max ignores nulls), not by
+    # a filter: Catalyst would push such a filter into the scan and evaluate
+    # the date parse there once per reference, instead of once per row.
     counts = (
         df.select(F.col(file_col), submitted_year(df).alias("y"))
-        .where(F.col("y").isNotNull())
         .groupBy(file_col, "y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = F.max(F.struct(F.col("n"), (-F.col("y")).alias("neg_y")))
-    return counts.groupBy(file_col).agg(best.alias("b")).select(
-        F.col(file_col), (-F.col("b.neg_y")).cast("int").alias("analysis_year")
+    best = F.max(F.when(F.col("y").isNotNull(), F.struct(F.col("n"), (-F.col("y")).alias("neg_y"))))
+    return (
+        counts.groupBy(file_col).agg(best.alias("b"))
+        .select(F.col(file_col), (-F.col("b.neg_y")).cast("int").alias("analysis_year"))
+        .where(F.col("analysis_year").isNotNull())
     )
 
 
@@ -185,8 +189,9 @@ def with_analysis_year(df: DataFrame, year: int, file_col: str | None = "file_id
         years = analysis_year_by_file(df, file_col)
         joined = attach_small(df, years, [file_col], "left")
         return joined.withColumn("analysis_year", F.coalesce(F.col("analysis_year"), F.lit(int(year))))
-    one = df.select(submitted_year(df).alias("y")).where(F.col("y").isNotNull()).groupBy("y").count()
-    mode = one.orderBy(F.desc("count"), F.asc("y")).select("y").limit(1)
+    one = df.select(submitted_year(df).alias("y")).groupBy("y").count()
+    best = one.agg(F.max(F.when(F.col("y").isNotNull(), F.struct("count", (-F.col("y")).alias("neg_y")))).alias("b"))
+    mode = best.select((-F.col("b.neg_y")).cast("int"))
     return df.withColumn("analysis_year", F.coalesce(mode.scalar(), F.lit(int(year))).cast("int"))
 
 
