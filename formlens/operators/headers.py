@@ -22,10 +22,14 @@ from pyspark.sql import types as T
 
 from formlens import config as C
 from formlens.functions import normalize_header, normalize_text
-from formlens.operators.common import attach_small
+from formlens.operators.common import attach_small, materialize_small
 
 UNNAMED_RE = r"^(Unnamed:.*|_c\d+)$"
 
+# Header tables up to this many rows are held on the driver once prepared;
+# larger ones are checkpointed to the shared checkpoint folder.
+LOCAL_HEADER_ROWS = 50_000
+
 # Expected header list used for harmonisation, per detected file kind: raw
 # exports are matched to the mandatory headers plus the submission
 # timestamp (the build reads it for the analysis year).
@@ -128,17 +132,24 @@ def prepare_headers(headers: DataFrame) -> DataFrame:
     Every later per-file step (kind detection, conflict windows, diffs,
     findings) is clustered by ``file_id``, so this one shuffle serves them
     all; a file has at most a few hundred header rows, so no partition can
-    be skewed by a large export.  The table is checkpointed to the shared
-    checkpoint folder: derived steps reuse it instead of recomputing the
-    discovery and the Python normalisation, and a lost executor does not
-    replay them.  A table that already has ``header_norm`` is returned as is.
+    be skewed by a large export.  The table is materialised once: held on
+    the driver when it is small (size checked), else checkpointed to the
+    shared checkpoint folder with its partitioning.  Derived steps reuse it
+    instead of recomputing the discovery and the Python normalisation, and a
+    lost executor does not replay them.  A table that already has
+    ``header_norm`` is returned as is.
     """
     if "header_norm" in headers.columns:
         return headers
+    normed = normalise_headers(headers).repartition("file_id")
+    # a row count of the input (no Python) decides the path before the
+    # normalisation runs, so the large path never collects first
+    if headers.limit(LOCAL_HEADER_ROWS + 1).count() <= LOCAL_HEADER_ROWS:
+        return materialize_small(normed, LOCAL_HEADER_ROWS)
     from formlens.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(headers.sparkSession)
-    return normalise_headers(headers).repartition("file_id").checkpoint(eager=True)
+    return normed.checkpoint(eager=True)
 
 
 def header_catalogue(headers: DataFrame) -> DataFrame:
