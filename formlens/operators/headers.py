@@ -445,6 +445,21 @@ def extra_columns(headers: DataFrame, reference: list[str] | None = None) -> Dat
     return headers.join(ref, "header", "left_anti").select("file_id", "pos", "header")
 
 
+def finding_rows() -> tuple[list[tuple], list[tuple]]:
+    """Expected and reference header tables for the findings (fixed size).
+
+    ``expected``: (kind, severity, finding, ord, header) that must be present;
+    ``reference``: (kind, severity, finding, header) that are known, anything
+    else in a file of that kind is reported.
+    """
+    expected = [("raw", "error", "missing_mandatory", i, h) for i, h in enumerate(C.MANDATORY_RAW, start=1)]
+    expected += [("cleaned", "error", "missing_minimum", i, h) for i, h in enumerate(C.MINIMUM_CLEANED, start=1)]
+    expected += [("cleaned", "notice", "missing_optional", i, h) for i, h in enumerate(C.OPTIONAL_CLEANED, start=1)]
+    known = list(dict.fromkeys(C.MINIMUM_CLEANED + C.OPTIONAL_CLEANED + [C.YEAR_LABEL]))
+    reference = [("raw", h) for h in dict.fromkeys(C.MANDATORY_RAW)] + [("cleaned", h) for h in known]
+    return expected, reference
+
+
 def schema_findings(headers: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
     """Findings per file as ``(file_id, kind, severity, finding, ord, header)``.
 
@@ -452,33 +467,25 @@ def schema_findings(headers: DataFrame, kinds: DataFrame | None = None) -> DataF
     every other column.  Cleaned files: ``error`` for a missing minimum
     column, ``notice`` for a missing optional one, ``info`` for unknown
     columns (left out of the output).  Exact names, as the build needs them.
+
+    Missing headers: each file meets the expected list of its kind through
+    an equi-join on ``kind`` with the fixed expected table (broadcast), then
+    one anti-join against the file's headers.  Extra headers: one broadcast
+    anti-join against the reference list of the file's kind.
     """
+    spark = headers.sparkSession
     headers = prepare_headers(headers)
     kinds = kinds if kinds is not None else file_kinds(headers)
-    k = kinds.select("file_id", "kind")
-    hk = headers.join(k, ["file_id"], "inner")
-    raw_h = hk.where(F.col("kind") == "raw")
-    cl_h = hk.where(F.col("kind") == "cleaned")
-    known = C.MINIMUM_CLEANED + C.OPTIONAL_CLEANED + [C.YEAR_LABEL]
-
-    def missing(h, required, severity, check):
-        return required_missing(h, required).select(
-            "file_id", F.lit(severity).alias("severity"), F.lit(check).alias("finding"), "ord", "header"
-        )
-
-    def extra(h, reference, severity, check):
-        return extra_columns(h, reference).select(
-            "file_id", F.lit(severity).alias("severity"), F.lit(check).alias("finding"), F.col("pos").alias("ord"), "header"
-        )
-
-    parts = [
-        missing(raw_h.select("file_id", "pos", "header"), C.MANDATORY_RAW, "error", "missing_mandatory"),
-        extra(raw_h.select("file_id", "pos", "header"), C.MANDATORY_RAW, "warning", "extra_column"),
-        missing(cl_h.select("file_id", "pos", "header"), C.MINIMUM_CLEANED, "error", "missing_minimum"),
-        missing(cl_h.select("file_id", "pos", "header"), C.OPTIONAL_CLEANED, "notice", "missing_optional"),
-        extra(cl_h.select("file_id", "pos", "header"), known, "info", "unknown_column"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.join(k, ["file_id"], "inner").select("file_id", "kind", "severity", "finding", "ord", "header")
+    k = kinds.where(F.col("kind").isin("raw", "cleaned")).select("file_id", "kind")
+    exp_rows, ref_rows = finding_rows()
+    expected = F.broadcast(_df(spark, exp_rows, "kind string, severity string, finding string, ord int, header string"))
+    reference = F.broadcast(_df(spark, ref_rows, "kind string, header string"))
+    missing = k.join(expected, "kind").join(headers.select("file_id", "header"), ["file_id", "header"], "left_anti")
+    hk = headers.select("file_id", "pos", "header").join(k, "file_id")
+    extra = hk.join(reference, ["kind", "header"], "left_anti").select(
+        "file_id", "kind",
+        F.when(F.col("kind") == "raw", "warning").otherwise("info").alias("severity"),
+        F.when(F.col("kind") == "raw", "extra_column").otherwise("unknown_column").alias("finding"),
+        F.col("pos").alias("ord"), "header",
+    )
+    return missing.select("file_id", "kind", "severity", "finding", "ord", "header").unionByName(extra)

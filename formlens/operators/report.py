@@ -102,7 +102,7 @@ def histogram_from_counts(counted: DataFrame, by_year: bool | None = None,
     """Histogram rows from ``(year, x, c)`` counts (see ``age_histogram``).
 
     ``counted`` should be materialised (it is small); the edges and the bin
-    count reach the bins as scalar subqueries over it.
+    count are one row computed from it and reach the bins as literals.
     """
     stats = counted.agg(
         F.min("x").alias("mn"), F.max("x").alias("mx"),
@@ -117,8 +117,11 @@ def histogram_from_counts(counted: DataFrame, by_year: bool | None = None,
         F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).cast("double").alias("lo"),
         F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).cast("double").alias("hi"),
         nb.cast("int").alias("nb"),
-    )
-    lo, hi, n = (edges.select(c).scalar() for c in ("lo", "hi", "nb"))
+    ).first()  # one row computed from the small counts table
+    if edges is None or edges["lo"] is None:
+        return counted.sparkSession.createDataFrame(
+            [], "year int, bin int, bin_lo double, bin_hi double, n bigint")
+    lo, hi, n = F.lit(edges["lo"]), F.lit(edges["hi"]), F.lit(edges["nb"])
     binned = (
         counted.withColumn("bin", _bins_expr(F.col("x"), lo, hi, n))
         .groupBy("year", "bin").agg(F.sum("c").alias("n"))
@@ -146,6 +149,7 @@ def age_histogram(df: DataFrame, by_year: bool | None = None, age: str = "age",
     the range is widened by 0.5 on each side.  Ages are counted per
     (year, age) in one pass over the data; that small table is
     materialised once and edges, bin count and bins are computed from it.
+    Without any age the result is empty.
     """
     counted = materialize_small(age_counts(df, age, year))
     return histogram_from_counts(counted, by_year, max_bins, min_bins)
