@@ -30,6 +30,11 @@ from pyspark.sql import types as T
 
 from formlens.operators import headers as H
 from formlens.operators.common import FormValidationError, materialize_small
+from formlens.session import ensure_checkpoint_dir
+
+# Upper bound on header cells per export used to size the header table
+# from the file count (the raw form has 63 columns).
+MAX_COLUMNS_PER_FILE = 256
 
 CSV_OPTIONS = {
     "header": "true",
@@ -139,7 +144,16 @@ def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
     a size check, so validation and the row scans do not repeat it.
     """
     opts = dict(CSV_OPTIONS, **(options or {}))
-    headers = materialize_small(header_table(spark, paths))
+    discovered = header_table(spark, paths)
+    # The file listing (driver metadata, no job) bounds the header table:
+    # small enough -> held on the driver; else checkpointed to the shared
+    # folder without a first collect.
+    n_files = len(spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles())
+    if n_files * MAX_COLUMNS_PER_FILE <= H.LOCAL_HEADER_ROWS:
+        headers = materialize_small(discovered, H.LOCAL_HEADER_ROWS)
+    else:
+        ensure_checkpoint_dir(spark)
+        headers = discovered.checkpoint(eager=True)
     kinds = materialize_small(H.file_kinds(headers))
     unknown = kinds.where(F.col("kind") == "unknown").select("file_id").limit(5).collect()
     if unknown:

@@ -64,3 +64,33 @@ def test_report_aggregate_is_single_shuffle(spark):
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_count" in plan  # map-side combine before the shuffle
+
+
+def test_checked_broadcast_falls_back_to_shuffle_join(spark):
+    from formlens.operators.common import attach_small
+
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(0, 100, 10).withColumnRenamed("id", "k").withColumn("v", F.lit(1))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # beyond our bound the join is left to Catalyst; with its own size-based
+    # broadcast switched off that must be a shuffle (sort-merge) join
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        within = attach_small(big, small, ["k"], "left", max_rows=50)
+        beyond = attach_small(big, small, ["k"], "left", max_rows=3)
+        assert "BroadcastExchange" in executed(within)
+        assert "SortMergeJoin" in executed(beyond) and "BroadcastExchange" not in executed(beyond)
+        assert within.where("v = 1").count() == beyond.where("v = 1").count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_materialize_small_falls_back_to_checkpoint(spark):
+    from formlens.operators.common import materialize_small
+
+    agg = spark.range(1000).groupBy((F.col("id") % 50).alias("g")).count()
+    local = materialize_small(agg, max_rows=100)
+    stored = materialize_small(agg, max_rows=10)
+    assert "ExistingRDD" in executed(local) or "LocalTableScan" in executed(local)
+    assert sorted(local.collect()) == sorted(stored.collect())
+    assert stored.count() == 50
