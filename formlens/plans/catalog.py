@@ -828,3 +828,12 @@ def cleaned_csv_roundtrip(spark, sf):
 def year_mismatch(spark, sf):
     """Q7: exports whose derived analysis year is not the configured year."""
     return M.year_warnings(form(spark, sf), YEAR)
+
+
+@register("dataframe_intake_year", _year_sql(select="SELECT * FROM cleaned"))
+def dataframe_intake_year(spark, sf):
+    """The documented flow on an in-memory export: detect, harmonise, filter, build."""
+    from formlens.plans.intake import clean_dataframe
+
+    res = clean_dataframe(form(spark, sf), YEAR, keep=["respondent_id"])
+    return res.cleaned

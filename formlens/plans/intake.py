@@ -9,12 +9,15 @@ aggregate, each behind a size check.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formlens import config as C
+from formlens.functions import col_of
 from formlens.operators import clean as K
 from formlens.operators import headers as H
 from formlens.operators import metrics as M
@@ -29,7 +32,12 @@ class IntakeResult:
     summary: DataFrame      # quality indicators (ord, indicator, value)
     findings: DataFrame     # validation findings on the harmonised headers
     plan: DataFrame         # rename plan per export file
-    report: DataFrame       # report suite (long table)
+    make_report: Callable[[], DataFrame] = field(repr=False, default=None)
+
+    @cached_property
+    def report(self) -> DataFrame:
+        """Report suite (long table), built on first use: it runs its own pass."""
+        return self.make_report()
 
 
 def harmonised_headers(plan: DataFrame) -> DataFrame:
@@ -81,5 +89,56 @@ def run_intake(spark: SparkSession, paths: list[str] | str, year: int, fill: str
     kind = "raw" if by_kind.get("raw") else "cleaned"
     summary = M.quality_summary(inputs[0], cleaned, kind)
     # the report computes the same quality counts within its single pass
-    report = R.report_suite(cleaned, keys=report_keys, fill=fill, input_columns=len(inputs[0].columns), kind=kind)
-    return IntakeResult(cleaned=cleaned, summary=summary, findings=findings, plan=plan, report=report)
+    def make_report() -> DataFrame:
+        return R.report_suite(cleaned, keys=report_keys, fill=fill, input_columns=len(inputs[0].columns), kind=kind)
+
+    return IntakeResult(cleaned=cleaned, summary=summary, findings=findings, plan=plan, make_report=make_report)
+
+
+@dataclass
+class FrameResult(IntakeResult):
+    kind: str = "raw"       # detected kind: raw or cleaned
+
+
+def clean_dataframe(df: DataFrame, year: int, fill: str = C.FILL_VALUE, mode: str = "safe",
+                    filter_by_year: bool = True, strict: bool = False, keep: list[str] | None = None,
+                    file_col: str | None = "file_id", report_keys: list[str] | None = None) -> FrameResult:
+    """The documented flow on one DataFrame: detect, harmonise, validate, build.
+
+    The frame's column list becomes a one-file header table (metadata only);
+    kind detection and the rename plan run on it, the columns are renamed
+    one-to-one (``withColumnsRenamed``), findings are checked, and the rows
+    go through the year filter (raw) and the cleaned-table build.  Columns in
+    ``keep`` (and ``file_col``) are carried through untouched.
+    """
+    from formlens.sources.scan import column_names
+
+    spark = df.sparkSession
+    carried = [c for c in (keep or []) + ([file_col] if file_col else []) if c in df.columns]
+    data_cols = [c for c in df.columns if c not in carried]
+    headers = spark.createDataFrame([(0, i, h) for i, h in enumerate(data_cols, start=1)],
+                                    "file_id int, pos int, header string")
+    headers = H.prepare_headers(headers)  # normalised once for detection and plan
+    kinds = H.file_kinds(headers)
+    kind = kinds.first()["kind"]
+    if kind == "unknown":
+        raise FormValidationError("the frame is neither a raw nor a cleaned export")
+    plan = H.header_plan(headers, mode, kinds)
+    names = column_names(plan.collect(), data_cols)
+    renamed = df.select(*[F.col(c) for c in carried],
+                        *[col_of(c).alias(n) for c, n in zip(data_cols, names)])
+    findings = H.schema_findings(harmonised_headers(plan), kinds)
+    if strict:
+        errors = findings.where(F.col("severity") == "error").collect()
+        if errors:
+            raise FormValidationError("missing required columns: " + ", ".join(repr(r["header"]) for r in errors))
+    source = K.filter_year(renamed, year) if kind == "raw" and filter_by_year else renamed
+    group = file_col if file_col in source.columns else None
+    cleaned = K.build_cleaned(source, kind, year, fill, file_col=group, keep=[k for k in (keep or []) if k in carried])
+    summary = M.quality_summary(source, cleaned, kind)
+
+    def make_report() -> DataFrame:
+        return R.report_suite(cleaned, keys=report_keys, fill=fill, input_columns=len(source.columns), kind=kind)
+
+    return FrameResult(cleaned=cleaned, summary=summary, findings=findings, plan=plan,
+                       make_report=make_report, kind=kind)

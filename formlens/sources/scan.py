@@ -154,11 +154,12 @@ def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
     else:
         ensure_checkpoint_dir(spark)
         headers = discovered.checkpoint(eager=True)
-    kinds = materialize_small(H.file_kinds(headers))
+    prepared = H.prepare_headers(headers)  # normalised once, reused below
+    kinds = materialize_small(H.file_kinds(prepared))
     unknown = kinds.where(F.col("kind") == "unknown").select("file_id").limit(5).collect()
     if unknown:
         raise FormValidationError(f"exports of unknown kind: {[r['file_id'] for r in unknown]}")
-    plan = H.header_plan(headers, mode, kinds)
+    plan = H.header_plan(prepared, mode, kinds)
     fps = _fingerprints(headers)
     groups = fps.groupBy("fp").agg(F.first("headers").alias("headers"), F.collect_list("file_id").alias("files"))
     # one representative file per fingerprint is enough to name the columns

@@ -62,3 +62,16 @@ def test_run_intake_mixed_kinds(spark):
     notices = res.findings.where("severity = 'notice'").collect()
     assert [r["header"] for r in notices] == [C.BIRTH_LABEL]
     assert res.report.where("report = 'resumen_calidad'").count() == 6
+
+
+def test_clean_dataframe_renames_and_detects(spark):
+    from formlens.plans.intake import clean_dataframe
+
+    hdr = [h.upper() for h in C.RAW_COLUMNS]
+    row = ["01/02/2025 10:00:00", "a@b.c", "si", "01/02/2025"] + ["  v  w "] * (len(hdr) - 4)
+    df = spark.createDataFrame([tuple(row)], ", ".join(f"c{i} string" for i in range(len(hdr)))).toDF(*hdr)
+    res = clean_dataframe(df, 2025, file_col=None)
+    assert res.kind == "raw"
+    out = res.cleaned.first()
+    assert out["analysis_year"] == 2025 and out["estate"] == "v w"
+    assert res.plan.where("status = 'renamed'").count() > 30
