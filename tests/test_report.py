@@ -78,3 +78,18 @@ def test_report_suite_shape(spark):
     q = {r["category"]: r["n"] for r in out.where("report = 'resumen_calidad'").collect()}
     assert q["Columnas en base raw filtrada"] == 40 and q["Registros con edad calculada o válida"] == 12
     assert {r["ord"] for r in out.where("report = 'edad'").collect()} == {1}
+
+
+def test_empty_inputs(spark):
+    from formlens import config as C
+
+    names = [C.LABEL_TO_NAME[C.REPORT_CATALOGUE[k][0]] for k in C.REPORT_CATALOGUE]
+    schema = ", ".join(f"{n} string" for n in names) + ", analysis_year int, age double, birth_date timestamp_ntz"
+    empty = spark.createDataFrame([], schema)
+    assert R.age_histogram(empty).count() == 0
+    suite = R.report_suite(empty, input_columns=10)
+    q = {r["category"]: r["n"] for r in suite.collect()}
+    assert len(q) == 6 and q["Filas en base raw filtrada"] == 0
+    no_ages = spark.createDataFrame([tuple(["a"] * len(names)) + (2025, None, None)], schema)
+    assert R.age_histogram(no_ages).count() == 0
+    assert {r["report"] for r in R.report_suite(no_ages).collect()} == set(C.REPORT_CATALOGUE)
