@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # where AQE's skew-join handling splits a hot key.
 MAX_BROADCAST_ROWS = 200_000
 
+# Rows per partition for small tables held on the driver.
+SMALL_ROWS_PER_PARTITION = 20_000
+
 
 class FormValidationError(Exception):
     """A form export does not have the structure the pipeline needs."""
@@ -46,7 +49,10 @@ def materialize_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
+        # a few partitions for a few rows: later stages over the small table
+        # do not fan out into one task per core
+        parts = max(1, min(df.sparkSession.sparkContext.defaultParallelism, len(rows) // SMALL_ROWS_PER_PARTITION + 1))
+        return df.sparkSession.createDataFrame(rows, df.schema).coalesce(parts)
     from formlens.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
