@@ -113,6 +113,8 @@ def clean_dataframe(df: DataFrame, year: int, fill: str = C.FILL_VALUE, mode: st
     """
     from formlens.sources.scan import column_names
 
+    if mode != "safe":
+        raise ValueError("rows are only renamed with the safe harmonisation mode; greedy is for plan comparison")
     spark = df.sparkSession
     carried = [c for c in (keep or []) + ([file_col] if file_col else []) if c in df.columns]
     data_cols = [c for c in df.columns if c not in carried]

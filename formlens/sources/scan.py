@@ -143,6 +143,10 @@ def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
     column per file) and the kinds (one row per file) are materialised with
     a size check, so validation and the row scans do not repeat it.
     """
+    if mode != "safe":
+        # greedy matching can rename an identifier column into a cleaned one;
+        # it exists to compare plans (operators.headers.header_plan), never to read rows
+        raise ValueError("rows are only read with the safe harmonisation mode; use header_plan(..., 'greedy') to compare")
     opts = dict(CSV_OPTIONS, **(options or {}))
     discovered = header_table(spark, paths)
     # The file listing (driver metadata, no job) bounds the header table:

@@ -75,3 +75,17 @@ def test_clean_dataframe_renames_and_detects(spark):
     out = res.cleaned.first()
     assert out["analysis_year"] == 2025 and out["estate"] == "v w"
     assert res.plan.where("status = 'renamed'").count() > 30
+
+
+def test_greedy_mode_never_reads_rows(spark):
+    import pytest
+
+    from formlens.plans.intake import clean_dataframe
+
+    base = tempfile.mkdtemp(prefix="formlens-greedy-")
+    write_csv(os.path.join(base, "a.csv"), C.RAW_COLUMNS, [["x"] * len(C.RAW_COLUMNS)])
+    with pytest.raises(ValueError):
+        read_exports(spark, base, mode="greedy")
+    df = spark.createDataFrame([tuple(["x"] * 3)], "a string, b string, c string")
+    with pytest.raises(ValueError):
+        clean_dataframe(df, 2025, mode="greedy")
