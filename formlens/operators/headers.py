@@ -126,7 +126,7 @@ def normalise_headers(headers: DataFrame) -> DataFrame:
     return attach_small(headers, normed, ["header"], "left").select(*headers.columns, "header_norm")
 
 
-def prepare_headers(headers: DataFrame) -> DataFrame:
+def prepare_headers(headers: DataFrame, known_small: bool = False) -> DataFrame:
     """Normalised header table, hash-partitioned by file, lineage cut.
 
     Every later per-file step (kind detection, conflict windows, diffs,
@@ -137,14 +137,15 @@ def prepare_headers(headers: DataFrame) -> DataFrame:
     shared checkpoint folder with its partitioning.  Derived steps reuse it
     instead of recomputing the discovery and the Python normalisation, and a
     lost executor does not replay them.  A table that already has
-    ``header_norm`` is returned as is.
+    ``header_norm`` is returned as is.  ``known_small`` skips the sizing
+    count when the caller already knows the table is small.
     """
     if "header_norm" in headers.columns:
         return headers
     normed = normalise_headers(headers).repartition("file_id")
     # a row count of the input (no Python) decides the path before the
     # normalisation runs, so the large path never collects first
-    if headers.limit(LOCAL_HEADER_ROWS + 1).count() <= LOCAL_HEADER_ROWS:
+    if known_small or headers.limit(LOCAL_HEADER_ROWS + 1).count() <= LOCAL_HEADER_ROWS:
         return materialize_small(normed, LOCAL_HEADER_ROWS)
     from formlens.session import ensure_checkpoint_dir
 

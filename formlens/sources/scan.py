@@ -153,29 +153,29 @@ def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
     # small enough -> held on the driver; else checkpointed to the shared
     # folder without a first collect.
     n_files = len(spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles())
-    if n_files * MAX_COLUMNS_PER_FILE <= H.LOCAL_HEADER_ROWS:
+    small = n_files * MAX_COLUMNS_PER_FILE <= H.LOCAL_HEADER_ROWS
+    if small:
         headers = materialize_small(discovered, H.LOCAL_HEADER_ROWS)
     else:
         ensure_checkpoint_dir(spark)
         headers = discovered.checkpoint(eager=True)
-    prepared = H.prepare_headers(headers)  # normalised once, reused below
+    prepared = H.prepare_headers(headers, known_small=small)  # normalised once, reused below
     kinds = materialize_small(H.file_kinds(prepared))
     unknown = kinds.where(F.col("kind") == "unknown").select("file_id").limit(5).collect()
     if unknown:
         raise FormValidationError(f"exports of unknown kind: {[r['file_id'] for r in unknown]}")
     plan = H.header_plan(prepared, mode, kinds)
-    fps = _fingerprints(headers)
-    groups = fps.groupBy("fp").agg(F.first("headers").alias("headers"), F.collect_list("file_id").alias("files"))
-    # one representative file per fingerprint is enough to name the columns
-    reps = fps.groupBy("fp").agg(F.min("file_id").alias("file_id"))
-    rep_plan = plan.join(reps, "file_id").select("fp", "pos", "canonical")
-    plan_rows: dict[str, list] = {}
-    for r in rep_plan.collect():
-        plan_rows.setdefault(r["fp"], []).append(r)
+    # one row per distinct header list: its files and the plan of one
+    # representative file (the plan is the same for every file of the list)
+    groups = _fingerprints(headers).groupBy("fp").agg(
+        F.first("headers").alias("headers"), F.collect_list("file_id").alias("files"),
+        F.min("file_id").alias("file_id"),
+    )
+    rep_plans = plan.groupBy("file_id").agg(F.collect_list(F.struct("pos", "canonical")).alias("plan"))
     frames = []
-    for g in groups.collect():
+    for g in groups.join(rep_plans, "file_id", "left").collect():
         hdrs = list(g["headers"])
-        names = column_names(plan_rows.get(g["fp"], []), hdrs)
+        names = column_names(list(g["plan"] or []), hdrs)
         schema = T.StructType([T.StructField(f"_p{i}", T.StringType()) for i in range(len(hdrs))])
         df = spark.read.options(**opts).schema(schema).csv(list(g["files"]))
         frames.append(
