@@ -21,6 +21,7 @@ from formlens.functions import (
     col_of,
     in_year,
     parse_day_first,
+    render_int_float,
 )
 from formlens.operators.common import FormValidationError, attach_small, raise_if_missing
 
@@ -205,14 +206,16 @@ def final_projection(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def build_cleaned(df: DataFrame, kind: str, year: int, fill: str = C.FILL_VALUE,
-                  file_col: str | None = "file_id", keep: list[str] | None = None) -> DataFrame:
+                  file_col: str | None = "file_id", keep: list[str] | None = None,
+                  normalise_ints: bool = False) -> DataFrame:
     """The cleaned table: 35 columns in fixed order, internal names.
 
     ``kind`` is ``raw`` or ``cleaned``; anything else is an error.  Raw input
     is projected through the mapping (identifiers never pass), cleaned input
     is read by its labels.  Birth date -> timestamp_ntz, age at 31 December
     of the analysis year (raw) or numeric (cleaned), text columns cleaned,
-    semester numeric, year kept or derived.
+    semester numeric, year kept or derived.  ``normalise_ints`` renders
+    text like ``3.0`` (an integer column with gaps read as float) as ``3``.
     """
     if kind not in ("raw", "cleaned"):
         raise FormValidationError(f"unknown file kind {kind!r}")
@@ -239,7 +242,10 @@ def build_cleaned(df: DataFrame, kind: str, year: int, fill: str = C.FILL_VALUE,
         age = age_at_year_end(birth, F.col("analysis_year"))
     else:
         age = coerce_number(F.col("age"))
-    text = {n: clean_category(F.col(n), fill) for n in C.TEXT_NAMES if n != "semester"}
+    def source(n: str):
+        return render_int_float(F.col(n)) if normalise_ints else F.col(n)
+
+    text = {n: clean_category(source(n), fill) for n in C.TEXT_NAMES if n != "semester"}
     out = body.select(
         *[F.col(k) for k in keep],
         F.col("analysis_year").cast("int").alias("analysis_year"),

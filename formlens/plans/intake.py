@@ -48,7 +48,7 @@ def harmonised_headers(plan: DataFrame) -> DataFrame:
 def run_intake(spark: SparkSession, paths: list[str] | str, year: int, fill: str = C.FILL_VALUE,
                mode: str = "safe", filter_by_year: bool = True, strict: bool = False,
                keep: list[str] | None = None, report_keys: list[str] | None = None,
-               file_col: str = "file_id") -> IntakeResult:
+               file_col: str = "file_id", normalise_ints: bool = False) -> IntakeResult:
     """Run the whole flow on CSV exports.
 
     Raw exports are filtered to fill-in dates in ``year`` (when
@@ -75,12 +75,12 @@ def run_intake(spark: SparkSession, paths: list[str] | str, year: int, fill: str
         if filter_by_year:
             raw = K.filter_year(raw, year)
         inputs.append(raw)
-        parts.append(K.build_cleaned(raw, "raw", year, fill, file_col=group, keep=keep))
+        parts.append(K.build_cleaned(raw, "raw", year, fill, file_col=group, keep=keep, normalise_ints=normalise_ints))
     if by_kind.get("cleaned"):
         cl_files = kinds.where(F.col("kind") == "cleaned").select(F.col("file_id").alias("source_file"))
         cl = attach_small(rows, cl_files, ["source_file"], "left_semi") if by_kind.get("raw") else rows
         inputs.append(cl)
-        parts.append(K.build_cleaned(cl, "cleaned", year, fill, file_col=group, keep=keep))
+        parts.append(K.build_cleaned(cl, "cleaned", year, fill, file_col=group, keep=keep, normalise_ints=normalise_ints))
     if not parts:
         raise FormValidationError("no raw or cleaned exports found")
     cleaned = parts[0]
@@ -102,7 +102,8 @@ class FrameResult(IntakeResult):
 
 def clean_dataframe(df: DataFrame, year: int, fill: str = C.FILL_VALUE, mode: str = "safe",
                     filter_by_year: bool = True, strict: bool = False, keep: list[str] | None = None,
-                    file_col: str | None = "file_id", report_keys: list[str] | None = None) -> FrameResult:
+                    file_col: str | None = "file_id", report_keys: list[str] | None = None,
+                    normalise_ints: bool = False) -> FrameResult:
     """The documented flow on one DataFrame: detect, harmonise, validate, build.
 
     The frame's column list becomes a one-file header table (metadata only);
@@ -136,7 +137,8 @@ def clean_dataframe(df: DataFrame, year: int, fill: str = C.FILL_VALUE, mode: st
             raise FormValidationError("missing required columns: " + ", ".join(repr(r["header"]) for r in errors))
     source = K.filter_year(renamed, year) if kind == "raw" and filter_by_year else renamed
     group = file_col if file_col in source.columns else None
-    cleaned = K.build_cleaned(source, kind, year, fill, file_col=group, keep=[k for k in (keep or []) if k in carried])
+    cleaned = K.build_cleaned(source, kind, year, fill, file_col=group, keep=[k for k in (keep or []) if k in carried],
+                              normalise_ints=normalise_ints)
     summary = M.quality_summary(source, cleaned, kind)
 
     def make_report() -> DataFrame:

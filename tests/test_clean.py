@@ -140,3 +140,11 @@ def test_year_warnings(spark):
 
     got = {(r["file_id"], r["analysis_year"]) for r in year_warnings(raw_export(spark, ROWS), 2025).collect()}
     assert got == {(2, 2023)}
+
+
+def test_normalise_ints_option(spark):
+    rows = [(1, "01/03/2025 10:00:00", "01/03/2025", "31/12/2007", "3", "3.0", "Calle 1")]
+    df = raw_export(spark, rows)
+    plain = K.build_cleaned(df, "raw", 2025).first()
+    ints = K.build_cleaned(df, "raw", 2025, normalise_ints=True).first()
+    assert plain["stratum"] == "3.0" and ints["stratum"] == "3"
