@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_RUNS (default 3).  Each query is run once to warm up,
+(default 8), BENCH_RUNS (default 3), BENCH_EVENT_LOG (optional folder for
+Spark's event log, to read stage and task times).  Each query is run once to warm up,
 then BENCH_RUNS times; the median wall time is reported.  Results are
 written to Spark's ``noop`` sink, so every row is computed but nothing is
 collected to the driver.
@@ -46,7 +47,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus)
+    event_log = os.environ.get("BENCH_EVENT_LOG")  # optional scratch folder for stage/task times
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus, event_log_dir=event_log)
     times: dict[str, float] = {}
     for name in HEADLINE:
         run_once(spark, name, sf_dir)

@@ -15,7 +15,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "formlens") -> SparkSession:
+def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "formlens",
+                event_log_dir: str | None = None) -> SparkSession:
+    """Local session for tests and the benchmark (UI off).
+
+    ``event_log_dir`` writes Spark's event log there, the way to read stage
+    and task times without a UI.
+    """
     master = master or os.environ.get("FORMLENS_MASTER", "local[*]")
     builder = (
         SparkSession.builder.master(master)
@@ -30,6 +36,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FORMLENS_DRIVER_MEMORY", "8g"))
     )
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
