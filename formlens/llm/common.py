@@ -31,6 +31,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of an installed public vocabulary; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chat as _chat
 from . import decontaminate as _decontaminate
-from .common import table
+from . import language as _language
+from . import license as _license
+from . import packing as _packing
+from . import quality as _quality
+from .common import held_out, table, tokenizer_path
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,5 +47,83 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hw ON d.doc_id = hw.doc_id LEFT JOIN hi ON d.doc_id = hi.doc_id
 """
 
-QUERIES = {"op1_decontaminate": op1_decontaminate}
-ORACLE = {"op1_decontaminate": OP1_SQL}
+
+def op3_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    read = _chat.read_back(_chat.windows(turns)).select(
+        "conv_id", "window", "chars", F.size("turns").cast("long").alias("n"),
+        F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "").alias("turns"),
+        F.array_join("targets", "").alias("targets"),
+    )
+    # a digest over a whole conversation needs its text in one row
+    joined = read.groupBy("conv_id").agg(
+        F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"), F.sum(F.length("targets")).alias("loss_chars"),
+        F.array_sort(F.collect_list(F.struct("window", "turns", "targets"))).alias("w"),
+    )
+    text = lambda name: F.array_join(F.transform("w", lambda x: x[name]), "")
+    return joined.select(
+        "conv_id", "n_turns", F.sha2(text("turns"), 256).alias("turns_sha256"), "loss_chars", F.sha2(text("targets"), 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+OP8_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+n AS (
+  SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tokens,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM t),
+s AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM n),
+w AS (
+  SELECT *, start // 256 AS win, n = 1 AND role = 'system' AS lead,
+         regexp_replace(regexp_replace(regexp_replace(replace(replace(text, '%', '%25'), '<|', '%3C|'), '<(/?s>)', '%3C\1', 'g'),
+           '<(/?SYS>>|</?SYS>>)', '%3C\1', 'g'), '\[(/?INST\])', '%5B\1', 'g') AS body FROM s),
+x AS (SELECT conv_id, win, min(start) AS first, lead(min(start)) OVER (PARTITION BY conv_id ORDER BY win) AS next_first FROM w GROUP BY conv_id, win),
+y AS (
+  SELECT w.*, x.next_first IS NOT NULL AND NOT lead AND x.next_first - start <= 64 AS again,
+         count(DISTINCT w.win) OVER (PARTITION BY w.conv_id) AS wins
+  FROM w JOIN x ON w.conv_id = x.conv_id AND w.win = x.win)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum((length(role) + length(body) + 24) * (1 + CAST(again AS INT) + CASE WHEN lead THEN wins - 1 ELSE 0 END) + CASE WHEN again THEN 1 WHEN lead THEN wins - 1 ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM y GROUP BY conv_id
+"""
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = _quality.fit(docs, table(spark, sf_dir, "labels"))
+    return _quality.judge(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = _language.identify(docs, ~held_out(F.col("doc_id")))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op3_license": op3_license,
+    "op4_packing": op4_packing,
+    "op8_chat": op8_chat,
+    "op9_quality": op9_quality,
+    "op10_language": op10_language,
+}
+ORACLE = {"op1_decontaminate": OP1_SQL, "op8_chat": OP8_SQL}
