@@ -9,8 +9,11 @@ from . import chat as _chat
 from . import decontaminate as _decontaminate
 from . import language as _language
 from . import license as _license
+from . import near_dedup as _near_dedup
 from . import packing as _packing
 from . import quality as _quality
+from . import suffix_dedup as _suffix_dedup
+from . import url_filter as _url_filter
 from .common import held_out, table, tokenizer_path
 
 
@@ -61,6 +64,83 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS sh
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.r = link.a),
+m AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d JOIN m ON d.doc_id = m.doc_id LEFT JOIN n ON d.doc_id = n.doc_id
+"""
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+# two hexadecimal digits stand for a byte; a window's earliest place is the least (doc_id, start)
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS s FROM (SELECT doc_id, h, unnest(generate_series(0, n - 100)) AS i FROM d WHERE n >= 100)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w) WHERE k > 1),
+e AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM r),
+g AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM e),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM g GROUP BY doc_id, g),
+piece AS (
+  SELECT doc_id, a AS pos, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS c, a AS z, b - a AS gone FROM span
+  UNION ALL SELECT s.doc_id, 1000000000, max(b), max(n), NULL FROM span s JOIN d ON s.doc_id = d.doc_id GROUP BY s.doc_id),
+k AS (
+  SELECT p.doc_id, sum(gone) AS n_removed, count(gone) AS n_spans, string_agg(substr(h, 2 * c + 1, 2 * (z - c)), '' ORDER BY pos) AS kept
+  FROM piece p JOIN d ON p.doc_id = d.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+# Verdict, host and path of the rules.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+# Hosts that are blocked, with all subdomains, where no rule fits.
+BLOCKED_NAMES = ["adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+BLOCKED_HOSTS = [f"{name}.example.{top}" for name in BLOCKED_NAMES for top in ("com", "net", "org")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocked = spark.createDataFrame([(h,) for h in BLOCKED_HOSTS], "key string")
+    return _url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, blocked)\
+        .select("page_id", "host", "path", "rule", "verdict")
+
+
+OP7_SQL = r"""
+WITH u AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM u),
+p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+r AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) t(verdict, rh, rp)),
+best AS (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS verdict
+         FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
+SELECT p.page_id, host, path, rule, coalesce(verdict,
+         CASE WHEN regexp_matches(host, '(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)$') THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN best ON p.page_id = best.page_id
+"""
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
@@ -122,8 +202,17 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_license": op3_license,
     "op4_packing": op4_packing,
+    "op5_near_dedup": op5_near_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_url_filter": op7_url_filter,
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
 }
-ORACLE = {"op1_decontaminate": OP1_SQL, "op8_chat": OP8_SQL}
+ORACLE = {
+    "op1_decontaminate": OP1_SQL,
+    "op5_near_dedup": OP5_SQL,
+    "op6_suffix_dedup": OP6_SQL,
+    "op7_url_filter": OP7_SQL,
+    "op8_chat": OP8_SQL,
+}
