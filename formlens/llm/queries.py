@@ -13,6 +13,7 @@ from . import near_dedup as _near_dedup
 from . import packing as _packing
 from . import quality as _quality
 from . import suffix_dedup as _suffix_dedup
+from . import toxicity as _toxicity
 from . import url_filter as _url_filter
 from .common import held_out, table, tokenizer_path
 
@@ -51,6 +52,13 @@ FROM d LEFT JOIN hw ON d.doc_id = hw.doc_id LEFT JOIN hi ON d.doc_id = hi.doc_id
 """
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    apart = held_out(F.col("doc_id"))
+    out = _toxicity.score(docs, _toxicity.fit(docs, table(spark, sf_dir, "labels"), ~apart))
+    return out.select("doc_id", apart.alias("held_out"), "score", F.when(F.col("score") >= _toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op3_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
@@ -200,6 +208,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_toxicity": op2_toxicity,
     "op3_license": op3_license,
     "op4_packing": op4_packing,
     "op5_near_dedup": op5_near_dedup,
