@@ -296,10 +296,11 @@ def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, cluster_shingles: int = CLUSTER_SHINGLES) -> DataFrame:
-    """``docs`` plus ``n_shingles``, ``component_id`` (smallest doc_id of the
-    documents that links reach) and ``kept`` (it is that document)."""
+    """The columns of ``docs`` but the text, plus ``n_shingles``,
+    ``component_id`` (smallest doc_id of the documents that links reach) and
+    ``kept`` (it is that document)."""
     docs = without(docs, ["n_shingles", "component_id", "kept", "set_key", "signature"])
-    ids = written(sketch(docs.select("doc_id", "text"), shingle).drop("text"), "sketch")
+    ids = written(without(sketch(docs, shingle), ["text"]), "sketch")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "signature"))
     nodes = ids.where("n_shingles > 0").groupBy("set_key").agg(first.alias("first"))
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", F.col("first.doc_id").alias("doc_id"), F.col("first.n_shingles").alias("n"), F.col("first.signature").alias("signature")), "nodes")

@@ -44,7 +44,7 @@ BUCKET_BYTES = 64 << 20  # of text, whose stretches meet in step 2
 INDEX_BYTES = 2 << 20  # of text in one index
 HOT_TEXTS = 2_000  # different texts of one hash, from which its windows go out singly
 KNOWN_TEXTS = 200_000
-COLUMNS = ["n_bytes", "n_removed", "spans", "kept_bytes"]
+COLUMNS = ["n_bytes", "n_removed", "spans", "kept_bytes", "kept_text"]
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -321,22 +321,25 @@ def _cut():
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        sizes, gone, spans, kept = [], [], [], []
+        sizes, gone, spans, kept, texts = [], [], [], [], []
         for text, marks in zip(text_bytes(batch), batch.column("_gone").to_pylist()):
             runs = merged([(m["start"], m["stop"]) for m in marks or ()])
             edges = [0, *(x for run in runs for x in run), len(text)]
             sizes.append(len(text))
             gone.append(sum(b - a for a, b in runs))
             spans.append([{"start": a, "stop": b} for a, b in runs])
-            kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
-        return [pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())]
+            parts = [text[a:b] for a, b in zip(edges[::2], edges[1::2])]
+            kept.append(b"".join(parts))
+            texts.append("".join(p.decode("utf-8", "ignore") for p in parts))
+        return [pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary()), pa.array(texts, pa.string())]
 
     return compute
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE, index_bytes: int = INDEX_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_texts: int = HOT_TEXTS) -> DataFrame:
     """``docs`` plus ``n_bytes``, ``n_removed``, ``spans`` (maximal removed
-    byte runs, stop excluded) and ``kept_bytes`` (the remaining bytes)."""
+    byte runs, stop excluded), ``kept_bytes`` (the remaining bytes) and
+    ``kept_text`` (the same without characters that were cut apart)."""
     if size < GRAM:
         raise ValueError(f"size must be at least {GRAM}")
     spark = docs.sparkSession
@@ -353,5 +356,5 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, index_bytes: int = INDEX_B
     found = written(_indexed(_strings(slim, look, size, parts), size, parts), "found")
     gone = marks.where("hash is null").unionByName(found).groupBy(F.col("doc").alias("_doc"), F.col("key").alias("_key")).agg(F.collect_list(F.struct("start", "stop")).alias("_gone"))
     joined = keyed.join(gone, (F.col("doc") == F.col("_doc")) & F.col("key").eqNullSafe(F.col("_key")), "left")
-    out = add_columns(joined.drop("doc", "key", "_doc", "_key"), "n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept_bytes binary", _cut)
+    out = add_columns(joined.drop("doc", "key", "_doc", "_key"), "n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept_bytes binary, kept_text string", _cut)
     return out.select(*[quoted(c) for c in docs.columns], *COLUMNS)
