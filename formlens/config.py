@@ -313,13 +313,13 @@ REPORT_KEYS = [
     "edad",
 ]
 
-# Categorical report key -> (cleaned column, title).
+# Categorical report key -> cleaned column.
 REPORT_CATALOGUE = {
-    "identidad_genero": ("Identidad de género", "Distribución por identidad de género"),
-    "orientacion_sexual": ("Orientación sexual", "Distribución por orientacion sexual"),
-    "estamento": ("Estamento", "Distribución por estamento"),
-    "sede": ("Sede de la Universidad del Valle", "Distribución por sede"),
-    "estrato": ("Estrato socioeconómico", "Distribución por estrato socioeconómico"),
+    "identidad_genero": "Identidad de género",
+    "orientacion_sexual": "Orientación sexual",
+    "estamento": "Estamento",
+    "sede": "Sede de la Universidad del Valle",
+    "estrato": "Estrato socioeconómico",
 }
 
 # Quality-summary indicator labels; {base} is the input label below.
@@ -402,10 +402,12 @@ IDENTIFIER_RAW = [
     "¿Cómo te gusta ser llamado/a/e?  (puedes escribir tu nombre identitario o de preferencia, NO necesariamente el nombre legal)",
     "Nombres y apellidos (como aparecen en el documento de identificación)",
     "Número de documento de identidad (Solo el número sin puntos, comas o espacios)",
+    "Tipo de documento de identidad",
     "Dirección de residencia",
     "Teléfono fijo o celular",
     "Código de estudiante (escribir sin los dos primeros dígitos EJ: 1424550)",
     "Por favor indicar nombre de una persona de confianza o representante legal en caso de no poder establecer contacto contigo",
+    "Por favor, indícanos el relacionamiento/vínculo que tienes con esta persona referida como de  confianza o representante legal",
     "Por favor indicar el número de contacto (teléfono fijo o celular) del representante legal o la persona de confianza registrada en la pregunta anterior en caso de no poder establecer contacto contigo",
 ]
 

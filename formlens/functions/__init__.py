@@ -6,7 +6,6 @@ from formlens.functions.text import (
     clean_category,
     col_of,
     collapse_ws,
-    fold_text,
     normalize_header,
     normalize_text,
     strip_category,
@@ -19,7 +18,6 @@ __all__ = [
     "coerce_number",
     "col_of",
     "collapse_ws",
-    "fold_text",
     "in_year",
     "normalize_header",
     "normalize_text",

@@ -2,9 +2,9 @@
 
 Every operator takes and returns a DataFrame and only adds Column
 expressions, so the whole cleaned-table build is one projection over the
-scan (one codegen stage, no Python, no shuffle) except for the analysis-year
-derivation, which is a per-file aggregate joined back with a checked
-broadcast.
+scan (no Python, no shuffle) except for the analysis-year derivation, which
+is a per-export aggregate, broadcast and joined back.  Building a table
+starts no job.
 """
 
 from __future__ import annotations
@@ -23,18 +23,11 @@ from formlens.functions import (
     parse_day_first,
     render_int_float,
 )
-from formlens.operators.common import FormValidationError, attach_small, raise_if_missing
-
-UNNAMED_RE = r"^(Unnamed:.*|_c\d+)$"
+from formlens.operators.common import UNNAMED_RE, FormValidationError, raise_if_missing
 
 
 # --- O23 ---------------------------------------------------------------------
 
-def convert_dates(df: DataFrame, column: str) -> DataFrame:
-    """Replace a text date column by its parsed ``timestamp_ntz`` value."""
-    return df.withColumn(column, parse_day_first(col_of(column)))
-
-
 def date_loss_counts(df: DataFrame, column: str) -> DataFrame:
     """One row: non-null inputs, parsed values and values lost to parsing."""
     raw = col_of(column)
@@ -89,10 +82,14 @@ def year_filter_counts(df: DataFrame, year: int, column: str = C.FILLED_LABEL) -
     )
 
 
-def raise_if_empty(observation: Observation, year: int) -> None:
-    """Strict mode: after the job ran, fail when the filter left nothing."""
-    if observation.get.get("kept", 0) == 0:
-        raise FormValidationError(f"no rows left after filtering the fill-in date by year {year}")
+def raise_if_empty(kept: DataFrame, source: DataFrame, year: int) -> None:
+    """Raise, with the four counts, if the year filter left nothing.
+
+    Looks for one row only; the counts are taken when there is none.
+    """
+    if kept.isEmpty():
+        counts = year_filter_counts(source, year).first().asDict()
+        raise FormValidationError(f"no rows left after filtering the fill-in date by year {year}: " + ", ".join(f"{k} {v}" for k, v in counts.items()))
 
 
 # --- O8, O26, O27 ------------------------------------------------------------
@@ -183,12 +180,17 @@ def analysis_year_by_file(df: DataFrame, file_col: str = "file_id") -> DataFrame
 
 
 def with_analysis_year(df: DataFrame, year: int, file_col: str | None = "file_id") -> DataFrame:
-    """Attach ``analysis_year``: derived per file when ``Marca temporal`` exists."""
+    """Attach ``analysis_year``: derived per export when ``Marca temporal`` exists.
+
+    ``file_col`` names the export of each row: the source file, or a column
+    with one value for one or more files.
+    """
     if C.SUBMITTED_LABEL not in df.columns:
         return df.withColumn("analysis_year", F.lit(int(year)))
     if file_col and file_col in df.columns:
-        years = analysis_year_by_file(df, file_col)
-        joined = attach_small(df, years, [file_col], "left")
+        # one row of two values per export: less than Spark's driver itself holds for each input
+        # file, so the bound is that of the file listing; a shuffle join would move every data row
+        joined = df.join(F.broadcast(analysis_year_by_file(df, file_col)), [file_col], "left")
         return joined.withColumn("analysis_year", F.coalesce(F.col("analysis_year"), F.lit(int(year))))
     one = df.select(submitted_year(df).alias("y")).groupBy("y").count()
     best = one.agg(F.max(F.when(F.col("y").isNotNull(), F.struct("count", (-F.col("y")).alias("neg_y")))).alias("b"))
@@ -222,7 +224,7 @@ def build_cleaned(df: DataFrame, kind: str, year: int, fill: str = C.FILL_VALUE,
     keep = [k for k in (keep or []) if k in df.columns]
     if kind == "cleaned" and C.YEAR_LABEL in df.columns:
         # a cleaned export keeps its own year column
-        staged = df.withColumn("analysis_year", coerce_number(col_of(C.YEAR_LABEL)).cast("int"))
+        staged = df.withColumn("analysis_year", _own_year())
     else:
         # raw exports always derive it (the mapping never carries a year column)
         staged = with_analysis_year(df, year, file_col)
@@ -236,20 +238,54 @@ def build_cleaned(df: DataFrame, kind: str, year: int, fill: str = C.FILL_VALUE,
             col_of(label).alias(C.LABEL_TO_NAME[label])
             for label in C.CLEANED_COLUMNS if label in staged.columns and label != C.YEAR_LABEL
         ])
-    body = fill_optional(body, fill)
-    birth = parse_day_first(F.col("birth_date"))
-    if kind == "raw":
-        age = age_at_year_end(birth, F.col("analysis_year"))
-    else:
-        age = coerce_number(F.col("age"))
+    return _finish(fill_optional(body, fill), F.lit(kind == "raw"), fill, keep, normalise_ints)
+
+
+def _own_year() -> Column:
+    """The year column of a cleaned export; values that are no year are null."""
+    return coerce_number(col_of(C.YEAR_LABEL)).try_cast("int")
+
+
+def build_mixed(rows: DataFrame, year: int, fill: str = C.FILL_VALUE, file_col: str = "source_file",
+                keep: list[str] | None = None, normalise_ints: bool = False) -> DataFrame:
+    """The cleaned table of exports of both kinds, in one pass.
+
+    ``rows`` come from the scan: known columns, ``kind`` and ``has_year``
+    (whether the row's file has a year column).  Each column takes the raw or
+    the cleaned header's value by the row's kind.  Files without a year
+    column, raw or cleaned, get the most frequent year of submission, or
+    ``year`` where there is none.
+    """
+    keep = [k for k in (keep or []) if k in rows.columns]
+    raw = F.col("kind") == "raw"
+    from_raw = {clean: header for header, clean in C.RAW_TO_CLEANED.items()}
+    staged = with_analysis_year(rows, year, file_col)
+    own = F.when(~raw & F.col("has_year"), _own_year()).otherwise(F.col("analysis_year"))
+    picked = []
+    for label in C.CLEANED_COLUMNS:
+        if label != C.YEAR_LABEL:
+            value = F.when(~raw, col_of(label))
+            header = from_raw.get(label)
+            value = col_of(label) if header == label else value.when(raw, col_of(header)) if header else value
+            picked.append(value.alias(C.LABEL_TO_NAME[label]))
+    body = staged.select(raw.alias("_raw"), own.alias("analysis_year"), *keep, *picked)
+    return _finish(body, F.col("_raw"), fill, keep, normalise_ints)
+
+
+def _finish(body: DataFrame, raw: Column, fill: str, keep: list[str], normalise_ints: bool) -> DataFrame:
+    """Typed and cleaned columns in final order; ``raw``: whether the age is computed."""
     def source(n: str):
         return render_int_float(F.col(n)) if normalise_ints else F.col(n)
 
+    # the birth date is parsed once, before the age uses it
+    dated = body.withColumn("birth_date", parse_day_first(F.col("birth_date")))
+    computed = age_at_year_end(F.col("birth_date"), F.col("analysis_year"))
+    age = F.when(raw, computed).otherwise(coerce_number(F.col("age"))) if "age" in body.columns else computed
     text = {n: clean_category(source(n), fill) for n in C.TEXT_NAMES if n != "semester"}
-    out = body.select(
+    out = dated.select(
         *[F.col(k) for k in keep],
         F.col("analysis_year").cast("int").alias("analysis_year"),
-        birth.alias("birth_date"),
+        "birth_date",
         age.alias("age"),
         *[text[n].alias(n) for n in text],
         coerce_number(clean_category(F.col("semester"), fill)).alias("semester"),

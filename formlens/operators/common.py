@@ -1,38 +1,19 @@
-"""Shared helpers: validation error, bounded broadcast join."""
+"""Shared helpers: validation error, reuse of an intermediate table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest small side we ship to every executor (rows).  Per-file tables have
-# one row per input file; beyond this the join falls back to a shuffle join,
-# where AQE's skew-join handling splits a hot key.
-MAX_BROADCAST_ROWS = 200_000
+from formlens.session import shared_path
 
-# Rows per partition for small tables held on the driver.
-SMALL_ROWS_PER_PARTITION = 20_000
+# Empty headers: a spreadsheet's ``Unnamed: N`` or a CSV reader's ``_cN``.
+UNNAMED_RE = r"^(Unnamed:.*|_c\d+)$"
 
 
 class FormValidationError(Exception):
     """A form export does not have the structure the pipeline needs."""
 
 
-def attach_small(big: DataFrame, small: DataFrame, on: list[str] | str, how: str = "left",
-                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join ``small`` (an aggregate such as one row per file) onto ``big``.
-
-    The small side is computed once, its size is checked on the driver
-    (``limit(max_rows + 1)``), and only then broadcast.  If it is larger than
-    the bound the plan is an ordinary shuffle join instead.
-    """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        local = big.sparkSession.createDataFrame(rows, small.schema)
-        return big.join(F.broadcast(local), on, how)
-    return big.join(small, on, how)
-
-
 def raise_if_missing(columns: list[str], required: list[str], what: str) -> None:
     missing = [c for c in required if c not in columns]
     if missing:
@@ -40,20 +21,13 @@ def raise_if_missing(columns: list[str], required: list[str], what: str) -> None
         raise FormValidationError(f"{what}: missing columns {listed}")
 
 
-def materialize_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Compute an aggregate once and reuse it without recomputing its input.
+def reused(df: DataFrame, name: str = "reused") -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back.
 
-    Within the bound it becomes a local relation (its size was checked);
-    beyond it the result is checkpointed to the shared checkpoint folder,
-    which also cuts the lineage so a lost executor does not replay the scan.
+    For tables that several results are derived from: computed once, and a
+    lost executor does not replay what they were computed from.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        # a few partitions for a few rows: later stages over the small table
-        # do not fan out into one task per core
-        parts = max(1, min(df.sparkSession.sparkContext.defaultParallelism, len(rows) // SMALL_ROWS_PER_PARTITION + 1))
-        return df.sparkSession.createDataFrame(rows, df.schema).coalesce(parts)
-    from formlens.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,34 +1,31 @@
 """Header and schema operators over a header table.
 
 Input is ``headers(file_id, pos, header)``: one row per column per export,
-1-based positions.  Thousands of exports are checked in one job; the
-result of harmonisation is a rename plan per export.
-
-All expected lists are fixed configuration (at most 63 entries each), so
-their dimension tables are broadcast with a proven bound.  Header
-normalisation runs Python's NFKD (an Arrow-batched pandas UDF) because
-header tables are small next to the data; fuzzy matching runs difflib only
-on the distinct unmatched (target, header) pairs, never per file.
+1-based positions.  ``by_file`` brings the headers of each export together
+once (one shuffle; an export has at most a few hundred columns), with what
+the configuration knows about each of them.  Every operator then works on
+that row alone, so kinds, differences, plans and findings need no further
+shuffle, and all of them can share one ``by_file`` table.
+
+Python is used for header normalisation (NFKD) and for fuzzy matching, in
+Arrow batches.  Both remember the distinct texts that a worker has seen.
+The only broadcast is the table of known headers, which is fixed
+configuration.
 """
 
 from __future__ import annotations
 
 import difflib
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formlens import config as C
 from formlens.functions import normalize_header, normalize_text
-from formlens.operators.common import attach_small, materialize_small
-
-UNNAMED_RE = r"^(Unnamed:.*|_c\d+)$"
-
-# Header tables up to this many rows are held on the driver once prepared;
-# larger ones are checkpointed to the shared checkpoint folder.
-LOCAL_HEADER_ROWS = 50_000
+from formlens.operators.common import UNNAMED_RE
 
 # Expected header list used for harmonisation, per detected file kind: raw
 # exports are matched to the mandatory headers plus the submission
@@ -42,70 +39,45 @@ KIND_RULES = {
     "cleaned_min": C.MINIMUM_CLEANED,
 }
 
+# A fuzzy match to a column that itself resembles an identifier needs this score.
+NEAR_IDENTIFIER_CUTOFF = 0.90
+
 
 # ---------------------------------------------------------------------------
-# constant dimension tables (computed once from configuration)
+# known headers (computed once from configuration)
 # ---------------------------------------------------------------------------
 
 def norm_map(headers: list[str]) -> dict[str, str]:
     """``{normalised: spelling}``: first occurrence fixes the order, last spelling wins."""
-    out: dict[str, str] = {}
-    for h in headers:
-        out[normalize_text(h)] = h
-    return out
-
+    return {normalize_text(h): h for h in headers}
 
-def alias_map() -> dict[str, str]:
-    """``{normalised alias: canonical}``; canonicals alias themselves; later wins."""
-    out: dict[str, str] = {}
-    for canonical, variants in C.ALIASES.items():
-        for v in variants:
-            out[normalize_text(v)] = canonical
-        out[normalize_text(canonical)] = canonical
-    return out
-
-
-def target_dim_rows() -> list[tuple[str, str, str, str]]:
-    """(target, header_norm, canonical, layer) for exact and alias matches."""
-    aliases = alias_map()
-    rows = []
-    for target, expected in TARGETS.items():
-        exp = norm_map(expected)
-        for n, canonical in exp.items():
-            rows.append((target, n, canonical, "exact"))
-        for n, canonical in aliases.items():
-            if n not in exp and canonical in expected:
-                rows.append((target, n, canonical, "alias"))
-    return rows
-
-
-def expected_rows() -> list[tuple[str, int, str, str]]:
-    """(schema, ord, expected, expected_norm) for the conformance schemas."""
-    rows = []
-    for schema, expected in C.EXPECTED_SCHEMAS.items():
-        for i, (n, spelling) in enumerate(norm_map(expected).items(), start=1):
-            rows.append((schema, i, spelling, n))
-    return rows
 
+ALIAS_ROWS = [(spelling, canonical) for canonical, variants in C.ALIASES.items() for spelling in (*variants, canonical)]
+ALIAS_OF = {normalize_text(spelling): canonical for spelling, canonical in ALIAS_ROWS}
+IDENTIFIER_NORMS = [normalize_text(h) for h in C.IDENTIFIER_RAW]
 
-def kind_rule_rows() -> list[tuple[str, str]]:
-    return [(rule, n) for rule, headers in KIND_RULES.items() for n in norm_map(headers)]
+_EXPECTED = {target: norm_map(headers) for target, headers in TARGETS.items()}
+_RULES = {rule: set(norm_map(headers)) for rule, headers in KIND_RULES.items()}
 
+FACTS = "header_norm string, marker int, raw_mandatory int, cleaned_min int, resolved string, raw struct<canonical:string,layer:string>, cleaned struct<canonical:string,layer:string>"
 
-def kind_rule_sizes() -> dict[str, int]:
-    return {rule: len(norm_map(headers)) for rule, headers in KIND_RULES.items()}
 
+def _claim(norm: str, target: str) -> tuple[str, str] | None:
+    """Canonical name by an exact or alias match, with its layer."""
+    if norm in _EXPECTED[target]:
+        return _EXPECTED[target][norm], "exact"
+    canonical = ALIAS_OF.get(norm)
+    return (canonical, "alias") if canonical in TARGETS[target] else None
 
-def alias_resolution_rows() -> list[tuple[str, str]]:
-    """(alias_norm, canonical_norm) used by the fourth detection rule."""
-    return [(a, normalize_text(c)) for a, c in alias_map().items()]
 
-
-IDENTIFIER_NORMS = sorted({normalize_text(h) for h in C.IDENTIFIER_RAW})
-
-
-def _df(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+def known_headers(spark: SparkSession) -> DataFrame:
+    """What the configuration knows about each normalised header (a few hundred fixed rows)."""
+    norms = sorted({*ALIAS_OF, *(n for names in (*_EXPECTED.values(), *_RULES.values()) for n in names)})
+    rows = []
+    for n in norms:
+        resolved = normalize_text(ALIAS_OF[n]) if n in ALIAS_OF else n
+        rows.append((n, *(int(n in _RULES[r]) for r in KIND_RULES), resolved if resolved in _RULES["cleaned_min"] else None, _claim(n, "raw"), _claim(n, "cleaned")))
+    return spark.createDataFrame(rows, FACTS)
 
 
 # ---------------------------------------------------------------------------
@@ -113,44 +85,48 @@ def _df(spark: SparkSession, rows, schema: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def normalise_headers(headers: DataFrame) -> DataFrame:
-    """Add ``header_norm`` (strip, NFKD, no marks, collapsed spaces, lower).
-
-    Python runs only on the distinct header strings (a few hundred even for
-    many thousands of exports); the result is joined back with a checked
-    broadcast.  A table that already has ``header_norm`` is returned as is.
-    """
-    if "header_norm" in headers.columns:
-        return headers
-    distinct = headers.select("header").distinct()
-    normed = distinct.select("header", normalize_header(F.col("header")).alias("header_norm"))
-    return attach_small(headers, normed, ["header"], "left").select(*headers.columns, "header_norm")
-
-
-def prepare_headers(headers: DataFrame, known_small: bool = False) -> DataFrame:
-    """Normalised header table, hash-partitioned by file, lineage cut.
-
-    Every later per-file step (kind detection, conflict windows, diffs,
-    findings) is clustered by ``file_id``, so this one shuffle serves them
-    all; a file has at most a few hundred header rows, so no partition can
-    be skewed by a large export.  The table is materialised once: held on
-    the driver when it is small (size checked), else checkpointed to the
-    shared checkpoint folder with its partitioning.  Derived steps reuse it
-    instead of recomputing the discovery and the Python normalisation, and a
-    lost executor does not replay them.  A table that already has
-    ``header_norm`` is returned as is.  ``known_small`` skips the sizing
-    count when the caller already knows the table is small.
-    """
+    """Add ``header_norm`` (strip, NFKD, no marks, collapsed spaces, lower)."""
     if "header_norm" in headers.columns:
         return headers
-    normed = normalise_headers(headers).repartition("file_id")
-    # a row count of the input (no Python) decides the path before the
-    # normalisation runs, so the large path never collects first
-    if known_small or headers.limit(LOCAL_HEADER_ROWS + 1).count() <= LOCAL_HEADER_ROWS:
-        return materialize_small(normed, LOCAL_HEADER_ROWS)
-    from formlens.session import ensure_checkpoint_dir
+    return headers.withColumn("header_norm", normalize_header(F.col("header")))
 
-    ensure_checkpoint_dir(headers.sparkSession)
-    return normed.checkpoint(eager=True)
+
+def by_file(headers: DataFrame) -> DataFrame:
+    """One row per export: ``file_id``, ``cells`` (position, header, normalised
+    header and what is known of it, in order) and ``kind`` (O12)."""
+    if "cells" in headers.columns:
+        return headers
+    known = F.broadcast(known_headers(headers.sparkSession))
+    cell = F.struct("pos", "header", "header_norm", "marker", "raw_mandatory", "cleaned_min", "resolved", "raw", "cleaned")
+    cells = normalise_headers(headers).join(known, "header_norm", "left").groupBy("file_id").agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    return cells.withColumns(_counts()).withColumn("kind", _kind())
+
+
+def _norms(cells: Column, keep) -> Column:
+    return F.array_distinct(F.transform(F.filter(cells, keep), lambda c: c.header_norm))
+
+
+def _counts() -> dict[str, Column]:
+    cells = F.col("cells")
+    sized = lambda keep: F.size(_norms(cells, keep)).cast("long")
+    resolved = F.array_distinct(F.transform(F.filter(cells, lambda c: c.resolved.isNotNull()), lambda c: c.resolved))
+    return {
+        "n_markers": sized(lambda c: c.marker == 1),
+        "n_raw_mandatory": sized(lambda c: c.raw_mandatory == 1),
+        "n_cleaned_min": sized(lambda c: c.cleaned_min == 1),
+        "n_cleaned_alias": F.size(resolved).cast("long"),
+    }
+
+
+def _kind() -> Column:
+    size = {rule: len(norms) for rule, norms in _RULES.items()}
+    return (
+        F.when(F.col("n_markers") == size["markers"], "raw")
+        .when(F.col("n_raw_mandatory") == size["raw_mandatory"], "raw")
+        .when(F.col("n_cleaned_min") == size["cleaned_min"], "cleaned")
+        .when(F.col("n_cleaned_alias") == size["cleaned_min"], "cleaned")
+        .otherwise("unknown")
+    )
 
 
 def header_catalogue(headers: DataFrame) -> DataFrame:
@@ -168,17 +144,8 @@ def drop_unnamed(headers: DataFrame) -> DataFrame:
 # O9, O10
 # ---------------------------------------------------------------------------
 
-def _actual_by_norm(normed: DataFrame) -> DataFrame:
-    """One row per (file, normalised header): first position, last spelling."""
-    return normed.groupBy("file_id", "header_norm").agg(
-        F.min("pos").alias("first_pos"), F.max_by("header", "pos").alias("spelling")
-    )
-
-
-def _expected_per_file(files: DataFrame, rows: list[tuple], names: list[str]) -> DataFrame:
-    """Each file with the fixed expected list (explode of a literal array)."""
-    arr = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])
-    return files.select("file_id", F.inline(arr))
+def _literals(rows: list[tuple], names: list[str]) -> Column:
+    return F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])
 
 
 def schema_diff(headers: DataFrame) -> DataFrame:
@@ -188,27 +155,21 @@ def schema_diff(headers: DataFrame) -> DataFrame:
     expected spelling and order, extras the file's (last) spelling and first
     position.  Comparison is on normalised names.
     """
-    spark = headers.sparkSession
-    headers = prepare_headers(headers)
-    actual = _actual_by_norm(headers)
-    files = headers.select("file_id").distinct()
-    exp_rows = expected_rows()
-    per_file = _expected_per_file(files, exp_rows, ["schema", "ord", "expected", "expected_norm"])
-    present = actual.select("file_id", F.col("header_norm").alias("expected_norm"), F.lit(True).alias("hit"))
-    checked = per_file.join(present, ["file_id", "expected_norm"], "left").select(
-        "file_id", "schema",
-        F.when(F.col("hit"), F.lit("match")).otherwise(F.lit("missing")).alias("status"),
-        "ord", F.col("expected").alias("header"),
-    )
-    exp_norms = F.broadcast(_df(spark, [(s, n) for s, _, _, n in exp_rows], "schema string, header_norm string"))
-    schemas = F.array(*[F.lit(s) for s in C.EXPECTED_SCHEMAS])
-    extras = (
-        actual.withColumn("schema", F.explode(schemas))
-        .join(exp_norms, ["schema", "header_norm"], "left_anti")
-        .select("file_id", "schema", F.lit("extra").alias("status"), F.col("first_pos").alias("ord"),
-                F.col("spelling").alias("header"))
-    )
-    return checked.unionByName(extras)
+    files = by_file(headers).withColumn("norms", F.transform("cells", lambda c: c.header_norm))
+    first = F.filter("cells", lambda c, i: F.array_position("norms", c.header_norm) == i + 1)
+
+    def parts(schema: str, names: list[str]) -> list[Column]:
+        expected = norm_map(names)
+        rows = _literals([(i, n, h) for i, (n, h) in enumerate(expected.items(), start=1)], ["ord", "norm", "header"])
+        known = F.array(*[F.lit(n) for n in expected])
+        checked = F.transform(rows, lambda e: F.struct(
+            F.lit(schema).alias("schema"), F.when(F.array_contains("norms", e.norm), "match").otherwise("missing").alias("status"), e.ord.alias("ord"), e.header.alias("header")))
+        extra = F.transform(F.filter(first, lambda c: ~F.array_contains(known, c.header_norm)), lambda c: F.struct(
+            F.lit(schema).alias("schema"), F.lit("extra").alias("status"), c.pos.alias("ord"),
+            F.element_at(F.filter("cells", lambda d: d.header_norm == c.header_norm), -1).header.alias("header")))
+        return [checked, extra]
+
+    return files.select("file_id", F.inline(F.concat(*[p for schema, names in C.EXPECTED_SCHEMAS.items() for p in parts(schema, names)])))
 
 
 def schema_conformance(headers: DataFrame) -> DataFrame:
@@ -226,152 +187,79 @@ def schema_conformance(headers: DataFrame) -> DataFrame:
 # O11, O12
 # ---------------------------------------------------------------------------
 
-def kind_flag_rows() -> list[tuple[str, int, int, int, str | None]]:
-    """(header_norm, marker, raw_mandatory, cleaned_min, resolved) per known name.
-
-    ``resolved`` is the name after alias resolution when it is a minimum
-    cleaned column (the fourth detection rule counts those), else null.
-    """
-    sets = {rule: set(norm_map(h)) for rule, h in KIND_RULES.items()}
-    aliases = {a: normalize_text(c) for a, c in alias_map().items()}
-    rows = []
-    for n in sorted(set().union(*sets.values(), aliases)):
-        res = aliases.get(n, n)
-        rows.append((n, int(n in sets["markers"]), int(n in sets["raw_mandatory"]),
-                     int(n in sets["cleaned_min"]), res if res in sets["cleaned_min"] else None))
-    return rows
-
-
 def file_kinds(headers: DataFrame) -> DataFrame:
-    """``raw``, ``cleaned`` or ``unknown`` per file (first rule that holds).
-
-    Relational division in one aggregate: each distinct normalised header
-    of a file is looked up in a broadcast flags table (fixed size) and the
-    flags are summed per file.  On the file-partitioned header table
-    neither the distinct nor the aggregate shuffles.
-    """
-    spark = headers.sparkSession
-    headers = prepare_headers(headers)
-    present = headers.select("file_id", "header_norm").distinct()
-    flags = F.broadcast(_df(spark, kind_flag_rows(),
-                            "header_norm string, m int, r int, c int, resolved string"))
-    counts = present.join(flags, "header_norm", "left").groupBy("file_id").agg(
-        F.coalesce(F.sum("m"), F.lit(0)).cast("long").alias("n_markers"),
-        F.coalesce(F.sum("r"), F.lit(0)).cast("long").alias("n_raw_mandatory"),
-        F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n_cleaned_min"),
-        F.count_distinct("resolved").cast("long").alias("n_cleaned_alias"),
-    )
-    sz = kind_rule_sizes()
-    kind = (
-        F.when(F.col("n_markers") == sz["markers"], "raw")
-        .when(F.col("n_raw_mandatory") == sz["raw_mandatory"], "raw")
-        .when(F.col("n_cleaned_min") == sz["cleaned_min"], "cleaned")
-        .when(F.col("n_cleaned_alias") == sz["cleaned_min"], "cleaned")
-        .otherwise("unknown")
-    )
-    return counts.select("file_id", kind.alias("kind"), "n_markers", "n_raw_mandatory", "n_cleaned_min",
-                         "n_cleaned_alias")
+    """``raw``, ``cleaned`` or ``unknown`` per file (first rule that holds)."""
+    return by_file(headers).select("file_id", "kind", "n_markers", "n_raw_mandatory", "n_cleaned_min", "n_cleaned_alias")
 
 
 # ---------------------------------------------------------------------------
 # harmonisation
 # ---------------------------------------------------------------------------
 
-def _target_norms() -> dict[str, list[str]]:
-    return {t: list(norm_map(h)) for t, h in TARGETS.items()}
+def _ratio(expected: str, norm: str) -> float:
+    return difflib.SequenceMatcher(None, expected, norm).ratio()
 
 
-def _target_canon() -> dict[str, dict[str, str]]:
-    return {t: norm_map(h) for t, h in TARGETS.items()}
-
-
-_TN = _target_norms()
-_TC = _target_canon()
-
-
-def fuzzy_best(norm: str, target: str, cutoff: float = C.FUZZY_CUTOFF) -> tuple[str | None, float | None]:
-    """difflib's closest expected header (n=1) and its ratio, or (None, None)."""
-    cands = _TN[target]
-    hits = difflib.get_close_matches(norm, cands, n=1, cutoff=cutoff)
+@lru_cache(maxsize=100_000)
+def fuzzy_best(norm: str, target: str, cutoff: float = C.FUZZY_CUTOFF) -> tuple[str | None, float | None, bool]:
+    """difflib's closest expected header (n=1), its ratio, and whether it must
+    not be used: an identifier is as close as that header, or that header
+    resembles an identifier and the match is not a near-equal one."""
+    hits = difflib.get_close_matches(norm, list(_EXPECTED[target]), n=1, cutoff=cutoff)
     if not hits:
-        return None, None
-    sm = difflib.SequenceMatcher()
-    sm.set_seq2(norm)
-    sm.set_seq1(hits[0])
-    return _TC[target][hits[0]], sm.ratio()
+        return None, None, False
+    score = _ratio(hits[0], norm)
+    unsafe = any(_ratio(i, norm) >= score for i in IDENTIFIER_NORMS) or (
+        score < NEAR_IDENTIFIER_CUTOFF and any(_ratio(i, hits[0]) >= cutoff for i in IDENTIFIER_NORMS))
+    return _EXPECTED[target][hits[0]], score, unsafe
 
 
 def _fuzzy_frame(norms: pd.Series, targets: pd.Series) -> pd.DataFrame:
-    found = [fuzzy_best(n, t) for n, t in zip(norms, targets)]
-    return pd.DataFrame({"canonical": [f[0] for f in found], "score": [f[1] for f in found]})
+    found = [fuzzy_best(n, t) if n is not None else (None, None, None) for n, t in zip(norms, targets)]
+    return pd.DataFrame(found, columns=["canonical", "score", "unsafe"]).astype({"score": "float64"})
 
 
-_fuzzy_udf = F.pandas_udf(
-    _fuzzy_frame,
-    T.StructType([T.StructField("canonical", T.StringType()), T.StructField("score", T.DoubleType())]),
-)
+_fuzzy_udf = F.pandas_udf(_fuzzy_frame, T.StructType([
+    T.StructField("canonical", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("unsafe", T.BooleanType())]))
 
 
-def candidates(headers: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
+def candidates(headers: DataFrame) -> DataFrame:
     """Candidate canonical name per header, with its layer.
 
-    ``(file_id, pos, header, header_norm, target, canonical, layer, score)``.
-    Exact and alias matches come from one broadcast dimension; fuzzy
-    matching runs on distinct unmatched (target, header) pairs only.
-    Files of unknown kind have no target and are left out.
+    ``(file_id, pos, header, header_norm, target, canonical, layer, score,
+    unsafe)``.  Only headers without an exact or alias match are matched
+    fuzzily.  Files of unknown kind have no target and are left out.
     """
-    spark = headers.sparkSession
-    normed = prepare_headers(headers)
-    kinds = kinds if kinds is not None else file_kinds(normed)
-    # both sides are metadata-sized (one row per file or per column); the
-    # join strategy is left to AQE's runtime size check
-    targeted = normed.join(
-        kinds.where(F.col("kind").isin(*TARGETS)).select("file_id", F.col("kind").alias("target")),
-        ["file_id"], "inner",
-    )
-    dim = F.broadcast(_df(spark, target_dim_rows(), "target string, header_norm string, canonical string, layer string"))
-    layered = targeted.join(dim, ["target", "header_norm"], "left")
-    unmatched = layered.where(F.col("canonical").isNull()).select("target", "header_norm").distinct()
-    fuzzy = unmatched.select(
-        "target", "header_norm", _fuzzy_udf(F.col("header_norm"), F.col("target")).alias("fz")
-    ).select("target", "header_norm", F.col("fz.canonical").alias("fz_canonical"), F.col("fz.score").alias("fz_score"))
-    # a few rows per distinct unmatched header: checked broadcast, so the
-    # header rows are not shuffled for this join
-    joined = attach_small(layered, fuzzy, ["target", "header_norm"], "left")
-    return joined.select(
+    cells = by_file(headers).where(F.col("kind").isin(*TARGETS)).select("file_id", F.col("kind").alias("target"), F.inline("cells"))
+    claim = F.when(F.col("target") == "raw", F.col("raw")).otherwise(F.col("cleaned"))
+    claimed = cells.withColumns({"canonical": claim["canonical"], "layer": claim["layer"]})
+    fuzzy = claimed.withColumn("fz", _fuzzy_udf(F.when(F.col("canonical").isNull(), F.col("header_norm")), F.col("target")))
+    return fuzzy.select(
         "file_id", "pos", "header", "header_norm", "target",
-        F.coalesce("canonical", "fz_canonical").alias("canonical"),
-        F.when(F.col("canonical").isNotNull(), F.col("layer"))
-        .when(F.col("fz_canonical").isNotNull(), F.lit("fuzzy")).alias("layer"),
-        F.when(F.col("canonical").isNull(), F.col("fz_score")).alias("score"),
+        F.coalesce("canonical", "fz.canonical").alias("canonical"),
+        F.when(F.col("canonical").isNotNull(), F.col("layer")).when(F.col("fz.canonical").isNotNull(), F.lit("fuzzy")).alias("layer"),
+        F.col("fz.score").alias("score"),
+        F.coalesce("fz.unsafe", F.lit(False)).alias("unsafe"),
     )
 
 
-def header_plan(headers: DataFrame, mode: str = "safe", kinds: DataFrame | None = None) -> DataFrame:
+def header_plan(headers: DataFrame, mode: str = "safe") -> DataFrame:
     """One-to-one rename plan per file.
 
     ``greedy`` gives a canonical to the first claimant in file order, as a
     column-by-column loop would.  ``safe`` (default) lets exact and alias
-    claims win over fuzzy ones, and never renames an identifier column by
-    fuzzy matching, so an address cannot become the neighbourhood.
+    claims win over fuzzy ones, and drops fuzzy matches that could turn an
+    identifier column into a cleaned one (see ``fuzzy_best``).
     Output ``(file_id, pos, header, canonical, layer, status)`` with status
     ``unchanged``, ``renamed``, ``unmatched`` or ``conflict``.
     """
     if mode not in ("safe", "greedy"):
         raise ValueError(f"unknown mode {mode!r}")
-    headers = prepare_headers(headers)
-    cand = candidates(headers, kinds if kinds is not None else file_kinds(headers))
+    cand = candidates(headers)
+    order = [F.col("pos")]
     if mode == "safe":
-        blocked = (F.col("layer") == "fuzzy") & F.col("header_norm").isin(*IDENTIFIER_NORMS)
-        cand = cand.withColumns({
-            "canonical": F.when(blocked, F.lit(None)).otherwise(F.col("canonical")),
-            "layer": F.when(blocked, F.lit(None)).otherwise(F.col("layer")),
-        })
-        order = [F.when(F.col("layer") == "fuzzy", 1).otherwise(0), F.col("pos")]
-    elif mode == "greedy":
-        order = [F.col("pos")]
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
+        cand = cand.withColumns({n: F.when(~F.col("unsafe"), F.col(n)) for n in ("canonical", "layer")})
+        order = [F.when(F.col("layer") == "fuzzy", 1).otherwise(0), *order]
     w = Window.partitionBy("file_id", "canonical").orderBy(*order)  # claimants of one name in one file
     ranked = cand.withColumn("claim", F.when(F.col("canonical").isNotNull(), F.row_number().over(w)))
     won = F.col("claim") == 1
@@ -396,12 +284,6 @@ def unmatched_headers(plan: DataFrame) -> DataFrame:
     return plan.where(F.col("status").isin("unmatched", "conflict")).select("file_id", "pos", "header")
 
 
-def rename_map(plan: DataFrame, file_id) -> dict[str, str]:
-    """Rename dictionary for one file (a few dozen rows, collected)."""
-    rows = change_log(plan).where(F.col("file_id") == F.lit(file_id)).collect()
-    return {r["old"]: r["new"] for r in rows}
-
-
 # ---------------------------------------------------------------------------
 # Exact checks and findings
 # ---------------------------------------------------------------------------
@@ -412,81 +294,69 @@ def position_differences(headers: DataFrame, expected: list[str] | None = None,
     Pairs positions like ``zip`` (up to the shorter list) and keeps the
     first ``first`` differing positions per file.
     """
-    spark = headers.sparkSession
-    expected = expected or C.RAW_COLUMNS
-    exp = F.broadcast(_df(spark, list(enumerate(expected, start=1)), "pos int, expected string"))
-    diffs = headers.join(exp, "pos").where(F.col("header") != F.col("expected"))
-    w = Window.partitionBy("file_id").orderBy("pos")  # at most len(expected) rows per file
-    return diffs.withColumn("k", F.row_number().over(w)).where(F.col("k") <= first).select(
-        "file_id", "pos", "expected", F.col("header").alias("actual")
+    names = F.array(*[F.lit(h) for h in expected or C.RAW_COLUMNS])
+    pairs = F.transform(F.filter("cells", lambda c: c.pos <= F.size(names)), lambda c: F.struct(
+        c.pos.alias("pos"), F.element_at(names, c.pos).alias("expected"), c.header.alias("actual")))
+    return by_file(headers).select("file_id", F.inline(F.slice(F.filter(pairs, lambda p: p.expected != p.actual), 1, first)))
+
+
+def structure_check(headers: DataFrame, expected: list[str] | None = None) -> DataFrame:
+    """The verdict per file against the exact list and order.
+
+    ``(file_id, n_columns, exact, n_missing, n_extra, missing, extra)``:
+    exact names that are absent, in expected order, and names outside the
+    list, in file order, joined by `` | ``.
+    """
+    names = F.array(*[F.lit(h) for h in expected or C.RAW_COLUMNS])
+    files = by_file(headers).withColumn("own", F.transform("cells", lambda c: c.header))
+    missing, extra = F.array_except(names, F.col("own")), F.filter("own", lambda h: ~F.array_contains(names, h))
+    return files.select(
+        "file_id", F.size("own").cast("long").alias("n_columns"), (F.col("own") == names).alias("exact"),
+        F.size(missing).cast("long").alias("n_missing"), F.size(extra).cast("long").alias("n_extra"),
+        F.array_join(missing, " | ").alias("missing"), F.array_join(extra, " | ").alias("extra"),
     )
 
 
-def exact_matches_order(headers: DataFrame, expected: list[str] | None = None) -> DataFrame:
-    """Per file: True when the header list equals the expected list exactly."""
-    expected = expected or C.RAW_COLUMNS
-    return headers.groupBy("file_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "header"))).alias("h")
-    ).select("file_id", (F.transform("h", lambda s: s["header"]) == F.array(*[F.lit(e) for e in expected])).alias("exact"))
+def _absent(rows: Column, own: Column) -> Column:
+    return F.filter(rows, lambda e: ~F.array_contains(own, e.header))
 
 
 def required_missing(headers: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Required headers (exact names) absent from each file."""
-    required = required or C.MANDATORY_RAW
-    files = headers.select("file_id").distinct()
-    per_file = _expected_per_file(files, [(i, h) for i, h in enumerate(required, start=1)], ["ord", "header"])
-    return per_file.join(headers.select("file_id", "header"), ["file_id", "header"], "left_anti")
+    rows = _literals(list(enumerate(required or C.MANDATORY_RAW, start=1)), ["ord", "header"])
+    own = F.transform("cells", lambda c: c.header)
+    return by_file(headers).select("file_id", F.inline(_absent(rows, own)))
 
 
 def extra_columns(headers: DataFrame, reference: list[str] | None = None) -> DataFrame:
     """Headers outside the reference list (exact names), in file order."""
-    spark = headers.sparkSession
-    reference = reference or C.MANDATORY_RAW
-    ref = F.broadcast(_df(spark, [(h,) for h in dict.fromkeys(reference)], "header string"))
-    return headers.join(ref, "header", "left_anti").select("file_id", "pos", "header")
-
+    names = F.array(*[F.lit(h) for h in dict.fromkeys(reference or C.MANDATORY_RAW)])
+    extra = F.filter("cells", lambda c: ~F.array_contains(names, c.header))
+    return by_file(headers).select("file_id", F.inline(F.transform(extra, lambda c: F.struct(c.pos.alias("pos"), c.header.alias("header")))))
 
-def finding_rows() -> tuple[list[tuple], list[tuple]]:
-    """Expected and reference header tables for the findings (fixed size).
-
-    ``expected``: (kind, severity, finding, ord, header) that must be present;
-    ``reference``: (kind, severity, finding, header) that are known, anything
-    else in a file of that kind is reported.
-    """
-    expected = [("raw", "error", "missing_mandatory", i, h) for i, h in enumerate(C.MANDATORY_RAW, start=1)]
-    expected += [("cleaned", "error", "missing_minimum", i, h) for i, h in enumerate(C.MINIMUM_CLEANED, start=1)]
-    expected += [("cleaned", "notice", "missing_optional", i, h) for i, h in enumerate(C.OPTIONAL_CLEANED, start=1)]
-    known = list(dict.fromkeys(C.MINIMUM_CLEANED + C.OPTIONAL_CLEANED + [C.YEAR_LABEL]))
-    reference = [("raw", h) for h in dict.fromkeys(C.MANDATORY_RAW)] + [("cleaned", h) for h in known]
-    return expected, reference
 
-
-def schema_findings(headers: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
+def schema_findings(headers: DataFrame) -> DataFrame:
     """Findings per file as ``(file_id, kind, severity, finding, ord, header)``.
 
     Raw files: ``error`` for a missing mandatory header, ``warning`` for
     every other column.  Cleaned files: ``error`` for a missing minimum
     column, ``notice`` for a missing optional one, ``info`` for unknown
     columns (left out of the output).  Exact names, as the build needs them.
-
-    Missing headers: each file meets the expected list of its kind through
-    an equi-join on ``kind`` with the fixed expected table (broadcast), then
-    one anti-join against the file's headers.  Extra headers: one broadcast
-    anti-join against the reference list of the file's kind.
     """
-    spark = headers.sparkSession
-    headers = prepare_headers(headers)
-    kinds = kinds if kinds is not None else file_kinds(headers)
-    k = kinds.where(F.col("kind").isin("raw", "cleaned")).select("file_id", "kind")
-    exp_rows, ref_rows = finding_rows()
-    expected = F.broadcast(_df(spark, exp_rows, "kind string, severity string, finding string, ord int, header string"))
-    reference = F.broadcast(_df(spark, ref_rows, "kind string, header string"))
-    missing = k.join(expected, "kind").join(headers.select("file_id", "header"), ["file_id", "header"], "left_anti")
-    hk = headers.select("file_id", "pos", "header").join(k, "file_id")
-    extra = hk.join(reference, ["kind", "header"], "left_anti").select(
-        "file_id", "kind",
-        F.when(F.col("kind") == "raw", "warning").otherwise("info").alias("severity"),
-        F.when(F.col("kind") == "raw", "extra_column").otherwise("unknown_column").alias("finding"),
-        F.col("pos").alias("ord"), "header",
-    )
-    return missing.select("file_id", "kind", "severity", "finding", "ord", "header").unionByName(extra)
+    own = F.transform("cells", lambda c: c.header)
+
+    def found(severity: str, finding: str, rows: Column, place: str) -> Column:
+        return F.transform(rows, lambda e: F.struct(F.lit(severity).alias("severity"), F.lit(finding).alias("finding"), e[place].alias("ord"), e.header.alias("header")))
+
+    def missing(severity: str, finding: str, names: list[str]) -> Column:
+        return found(severity, finding, _absent(_literals(list(enumerate(names, start=1)), ["ord", "header"]), own), "ord")
+
+    def outside(severity: str, finding: str, names: list[str]) -> Column:
+        known = F.array(*[F.lit(h) for h in dict.fromkeys(names)])
+        return found(severity, finding, F.filter("cells", lambda c: ~F.array_contains(known, c.header)), "pos")
+
+    raw = F.concat(missing("error", "missing_mandatory", C.MANDATORY_RAW), outside("warning", "extra_column", C.MANDATORY_RAW))
+    cleaned = F.concat(
+        missing("error", "missing_minimum", C.MINIMUM_CLEANED), missing("notice", "missing_optional", C.OPTIONAL_CLEANED),
+        outside("info", "unknown_column", [*C.MINIMUM_CLEANED, *C.OPTIONAL_CLEANED, C.YEAR_LABEL]))
+    return by_file(headers).where(F.col("kind").isin("raw", "cleaned")).select("file_id", "kind", F.inline(F.when(F.col("kind") == "raw", raw).otherwise(cleaned)))

@@ -2,49 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formlens import config as C
 from formlens.operators.clean import analysis_year_by_file
 
-__all__ = ["analysis_year_by_file", "multi_year", "quality_summary", "shape_summary"]
+__all__ = ["analysis_year_by_file", "mixed_summary", "multi_year", "quality_summary", "shape_summary"]
 
 
-def quality_summary(input_df: DataFrame, cleaned: DataFrame, kind: str, same_rows: bool = True) -> DataFrame:
-    """Six indicators as a long table ``(ord, indicator, value)``.
+def _indicators(base: str) -> list[str]:
+    return [t.format(base=base) for t in C.QUALITY_LABELS]
 
-    The cleaned table is a row-preserving projection of its (filtered)
-    input, so by default one aggregate over the cleaned table gives every
-    count in a single pass; ``same_rows=False`` aggregates both sides.
-    """
-    base = C.QUALITY_BASE_RAW if kind == "raw" else C.QUALITY_BASE_CLEANED
-    labels = [t.format(base=base) for t in C.QUALITY_LABELS]
-    out = cleaned.agg(
-        F.count(F.lit(1)).alias("rows_out"),
-        F.count("birth_date").alias("births"),
-        F.count("age").alias("ages"),
-    )
-    if same_rows:
-        stats = out.withColumn("rows_in", F.col("rows_out"))
-    else:
-        rows_in = input_df.agg(F.count(F.lit(1)).alias("rows_in"))
-        stats = out.withColumn("rows_in", rows_in.scalar())
-    values = [
-        F.col("rows_in"),
-        F.lit(len(input_df.columns)),
-        F.col("rows_out"),
-        F.lit(len(cleaned.columns)),
-        F.col("births"),
-        F.col("ages"),
-    ]
+
+def _long(stats: DataFrame, values: list[tuple[str, Column]]) -> DataFrame:
     rows = F.array(*[
-        F.struct(F.lit(i + 1).alias("ord"), F.lit(lab).alias("indicator"), v.cast("long").alias("value"))
-        for i, (lab, v) in enumerate(zip(labels, values))
+        F.struct(F.lit(i).alias("ord"), F.lit(label).alias("indicator"), F.coalesce(v.cast("long"), F.lit(0).cast("long")).alias("value"))
+        for i, (label, v) in enumerate(values, start=1)
     ])
     return stats.select(F.inline(rows))
 
 
+def quality_summary(input_columns: int, cleaned: DataFrame, kind: str, output_columns: int | None = None) -> DataFrame:
+    """Six indicators as a long table ``(ord, indicator, value)``.
+
+    The cleaned table is a row-preserving projection of its (filtered)
+    input, so one aggregate over it gives every count in a single pass.
+    """
+    labels = _indicators(C.QUALITY_BASE_RAW if kind == "raw" else C.QUALITY_BASE_CLEANED)
+    stats = cleaned.agg(F.count(F.lit(1)).alias("rows"), F.count("birth_date").alias("births"), F.count("age").alias("ages"))
+    out = output_columns or len(cleaned.columns)
+    return _long(stats, list(zip(labels, [F.col("rows"), F.lit(input_columns), F.col("rows"), F.lit(out), F.col("births"), F.col("ages")])))
+
+
+def mixed_summary(cleaned: DataFrame, width: DataFrame, output_columns: int) -> DataFrame:
+    """The indicators of exports of both kinds: rows and columns of each kind
+    that is there (``width``: ``kind``, ``columns_in``), then of the result.
+
+    ``cleaned`` carries the kind of each row.
+    """
+    per_kind = cleaned.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), F.count("birth_date").alias("births"), F.count("age").alias("ages"))
+    both = width.join(per_kind, "kind", "left").groupBy().agg(F.array_sort(F.collect_list(F.struct("kind", "columns_in", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("births", F.lit(0)).alias("births"), F.coalesce("ages", F.lit(0)).alias("ages")))).alias("k"))
+    total = lambda name: F.aggregate("k", F.lit(0).cast("long"), lambda t, x: t + x[name])
+    def block(base: str, kind: str) -> Column:
+        rows, columns, *_ = _indicators(base)
+        return F.flatten(F.transform(F.filter("k", lambda x: x["kind"] == kind), lambda x: F.array(
+            F.struct(F.lit(rows).alias("indicator"), x["rows"].cast("long").alias("value")), F.struct(F.lit(columns).alias("indicator"), x["columns_in"].cast("long").alias("value")))))
+    last = _indicators("")[2:]
+    result = F.array(*[F.struct(F.lit(label).alias("indicator"), v.cast("long").alias("value")) for label, v in zip(last, [total("rows"), F.lit(output_columns), total("births"), total("ages")])])
+    lines = both.select(F.posexplode(F.concat(block(C.QUALITY_BASE_RAW, "raw"), block(C.QUALITY_BASE_CLEANED, "cleaned"), result)).alias("p", "line"))
+    return lines.select((F.col("p") + 1).alias("ord"), "line.indicator", "line.value")
+
+
 def shape_summary(df: DataFrame, first: int = 10) -> DataFrame:
     """Row and column count and the first column names (joined by `` | ``)."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -68,8 +77,6 @@ def year_warnings(df: DataFrame, configured: int, file_col: str = "file_id") ->
     filter uses the configured one; when they differ the export is listed
     ``(file_id, analysis_year, configured_year)``.
     """
-    from formlens.operators.clean import analysis_year_by_file
-
     years = analysis_year_by_file(df, file_col)
     return years.where(F.col("analysis_year") != F.lit(int(configured))).select(
         file_col, "analysis_year", F.lit(int(configured)).alias("configured_year")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from formlens import config as C
 from formlens.functions import strip_category
-from formlens.operators.common import materialize_small
+from formlens.operators.common import reused
 
 YEAR = "analysis_year"
 
@@ -35,12 +35,13 @@ def top_categories(df: DataFrame, column: str, k: int = C.TOP_K, fill: str = C.F
 
 
 def topk_rows(df: DataFrame, column: str, k: int = C.TOP_K, fill: str = C.FILL_VALUE) -> DataFrame:
-    """Rows whose prepared category is among the top k (broadcast semi join).
+    """Rows whose prepared category is among the top k.
 
-    The top table has at most k rows, a proven bound, so it is broadcast.
+    The ranking reads the one column it needs; the semi join's small side has
+    at most k rows, a proven bound, so it is broadcast.
     """
     prepared = prepare_category(df, column, fill)
-    top = top_categories(df, column, k, fill).select(F.col("category").alias(column))
+    top = top_categories(df.select(column), column, k, fill).select(F.col("category").alias(column))
     return prepared.join(F.broadcast(top), column, "left_semi")
 
 
@@ -89,10 +90,9 @@ def _bins_expr(x, lo, hi, n):
 
 
 def age_counts(df: DataFrame, age: str = "age", year: str = YEAR) -> DataFrame:
-    """Non-null ages counted per (year, age): ``(year, x, c)``."""
+    """Rows counted per (year, age): ``(year, x, c)``; x is null for rows without an age."""
     return (
-        df.where(F.col(age).isNotNull())
-        .groupBy(F.col(year).alias("year"), F.col(age).cast("double").alias("x"))
+        df.groupBy(F.col(year).alias("year"), F.col(age).cast("double").alias("x"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
 
@@ -101,32 +101,26 @@ def histogram_from_counts(counted: DataFrame, by_year: bool | None = None,
                           max_bins: int = C.HIST_MAX_BINS, min_bins: int = C.HIST_MIN_BINS) -> DataFrame:
     """Histogram rows from ``(year, x, c)`` counts (see ``age_histogram``).
 
-    ``counted`` should be materialised (it is small); the edges and the bin
-    count are one row computed from it and reach the bins as literals.
+    ``counted`` should be a stored table (it is small); edges and number of
+    bins are one row of it, which reaches the bins as a scalar subquery.
+    Whether there are several years is decided over all rows, with and
+    without an age.
     """
-    stats = counted.agg(
-        F.min("x").alias("mn"), F.max("x").alias("mx"),
-        F.count_distinct("x").alias("nd"), F.count_distinct("year").alias("ny"),
-    )
-    single = F.least(F.lit(max_bins), F.greatest(F.lit(min_bins), F.col("nd")))
+    single = F.least(F.lit(max_bins), F.greatest(F.lit(min_bins), F.count_distinct("x")))
     if by_year is None:
-        nb = F.when(F.col("ny") > 1, F.lit(max_bins)).otherwise(single)
+        nb = F.when(F.count_distinct("year") > 1, F.lit(max_bins)).otherwise(single)
     else:
         nb = F.lit(max_bins) if by_year else single
-    edges = stats.select(
-        F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).cast("double").alias("lo"),
-        F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).cast("double").alias("hi"),
+    mn, mx = F.min("x"), F.max("x")
+    edges = counted.agg(F.struct(
+        F.when(mn == mx, mn - 0.5).otherwise(mn).cast("double").alias("lo"),
+        F.when(mn == mx, mx + 0.5).otherwise(mx).cast("double").alias("hi"),
         nb.cast("int").alias("nb"),
-    ).first()  # one row computed from the small counts table
-    if edges is None or edges["lo"] is None:
-        return counted.sparkSession.createDataFrame(
-            [], "year int, bin int, bin_lo double, bin_hi double, n bigint")
-    lo, hi, n = F.lit(edges["lo"]), F.lit(edges["hi"]), F.lit(edges["nb"])
-    binned = (
-        counted.withColumn("bin", _bins_expr(F.col("x"), lo, hi, n))
-        .groupBy("year", "bin").agg(F.sum("c").alias("n"))
-    )
-    grid = counted.select("year").distinct().select("year", F.explode(F.sequence(F.lit(1), n)).alias("bin"))
+    ).alias("e")).scalar()
+    aged = counted.where(F.col("x").isNotNull()).withColumn("e", edges)
+    lo, hi, n = F.col("e.lo"), F.col("e.hi"), F.col("e.nb")
+    binned = aged.withColumn("bin", _bins_expr(F.col("x"), lo, hi, n)).groupBy("year", "bin").agg(F.sum("c").alias("n"))
+    grid = aged.select("year", "e").distinct().select("year", "e", F.explode(F.sequence(F.lit(1), n)).alias("bin"))
     width = (hi - lo) / n
     return (
         grid.join(binned, ["year", "bin"], "left")
@@ -134,7 +128,7 @@ def histogram_from_counts(counted: DataFrame, by_year: bool | None = None,
             "year", "bin",
             (lo + (F.col("bin") - 1) * width).alias("bin_lo"),
             (lo + F.col("bin") * width).alias("bin_hi"),
-            F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
+            F.coalesce(binned["n"], F.lit(0)).cast("long").alias("n"),
         )
     )
 
@@ -147,11 +141,11 @@ def age_histogram(df: DataFrame, by_year: bool | None = None, age: str = "age",
     than one analysis year.  Single year: ``min(10, max(5, distinct ages))``
     bins; by year: 10 bins with edges common to all years.  When min = max
     the range is widened by 0.5 on each side.  Ages are counted per
-    (year, age) in one pass over the data; that small table is
-    materialised once and edges, bin count and bins are computed from it.
-    Without any age the result is empty.
+    (year, age) in one pass over the data; that small table is stored, and
+    edges, bin count and bins are computed from it.  Without any age the
+    result is empty.
     """
-    counted = materialize_small(age_counts(df, age, year))
+    counted = reused(age_counts(df, age, year), "ages")
     return histogram_from_counts(counted, by_year, max_bins, min_bins)
 
 
@@ -167,9 +161,8 @@ def report_suite(cleaned: DataFrame, summary: DataFrame | None = None, keys: lis
     ignored.  Each row of ``cleaned`` is unpivoted into one entry per
     categorical report, one for its age and one for its birth date, and a
     single partial aggregate counts them per (report, category, age, year).
-    That table is small (categories x years + ages x years); it is
-    materialised once and ranks, histogram bins and the quality counts are
-    all derived from it.
+    That table is stored once, and ranks, histogram bins and the quality
+    counts are all derived from it.
 
     The quality table is either given (``summary``) or, with
     ``input_columns``, computed from the same pass (the cleaned table is a
@@ -179,7 +172,7 @@ def report_suite(cleaned: DataFrame, summary: DataFrame | None = None, keys: lis
     cat_keys = [key for key in keys if key in C.REPORT_CATALOGUE]
     items = [
         F.struct(F.lit(keys.index(key) + 1).alias("ord"), F.lit(key).alias("report"),
-                 strip_category(F.col(_name_of(C.REPORT_CATALOGUE[key][0])), fill).alias("category"),
+                 strip_category(F.col(_name_of(C.REPORT_CATALOGUE[key])), fill).alias("category"),
                  F.lit(None).cast("double").alias("x"))
         for key in cat_keys
     ]
@@ -188,10 +181,11 @@ def report_suite(cleaned: DataFrame, summary: DataFrame | None = None, keys: lis
     items.append(F.struct(F.lit(-2).alias("ord"), F.lit("_birth").alias("report"),
                           F.when(F.col("birth_date").isNotNull(), "set").otherwise("null").alias("category"),
                           F.lit(None).cast("double").alias("x")))
-    counts = materialize_small(
+    counts = reused(
         cleaned.select(F.col(YEAR).alias("year"), F.inline(F.array(*items)))
         .groupBy("ord", "report", "category", "x", "year")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "suite",
     )
     parts = []
     if summary is None and input_columns is not None:
@@ -211,7 +205,7 @@ def report_suite(cleaned: DataFrame, summary: DataFrame | None = None, keys: lis
             F.lit(None).cast("double").alias("bin_lo"), F.lit(None).cast("double").alias("bin_hi"),
         ))
     if "edad" in keys:
-        ages = counts.where((F.col("report") == "_age") & F.col("x").isNotNull()).select(
+        ages = counts.where(F.col("report") == "_age").select(
             "year", "x", F.col("n").alias("c"))
         hist = histogram_from_counts(ages)
         parts.append(hist.select(

@@ -286,7 +286,7 @@ def quality_summary(spark, sf):
     """Six quality indicators for the filtered raw export."""
     filtered = K.filter_year(form(spark, sf), YEAR)
     cleaned = K.build_cleaned(filtered, "raw", YEAR)
-    return M.quality_summary(filtered, cleaned, "raw")
+    return M.quality_summary(len(filtered.columns), cleaned, "raw")
 
 
 _FIRST10 = " | ".join(C.CLEANED_NAMES[:10])
@@ -402,7 +402,7 @@ def _suite_sql(input_name: str, multi: bool) -> list[str]:
     cat_keys = [k for k in C.REPORT_KEYS if k in C.REPORT_CATALOGUE]
     unions = " UNION ALL ".join(
         f"SELECT {C.REPORT_KEYS.index(k) + 1} AS ord, '{k}' AS report, "
-        f"{_strip(C.LABEL_TO_NAME[C.REPORT_CATALOGUE[k][0]])} AS category, analysis_year AS year FROM cleaned"
+        f"{_strip(C.LABEL_TO_NAME[C.REPORT_CATALOGUE[k]])} AS category, analysis_year AS year FROM cleaned"
         for k in cat_keys
     )
     edad_ord = C.REPORT_KEYS.index("edad") + 1
@@ -445,8 +445,9 @@ def report_suite_by_year(spark, sf):
 # Header tables
 # ---------------------------------------------------------------------------
 
-from formlens.functions.text import WS_RE2, normalize_text  # noqa: E402
+from formlens.functions.text import WS_RE2  # noqa: E402
 from formlens.operators import headers as H  # noqa: E402
+from formlens.plans.expected import FUZZY  # noqa: E402
 
 
 def headers_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -469,13 +470,29 @@ def _h_sql(*ctes: str, select: str) -> str:
     return Q.with_ctes(_FH, _HN, _FILES, *ctes, select=select)
 
 
-_RULE_SIZES = H.kind_rule_sizes()
+# The oracle's own lists come from the fixed configuration and are normalised in SQL.
+def _norm(x: str) -> str:
+    return f"lower(trim(regexp_replace(strip_accents({x}), '{WS_RE2}+', ' ', 'g')))"
+
+
+def _texts(rows: list[tuple], columns: list[str], norms: dict[str, str]) -> str:
+    """A table of fixed texts with normalised copies of some of its columns."""
+    more = ", ".join(f"{_norm(c)} AS {n}" for c, n in norms.items())
+    return f"(SELECT *, {more} FROM {_values(rows, ['v', *columns])})"
+
+
+_RULE_LISTS = {"markers": C.RAW_MARKERS, "raw_mandatory": C.MANDATORY_RAW, "cleaned_min": C.MINIMUM_CLEANED}
+_TARGET_LISTS = {"raw": [*C.MANDATORY_RAW, C.SUBMITTED_LABEL], "cleaned": C.CLEANED_COLUMNS}
+_ALIASES = [(i, spelling, canonical) for i, (spelling, canonical) in enumerate(
+    (v, c) for c, variants in C.ALIASES.items() for v in [*variants, c])]
 _KINDS = [
-    f"rules AS (SELECT * FROM {_values(H.kind_rule_rows(), ['r', 'rule', 'header_norm'])})",
-    f"res AS (SELECT * FROM {_values(H.alias_resolution_rows(), ['x', 'header_norm', 'resolved'])})",
+    f"rules AS (SELECT DISTINCT rule, header_norm FROM {_texts([(r, h) for r, hs in _RULE_LISTS.items() for h in hs], ['rule', 'header'], {'header': 'header_norm'})})",
+    "sizes AS (SELECT rule, count(*) AS n FROM rules GROUP BY ALL)",
+    # of equal aliases the last one counts
+    f"als AS (SELECT header_norm, arg_max(canonical, i) AS canonical, arg_max(resolved, i) AS resolved FROM {_texts(_ALIASES, ['i', 'spelling', 'canonical'], {'spelling': 'header_norm', 'canonical': 'resolved'})} GROUP BY ALL)",
     "pres AS (SELECT DISTINCT file_id, header_norm FROM hn)",
     "direct AS (SELECT p.file_id, r.rule, count(DISTINCT p.header_norm) AS n FROM pres p JOIN rules r ON r.header_norm = p.header_norm GROUP BY ALL)",
-    "resolved AS (SELECT DISTINCT p.file_id, coalesce(x.resolved, p.header_norm) AS header_norm FROM pres p LEFT JOIN res x ON x.header_norm = p.header_norm)",
+    "resolved AS (SELECT DISTINCT p.file_id, coalesce(x.resolved, p.header_norm) AS header_norm FROM pres p LEFT JOIN als x ON x.header_norm = p.header_norm)",
     "via AS (SELECT r.file_id, 'cleaned_alias' AS rule, count(DISTINCT r.header_norm) AS n FROM resolved r "
     "JOIN rules q ON q.header_norm = r.header_norm AND q.rule = 'cleaned_min' GROUP BY ALL)",
     "cnt AS (SELECT * FROM direct UNION ALL SELECT * FROM via)",
@@ -486,47 +503,33 @@ _KINDS = [
     "CAST(coalesce(max(n) FILTER (WHERE rule = 'cleaned_alias'), 0) AS BIGINT) AS n_cleaned_alias "
     "FROM files f LEFT JOIN cnt c ON c.file_id = f.file_id GROUP BY f.file_id)",
     "kinds AS (SELECT file_id, CASE "
-    f"WHEN n_markers = {_RULE_SIZES['markers']} THEN 'raw' "
-    f"WHEN n_raw_mandatory = {_RULE_SIZES['raw_mandatory']} THEN 'raw' "
-    f"WHEN n_cleaned_min = {_RULE_SIZES['cleaned_min']} THEN 'cleaned' "
-    f"WHEN n_cleaned_alias = {_RULE_SIZES['cleaned_min']} THEN 'cleaned' ELSE 'unknown' END AS kind, "
+    "WHEN n_markers = (SELECT n FROM sizes WHERE rule = 'markers') THEN 'raw' "
+    "WHEN n_raw_mandatory = (SELECT n FROM sizes WHERE rule = 'raw_mandatory') THEN 'raw' "
+    "WHEN n_cleaned_min = (SELECT n FROM sizes WHERE rule = 'cleaned_min') THEN 'cleaned' "
+    "WHEN n_cleaned_alias = (SELECT n FROM sizes WHERE rule = 'cleaned_min') THEN 'cleaned' ELSE 'unknown' END AS kind, "
     "n_markers, n_raw_mandatory, n_cleaned_min, n_cleaned_alias FROM kc)",
 ]
 
-
-def _fuzzy_vocabulary_rows() -> list[tuple[str, str, str, float]]:
-    """difflib results for every (target, header) the header table can hold."""
-    dim = {(t, n) for t, n, _, _ in H.target_dim_rows()}
-    vocab = sorted({normalize_text(r[3]) for r in D.template_rows()})
-    rows = []
-    for target in H.TARGETS:
-        for n in vocab:
-            if (target, n) in dim:
-                continue
-            canonical, score = H.fuzzy_best(n, target)
-            if canonical is not None:
-                rows.append((target, n, canonical, score))
-    return rows
-
-
 _CAND = _KINDS + [
     "tgt AS (SELECT file_id, kind AS target FROM kinds WHERE kind IN ('raw', 'cleaned'))",
     "th AS (SELECT h.file_id, h.pos, h.header, h.header_norm, t.target FROM hn h JOIN tgt t ON t.file_id = h.file_id)",
-    f"dim AS (SELECT * FROM {_values(H.target_dim_rows(), ['d', 'target', 'header_norm', 'canonical', 'layer'])})",
-    f"fz AS (SELECT * FROM {_values(_fuzzy_vocabulary_rows(), ['z', 'target', 'header_norm', 'canonical', 'score'])})",
+    f"ex AS (SELECT target, header_norm, arg_max(name, i) AS canonical FROM {_texts([(t, i, h) for t, hs in _TARGET_LISTS.items() for i, h in enumerate(hs)], ['target', 'i', 'name'], {'name': 'header_norm'})} GROUP BY ALL)",
+    "dim AS (SELECT target, header_norm, canonical, 'exact' AS layer FROM ex UNION ALL "
+    "SELECT e.target, a.header_norm, a.canonical, 'alias' FROM als a JOIN ex e ON e.canonical = a.canonical "
+    "WHERE NOT EXISTS (SELECT 1 FROM ex x WHERE x.target = e.target AND x.header_norm = a.header_norm))",
+    f"fz AS (SELECT * FROM {_values(FUZZY, ['z', 'target', 'header_norm', 'canonical', 'score', 'unsafe'])})",
     "cand AS (SELECT th.file_id, th.pos, th.header, th.header_norm, th.target, "
     "coalesce(d.canonical, z.canonical) AS canonical, "
     "CASE WHEN d.canonical IS NOT NULL THEN d.layer WHEN z.canonical IS NOT NULL THEN 'fuzzy' END AS layer, "
-    "CASE WHEN d.canonical IS NULL THEN z.score END AS score "
+    "CASE WHEN d.canonical IS NULL THEN z.score END AS score, d.canonical IS NULL AND coalesce(z.unsafe, FALSE) AS unsafe "
     "FROM th LEFT JOIN dim d ON d.target = th.target AND d.header_norm = th.header_norm "
     "LEFT JOIN fz z ON z.target = th.target AND z.header_norm = th.header_norm)",
 ]
 
 
 def _plan_sql(mode: str) -> str:
-    ids = ", ".join(D.sql_str(n) for n in H.IDENTIFIER_NORMS)
     if mode == "safe":
-        blocked = f"(layer = 'fuzzy' AND header_norm IN ({ids}))"
+        blocked = "unsafe"
         order = "CASE WHEN lay2 = 'fuzzy' THEN 1 ELSE 0 END, pos"
     else:
         blocked = "FALSE"
@@ -571,7 +574,9 @@ def header_drop_unnamed(spark, sf):
 
 _DIFF = [
     "act AS (SELECT file_id, header_norm, CAST(min(pos) AS INTEGER) AS first_pos, arg_max(header, pos) AS spelling FROM hn GROUP BY ALL)",
-    f"expd AS (SELECT * FROM {_values(H.expected_rows(), ['e', 'schema', 'ord', 'expected', 'expected_norm'])})",
+    # of headers that are equal when normalised, the first gives the order and the last the spelling
+    f"expn AS (SELECT * FROM {_texts([(s, i, h) for s, hs in C.EXPECTED_SCHEMAS.items() for i, h in enumerate(hs)], ['schema', 'i', 'name'], {'name': 'expected_norm'})})",
+    "expd AS (SELECT schema, row_number() OVER (PARTITION BY schema ORDER BY min(i)) AS ord, arg_max(name, i) AS expected, expected_norm FROM expn GROUP BY schema, expected_norm)",
     "diff AS ("
     "SELECT f.file_id, e.schema, CASE WHEN a.header_norm IS NULL THEN 'missing' ELSE 'match' END AS status, "
     "CAST(e.ord AS INTEGER) AS ord, e.expected AS header "
@@ -588,9 +593,6 @@ def schema_diff(spark, sf):
     return H.schema_diff(headers_of(spark, sf))
 
 
-_SIZES = {s: len(H.norm_map(h)) for s, h in C.EXPECTED_SCHEMAS.items()}
-
-
 @register(
     "schema_conformance",
     _h_sql(
@@ -599,8 +601,8 @@ _SIZES = {s: len(H.norm_map(h)) for s, h in C.EXPECTED_SCHEMAS.items()}
             "SELECT file_id, schema, count(*) FILTER (WHERE status = 'match') AS n_matched, "
             "count(*) FILTER (WHERE status = 'missing') AS n_missing, "
             "count(*) FILTER (WHERE status = 'extra') AS n_extra, "
-            "CAST(CASE schema " + " ".join(f"WHEN '{s}' THEN {n}" for s, n in _SIZES.items()) + " END AS BIGINT) AS n_expected "
-            "FROM diff GROUP BY ALL"
+            "(SELECT count(*) FROM expd e WHERE e.schema = diff.schema) AS n_expected "
+            "FROM diff GROUP BY file_id, schema"
         ),
     ),
 )
@@ -655,9 +657,7 @@ _RAW_FILES = "rawf AS (SELECT file_id FROM kinds WHERE kind = 'raw')"
 
 
 def _raw_headers(spark, sf) -> DataFrame:
-    h = headers_of(spark, sf)
-    kinds = H.file_kinds(h).where(F.col("kind") == "raw").select("file_id")
-    return h.join(kinds, "file_id", "left_semi")
+    return H.by_file(headers_of(spark, sf)).where(F.col("kind") == "raw")
 
 
 @register(
@@ -760,7 +760,7 @@ def csv_scan_union(spark, sf):
     header discovery, harmonised per layout, stacked and cleaned."""
     base = shared_path(spark, "exports")
     dirs = D.write_form_exports(form(spark, sf), base)
-    rows, _plan = read_exports(spark, dirs)
+    rows, _plan = read_exports(spark, dirs, keep=["respondent_id", "file_id"])
     out = K.build_cleaned(rows, "raw", YEAR, file_col="file_id", keep=["respondent_id", "file_id"])
     return out.withColumns({
         "respondent_id": F.col("respondent_id").cast("bigint"),
@@ -783,7 +783,7 @@ def stream_intake(spark, sf):
     base = shared_path(spark, "stream")
     D.write_form_exports(form(spark, sf), f"{base}/inbox")
     q = start_intake(spark, f"{base}/inbox/*", f"{base}/sink", f"{base}/checkpoint", YEAR,
-                     keep=["respondent_id", "file_id"])
+                     keep=["respondent_id", "file_id"], filter_by_year=False)
     q.awaitTermination()
     out = read_intake(spark, f"{base}/sink")
     return out.select(*[c for c in ["respondent_id", "file_id", *C.CLEANED_NAMES]]).withColumns({
@@ -810,7 +810,7 @@ def cleaned_csv_roundtrip(spark, sf):
     from formlens.plans.intake import run_intake
 
     path = shared_path(spark, "cleaned-csv")
-    write_cleaned(cleaned_all(spark, sf), path, fmt="csv", labels=True, partition_by=None)
+    write_cleaned(cleaned_all(spark, sf), path, fmt="csv", labels=True)
     res = run_intake(spark, path, YEAR, keep=["respondent_id", "file_id"])
     return res.cleaned.withColumns({
         "respondent_id": F.col("respondent_id").cast("bigint"),
@@ -837,3 +837,189 @@ def dataframe_intake_year(spark, sf):
 
     res = clean_dataframe(form(spark, sf), YEAR, keep=["respondent_id"])
     return res.cleaned
+
+
+# ---------------------------------------------------------------------------
+# dates in all shapes
+# ---------------------------------------------------------------------------
+
+# shape number -> Spark format of the text, and the time of day (seconds) it stands for; null: not a date
+_SHAPES = [
+    ("dd/MM/yyyy", 0), ("d/M/yyyy H:mm", 34860), ("dd-MM-yyyy", 0), ("yyyy/MM/dd", 0), ("yyyy-MM-dd'T'HH:mm:ss", 34860 + 7),
+    ("yyyy-MM-dd HH:mm:ss.SSS", 34860 + 7), ("d/M/yyyy h:mm:ss 'a. m.'", 34860 + 7), ("d/M/yyyy h:mm:ss 'p. m.'", 34860 + 7 + 43200),
+    ("d/M/yy", None), ("yyyy-MM-dd HH:mm:ss", 34860 + 7), ("'31/02/'yyyy", None), ("dd/MM/yyyy HH:mm:ss", 34860 + 7),
+]
+
+
+@register(
+    "date_shapes",
+    "SELECT o_orderkey AS id, CASE CAST(o_orderkey % 12 AS INTEGER) "
+    + " ".join(f"WHEN {i} THEN " + ("NULL" if sec is None else f"CAST(o_orderdate AS DATE) + to_seconds({sec})") for i, (_, sec) in enumerate(_SHAPES))
+    + " END AS parsed FROM orders",
+)
+def date_shapes(spark, sf):
+    """Every accepted shape, written from typed dates and parsed back."""
+    at = F.col("o_orderdate").cast("date").cast("timestamp_ntz") + F.expr("INTERVAL '0 09:41:07' DAY TO SECOND")
+    text = F.lit(None).cast("string")
+    for i, (fmt, _) in enumerate(_SHAPES):
+        text = F.when(F.col("o_orderkey") % len(_SHAPES) == i, F.date_format(at, fmt)).otherwise(text)
+    return D.read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), parse_day_first(text).alias("parsed"))
+
+
+# ---------------------------------------------------------------------------
+# Plan outputs and the structure verdict
+# ---------------------------------------------------------------------------
+
+@register(
+    "header_changes",
+    Q.with_ctes(
+        f"plan AS ({_plan_sql('safe')})",
+        select="SELECT file_id, pos, header AS old, canonical AS new FROM plan WHERE status = 'renamed' "
+               "UNION ALL SELECT file_id, pos, header, NULL FROM plan WHERE status IN ('unmatched', 'conflict')",
+    ),
+)
+def header_changes(spark, sf):
+    """The change log, and the headers without a target (``new`` null)."""
+    plan = H.header_plan(headers_of(spark, sf))
+    return H.change_log(plan).unionByName(H.unmatched_headers(plan).select("file_id", "pos", F.col("header").alias("old"), F.lit(None).cast("string").alias("new")))
+
+
+@register(
+    "structure_check",
+    _h_sql(
+        f"exp63 AS (SELECT * FROM {_values(list(enumerate(C.RAW_COLUMNS, start=1)), ['e', 'pos', 'expected'])})",
+        "own AS (SELECT file_id, list(header ORDER BY pos) AS own FROM fh GROUP BY file_id)",
+        "lst AS (SELECT list(expected ORDER BY pos) AS names FROM exp63)",
+        "chk AS (SELECT file_id, own, names, list_filter(names, lambda x: NOT list_contains(own, x)) AS missing, "
+        "list_filter(own, lambda x: NOT list_contains(names, x)) AS extra FROM own, lst)",
+        select="SELECT file_id, len(own) AS n_columns, own = names AS exact, len(missing) AS n_missing, len(extra) AS n_extra, "
+               "array_to_string(missing, ' | ') AS missing, array_to_string(extra, ' | ') AS extra FROM chk",
+    ),
+)
+def structure_check(spark, sf):
+    """Whether each export has exactly the 63 columns in order, and what differs."""
+    return H.structure_check(headers_of(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# intake of awkward and mixed files, sink and metrics over several inputs
+# ---------------------------------------------------------------------------
+
+_DIRTY = ["stratum", "neighbourhood", "marital_status", "estate", "campus", "semester"]
+
+
+@register(
+    "intake_dirty_files",
+    _all_sql(select="SELECT respondent_id, stratum, "
+             f"CASE WHEN respondent_id % 5 = 4 THEN {Q.sql_str(C.FILL_VALUE)} ELSE neighbourhood END AS neighbourhood, "
+             "marital_status, estate, campus, semester FROM cleaned"),
+)
+def intake_dirty_files(spark, sf):
+    """Files with a blank first line, a line break in a header, another
+    separator, names with blanks and accents, and a drifted identifier where
+    the neighbourhood is missing (it must not take its place)."""
+    from formlens.plans.intake import run_intake
+
+    base = shared_path(spark, "dirty")
+    f = form(spark, sf)
+    part = lambda i: f.where(F.col("respondent_id") % 5 == i)
+    drifted = part(4).drop("Barrio de residencia").withColumnRenamed("Dirección de residencia", "Dirección de la residencia")
+    D.write_lines(part(0), f"{base}/comma/blank", before="\n")
+    D.write_lines(part(1), f"{base}/comma/broken", rename={"Estado civil": "Estado\ncivil"})
+    D.write_lines(part(2), f"{base}/semicolon", sep=";")
+    D.write_lines(part(3), f"{base}/comma/Año 2025 (última)")
+    D.write_lines(drifted, f"{base}/comma/drifted")
+    out = [
+        run_intake(spark, f"{base}/comma/*", YEAR, keep=["respondent_id"], filter_by_year=False, strict=False),
+        run_intake(spark, f"{base}/semicolon", YEAR, keep=["respondent_id"], filter_by_year=False, options={"sep": ";"}),
+    ]
+    rows = out[0].cleaned.unionByName(out[1].cleaned)
+    return rows.select(F.col("respondent_id").cast("bigint").alias("respondent_id"), *_DIRTY)
+
+
+def _mixed(spark, sf):
+    """Raw exports, cleaned exports with a year column, and cleaned ones without, by file_id."""
+    from formlens.plans.intake import run_intake
+
+    base = shared_path(spark, "mixed")
+    f, c = form(spark, sf), cleaned_all(spark, sf)
+    D.write_lines(f.where(F.col("file_id") % 3 == 0), f"{base}/raw")
+    write_cleaned(c.where(F.col("file_id") % 3 == 1), f"{base}/with_year", fmt="csv", labels=True, partition_by=None)
+    write_cleaned(c.where(F.col("file_id") % 3 == 2).drop("analysis_year"), f"{base}/without", fmt="csv", labels=True, partition_by=None)
+    return run_intake(spark, f"{base}/*", YEAR, keep=["respondent_id", "file_id"], filter_by_year=False)
+
+
+@register(
+    "intake_mixed_layouts",
+    _all_sql(select="SELECT * REPLACE (CAST(CASE WHEN file_id % 3 = 2 THEN 1998 ELSE analysis_year END AS INTEGER) AS analysis_year) FROM cleaned"),
+)
+def intake_mixed_layouts(spark, sf):
+    """Raw and cleaned exports in one scan; files without a year column get the configured one."""
+    return _mixed(spark, sf).cleaned.withColumns({n: F.col(n).cast("bigint") for n in ("respondent_id", "file_id")})
+
+
+_MIXED_BASES = [(C.QUALITY_BASE_RAW, "file_id % 3 = 0", len([h for h in D.FORM_HEADERS])), (C.QUALITY_BASE_CLEANED, "file_id % 3 <> 0", len(C.CLEANED_COLUMNS))]
+
+
+def _mixed_summary_sql() -> str:
+    lines = [(C.QUALITY_LABELS[k].format(base=base), f"(SELECT count(*) FROM cleaned WHERE {cond})" if k == 0 else str(n))
+             for base, cond, n in _MIXED_BASES for k in (0, 1)]
+    lines += list(zip(C.QUALITY_LABELS[2:], ["(SELECT count(*) FROM cleaned)", str(len(C.CLEANED_NAMES)),
+                                             "(SELECT count(birth_date) FROM cleaned)", "(SELECT count(age) FROM cleaned)"]))
+    return " UNION ALL ".join(f"SELECT {i} AS ord, {Q.sql_str(label)} AS indicator, CAST({v} AS BIGINT) AS value" for i, (label, v) in enumerate(lines, start=1))
+
+
+@register("quality_summary_mixed", _all_sql(select=_mixed_summary_sql()))
+def quality_summary_mixed(spark, sf):
+    """Each kind's own input rows and columns, then the result."""
+    return _mixed(spark, sf).summary
+
+
+@register(
+    "intake_counts",
+    Q.with_ctes(
+        _FORM, _FILTERED,
+        "fc AS (SELECT count(*) AS total, count(*) FILTER (WHERE d IS NULL) AS null_or_invalid, "
+        f"count(*) FILTER (WHERE d IS NOT NULL AND NOT {Q.in_year('d', YEAR)}) AS other_year, count(*) FILTER (WHERE {Q.in_year('d', YEAR)}) AS kept "
+        f"FROM (SELECT {_d_filled} AS d FROM form))",
+        "lb AS (SELECT count(b) AS non_null, count(d) AS parsed, count(*) FILTER (WHERE b IS NOT NULL AND d IS NULL) AS lost "
+        f"FROM (SELECT {Q.q(C.BIRTH_LABEL)} AS b, {Q.parse_day_first(Q.q(C.BIRTH_LABEL))} AS d FROM filtered))",
+        select="SELECT 'filter' AS what, name, n FROM (UNPIVOT fc ON COLUMNS(*) INTO NAME name VALUE n) "
+               "UNION ALL SELECT 'birth', name, n FROM (UNPIVOT lb ON COLUMNS(*) INTO NAME name VALUE n)",
+    ),
+)
+def intake_counts(spark, sf):
+    """O23, O24 in the flow: the four counts of the year filter, and the birth dates lost."""
+    from formlens.plans.intake import run_intake
+
+    base = shared_path(spark, "counts")
+    res = run_intake(spark, D.write_form_exports(form(spark, sf), base), YEAR)
+    long = lambda df, what, names: df.select(F.lit(what).alias("what"), F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("long").alias("n")) for n in names])))
+    lost = res.date_losses.where(F.col("date_column") == C.BIRTH_LABEL)
+    return long(res.year_counts, "filter", ["total", "null_or_invalid", "other_year", "kept"]).unionByName(long(lost, "birth", ["non_null", "parsed", "lost"]))
+
+
+@register("sink_two_years", _all_sql(select=_CLEANED_ALL_SELECT))
+def sink_two_years(spark, sf):
+    """Two writes of different years to one path; the second keeps the first's."""
+    path = shared_path(spark, "two-years")
+    c = cleaned_all(spark, sf)
+    early = F.coalesce(F.col("analysis_year"), F.lit(0)) < 1995
+    write_cleaned(c.where(early), path)
+    write_cleaned(c.where(~early), path)
+    return read_cleaned(spark, path).select("respondent_id", "file_id", *C.CLEANED_NAMES)
+
+
+def _auto_hist_sql() -> list[str]:
+    parts = _hist_sql(False)
+    parts[0] = "hc AS (SELECT analysis_year AS year, age AS x, count(*) AS c FROM aged WHERE age IS NOT NULL GROUP BY ALL)"
+    parts[1] = "hs AS (SELECT min(x) AS mn, max(x) AS mx, count(DISTINCT x) AS nd, (SELECT count(DISTINCT analysis_year) FROM aged) AS ny FROM hc)"
+    parts[2] = parts[2].replace("CAST(least", f"CAST(CASE WHEN ny > 1 THEN {C.HIST_MAX_BINS} ELSE least").replace("nd)) AS INTEGER) AS nb", "nd)) END AS INTEGER) AS nb")
+    return ["aged AS (SELECT analysis_year, CASE WHEN analysis_year = 1996 AND age < 17 THEN age END AS age FROM cleaned)", *parts]
+
+
+@register("age_histogram_auto", _all_sql(*_auto_hist_sql(), select=_HIST_SELECT))
+def age_histogram_auto(spark, sf):
+    """By year or not is decided over all rows, also of years without any age."""
+    c = cleaned_all(spark, sf).select("analysis_year", F.when((F.col("analysis_year") == 1996) & (F.col("age") < 17), F.col("age")).alias("age"))
+    return R.age_histogram(c)

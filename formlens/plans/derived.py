@@ -340,3 +340,27 @@ def write_form_exports(form: DataFrame, base: str) -> list[str]:
     even.write.mode("overwrite").options(**opts).csv(a)
     odd.write.mode("overwrite").options(**opts).csv(b)
     return [a, b]
+
+
+def write_lines(form: DataFrame, path: str, sep: str = ",", before: str = "", rename: dict[str, str] | None = None) -> None:
+    """Write a form as CSV text, a header record first in every file.
+
+    ``before`` stands before the header; ``rename`` gives headers as they are
+    to be written.
+    """
+    import csv
+    import io
+
+    import pyarrow as pa
+
+    head = io.StringIO()
+    csv.writer(head, delimiter=sep, lineterminator="").writerow([(rename or {}).get(c, c) for c in form.columns])
+    first = before + head.getvalue()
+    cells = F.struct(*[F.col(_q_spark(c)).cast("string").alias(f"c{i}") for i, c in enumerate(form.columns)])
+    lines = form.select(F.to_csv(cells, {"sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}).alias("value"))
+
+    def with_header(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([first])], names=["value"])
+        yield from batches
+
+    lines.mapInArrow(with_header, "value string").write.text(path)

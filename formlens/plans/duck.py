@@ -31,6 +31,7 @@ def strip_category(x: str, fill: str = C.FILL_VALUE) -> str:
 
 
 def parse_day_first(x: str) -> str:
+    """The usual shapes only: what the derived form holds (other shapes: query ``date_shapes``)."""
     s = strip_ws(f"CAST({x} AS VARCHAR)")
     day = f"split_part({s}, ' ', 1)"
     tpart = f"split_part({s}, ' ', 2)"

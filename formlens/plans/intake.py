@@ -1,10 +1,8 @@
 """End-to-end intake: detect, harmonise, validate, filter, build, report.
 
 ``run_intake`` is the whole flow over a folder (or list) of CSV exports, raw
-or cleaned, of any header layout.  Everything it returns is a lazy
-DataFrame except for three small driver-side steps: the header plan per
-distinct header list, the per-export analysis year, and the small report
-aggregate, each behind a size check.
+or cleaned, of any header layout, in one scan.  Structure is checked per
+file before any row is read.  What it returns are lazy DataFrames.
 """
 
 from __future__ import annotations
@@ -17,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formlens import config as C
-from formlens.functions import col_of
+from formlens.functions import col_of, parse_day_first
 from formlens.operators import clean as K
 from formlens.operators import headers as H
 from formlens.operators import metrics as M
 from formlens.operators import report as R
-from formlens.operators.common import FormValidationError, attach_small
-from formlens.sources import scan_exports
+from formlens.operators.common import FormValidationError
+from formlens.sources.scan import raise_named, scan_exports
 
 
 @dataclass
@@ -32,6 +30,10 @@ class IntakeResult:
     summary: DataFrame      # quality indicators (ord, indicator, value)
     findings: DataFrame     # validation findings on the harmonised headers
     plan: DataFrame         # rename plan per export file
+    changes: DataFrame      # headers that were renamed (file_id, pos, old, new)
+    unmatched: DataFrame    # headers without a target (file_id, pos, header)
+    year_counts: DataFrame  # raw rows: total, null_or_invalid, other_year, kept
+    date_losses: DataFrame  # per date column: non_null, parsed, lost
     make_report: Callable[[], DataFrame] = field(repr=False, default=None)
 
     @cached_property
@@ -45,54 +47,62 @@ def harmonised_headers(plan: DataFrame) -> DataFrame:
     return plan.select("file_id", "pos", F.coalesce("canonical", "header").alias("header"))
 
 
+def check_findings(findings: DataFrame) -> None:
+    """Raise if any file lacks a required column; names files and columns."""
+    errors = findings.where(F.col("severity") == "error").select(F.concat_ws(": ", F.col("file_id").cast("string"), "finding", "header").alias("what"))
+    raise_named(errors.orderBy("what"), "required columns missing (all are in the findings table)")
+
+
+def date_losses(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(date_column, non_null, parsed, lost)`` of each column, in one pass."""
+    parts = F.array(*[F.struct(F.lit(c).alias("date_column"), col_of(c).alias("v"), parse_day_first(col_of(c)).alias("d")) for c in columns])
+    return df.select(F.inline(parts)).groupBy("date_column").agg(
+        F.count("v").alias("non_null"), F.count("d").alias("parsed"), F.count_if(F.col("v").isNotNull() & F.col("d").isNull()).alias("lost"))
+
+
 def run_intake(spark: SparkSession, paths: list[str] | str, year: int, fill: str = C.FILL_VALUE,
-               mode: str = "safe", filter_by_year: bool = True, strict: bool = False,
+               mode: str = "safe", filter_by_year: bool = True, strict: bool = True,
                keep: list[str] | None = None, report_keys: list[str] | None = None,
-               file_col: str = "file_id", normalise_ints: bool = False) -> IntakeResult:
+               file_col: str = "file_id", normalise_ints: bool = False,
+               options: dict[str, str] | None = None, multi_line: bool = True) -> IntakeResult:
     """Run the whole flow on CSV exports.
 
     Raw exports are filtered to fill-in dates in ``year`` (when
     ``filter_by_year``) and projected through the mapping; cleaned exports
-    are read by their labels.  ``strict`` turns error findings into an
-    exception before any row is read.  Per-export analysis years group by
-    ``file_col`` when the exports carry such a column, else by source file.
+    are read by their labels.  ``strict`` (default) raises before any row is
+    read if a file lacks a required column, and if the filter leaves no row
+    of the raw exports.  Per-export analysis years group by ``file_col`` when
+    the exports carry such a column, else by source file.
     """
-    ex = scan_exports(spark, paths, mode)
-    rows, plan, kinds = ex.rows, ex.plan, ex.kinds
-    findings = H.schema_findings(harmonised_headers(plan), kinds)
+    ex = scan_exports(spark, paths, mode, options, keep=list(dict.fromkeys([*(keep or []), file_col])), multi_line=multi_line)
+    rows, plan = ex.rows, ex.plan
+    harmonised = harmonised_headers(plan)
+    findings = H.schema_findings(harmonised)
     if strict:
-        errors = findings.where(F.col("severity") == "error").limit(20).collect()
-        if errors:
-            listed = "; ".join(f"{r['file_id']}: {r['finding']} {r['header']!r}" for r in errors)
-            raise FormValidationError(f"exports do not have the required columns: {listed}")
-    by_kind = {r["kind"]: r["n"] for r in kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-    group = file_col if file_col in rows.columns else "source_file"
-    keep = [k for k in (keep or []) if k in rows.columns]
-    parts, inputs = [], []
-    if by_kind.get("raw"):
-        raw_files = kinds.where(F.col("kind") == "raw").select(F.col("file_id").alias("source_file"))
-        raw = attach_small(rows, raw_files, ["source_file"], "left_semi") if by_kind.get("cleaned") else rows
-        if filter_by_year:
-            raw = K.filter_year(raw, year)
-        inputs.append(raw)
-        parts.append(K.build_cleaned(raw, "raw", year, fill, file_col=group, keep=keep, normalise_ints=normalise_ints))
-    if by_kind.get("cleaned"):
-        cl_files = kinds.where(F.col("kind") == "cleaned").select(F.col("file_id").alias("source_file"))
-        cl = attach_small(rows, cl_files, ["source_file"], "left_semi") if by_kind.get("raw") else rows
-        inputs.append(cl)
-        parts.append(K.build_cleaned(cl, "cleaned", year, fill, file_col=group, keep=keep, normalise_ints=normalise_ints))
-    if not parts:
-        raise FormValidationError("no raw or cleaned exports found")
-    cleaned = parts[0]
-    for p in parts[1:]:
-        cleaned = cleaned.unionByName(p)
-    kind = "raw" if by_kind.get("raw") else "cleaned"
-    summary = M.quality_summary(inputs[0], cleaned, kind)
-    # the report computes the same quality counts within its single pass
+        check_findings(findings)
+    raw = F.col("kind") == "raw"
+    group = file_col if file_col in ex.keep else "source_file"
+    keep = [k for k in (keep or []) if k in ex.keep]
+    raw_rows = rows.where(raw)
+    source = rows
+    if filter_by_year:
+        filled = F.year(parse_day_first(col_of(C.FILLED_LABEL)))
+        source = rows.where(~raw | (filled == F.lit(int(year))))
+        if strict and not ex.files.where(raw).isEmpty():
+            K.raise_if_empty(source.where(raw), raw_rows, year)
+    cleaned = K.build_mixed(source, year, fill, group, [*keep, "kind"], normalise_ints)
+    names = harmonised.join(ex.files.select("file_id", "kind"), "file_id").where(~F.col("header").isin(list({*keep, file_col})))
+    width = names.groupBy("kind").agg(F.count_distinct("header").alias("columns_in"))
+    summary = M.mixed_summary(cleaned, width, len(C.CLEANED_NAMES))
+    out = cleaned.drop("kind")
+
+    # the report has the quality counts of its own pass over the rows
     def make_report() -> DataFrame:
-        return R.report_suite(cleaned, keys=report_keys, fill=fill, input_columns=len(inputs[0].columns), kind=kind)
+        return R.report_suite(out, summary, keys=report_keys, fill=fill)
 
-    return IntakeResult(cleaned=cleaned, summary=summary, findings=findings, plan=plan, make_report=make_report)
+    return IntakeResult(
+        cleaned=out, summary=summary, findings=findings, plan=plan, changes=H.change_log(plan), unmatched=H.unmatched_headers(plan),
+        year_counts=K.year_filter_counts(raw_rows, year), date_losses=date_losses(source, [C.FILLED_LABEL, C.BIRTH_LABEL]), make_report=make_report)
 
 
 @dataclass
@@ -101,48 +111,49 @@ class FrameResult(IntakeResult):
 
 
 def clean_dataframe(df: DataFrame, year: int, fill: str = C.FILL_VALUE, mode: str = "safe",
-                    filter_by_year: bool = True, strict: bool = False, keep: list[str] | None = None,
+                    filter_by_year: bool = True, strict: bool = True, keep: list[str] | None = None,
                     file_col: str | None = "file_id", report_keys: list[str] | None = None,
                     normalise_ints: bool = False) -> FrameResult:
-    """The documented flow on one DataFrame: detect, harmonise, validate, build.
+    """The documented flow on one DataFrame (of any source): detect, harmonise, validate, build.
 
     The frame's column list becomes a one-file header table (metadata only);
     kind detection and the rename plan run on it, the columns are renamed
-    one-to-one (``withColumnsRenamed``), findings are checked, and the rows
-    go through the year filter (raw) and the cleaned-table build.  Columns in
-    ``keep`` (and ``file_col``) are carried through untouched.
+    one-to-one, findings are checked, and the rows go through the year filter
+    (raw) and the cleaned-table build.  Columns in ``keep`` (and
+    ``file_col``) are carried through untouched.
     """
-    from formlens.sources.scan import column_names
-
     if mode != "safe":
         raise ValueError("rows are only renamed with the safe harmonisation mode; greedy is for plan comparison")
     spark = df.sparkSession
-    carried = [c for c in (keep or []) + ([file_col] if file_col else []) if c in df.columns]
+    carried = [c for c in dict.fromkeys([*(keep or []), *([file_col] if file_col else [])]) if c in df.columns]
     data_cols = [c for c in df.columns if c not in carried]
     headers = spark.createDataFrame([(0, i, h) for i, h in enumerate(data_cols, start=1)],
                                     "file_id int, pos int, header string")
-    headers = H.prepare_headers(headers)  # normalised once for detection and plan
-    kinds = H.file_kinds(headers)
-    kind = kinds.first()["kind"]
+    files = H.by_file(headers)
+    kind = files.first()["kind"]
     if kind == "unknown":
         raise FormValidationError("the frame is neither a raw nor a cleaned export")
-    plan = H.header_plan(headers, mode, kinds)
-    names = column_names(plan.collect(), data_cols)
-    renamed = df.select(*[F.col(c) for c in carried],
-                        *[col_of(c).alias(n) for c, n in zip(data_cols, names)])
-    findings = H.schema_findings(harmonised_headers(plan), kinds)
+    planned = sorted(H.header_plan(files, mode).collect(), key=lambda r: r["pos"])  # one row per column of this frame
+    plan = spark.createDataFrame(planned, "file_id int, pos int, header string, canonical string, layer string, status string")
+    # known columns under their canonical names; every other one stays behind
+    taken = [(r["header"], r["canonical"]) for r in planned if r["canonical"] is not None]
+    renamed = df.select(*[F.col(c) for c in carried], *[col_of(old).alias(new) for old, new in taken])
+    findings = H.schema_findings(harmonised_headers(plan))
     if strict:
-        errors = findings.where(F.col("severity") == "error").collect()
-        if errors:
-            raise FormValidationError("missing required columns: " + ", ".join(repr(r["header"]) for r in errors))
+        check_findings(findings)
     source = K.filter_year(renamed, year) if kind == "raw" and filter_by_year else renamed
+    if strict and kind == "raw" and filter_by_year:
+        K.raise_if_empty(source, renamed, year)
     group = file_col if file_col in source.columns else None
     cleaned = K.build_cleaned(source, kind, year, fill, file_col=group, keep=[k for k in (keep or []) if k in carried],
                               normalise_ints=normalise_ints)
-    summary = M.quality_summary(source, cleaned, kind)
+    summary = M.quality_summary(len(data_cols), cleaned, kind, len(C.CLEANED_NAMES))
 
     def make_report() -> DataFrame:
-        return R.report_suite(cleaned, keys=report_keys, fill=fill, input_columns=len(source.columns), kind=kind)
+        return R.report_suite(cleaned, summary, keys=report_keys, fill=fill)
 
-    return FrameResult(cleaned=cleaned, summary=summary, findings=findings, plan=plan,
-                       make_report=make_report, kind=kind)
+    dates = [c for c in (C.FILLED_LABEL, C.BIRTH_LABEL) if c in renamed.columns]
+    return FrameResult(
+        cleaned=cleaned, summary=summary, findings=findings, plan=plan, changes=H.change_log(plan), unmatched=H.unmatched_headers(plan),
+        year_counts=K.year_filter_counts(renamed, year) if C.FILLED_LABEL in renamed.columns else None, date_losses=date_losses(renamed, dates) if dates else None,
+        make_report=make_report, kind=kind)

@@ -9,6 +9,7 @@ has configured (shuffle partitions, checkpoint folder, broadcast threshold).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -31,6 +32,9 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # the cleaning projection is wide: above this size the JVM does not compile a generated
+        # method, so Spark's own limit is set to it (worth setting on a cluster, too)
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -48,13 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, object
-    store); we read it and never replace it.  Only local runs (tests) without
-    that setting get a fresh folder under the system temp directory.
+    store); we read it and never replace it, and its absence is an error.  Only
+    local runs (tests) without that setting get a fresh folder under the system
+    temp directory.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="formlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():

@@ -4,189 +4,192 @@ Exports from different years have different header lists.  A plain
 ``spark.read.csv(dir, header=True)`` would apply the first file's header to
 all of them, so the scan works in two steps:
 
-1. Header discovery, one distributed job: the first line of every file
-   (``_metadata.file_block_start = 0``, the lowest row id within its split)
-   is parsed by an Arrow-batched CSV-line parser into the header table
-   ``(file_id, pos, header)`` with ``file_id`` = file path.
-2. Files are grouped by header fingerprint.  Each distinct header list is
-   harmonised once (``operators.headers.header_plan``) and read with one
-   scan over all its files, with a positional all-string schema, then named
-   by the plan.  The groups are stacked with ``unionByName``.
-
-So the number of scans is the number of distinct header lists, not the
-number of files, and no data row passes through the driver.
+1. Header discovery, one distributed job with a task for each file: it reads
+   the first record (a record, not a line: headers may hold line breaks) and
+   stops.  A file without any record is named in an error.
+2. One scan over all files, by position.  Each file has a layout (its ordered
+   header list); a layout says where each known column stands.  Rows get
+   their file's layout by equi-joins with small stored tables (broadcast by
+   Spark's own threshold on their size), and pick their cells by it.
+
+Neither paths nor layouts pass through the driver, and the plan does not
+grow with the number of files or layouts.  Only known columns (the targets
+of harmonisation) and those asked for are read, so identifiers stay behind.
 """
 
 from __future__ import annotations
 
 import csv
-import io
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from formlens import config as C
 from formlens.operators import headers as H
-from formlens.operators.common import FormValidationError, materialize_small
-from formlens.session import ensure_checkpoint_dir
-
-# Upper bound on header cells per export used to size the header table
-# from the file count (the raw form has 63 columns).
-MAX_COLUMNS_PER_FILE = 256
+from formlens.operators.common import FormValidationError, reused
 
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",
     "escape": '"',
+    "quote": '"',
+    "sep": ",",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "enforceSchema": "true",
     "encoding": "UTF-8",
 }
 
+# Every column that harmonisation can name, in fixed order (both kinds).
+KNOWN_COLUMNS = list(dict.fromkeys([*H.TARGETS["raw"], *C.CLEANED_COLUMNS]))
+
+# Larger than any file: no file is split, and no two share a task.
+_WHOLE_FILE = str(1 << 50)
 
-def _parse_lines(lines: pd.Series) -> pd.Series:
-    out = []
-    for line in lines:
-        if line is None:
-            out.append([])
-            continue
-        text = line[1:] if line.startswith("﻿") else line
-        out.append(next(csv.reader(io.StringIO(text)), []))
-    return pd.Series(out)
 
+def first_record(lines: Iterable[bytes], sep: str, quote: str, encoding: str) -> list[str] | None:
+    """The first record that is not blank; ``None`` if there is none."""
+    def decoded() -> Iterator[str]:
+        for i, line in enumerate(lines):
+            text = line.decode(encoding, "replace")
+            yield (text.removeprefix("﻿") if i == 0 else text) + "\n"
 
-_parse_udf = F.pandas_udf(_parse_lines, T.ArrayType(T.StringType()))
+    for record in csv.reader(decoded(), delimiter=sep, quotechar=quote):
+        if any(cell.strip() for cell in record):
+            record[-1] = record[-1].rstrip("\r\n")
+            return record
+    return None
 
 
-def header_table(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """``(file_id, pos, header)`` for every CSV file under ``paths``.
+def header_table(spark: SparkSession, paths: list[str] | str, options: dict[str, str] | None = None) -> DataFrame:
+    """``(file_id, pos, header)`` for every file under ``paths``, written to the shared folder.
 
-    Only the first split of each file contributes a row; the header line is
-    the row with the lowest id in that split.  Empty header cells get the
-    spreadsheet-style name ``Unnamed: <index>``.
+    Separator, quote and encoding are those of the row scan (an encoding whose
+    line breaks are those of ASCII).  Empty header cells get the
+    spreadsheet-style name ``Unnamed: <index>``.  Files without a record are
+    an error.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = (
-        spark.read.text(paths)
-        .select(
-            F.col("_metadata.file_path").alias("file_id"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.col("value"),
-            F.monotonically_increasing_id().alias("rid"),
-        )
-        .where(F.col("start") == 0)
-    )
-    first = lines.groupBy("file_id").agg(F.min_by("value", "rid").alias("line"))
-    cells = first.select("file_id", F.posexplode(_parse_udf(F.col("line"))).alias("p", "header"))
-    return cells.select(
+    opts = CSV_OPTIONS | (options or {})
+    sep, quote = opts.get("sep") or opts["delimiter"], opts["quote"]
+    encoding = opts["encoding"]
+    # a session of its own for the settings that give each file one task
+    probe = spark.newSession()
+    probe.conf.set("spark.sql.files.maxPartitionBytes", _WHOLE_FILE)
+    probe.conf.set("spark.sql.files.openCostInBytes", _WHOLE_FILE)
+    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+
+    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((b for b in batches if b.num_rows), None)
+        if first is None:
+            return
+
+        def lines() -> Iterator[bytes]:
+            yield from first.column("value").to_pylist()
+            for batch in batches:
+                yield from batch.column("value").to_pylist()
+
+        record = first_record(lines(), sep, quote, encoding)
+        if record is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([first.column("file_id")[0].as_py()]), pa.array([record])], names=["file_id", "cells"])
+
+    text = probe.read.text(paths).select(F.col("_metadata.file_path").alias("file_id"), F.col("value").cast("binary").alias("value"))
+    cells = text.mapInArrow(head, "file_id string, cells array<string>").select("file_id", F.posexplode("cells").alias("p", "header"))
+    found = cells.select(
         "file_id",
         (F.col("p") + 1).cast("int").alias("pos"),
-        F.when(F.col("header") == "", F.concat(F.lit("Unnamed: "), F.col("p").cast("string")))
-        .otherwise(F.col("header")).alias("header"),
+        F.when(F.trim("header") == "", F.concat(F.lit("Unnamed: "), F.col("p").cast("string"))).otherwise(F.col("header")).alias("header"),
     )
+    path = reused(found, "headers")
+    listed = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file_id"))
+    lost = listed.join(path.select("file_id").distinct(), "file_id", "left_anti")
+    raise_named(lost, "export files without a header record")
+    return path
 
 
-def _fingerprints(headers: DataFrame) -> DataFrame:
-    """One row per file: ordered header list and its fingerprint."""
-    lists = headers.groupBy("file_id").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "header"))), lambda s: s["header"]).alias("headers")
-    )
-    return lists.withColumn("fp", F.sha2(F.to_json("headers"), 256))
-
-
-def column_names(plan_rows: list, headers: list[str]) -> list[str]:
-    """Final column names for one header list from its plan rows.
-
-    Winners take their canonical name; other headers keep their own name
-    when it is unique, else a positional ``_c<i>`` name (as a CSV reader
-    names unnamed columns).
-    """
-    won = {r["pos"]: r["canonical"] for r in plan_rows if r["canonical"] is not None}
-    names, seen = [], set()
-    for i, h in enumerate(headers, start=1):
-        name = won.get(i, h)
-        if name in seen or name in won.values() and i not in won:
-            name = f"_c{i - 1}"
-        seen.add(name)
-        names.append(name)
-    return names
+def raise_named(bad: DataFrame, what: str, show: int = 20) -> None:
+    """Raise if ``bad`` (first column: what to name) has rows; states how many."""
+    named = [str(r[0]) for r in bad.limit(show).collect()]
+    if named:
+        total = bad.count()
+        more = f" and {total - len(named)} more" if total > len(named) else ""
+        raise FormValidationError(f"{total} {what}: {', '.join(named)}{more}")
 
 
 @dataclass
 class Exports:
-    rows: DataFrame      # harmonised columns + ``source_file``
+    rows: DataFrame      # known columns, asked-for columns, ``source_file``, ``kind``, ``has_year``
+    files: DataFrame     # one row per file with its headers and kind (``headers.by_file``)
     plan: DataFrame      # rename plan per file (file_id = source_file)
-    headers: DataFrame   # discovered header table (materialised)
-    kinds: DataFrame     # detected kind per file (materialised)
+    keep: list[str]      # asked-for columns that some file has
 
 
-def read_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe",
-                 options: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+def _layouts(files: DataFrame, plan: DataFrame, columns: list[str]) -> DataFrame:
+    """Per file: its kind and the position of each of ``columns`` (null where it lacks one).
+
+    Winners of the plan stand for their canonical name; another header stands
+    for its own name, the first of equal ones, if no winner has it.
+    """
+    own = plan.select("file_id", "pos", F.coalesce("canonical", "header").alias("name"), F.col("canonical").isNull().alias("other"))
+    named = own.where(F.col("name").isin(columns) & (~F.col("other") | ~F.col("name").isin(KNOWN_COLUMNS)))
+    places = named.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("name", "other", "pos"))).alias("p"))
+    position = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: F.try_element_at(F.filter("p", lambda x: x["name"] == c), F.lit(1))["pos"])
+    kinds = files.select("file_id", "kind")
+    return kinds.join(places, "file_id", "left").select("file_id", "kind", F.coalesce(position, F.array().cast("array<int>")).alias("positions"))
+
+
+def read_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe", options: dict[str, str] | None = None,
+                 keep: list[str] | None = None, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
     """Scan CSV exports with drifting headers into one DataFrame.
 
-    Returns ``(rows, plan)``: ``rows`` has harmonised column names plus
-    ``source_file`` (the file path, the plan's ``file_id``); ``plan`` is the
-    rename plan of every file.  Exports of unknown kind are an error.
+    Returns ``(rows, plan)``: ``rows`` has the known columns by their
+    canonical names, the columns of ``keep``, ``source_file`` (the plan's
+    ``file_id``) and ``kind``; ``plan`` is the rename plan of every file.
     """
-    ex = scan_exports(spark, paths, mode, options)
+    ex = scan_exports(spark, paths, mode, options, keep, multi_line)
     return ex.rows, ex.plan
 
 
-def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe",
-                 options: dict[str, str] | None = None) -> Exports:
-    """``read_exports`` with the header table and file kinds kept for reuse.
+def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe", options: dict[str, str] | None = None,
+                 keep: list[str] | None = None, multi_line: bool = True) -> Exports:
+    """``read_exports`` with headers and kinds kept for reuse.
 
-    Header discovery reads each file once as text; its result (one row per
-    column per file) and the kinds (one row per file) are materialised with
-    a size check, so validation and the row scans do not repeat it.
+    ``multi_line=False`` says that no record holds a line break; large files
+    are then split.  Exports of unknown kind are an error.
     """
     if mode != "safe":
         # greedy matching can rename an identifier column into a cleaned one;
         # it exists to compare plans (operators.headers.header_plan), never to read rows
         raise ValueError("rows are only read with the safe harmonisation mode; use header_plan(..., 'greedy') to compare")
-    opts = dict(CSV_OPTIONS, **(options or {}))
-    discovered = header_table(spark, paths)
-    # The file listing (driver metadata, no job) bounds the header table:
-    # small enough -> held on the driver; else checkpointed to the shared
-    # folder without a first collect.
-    n_files = len(spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles())
-    small = n_files * MAX_COLUMNS_PER_FILE <= H.LOCAL_HEADER_ROWS
-    if small:
-        headers = materialize_small(discovered, H.LOCAL_HEADER_ROWS)
-    else:
-        ensure_checkpoint_dir(spark)
-        headers = discovered.checkpoint(eager=True)
-    prepared = H.prepare_headers(headers, known_small=small)  # normalised once, reused below
-    kinds = materialize_small(H.file_kinds(prepared))
-    unknown = kinds.where(F.col("kind") == "unknown").select("file_id").limit(5).collect()
-    if unknown:
-        raise FormValidationError(f"exports of unknown kind: {[r['file_id'] for r in unknown]}")
-    plan = H.header_plan(prepared, mode, kinds)
-    # one row per distinct header list: its files and the plan of one
-    # representative file (the plan is the same for every file of the list)
-    groups = _fingerprints(headers).groupBy("fp").agg(
-        F.first("headers").alias("headers"), F.collect_list("file_id").alias("files"),
-        F.min("file_id").alias("file_id"),
-    )
-    rep_plans = plan.groupBy("file_id").agg(F.collect_list(F.struct("pos", "canonical")).alias("plan"))
-    frames = []
-    for g in groups.join(rep_plans, "file_id", "left").collect():
-        hdrs = list(g["headers"])
-        names = column_names(list(g["plan"] or []), hdrs)
-        schema = T.StructType([T.StructField(f"_p{i}", T.StringType()) for i in range(len(hdrs))])
-        df = spark.read.options(**opts).schema(schema).csv(list(g["files"]))
-        frames.append(
-            df.select(
-                F.col("_metadata.file_path").alias("source_file"),
-                *[F.col(f"_p{i}").alias(n) for i, n in enumerate(names)],
-            )
-        )
-    if not frames:
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    opts = CSV_OPTIONS | {"multiLine": str(multi_line).lower()} | (options or {})
+    headers = header_table(spark, paths, options)
+    files = reused(H.by_file(headers), "files")
+    raise_named(files.where(F.col("kind") == "unknown").select("file_id").orderBy("file_id"), "exports of unknown kind")
+    plan = reused(H.header_plan(files, mode), "plan")
+    width = headers.agg(F.max("pos")).first()[0]
+    if width is None:
         raise FormValidationError("no export files to read")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return Exports(rows=out, plan=plan, headers=headers, kinds=kinds)
+    keep = [k for k in (keep or []) if k not in KNOWN_COLUMNS]
+    present = {r[0] for r in headers.where(F.col("header").isin(keep)).select("header").distinct().collect()} if keep else set()
+    keep = [k for k in keep if k in present]  # at most the names asked for
+    columns = [*KNOWN_COLUMNS, *keep]
+    # few layouts, many files: rows first get their file's layout, then its positions
+    per_file = reused(_layouts(files, plan, columns).withColumn("layout", F.md5(F.to_json(F.struct("kind", "positions")))), "positions")
+    # stored tables: their sizes are known when the joins are planned
+    layout_of = reused(per_file.select(F.col("file_id").alias("source_file"), "layout"), "layout-of")
+    layouts = reused(per_file.groupBy("layout").agg(F.first("kind").alias("kind"), F.first("positions").alias("positions")), "layouts")
+    schema = T.StructType([T.StructField(f"_p{i}", T.StringType()) for i in range(width)])
+    cells = spark.read.options(**opts).schema(schema).csv(paths).select(
+        F.col("_metadata.file_path").alias("source_file"), F.array(*[F.col(f"_p{i}") for i in range(width)]).alias("cells"))
+    placed = cells.join(layout_of, "source_file").join(layouts, "layout")
+    rows = placed.select(
+        "source_file", "kind", F.col("positions")[columns.index(C.YEAR_LABEL)].isNotNull().alias("has_year"),
+        *[F.get("cells", F.get("positions", F.lit(i)) - 1).alias(c) for i, c in enumerate(columns)],
+    )
+    return Exports(rows=rows, files=files, plan=plan, keep=keep)
+
+
+__all__ = ["KNOWN_COLUMNS", "Exports", "first_record", "header_table", "raise_named", "read_exports", "scan_exports"]

@@ -3,8 +3,8 @@
 Exports arrive as files in a folder.  A file stream lists new files
 (``binaryFile`` with only the path selected, so file contents are not read
 by the stream itself); ``foreachBatch`` runs the batch intake on each
-micro-batch's files: header discovery and harmonisation
-(``sources.read_exports``), then the cleaned-table build, written to
+micro-batch's files (``plans.intake.run_intake``: raw and cleaned exports,
+findings, year filter, build), written to
 ``<sink>/batch_id=<n>/analysis_year=<y>``.
 
 Every micro-batch writes its own folder with ``overwrite``, so a batch that
@@ -20,33 +20,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from formlens.operators.clean import build_cleaned
-from formlens.sources import read_exports, write_cleaned
+from formlens.plans.intake import run_intake
 
 
 def process_exports(spark: SparkSession, paths: list[str], sink: str, batch_id: int, year: int,
-                    kind: str = "raw", file_col: str | None = "file_id", keep: list[str] | None = None) -> None:
-    rows, _plan = read_exports(spark, paths)
-    file_col = file_col if file_col in rows.columns else "source_file"
-    cleaned = build_cleaned(rows, kind, year, file_col=file_col, keep=keep)
-    write_cleaned(cleaned, f"{sink.rstrip('/')}/batch_id={batch_id}")
+                    file_col: str = "file_id", keep: list[str] | None = None, filter_by_year: bool = True, strict: bool = True) -> None:
+    """The batch flow on the files of one micro-batch: raw and cleaned, checked and filtered."""
+    res = run_intake(spark, paths, year, file_col=file_col, keep=keep, filter_by_year=filter_by_year, strict=strict)
+    folder = f"{sink.rstrip('/')}/batch_id={batch_id}"
+    # a replayed batch replaces all of its folder, also years it no longer has
+    res.cleaned.write.mode("overwrite").partitionBy("analysis_year").parquet(folder)
 
 
 def start_intake(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, year: int,
-                 kind: str = "raw", file_col: str | None = "file_id", keep: list[str] | None = None,
-                 available_now: bool = True, max_files_per_trigger: int | None = None,
+                 file_col: str = "file_id", keep: list[str] | None = None,
+                 filter_by_year: bool = True, strict: bool = True,
+                 available_now: bool = True, max_files_per_trigger: int = 1000,
                  glob: str = "*.csv") -> StreamingQuery:
-    """Start the intake stream; ``available_now`` processes what is there and stops."""
+    """Start the intake stream; ``available_now`` processes what is there and stops.
+
+    A micro-batch takes ``max_files_per_trigger`` files at most, which bounds
+    the list of paths that each batch hands to its scan.
+    """
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.load(source_dir).select("path")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        paths = [r["path"] for r in batch.collect()]  # one row per new file
+        paths = [r["path"] for r in batch.collect()]  # bounded by max_files_per_trigger
         if paths:
-            process_exports(spark, paths, sink, batch_id, year, kind, file_col, keep)
+            process_exports(spark, paths, sink, batch_id, year, file_col, keep, filter_by_year, strict)
 
     writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

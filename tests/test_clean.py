@@ -127,12 +127,18 @@ def test_with_labels_roundtrip(spark):
     assert out.columns == C.CLEANED_COLUMNS
 
 
-def test_strict_mode_raises_when_nothing_is_left(spark):
-    obs = Observation("strict")
-    kept = K.filter_year(raw_export(spark, ROWS), 1990, observation=obs)
-    assert kept.count() == 0
-    with pytest.raises(FormValidationError):
-        K.raise_if_empty(obs, 1990)
+def test_empty_result_is_an_error_with_the_counts(spark):
+    rows = raw_export(spark, ROWS)
+    with pytest.raises(FormValidationError, match="total 5, null_or_invalid 1, other_year 4, kept 0"):
+        K.raise_if_empty(K.filter_year(rows, 1990), rows, 1990)
+    K.raise_if_empty(K.filter_year(rows, 2025), rows, 2025)
+
+
+def test_bad_year_values_are_null(spark):
+    labels = [c for c in C.CLEANED_COLUMNS if c not in C.OPTIONAL_CLEANED]
+    rows = [tuple(v if c == C.YEAR_LABEL else "x" for c in labels) for v in ("99999999999", "2024", "?", None)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} string" for i in range(len(labels)))).toDF(*labels)
+    assert sorted(str(r["analysis_year"]) for r in K.build_cleaned(df, "cleaned", 2025).collect()) == ["2024", "None", "None", "None"]
 
 
 def test_year_warnings(spark):

@@ -13,7 +13,6 @@ from formlens.functions import (
     age_at_year_end,
     clean_category,
     coerce_number,
-    fold_text,
     normalize_text,
     parse_day_first,
     render_int_float,
@@ -136,11 +135,6 @@ def test_normalize_text_rule():
     assert normalize_text("ﬁn") == "fin"  # NFKD compatibility decomposition
 
 
-def test_fold_text_equals_header_rule_on_latin(spark):
-    got = run(spark, HEADERS, fold_text)
-    assert got == [normalize_text(h) for h in HEADERS]
-
-
 def test_fold_table_built_by_rule():
     from formlens.functions.text import FOLD_FROM, FOLD_TO
 

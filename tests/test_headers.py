@@ -81,7 +81,7 @@ def test_fuzzy_follows_difflib_argument_order():
     cands = list(H.norm_map(C.MANDATORY_RAW + [C.SUBMITTED_LABEL]))
     word = normalize_text("¿Tienes EPS?")
     hit = difflib.get_close_matches(word, cands, n=1, cutoff=0.6)
-    canonical, score = H.fuzzy_best(word, "raw")
+    canonical, score, _ = H.fuzzy_best(word, "raw")
     assert hit and canonical == H.norm_map(C.MANDATORY_RAW)[hit[0]]
     sm = difflib.SequenceMatcher(None, hit[0], word)
     assert score == pytest.approx(sm.ratio())
@@ -114,3 +114,31 @@ def test_schema_diff_duplicates_keep_last_spelling(spark):
     assert extras == [(3, "Otra")]
     matched = [r["header"] for r in rows if r["status"] == "match"]
     assert matched == ["Estamento"]
+
+
+def _drifted(header):
+    """Spellings of one header: articles, order, length, case, punctuation."""
+    words = header.replace("(", " ").replace(")", " ").split()
+    yield from (header.upper(), header + " ", header.replace(" de ", " de la "), header.replace(" de ", " del "), header.replace(" de ", " "), header + " (actual)", "Tu " + header.lower(), " ".join(words[:5]), header.rstrip("?") + ":", header.replace("o", "0", 1))
+
+
+@pytest.mark.parametrize("target", ["raw", "cleaned"])
+def test_no_drifted_identifier_becomes_a_column(spark, target):
+    # each target is missing in turn, so that any of them is free to be taken
+    spellings = [s for h in C.IDENTIFIER_RAW for s in _drifted(h)]
+    for s in spellings:
+        canonical, score, unsafe = H.fuzzy_best(normalize_text(s), target)
+        assert canonical is None or unsafe, (s, canonical, score)
+
+
+def test_address_with_other_words_is_not_the_neighbourhood():
+    for s in ("Dirección residencia", "Dirección de la residencia", "Dirección del residencia", "Direccion residencial", "Dirección donde reside"):
+        canonical, _, unsafe = H.fuzzy_best(normalize_text(s), "raw")
+        assert canonical is None or unsafe
+
+
+def test_structure_check(spark):
+    files = {1: C.RAW_COLUMNS, 2: [*C.RAW_COLUMNS[1:], "Nueva"], 3: list(reversed(C.RAW_COLUMNS))}
+    got = {r["file_id"]: r for r in H.structure_check(table(spark, files)).collect()}
+    assert [got[i]["exact"] for i in (1, 2, 3)] == [True, False, False]
+    assert (got[2]["missing"], got[2]["extra"], got[3]["n_missing"]) == (C.RAW_COLUMNS[0], "Nueva", 0)

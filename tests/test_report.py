@@ -69,7 +69,7 @@ def test_report_suite_shape(spark):
 
     from formlens import config as C
 
-    names = [C.LABEL_TO_NAME[C.REPORT_CATALOGUE[k][0]] for k in C.REPORT_CATALOGUE]
+    names = [C.LABEL_TO_NAME[C.REPORT_CATALOGUE[k]] for k in C.REPORT_CATALOGUE]
     rows = [tuple(["v%d" % (i % 3)] * len(names)) + (2025, float(20 + i), dt.datetime(2000, 1, 1)) for i in range(12)]
     df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names) + ", analysis_year int, age double, birth_date timestamp_ntz")
     out = R.report_suite(df, input_columns=40, keys=["edad", "sede", "nope"])
@@ -83,7 +83,7 @@ def test_report_suite_shape(spark):
 def test_empty_inputs(spark):
     from formlens import config as C
 
-    names = [C.LABEL_TO_NAME[C.REPORT_CATALOGUE[k][0]] for k in C.REPORT_CATALOGUE]
+    names = [C.LABEL_TO_NAME[C.REPORT_CATALOGUE[k]] for k in C.REPORT_CATALOGUE]
     schema = ", ".join(f"{n} string" for n in names) + ", analysis_year int, age double, birth_date timestamp_ntz"
     empty = spark.createDataFrame([], schema)
     assert R.age_histogram(empty).count() == 0
