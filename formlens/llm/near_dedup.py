@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import add_columns, text_bytes, without, written
+from .common import add_columns, emit, text_bytes, without, written
 from .graph import components
 
 SHINGLE = 5
@@ -54,6 +54,7 @@ VALUES = TREES * MIN_DEPTH
 REGION = 8
 CLUSTER_SHINGLES = 4_000_000  # of the sets that meet in one task
 ROWS_PER_PART = 250_000
+MEMBER_BITS = 1 << 26  # of a bitmap that is broadcast
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 KNOWN_WORDS = 500_000
 
@@ -249,27 +250,46 @@ def _confirm_pairs(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFr
     return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: int, cluster_shingles: int) -> DataFrame:
-    """``node`` and ``label`` of the nodes of all candidates, by confirmed links."""
-    clusters = components(pairs).withColumnRenamed("label", "cluster")
-    members = nodes.join(clusters, "node")
-    weights = members.groupBy("cluster").agg(F.ceil(F.sum("n") / cluster_shingles).cast("int").alias("blocks"))
-    members = written(members.join(weights, "cluster").select("cluster", "blocks", "node", F.col("doc_id").alias("_doc"), F.col("set_key").alias("_key")), "members")
+def _member_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
+    """``cluster``, ``blocks``, ``node`` and ``shingles`` of the members.
+
+    A bitmap of hashed ids, of ``MEMBER_BITS`` bits at most, tells nearly all
+    other documents apart before anything is shuffled; the join decides.
+    """
+    spark = docs.sparkSession
+    bits = min(MEMBER_BITS, 1 << (16 * members.count() + 1024).bit_length())
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    words = members.select(place.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("long").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS int))")).alias("v"))
+    bitmap = np.zeros(bits // 64, dtype=np.int64)
+    for row in words.toLocalIterator():
+        bitmap[row["w"]] = row["v"]
+    shared = spark.sparkContext.broadcast(bitmap)
 
     def make():
         shingles = Shingles(shingle)
-        return lambda batch: [pa.array([shingles(t).tobytes() for t in text_bytes(batch)], pa.binary())]
 
-    # texts of the members, by the id of the first row of each set; a row of the same id with another text is no member
-    texts = add_columns(docs.select("doc_id", "text").join(members, F.col("doc_id").eqNullSafe(F.col("_doc"))).drop("doc_id", "_doc"), "shingles binary", make)
+        def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+            at = batch.column("p").to_numpy()
+            batch = batch.filter(pa.array((shared.value[at >> 6] >> (at & 63)) & 1 == 1))
+            found = [shingles(t).tobytes() for t in text_bytes(batch)]
+            keys = [hashlib.blake2b(s, digest_size=16).digest() for s in found]
+            return {"set_key": pa.array(keys, pa.binary()), "shingles": pa.array(found, pa.binary()), "doc_id": batch.column("doc_id").cast(pa.int64())}
 
-    def own(batches):
-        for batch in batches:
-            keys = [hashlib.blake2b(s, digest_size=16).digest() for s in batch.column("shingles").to_pylist()]
-            yield batch.filter(pa.array([k == x for k, x in zip(keys, batch.column("_key").to_pylist())], pa.bool_()))
+        return compute
 
-    texts = texts.drop("text")
-    sets = written(texts.mapInArrow(own, texts.schema).drop("_key").dropDuplicates(["node"]), "sets")
+    found = emit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", place.alias("p")), "doc_id long, set_key binary, shingles binary", make)
+    # a row of the same id with another text is no member; equal rows do no harm later
+    joined = found.join(members.withColumnsRenamed({"doc_id": "_doc", "set_key": "_key"}), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("set_key") == F.col("_key")))
+    return joined.select("cluster", "blocks", "node", "shingles")
+
+
+def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: int, cluster_shingles: int) -> DataFrame:
+    """``node`` and ``label`` of the nodes of all candidates, by confirmed links."""
+    clusters = components(pairs).withColumnRenamed("label", "cluster")
+    members = nodes.join(clusters, "node")
+    weights = members.groupBy("cluster").agg(F.ceil(F.sum("n") / cluster_shingles).cast("int").alias("blocks"))
+    members = written(members.join(weights, "cluster").select("cluster", "blocks", "node", "doc_id", "set_key"), "members")
+    sets = written(_member_sets(docs, members, shingle), "sets")
     block = lambda node: F.pmod(F.xxhash64(node), F.col("blocks")).cast("int")
     placed = pairs.join(members.select(F.col("node").alias("a"), "cluster", "blocks"), "a").select("cluster", "a", "b", block("a").alias("block"), block("b").alias("other"))
     rows = sets.select("cluster", block("node").alias("block"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "shingles").unionByName(
