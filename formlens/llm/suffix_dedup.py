@@ -42,7 +42,7 @@ GRAM = 32
 SLAB = 2 << 20  # bytes that are hashed at once
 BUCKET_BYTES = 64 << 20  # of text, whose stretches meet in step 2
 INDEX_BYTES = 2 << 20  # of text in one index
-HOT_TEXTS = 2_000  # different texts of one hash, from which its windows go out singly
+HOT_TEXTS = 8_000  # different texts of one hash, from which its windows go out singly
 KNOWN_TEXTS = 200_000
 COLUMNS = ["n_bytes", "n_removed", "spans", "kept_bytes", "kept_text"]
 
