@@ -23,6 +23,7 @@ rows are packed row by row; without rows there are no pieces.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -38,35 +39,79 @@ from .common import slabs, without, written
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 400_000
+SLAB = 4 << 20  # bytes of text that are tokenized at once
+CACHE_WORDS = 1_000_000  # of each kind that a task remembers: some 200 MB
 #: Blanks at which a text may be cut before it is tokenized (the tokenizer drops all white space).
 CHUNK = re.compile("[^ \n\t\r]+")
+#: Chunks with other characters than these can't be split into runs: no accents apart from their
+#: letters, no apostrophes (contractions) and no bars (special tokens).
+NOT_PLAIN = re.compile("[^\n]*[^\n!-&(-{}~À-ÖØ-öø-ÿ][^\n]*")
+RUN = re.compile("\n|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@[-`{}~]+")
 PIECES = "piece int, start long, length long, ids_crc32 long, _part int, _rank long"
 
 
 class ChunkTokenizer:
     """Token ids of a text as little-endian 32-bit bytes.
 
-    The tokenizer drops white space, so the ids of a text are those of its
-    chunks between blanks, one after the other; known chunks are remembered.
+    The tokenizer drops white space and splits what is left before it merges,
+    so the ids of a text are those of its chunks between blanks, one after the
+    other.  Plain chunks are split further, into runs of letters, digits and
+    marks; thousands of new ones are encoded in one call, in which the tokens
+    that end a word show where each of them ends.  Known ones are remembered.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        for k in range(0, len(runs), 10_000):
+            part = runs[k : k + 10_000]
+            texts = [" ".join(part[i : i + 200]) for i in range(0, len(part), 200)]
+            ids = np.array([i for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], dtype="<u4")
+            cuts = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(cuts) == len(part):
+                raw, ends = ids.tobytes(), (4 * cuts).tolist()
+                self.runs.update(zip(part, (raw[a:b] for a, b in zip([0, *ends], ends))))
+            else:  # words without an end token: a tokenizer of another kind
+                self.runs.update((r, self._encode(r).tobytes()) for r in part)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remembers the ids of chunks; all of them are split in one go, a line feed (which none has) between two."""
+        joined = "\n".join(chunks)
+        other = set(NOT_PLAIN.findall(joined))
+        plain = [c for c in chunks if c not in other] if other else chunks
+        runs = RUN.findall(("\n".join(plain) if other else joined).lower())
+        self._learn_runs([r for r in set(runs) if r not in self.runs and r != "\n"])
+        of, known, own, at = self.runs, self.known, [], 0
+        for r in runs:
+            if r == "\n":
+                known[plain[at]] = b"".join(own)
+                at, own = at + 1, []
+            else:
+                own.append(of[r])
+        if plain:
+            known[plain[at]] = b"".join(own)
+        for c in other:
+            known[c] = self._encode(c).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         chunks = [CHUNK.findall(t) for t in texts]
-        new = list({c for cs in chunks for c in cs if c not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list({c for cs in chunks for c in cs})
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[c] = np.array(e.ids, dtype="<u4").tobytes()
+        own = {c for cs in chunks for c in cs}
+        for seen in (self.known, self.runs):
+            if len(seen) + len(own) > CACHE_WORDS:
+                seen.clear()
+        self._learn([c for c in own if c not in self.known])
         return [b"".join([self.known[c] for c in cs]) for cs in chunks]
 
 
@@ -86,7 +131,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
     def run(batches):
         tokenize, part, seen = ChunkTokenizer(tokenizer_path), TaskContext.get().partitionId(), {}
         for batch in batches:
-            for slab in slabs(batch):
+            for slab in slabs(batch, limit=SLAB):
                 row, piece, start, length, crc, rank, ids = [], [], [], [], [], [], []
                 for d, tokens in enumerate(tokenize([t or "" for t in slab.column(place).to_pylist()])):
                     tokens += end
