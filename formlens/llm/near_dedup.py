@@ -10,16 +10,23 @@
    depth until it has at most ``REGION`` nodes; all pairs within that region,
    and each pair of adjacent nodes that share ``MIN_DEPTH`` values, are taken.
    Sizes of the sets, and one bit of each signature value, rule out pairs that
-   can't reach the similarity.
+   can't reach the similarity.  Regions of more than ``REGION`` nodes are noted.
 3. Candidates form clusters, which are small.  The full sets of a cluster meet
    in one task, where union-find confirms candidates by exact intersection
    and skips pairs already connected.  A cluster too large for that is cut
    into blocks; pairs between blocks that are still unconnected are confirmed
    by joins, a few for each pair of components at a time.
-
-A pair of similarity 0.8 shares the first four values of a tree with
+4. What the cuts of step 2 left out: of the noted regions that links do not
+   connect as a whole, all nodes are compared with all nodes of other
+   components, first by sizes and bits, then, where these leave a pair, by
+   the full sets.  Both run by blocks of nodes; the largest component of a
+   region is not compared with itself.
+
+So every pair that shares the first four values of a tree is compared, unless
+links connect it anyway.  A pair of similarity 0.8 shares them with
 probability 0.41, so 24 trees miss it with probability 3e-6; more alike pairs
-less.  A pair's bits rule it out wrongly with probability below 1e-7.
+less.  Its bits rule a pair of similarity 0.8 out wrongly with probability
+2e-6.
 
 Shingles are compared by 64-bit hashes.
 
@@ -54,6 +61,7 @@ VALUES = TREES * MIN_DEPTH
 REGION = 8
 CLUSTER_SHINGLES = 4_000_000  # of the sets that meet in one task
 ROWS_PER_PART = 250_000
+BLOCK_NODES = 20_000  # whose sizes and bits meet in one task
 MEMBER_BITS = 1 << 26  # of a bitmap that is broadcast
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 KNOWN_WORDS = 500_000
@@ -140,8 +148,15 @@ def _forest(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "n", "signature").mapInArrow(run, schema)
 
 
-def _near(rows: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs among rows sorted by tree and order."""
+def _least_bits(similarity: int) -> float:
+    """Of equal bits; half of those of different values agree by chance, 5.5 standard deviations are leeway."""
+    agree = (1 + similarity / 100) / 2
+    return VALUES * agree - 5.5 * np.sqrt(VALUES * agree * (1 - agree))
+
+
+def _near(rows: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs among rows sorted by tree and order; then number and
+    node of the rows in regions of which not all pairs are taken."""
     n = len(rows)
     values = np.frombuffer(b"".join(rows.column("sorted").to_pylist()), dtype=">u4").reshape(n, MAX_DEPTH).astype(np.uint32)
     bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint8).reshape(n, VALUES // 8)
@@ -149,6 +164,11 @@ def _near(rows: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray]:
     shared = np.zeros(n, dtype=np.int64)  # values in common with the row before
     shared[1:] = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
     left, right = [np.flatnonzero(shared[1:] >= MIN_DEPTH)], [np.flatnonzero(shared[1:] >= MIN_DEPTH) + 1]
+    region = np.cumsum(shared < MIN_DEPTH)
+    crowded = np.flatnonzero(np.bincount(region)[region] > REGION)
+    number = tree[crowded].astype(np.uint64)
+    for k in range(MIN_DEPTH):
+        number = (number ^ (number >> np.uint64(29)) ^ values[crowded, k]) * np.uint64(0xBF58476D1CE4E5B9)
     open_rows = np.ones(n, dtype=bool)
     for depth in range(MIN_DEPTH, MAX_DEPTH + 1):
         region = np.cumsum(shared < depth)
@@ -160,26 +180,26 @@ def _near(rows: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray]:
         open_rows &= ~small
     i, j = np.concatenate(left), np.concatenate(right)
     low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-    # half of the bits of different values agree by chance; 5.5 standard deviations of leeway
-    agree = (1 + similarity / 100) / 2
-    least = VALUES * agree - 5.5 * np.sqrt(VALUES * agree * (1 - agree))
     keep = (100 * low >= similarity * high) & (node[i] != node[j])
     i, j = i[keep], j[keep]
-    keep = VALUES - np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) >= least
-    return node[i[keep]], node[j[keep]]
+    keep = VALUES - np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) >= _least_bits(similarity)
+    return node[i[keep]], node[j[keep]], number.view(np.int64), node[crowded]
 
 
 def candidates(nodes: DataFrame, rows: int, similarity: int = SIMILARITY) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of nodes that may be similar enough."""
+    """Distinct pairs ``a`` < ``b`` of nodes that may be similar enough; and, with
+    the number of a ``region`` and without ``b``, the nodes ``a`` of regions of
+    which not all pairs are among them."""
     spark = nodes.sparkSession
     parts = max(-(-rows * TREES // ROWS_PER_PART), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    schema = StructType.fromDDL("a long, b long")
+    schema = StructType.fromDDL("region long, a long, b long")
 
     def run(batches):
         batches = [b for b in batches if b.num_rows]
         if batches:
-            a, b = _near(pa.Table.from_batches(batches), similarity)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            a, b, region, node = _near(pa.Table.from_batches(batches), similarity)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array(region), pa.array(node), pa.nulls(len(node), pa.int64())], names=schema.names)
 
     order = ["tree", "sorted", "node"]
     return _forest(nodes).repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, schema).distinct()
@@ -251,7 +271,7 @@ def _confirm_pairs(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFr
 
 
 def _member_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
-    """``cluster``, ``blocks``, ``node`` and ``shingles`` of the members.
+    """The members with their ``shingles``, without ``doc_id`` and ``set_key``.
 
     A bitmap of hashed ids, of ``MEMBER_BITS`` bits at most, tells nearly all
     other documents apart before anything is shuffled; the join decides.
@@ -280,7 +300,7 @@ def _member_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame
     found = emit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", place.alias("p")), "doc_id long, set_key binary, shingles binary", make)
     # a row of the same id with another text is no member; equal rows do no harm later
     joined = found.join(members.withColumnsRenamed({"doc_id": "_doc", "set_key": "_key"}), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("set_key") == F.col("_key")))
-    return joined.select("cluster", "blocks", "node", "shingles")
+    return joined.select(*[c for c in members.columns if c not in ("doc_id", "set_key")], "shingles")
 
 
 def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: int, cluster_shingles: int) -> DataFrame:
@@ -315,6 +335,105 @@ def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
             labels = written(labels.select("node").join(joined, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "confirmed")
 
 
+def _compared(rows: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect nodes of different labels, and of different blocks if
+    there are two: by sizes, bits and, if there are any, full sets."""
+    node, first = np.unique(rows.column("node").to_numpy(), return_index=True)
+    size = rows.column("n").to_numpy()[first]
+    by_size = np.argsort(size, kind="stable")
+    node, first, size = node[by_size], first[by_size], size[by_size]
+    rows = rows.take(pa.array(first))
+    n = len(node)
+    label, block = rows.column("label").to_numpy(), rows.column("block").to_numpy()
+    apart = block.min() != block.max()
+    bits = np.zeros((n, 16), dtype=np.uint8)
+    bits[:, : VALUES // 8] = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint8).reshape(n, VALUES // 8)
+    bits = bits.view(np.uint64)
+    differ = VALUES - _least_bits(similarity)
+    ends = np.searchsorted(size, 100 * size // similarity, side="right")
+    exact = "shingles" in rows.column_names
+    if exact:
+        known, ids = np.unique(np.frombuffer(b"".join(rows.column("shingles").to_pylist()), dtype=np.uint64), return_inverse=True)
+        at, mark = np.concatenate([[0], np.cumsum(size)]), np.zeros(len(known), dtype=bool)
+    root = np.unique(label, return_inverse=True)[1] if exact else np.arange(n)
+    left, right = [], []
+    for i in range(n):
+        j = np.arange(i + 1, ends[i])
+        j = j[(root[j] != root[i]) & (label[j] != label[i])]
+        if apart:
+            j = j[block[j] != block[i]]
+        j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1) <= differ]
+        if exact and len(j):
+            mark[ids[at[i] : at[i + 1]]] = True
+            shared = np.array([np.count_nonzero(mark[ids[at[k] : at[k + 1]]]) for k in j])
+            mark[ids[at[i] : at[i + 1]]] = False
+            j = j[100 * shared >= similarity * (size[i] + size[j] - shared)]
+        if len(j):
+            others, one = np.unique(root[j], return_index=True)
+            left.append(np.full(len(one), node[i]))
+            right.append(node[j[one]])
+            root[np.isin(root, others)] = root[i]
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *left]), np.concatenate([empty, *right])
+
+
+def _compare(members: DataFrame, weight: str, limit: int, similarity: int) -> DataFrame:
+    """Links ``a``, ``b`` between the members of a ``cluster`` that differ in
+    ``label``.  Clusters above ``limit`` are cut into blocks, of which each two
+    meet in a task; those of the label with most members don't meet each other."""
+    of_label = members.groupBy("cluster", "label").agg(F.sum(weight).alias("w"))
+    of_cluster = of_label.groupBy("cluster").agg(F.sum("w").alias("all"), F.max("w").alias("most"), F.max_by("label", F.struct("w", "label")).alias("main"))
+    part = lambda w: F.ceil(w / limit).cast("int")
+    whole = F.col("all") <= limit
+    cuts = of_cluster.select("cluster", "main", F.when(whole, 0).otherwise(part(F.col("most"))).alias("of_main"), F.when(whole, 1).otherwise(part(F.col("all") - F.col("most"))).alias("of_rest"))
+    place = F.xxhash64("node")
+    is_main = (F.col("of_main") > 0) & (F.col("label") == F.col("main"))
+    block = F.when(is_main, F.pmod(place, F.col("of_main"))).otherwise(F.col("of_main") + F.pmod(place, F.col("of_rest"))).cast("int")
+    rows = members.join(cuts.where("of_rest > 0"), "cluster").withColumn("block", block)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.when(is_main, F.col("of_main")).otherwise(0), F.col("of_main") + F.col("of_rest") - 1)))
+    rows = rows.select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label", "n", "bits", *[c for c in members.columns if c == "shingles"])
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = _compared(table, similarity)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("cluster", "low", "high").applyInArrow(run, "a long, b long")
+
+
+def _with_bits(nodes: DataFrame) -> DataFrame:
+    """The ``signature`` gives way to ``bits``, one of each value."""
+
+    def run(batches):
+        for batch in batches:
+            signature = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype=np.uint32).reshape(-1, VALUES)
+            bits = [b.tobytes() for b in np.packbits(signature & 1 == 1, axis=1)]
+            yield batch.drop_columns(["signature"]).append_column("bits", pa.array(bits, pa.binary()))
+
+    rest = nodes.drop("signature").schema
+    return nodes.select(*rest.names, "signature").mapInArrow(run, StructType([*rest.fields, *StructType.fromDDL("bits binary").fields]))
+
+
+def _connect(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, labels: DataFrame, shingle: int, similarity: int, cluster_shingles: int) -> DataFrame:
+    """``labels`` after all links within each ``region`` of ``crowds``."""
+    labelled = crowds.join(labels, "node", "left").select("region", "node", F.coalesce("label", "node").alias("label"))
+    unsettled = labelled.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("first"))
+    unsettled = written(unsettled.where("low <> high").select("region", "first"), "unsettled")
+    if unsettled.isEmpty():
+        return labels
+    clusters = components(crowds.join(unsettled, "region").select(F.col("node").alias("a"), F.col("first").alias("b")))
+    members = clusters.withColumnRenamed("label", "cluster").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    members = written(_with_bits(members.join(nodes, "node")), "members")
+    may = written(_compare(members.withColumn("one", F.lit(1)), "one", BLOCK_NODES, similarity), "may")
+    if may.isEmpty():
+        return labels
+    members = written(members.drop("cluster").join(components(may).withColumnRenamed("label", "cluster"), "node"), "members")
+    sets = written(_member_sets(docs, members, shingle), "sets")
+    links = written(_compare(sets, "n", cluster_shingles, similarity), "links")
+    if links.isEmpty():
+        return labels
+    return components(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, cluster_shingles: int = CLUSTER_SHINGLES) -> DataFrame:
     """The columns of ``docs`` but the text, plus ``n_shingles``,
     ``component_id`` (smallest doc_id of the documents that links reach) and
@@ -324,8 +443,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "signature"))
     nodes = ids.where("n_shingles > 0").groupBy("set_key").agg(first.alias("first"))
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", F.col("first.doc_id").alias("doc_id"), F.col("first.n_shingles").alias("n"), F.col("first.signature").alias("signature")), "nodes")
-    pairs = written(candidates(nodes, nodes.count(), similarity), "pairs")
+    found = written(candidates(nodes, nodes.count(), similarity), "pairs")
+    pairs, crowds = found.where("region IS NULL").select("a", "b"), found.where("region IS NOT NULL").select("region", F.col("a").alias("node"))
     labels = _confirm(docs, nodes.drop("signature"), pairs, shingle, similarity, cluster_shingles)
+    labels = _connect(docs, nodes, crowds, labels, shingle, similarity, cluster_shingles)
     # only sets with links to others need more than the smallest id of their own rows
     linked = labels.join(nodes.select("node", "set_key", "doc_id"), "node")
     smallest = linked.groupBy("label").agg(F.min("doc_id").alias("component_id"))

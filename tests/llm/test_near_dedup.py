@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from test_llm_helpers import docs_frame, lower_ascii
 
@@ -79,3 +80,30 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 1 for i in range(1, 61)} | {100 + i: 100 for i in range(30)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("block,limit", [(20_000, 4_000_000), (400, 300_000)])
+def test_star_of_edits_equals_brute_force(spark, monkeypatch, block, limit):
+    monkeypatch.setattr(N, "BLOCK_NODES", block, raising=False)
+    # edits are like their original, not like each other; some are too far from it
+    rng, base, edits = np.random.default_rng(4), 500, 1100
+    keeps = np.ones((2 * (edits + 1), base), dtype=np.float32)
+    for i, k in enumerate(keeps):
+        if i % (edits + 1):
+            k[rng.choice(base, 49 if i % 10 else 60, replace=False)] = 0
+    rows = [(i + 1, " ".join(f"g{i // (edits + 1)}w{w}" if x else f"d{i}w{w}" for w, x in enumerate(k))) for i, k in enumerate(keeps)]
+    want = {}
+    for g in range(2):
+        part = keeps[g * (edits + 1) : (g + 1) * (edits + 1)]
+        shared = part @ part.T
+        link, label = 100 * shared >= 80 * (2 * base - shared), np.arange(edits + 1)
+        np.fill_diagonal(link, True)
+        while True:
+            least = np.where(link, label, edits + 1).min(axis=1)
+            if (least == label).all():
+                break
+            label = least
+        want |= {g * (edits + 1) + i + 1: g * (edits + 1) + x + 1 for i, x in enumerate(label)}
+    assert 500 < sum(x == 1 for x in want.values()) < 1101
+    got = {x.doc_id: x.component_id for x in N.near_duplicates(docs_frame(spark, rows), shingle=1, cluster_shingles=limit).collect()}
+    assert len(got) == len(want) and sum(got[d] != x for d, x in want.items()) == 0
