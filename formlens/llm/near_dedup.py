@@ -10,7 +10,8 @@
    depth until it has at most ``REGION`` nodes; all pairs within that region,
    and each pair of adjacent nodes that share ``MIN_DEPTH`` values, are taken.
    Sizes of the sets, and one bit of each signature value, rule out pairs that
-   can't reach the similarity.  Regions of more than ``REGION`` nodes are noted.
+   can't reach the similarity.  Regions of more than ``REGION`` nodes are noted,
+   and those at the bounds of a partition, which may go on in the next one.
 3. Candidates form clusters, which are small.  The full sets of a cluster meet
    in one task, where union-find confirms candidates by exact intersection
    and skips pairs already connected.  A cluster too large for that is cut
@@ -165,7 +166,8 @@ def _near(rows: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray, np.n
     shared[1:] = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
     left, right = [np.flatnonzero(shared[1:] >= MIN_DEPTH)], [np.flatnonzero(shared[1:] >= MIN_DEPTH) + 1]
     region = np.cumsum(shared < MIN_DEPTH)
-    crowded = np.flatnonzero(np.bincount(region)[region] > REGION)
+    # the first and the last region may go on in other partitions
+    crowded = np.flatnonzero((np.bincount(region)[region] > REGION) | (region == region[0]) | (region == region[-1]))
     number = tree[crowded].astype(np.uint64)
     for k in range(MIN_DEPTH):
         number = (number ^ (number >> np.uint64(29)) ^ values[crowded, k]) * np.uint64(0xBF58476D1CE4E5B9)
@@ -190,8 +192,7 @@ def candidates(nodes: DataFrame, rows: int, similarity: int = SIMILARITY) -> Dat
     """Distinct pairs ``a`` < ``b`` of nodes that may be similar enough; and, with
     the number of a ``region`` and without ``b``, the nodes ``a`` of regions of
     which not all pairs are among them."""
-    spark = nodes.sparkSession
-    parts = max(-(-rows * TREES // ROWS_PER_PART), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(-(-rows * TREES // ROWS_PER_PART), 1)
     schema = StructType.fromDDL("region long, a long, b long")
 
     def run(batches):

@@ -107,3 +107,16 @@ def test_star_of_edits_equals_brute_force(spark, monkeypatch, block, limit):
     assert 500 < sum(x == 1 for x in want.values()) < 1101
     got = {x.doc_id: x.component_id for x in N.near_duplicates(docs_frame(spark, rows), shingle=1, cluster_shingles=limit).collect()}
     assert len(got) == len(want) and sum(got[d] != x for d, x in want.items()) == 0
+
+
+@pytest.mark.parametrize("pairs,per_part", [(1, 250_000), (5, 250_000), (1, 1), (5, 3)])
+def test_few_documents_and_many_partitions(spark, monkeypatch, pairs, per_part):
+    monkeypatch.setattr(N, "ROWS_PER_PART", per_part)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        rows = [(10 * p + c, " ".join(f"p{p}w{w}" for w in range(100)) + " end" * c) for p in range(pairs) for c in range(2)]
+        out = N.near_duplicates(docs_frame(spark, rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {x.doc_id: x.component_id for x in out} == {d: d // 10 * 10 for d, _ in rows}
