@@ -5,7 +5,9 @@ parsed greedily into the longest pieces that occur in that text; the language
 that needs the fewest phrases for each character wins (Ziv-Merhav
 cross-parsing).  Characters are lower-cased, and what is not a letter counts
 as a blank.  A task parses many stretches of text at once, one character of
-each at a time, over a table of transitions.
+each at a time, over a table of transitions.  Every letter of the training
+texts has a symbol; transitions by the ``DENSE_LETTERS`` commonest are a table,
+those by others a sorted list.
 
 Training reads a bounded sample: for each language the ``sample_docs`` rows
 that come first by a hash of id and text, those of up to ``SHORT_CHARS``
@@ -35,12 +37,14 @@ LANE = 512  # characters of one stretch
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 30_000
 SHORT_CHARS = 4_000
-MAX_LETTERS = 200
-OTHER, PAD, BLANK = 0, 1, 2  # symbols: a letter that no language has, none, not a letter; letters follow
+DENSE_LETTERS = 200
+SYMBOL_BITS = 21
+OTHER, PAD, BLANK = 0, 1, 2  # symbols: a letter that no training text has, none, not a letter; letters follow
 
 
-def _automaton(symbols: list[int], size: int) -> np.ndarray:
-    """Transitions of the suffix automaton: a row for each state, -1 where there is none."""
+def _automaton(symbols: list[int], size: int) -> tuple[np.ndarray, dict[int, int]]:
+    """Transitions of the suffix automaton: a row for each state, -1 where there
+    is none; those by symbols from ``size`` on by state and symbol."""
     links, lengths, moves = [-1], [0], [{}]
     last = 0
     for s in symbols:
@@ -67,19 +71,39 @@ def _automaton(symbols: list[int], size: int) -> np.ndarray:
                 links[q] = links[new] = clone
         last = new
     table = np.full((len(moves), size), -1, dtype=np.int32)
+    rare = {}
     for state, out in enumerate(moves):
         for s, to in out.items():
-            table[state, s] = to
-    return table
+            if s < size:
+                table[state, s] = to
+            else:
+                rare[state << SYMBOL_BITS | s] = to
+    return table, rare
 
 
 def _parser(symbols: list[int], size: int) -> np.ndarray:
     """A flat table: next state times ``size``, times 2, plus 1 where a phrase ends."""
-    table = _automaton(symbols, size)
+    return _parsers(symbols, size)[0]
+
+
+def _parsers(symbols: list[int], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The flat table of symbols below ``size``, then sorted keys (state and
+    symbol) and values of the transitions by others."""
+    table, rare = _automaton(symbols, size)
     start = np.where(table[0] >= 0, table[0], 0)  # a phrase that ends makes its next character start one
     value = np.where(table >= 0, table.astype(np.int64) * 2 * size, start.astype(np.int64) * 2 * size + 1)
     value[:, PAD] = np.arange(len(table)) * 2 * size
-    return value.astype(np.int32).ravel()
+    kind = np.int32 if len(table) * 2 * size < 1 << 31 else np.int64
+    keys = np.array([*sorted(rare), np.iinfo(np.int64).max], dtype=np.int64)
+    values = np.array([*(rare[k] * 2 * size for k in keys[:-1].tolist()), 1], dtype=kind)
+    return value.astype(kind).ravel(), keys, values
+
+
+def _by_list(keys: np.ndarray, values: np.ndarray, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """The values of transitions that the flat table doesn't hold."""
+    wanted = states.astype(np.int64) << SYMBOL_BITS | symbols
+    at, start = np.searchsorted(keys, wanted), np.searchsorted(keys, symbols)
+    return np.where(keys[at] == wanted, values[at], np.where(keys[start] == symbols, values[start] | 1, 1))
 
 
 def _codes(text: str) -> np.ndarray:
@@ -89,12 +113,12 @@ def _codes(text: str) -> np.ndarray:
 def train(texts: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> dict:
     """The model: a symbol for each code point, and a parser for each language."""
     letters = Counter(c for ts in texts.values() for t in ts for c in t.lower() if c.isalpha())
-    alphabet = sorted(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:MAX_LETTERS])
-    symbol = np.full(0x110000, BLANK, dtype=np.uint8)
+    alphabet = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))]
+    symbol = np.full(0x110000, BLANK, dtype=np.min_scalar_type(len(alphabet) + 3))
     symbol[[c for c in range(0x110000) if chr(c).isalpha()]] = OTHER
     for i, c in enumerate(alphabet):
         symbol[ord(c)] = i + 3
-    size = len(alphabet) + 3
+    size = min(len(alphabet), DENSE_LETTERS) + 3
     parsers = {}
     for lang in sorted(texts):
         joined, total = [], 0
@@ -103,7 +127,7 @@ def train(texts: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> dict
                 break
             joined.append(_squeeze(symbol[_codes(t)]))
             total += len(joined[-1])
-        parsers[lang] = _parser(np.concatenate([x for j in joined for x in (j, np.array([BLANK], np.uint8))]).tolist(), size)
+        parsers[lang] = _parsers(np.concatenate([x for j in joined for x in (j, np.array([BLANK], np.uint8))]).tolist(), size)
     return {"symbol": symbol, "size": size, "parsers": parsers}
 
 
@@ -124,17 +148,22 @@ def _judge(model: dict):
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
         lanes = -(-lengths // LANE)
         first = np.concatenate([[0], np.cumsum(lanes)])
-        grid = np.full(int(first[-1]) * LANE, PAD, dtype=np.uint8)
+        grid = np.full(int(first[-1]) * LANE, PAD, dtype=model["symbol"].dtype)
         for t, f in zip(texts, first):
             grid[f * LANE : f * LANE + len(t)] = t
         grid = np.ascontiguousarray(grid.reshape(-1, LANE).T)
+        rare = [np.flatnonzero(column >= model["size"]) for column in grid]
+        symbols = [column[r].astype(np.int64) for column, r in zip(grid, rare)]
+        grid[grid >= model["size"]] = OTHER
         owner = np.repeat(np.arange(len(texts)), lanes)
         cost = np.zeros((len(langs), len(texts)))
         for k, lang in enumerate(langs):
-            parser, state = model["parsers"][lang], np.zeros(grid.shape[1], dtype=np.int32)
+            (parser, keys, values), state = model["parsers"][lang], np.zeros(grid.shape[1], dtype=np.int32)
             phrases = np.ones(grid.shape[1], dtype=np.int64)
-            for column in grid:
+            for column, r, s in zip(grid, rare, symbols):
                 value = parser[state + column]
+                if len(r):
+                    value[r] = _by_list(keys, values, state[r] // model["size"], s)
                 phrases += value & 1
                 state = value >> 1
             cost[k] = np.bincount(owner, weights=phrases, minlength=len(texts)) / np.maximum(lengths, 1)

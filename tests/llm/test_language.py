@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from test_llm_helpers import docs_frame
 
@@ -61,3 +62,25 @@ def test_nothing_to_learn_from(spark):
     out = L.identify(docs_frame(spark, [(1, "abc", None)]), F.lit(True)).first()
     assert (out.lang_pred, out.score) == ("und", 0.0)
     assert L.identify(docs_frame(spark, []), F.lit(True)).count() == 0
+
+
+def test_languages_of_many_letters():
+    r = random.Random(9)
+    common = [chr(0x3A0 + i) for i in range(400) if chr(0x3A0 + i).isalpha() and len(chr(0x3A0 + i).lower()) == 1]
+    rare = [chr(0x4E00 + i) for i in range(800)]
+    words = {lang: ["".join(p) for p in zip(r.sample(rare, 800), r.sample(rare, 800))] for lang in ("ja", "zh")}
+    make = {lang: lambda n, w=w: "".join(r.choices(w, k=n)) for lang, w in words.items()}
+    model = L.train({"xx": ["".join(r.choices(common, k=29_000))], **{lang: [m(7_000)] for lang, m in make.items()}})
+    want = ["ja", "zh"] * 20
+    texts = [make[lang](r.randint(20, 600)) for lang in want] + ["\u0e01\u0e02", common[0] * 9]
+    names, scores = (x.to_pylist() for x in L._judge(model)(pa.RecordBatch.from_pydict({"text": texts})))
+    assert names[:40] == want and names[41] == "xx" and all(0 <= s <= 1 for s in scores)
+    # the list gives what a table of all symbols gives
+    size, sample = 4, [r.randint(3, 40) for _ in range(300)]
+    (flat, keys, values), whole = L._parsers(sample, size), L._parser(sample, 46)
+    state = other = 0
+    for c in [r.randint(3, 45) for _ in range(2000)]:
+        v = int(flat[state + c]) if c < size else int(L._by_list(keys, values, L.np.array([state // size]), L.np.array([c]))[0])
+        w = int(whole[other + c])
+        state, other = v >> 1, w >> 1
+        assert (v & 1, state // size) == (w & 1, other // 46)
