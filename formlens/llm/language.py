@@ -182,7 +182,7 @@ def _judge(model: dict):
     return judge
 
 
-def sample(docs: DataFrame, train_on: Column, sample_docs: int = SAMPLE_DOCS) -> dict[str, list[str]]:
+def sample(docs: DataFrame, train_on: Column, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
     """Texts by language: at most ``sample_docs`` rows each, collected in the order they are used.
 
     Spark cuts every partition to that many rows a language before it shuffles them.
@@ -192,7 +192,7 @@ def sample(docs: DataFrame, train_on: Column, sample_docs: int = SAMPLE_DOCS) ->
     order = Window.partitionBy("lang").orderBy("long", "h", "text")
     out: dict[str, list[str]] = {}
     for lang, text, _, _ in rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_docs).orderBy("lang", "n").select("lang", "text", "long", "n").toLocalIterator():
-        if sum(map(len, out.setdefault(lang, []))) < SAMPLE_CHARS:
+        if sum(map(len, out.setdefault(lang, []))) < sample_chars:
             out[lang].append(text)
     return out
 
@@ -201,6 +201,6 @@ def identify(docs: DataFrame, train_on: Column, sample_docs: int = SAMPLE_DOCS,
     """``docs`` plus ``lang_pred`` and ``score`` (0 to 1: how much cheaper the
     winner parses the text than the next language).  Only rows where
     ``train_on`` holds are learned from; the prediction sees nothing but text."""
-    model = train(sample(docs, train_on, sample_docs), sample_chars)
+    model = train(sample(docs, train_on, sample_docs, sample_chars), sample_chars)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return add_columns(docs, COLUMNS, lambda: _judge(shared.value))

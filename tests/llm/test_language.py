@@ -84,3 +84,12 @@ def test_languages_of_many_letters():
         w = int(whole[other + c])
         state, other = v >> 1, w >> 1
         assert (v & 1, state // size) == (w & 1, other // 46)
+
+
+def test_sample_chars_is_obeyed(spark, monkeypatch):
+    docs = docs_frame(spark, [(i, "ab" * 500, "xx") for i in range(100)])
+    seen, train = [], L.train
+    monkeypatch.setattr(L, "train", lambda texts, chars: seen.append(sum(map(len, texts["xx"]))) or train(texts, chars))
+    for chars in (5_000, 30_000, 60_000):
+        L.identify(docs, F.lit(True), sample_chars=chars)
+    assert seen == [5_000, 30_000, 60_000]
