@@ -39,16 +39,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the
-    document with the smallest id stays; of equal rows, one."""
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8) one
+    document stays: of the smallest id (null after all others) that of the
+    smallest text hash; of equal rows, one."""
     key = F.xxhash64("text").alias("_text_key")
-    found = _near_dedup.near_duplicates(docs.select("doc_id", "text", key))
-    kept = written(found.where("kept").select(F.col("doc_id").alias("_id"), F.col("_text_key").alias("_key")), "kept")
+    found = _near_dedup.near_duplicates(docs.select("doc_id", "text", key), group=True)
+    rows = found.groupBy("group", F.col("doc_id").alias("_id"), F.col("_text_key").alias("_key")).agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key", "copies")).alias("first")
+    wordless = rows.where("group IS NULL").select("_id", "_key", "copies")
+    kept = written(rows.where("group IS NOT NULL").groupBy("group").agg(first).select("first._id", "first._key", "first.copies").unionByName(wordless), "kept")
 
     def apply(d: DataFrame) -> DataFrame:
         keyed = d.withColumn("_text_key", key)
         out = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
-        if kept.groupBy("_id", "_key").count().where("count > 1").isEmpty():
+        if kept.where("copies > 1").isEmpty():
             return out
         return out.dropDuplicates(["doc_id", "_text_key"])
 

@@ -435,11 +435,12 @@ def _connect(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, labels: DataF
     return components(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, cluster_shingles: int = CLUSTER_SHINGLES) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, cluster_shingles: int = CLUSTER_SHINGLES, group: bool = False) -> DataFrame:
     """The columns of ``docs`` but the text, plus ``n_shingles``,
     ``component_id`` (smallest doc_id of the documents that links reach) and
-    ``kept`` (it is that document)."""
-    docs = without(docs, ["n_shingles", "component_id", "kept", "set_key", "signature"])
+    ``kept`` (it is that document); if wanted, also a number of the ``group``,
+    null for texts without a word."""
+    docs = without(docs, ["n_shingles", "component_id", "kept", "set_key", "signature", *(["group"] if group else [])])
     ids = written(without(sketch(docs, shingle), ["text"]), "sketch")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "signature"))
     nodes = ids.where("n_shingles > 0").groupBy("set_key").agg(first.alias("first"))
@@ -451,7 +452,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     # only sets with links to others need more than the smallest id of their own rows
     linked = labels.join(nodes.select("node", "set_key", "doc_id"), "node")
     smallest = linked.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    own = nodes.select("node", "set_key", "doc_id").join(linked.select("node", "label").join(smallest, "label").select("node", "component_id"), "node", "left")
-    own = own.select(F.col("set_key").alias("_key"), F.coalesce("component_id", "doc_id").alias("_component"))
+    own = nodes.select("node", "set_key", "doc_id").join(linked.select("node", "label").join(smallest, "label").select("node", "component_id", "label"), "node", "left")
+    own = own.select(F.col("set_key").alias("_key"), F.coalesce("component_id", "doc_id").alias("_component"), *([F.coalesce("label", "node").alias("group")] if group else []))
     out = ids.join(own, F.col("set_key") == F.col("_key"), "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).drop("_key", "_component", "signature")

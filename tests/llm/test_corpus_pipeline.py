@@ -79,3 +79,11 @@ def test_run_and_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_one_of_a_group_without_telling_ids(spark):
+    text = lambda p, end: " ".join(f"{p}{w}" for w in range(100)) + end
+    rows = [(None, text("a", "")), (None, text("a", " x")), (7, text("b", "")), (7, text("b", " x")), (7, text("c", "")), (None, text("d", "")), (9, text("d", " x")), (None, "")]
+    docs = spark.createDataFrame(rows + rows[4:5], "doc_id long, text string")
+    got = sorted(((r["doc_id"], (r["text"] or " ")[0]) for r in P.near_dedup(spark, docs, "").collect()), key=str)
+    assert got == sorted([(None, "a"), (7, "b"), (7, "c"), (9, "d"), (None, " ")], key=str)
