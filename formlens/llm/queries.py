@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe as _bpe
 from . import chat as _chat
 from . import decontaminate as _decontaminate
+from . import hard_negatives as _hard_negatives
 from . import language as _language
 from . import license as _license
 from . import near_dedup as _near_dedup
 from . import packing as _packing
 from . import quality as _quality
+from . import resample as _resample
 from . import suffix_dedup as _suffix_dedup
 from . import toxicity as _toxicity
 from . import url_filter as _url_filter
@@ -206,6 +209,72 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    ids = _bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
+    return _bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _resample.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# crc32 by its rule: a table of 256 remainders, then the bytes of a word one by one
+OP12_SQL = r"""
+WITH tab AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(generate_series(0, 255))::BIGINT AS i)),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS w FROM d),
+bw AS (SELECT unnest(w) AS w FROM b),
+words AS (SELECT w FROM dw UNION SELECT w FROM bw),
+h AS (
+  SELECT w, xor(list_reduce([4294967295::BIGINT] || list_transform(range(0, len(hex(encode(w))) // 2), lambda k: CAST('0x' || substr(hex(encode(w)), 2 * k + 1, 2) AS BIGINT)),
+           lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) % 10000 AS bucket FROM words, tab),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN h USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bw JOIN h USING (w) GROUP BY bucket),
+g AS (
+  SELECT s.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+           / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t ON s.bucket = t.bucket),
+f AS (SELECT doc_id, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM dw JOIN h USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+z AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN f ON d.doc_id = f.doc_id),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k FROM z WHERE n_features >= 20)
+SELECT z.doc_id, n_features, weight, score, CASE WHEN k <= (SELECT count(*) FROM r) * 10 // 100 THEN k END AS rank
+FROM z LEFT JOIN r ON z.doc_id = r.doc_id
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return _hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+OP13_SQL = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b AS p, score AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+n AS (
+  SELECT p.a, p.p, p.ps, s.b AS n, s.score AS ns, row_number() OVER (PARTITION BY p.a, p.p ORDER BY s.score DESC, s.b) AS k
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 30 * p.ps <= 100 * s.score AND 100 * s.score <= 90 * p.ps)
+SELECT a AS anchor_id, p AS positive_id, CAST(k AS INTEGER) AS rank, n AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE k <= 10
+"""
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_toxicity": op2_toxicity,
@@ -217,6 +286,9 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
+    "op11_bpe": op11_bpe,
+    "op12_resample": op12_resample,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE = {
     "op1_decontaminate": OP1_SQL,
@@ -224,4 +296,6 @@ ORACLE = {
     "op6_suffix_dedup": OP6_SQL,
     "op7_url_filter": OP7_SQL,
     "op8_chat": OP8_SQL,
+    "op12_resample": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }

@@ -15,13 +15,14 @@ CONTRACT = {
     "op4_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     "op9_quality": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10_language": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in "documents pages benchmark labels conversations".split():
+    for t in "documents pages benchmark labels conversations embeddings".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
     return con
 
@@ -45,4 +46,4 @@ def test_query_returns_a_row_for_each_document(spark, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted({int(n[2:].split("_")[0]) for n in Q.QUERIES}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in Q.QUERIES}) == list(range(1, 14))
