@@ -21,7 +21,8 @@ Edge cases: rows with a null id, label, vector or component, or a component
 that is not finite (also after scaling), take no part; a shorter vector counts
 as if zeros followed; equal scores go by the smaller id; a row's "others" are
 the rows with another id; repeated rows count one by one, also as anchors;
-components of any size give exact scores, which saturate as long values; an
+components of any size are handled, but scores beyond the range of long count as
+its limits; an
 anchor without positives, or a positive without negatives, has no rows; an
 empty table, or one without anchors, gives none.  Only the named columns are
 read, so others cannot clash.
@@ -85,7 +86,7 @@ class Packed:
         return int.from_bytes(b"".join(int(x).to_bytes(self.width, "little") for x in column), "little")
 
     def scores(self, anchor: np.ndarray) -> np.ndarray:
-        """Inner products of an anchor with all candidates."""
+        """Inner products of an anchor with all candidates, within the range of long."""
         factors = [int(a) - self.anchor_bias for a in anchor]
         total = sum(f * w for f, w in zip(factors, self.wide) if f)
         raw = total.to_bytes(self.n * self.width, "little")
@@ -94,14 +95,15 @@ class Packed:
         else:
             fields = np.array([int.from_bytes(raw[i : i + self.width], "little") for i in range(0, len(raw), self.width)], dtype=object)
         # (f + anchor_bias)(c + bias), summed over the components
-        return fields + self.anchor_bias * self.sums + self.bias * (sum(factors) + self.dims * self.anchor_bias)
+        exact = fields + self.anchor_bias * self.sums + self.bias * (sum(factors) + self.dims * self.anchor_bias)
+        return exact if self.small else np.array([min(max(int(x), LONG_MIN), LONG_MAX) for x in exact], dtype=np.int64)
 
 
 def first(scores: np.ndarray, ids: np.ndarray, k: int) -> list[int]:
     """Places of the first ``k`` by higher score, then smaller id; time is linear also with many ties."""
     at = np.arange(len(scores))
     if len(scores) > k:
-        bound = np.sort(scores)[-k] if scores.dtype == object else np.partition(scores, -k)[-k]
+        bound = np.partition(scores, -k)[-k]
         above, tied = at[scores > bound], at[scores == bound]
         need = k - len(above)
         if len(tied) > need:
@@ -111,10 +113,6 @@ def first(scores: np.ndarray, ids: np.ndarray, k: int) -> list[int]:
     return sorted(at.tolist(), key=lambda i: (-scores[i], ids[i]))
 
 
-def _long(x: int) -> int:
-    return min(max(int(x), LONG_MIN), LONG_MAX)
-
-
 class Candidates:
     """The rows of a partition, packed for a block of anchors."""
 
@@ -154,7 +152,7 @@ def _positives(shared: Broadcast, scale: float, k: int):
                     scores = own.scores(a)
                     other = np.flatnonzero(own.ids != block["ids"][a])
                     for i in first(scores[other], own.ids[other], k):
-                        out.append((block["rows"][a], _long(scores[other[i]]), int(own.ids[other[i]])))
+                        out.append((block["rows"][a], int(scores[other[i]]), int(own.ids[other[i]])))
         yield _batch(out, ["anchor", "score", "id"])
 
     return run
@@ -176,7 +174,7 @@ def _negatives(shared: Broadcast, scale: float, k: int, low: int, high: int):
                 for p, (score, _) in enumerate(positives):
                     fit = np.flatnonzero((scores >= -(-low * score // 100)) & (scores <= high * score // 100))
                     for i in first(scores[fit], ids[fit], k):
-                        out.append((block["rows"][a], p, _long(scores[fit[i]]), int(ids[fit[i]])))
+                        out.append((block["rows"][a], p, int(scores[fit[i]]), int(ids[fit[i]])))
         yield _batch(out, ["anchor", "positive", "score", "id"])
 
     return run
