@@ -3,8 +3,9 @@
 Every operator takes and returns a DataFrame and only adds Column
 expressions, so the whole cleaned-table build is one projection over the
 scan (no Python, no shuffle) except for the analysis-year derivation, which
-is a per-export aggregate, broadcast and joined back.  Building a table
-starts no job.
+is a per-export aggregate.  It is stored, so that its size is known when it
+is joined back: Spark broadcasts it up to its own threshold.  Building a
+table starts no other job.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from formlens.functions import (
     parse_day_first,
     render_int_float,
 )
-from formlens.operators.common import UNNAMED_RE, FormValidationError, raise_if_missing
+from formlens.operators.common import UNNAMED_RE, FormValidationError, raise_if_missing, reused
 
 
 # --- O23 ---------------------------------------------------------------------
@@ -163,14 +164,15 @@ def analysis_year_by_file(df: DataFrame, file_col: str = "file_id") -> DataFrame
     of all rows is combined map-side; the mode is then taken over the tiny
     per-(file, year) counts.
     """
+    return most_frequent_year(df.select(F.col(file_col), submitted_year(df).alias("y")), file_col)
+
+
+def most_frequent_year(years: DataFrame, file_col: str) -> DataFrame:
+    """``analysis_year_by_file`` of rows with a year ``y`` each."""
     # Null years are skipped inside the aggregate (max ignores nulls), not by
     # a filter: Catalyst would push such a filter into the scan and evaluate
     # the date parse there once per reference, instead of once per row.
-    counts = (
-        df.select(F.col(file_col), submitted_year(df).alias("y"))
-        .groupBy(file_col, "y")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = years.groupBy(file_col, "y").agg(F.count(F.lit(1)).alias("n"))
     best = F.max(F.when(F.col("y").isNotNull(), F.struct(F.col("n"), (-F.col("y")).alias("neg_y"))))
     return (
         counts.groupBy(file_col).agg(best.alias("b"))
@@ -188,9 +190,7 @@ def with_analysis_year(df: DataFrame, year: int, file_col: str | None = "file_id
     if C.SUBMITTED_LABEL not in df.columns:
         return df.withColumn("analysis_year", F.lit(int(year)))
     if file_col and file_col in df.columns:
-        # one row of two values per export: less than Spark's driver itself holds for each input
-        # file, so the bound is that of the file listing; a shuffle join would move every data row
-        joined = df.join(F.broadcast(analysis_year_by_file(df, file_col)), [file_col], "left")
+        joined = df.join(reused(analysis_year_by_file(df, file_col), "years"), [file_col], "left")
         return joined.withColumn("analysis_year", F.coalesce(F.col("analysis_year"), F.lit(int(year))))
     one = df.select(submitted_year(df).alias("y")).groupBy("y").count()
     best = one.agg(F.max(F.when(F.col("y").isNotNull(), F.struct("count", (-F.col("y")).alias("neg_y")))).alias("b"))
@@ -246,21 +246,19 @@ def _own_year() -> Column:
     return coerce_number(col_of(C.YEAR_LABEL)).try_cast("int")
 
 
-def build_mixed(rows: DataFrame, year: int, fill: str = C.FILL_VALUE, file_col: str = "source_file",
+def stage_mixed(rows: DataFrame, year: int, filter_by_year: bool = True, fill: str = C.FILL_VALUE,
                 keep: list[str] | None = None, normalise_ints: bool = False) -> DataFrame:
-    """The cleaned table of exports of both kinds, in one pass.
+    """Rows of exports of both kinds with all that needs no look at other rows.
 
     ``rows`` come from the scan: known columns, ``kind`` and ``has_year``
     (whether the row's file has a year column).  Each column takes the raw or
-    the cleaned header's value by the row's kind.  Files without a year
-    column, raw or cleaned, get the most frequent year of submission, or
-    ``year`` where there is none.
+    the cleaned header's value by the row's kind, typed and cleaned.
+    ``kept`` says whether the year filter leaves the row (raw rows only);
+    a row that it does not leave keeps no value but its fill-in year, for the
+    counts.  ``date_mixed`` adds what depends on the other rows of an export.
     """
-    keep = [k for k in (keep or []) if k in rows.columns]
     raw = F.col("kind") == "raw"
     from_raw = {clean: header for header, clean in C.RAW_TO_CLEANED.items()}
-    staged = with_analysis_year(rows, year, file_col)
-    own = F.when(~raw & F.col("has_year"), _own_year()).otherwise(F.col("analysis_year"))
     picked = []
     for label in C.CLEANED_COLUMNS:
         if label != C.YEAR_LABEL:
@@ -268,8 +266,35 @@ def build_mixed(rows: DataFrame, year: int, fill: str = C.FILL_VALUE, file_col:
             header = from_raw.get(label)
             value = col_of(label) if header == label else value.when(raw, col_of(header)) if header else value
             picked.append(value.alias(C.LABEL_TO_NAME[label]))
-    body = staged.select(raw.alias("_raw"), own.alias("analysis_year"), *keep, *picked)
-    return _finish(body, F.col("_raw"), fill, keep, normalise_ints)
+    names = ["source_file", "kind", "has_year", *(keep or [])]
+    filled = col_of(C.FILLED_LABEL)
+    body = rows.select(
+        *map(F.col, names), filled.isNotNull().alias("filled_set"), F.year(parse_day_first(filled)).alias("filled_year"),
+        submitted_year(rows).alias("submitted_year"), F.when(~raw & F.col("has_year"), _own_year()).alias("own_year"),
+        col_of(C.BIRTH_LABEL).isNotNull().alias("birth_set"), *picked)
+    left = ~raw | (F.col("filled_year") == int(year)) if filter_by_year else F.lit(True)
+    marked = body.withColumn("kept", F.coalesce(left, F.lit(False)))
+    source = lambda n: render_int_float(F.col(n)) if normalise_ints else F.col(n)
+    values = {"birth_date": parse_day_first(F.col("birth_date")), "own_age": F.when(~raw, coerce_number(F.col("age")))}
+    values |= {n: clean_category(source(n), fill) for n in C.TEXT_NAMES if n != "semester"}
+    values["semester"] = coerce_number(clean_category(F.col("semester"), fill))
+    own = ["filled_set", "submitted_year", "own_year", "birth_set"]
+    return marked.select(*names, "kept", "filled_year", *[F.when(F.col("kept"), F.col(n)).alias(n) for n in own],
+                         *[F.when(F.col("kept"), v).alias(n) for n, v in values.items()])
+
+
+def date_mixed(staged: DataFrame, year: int, file_col: str = "source_file") -> DataFrame:
+    """``staged`` plus ``analysis_year`` and ``age``.
+
+    Files without a year column, raw or cleaned, get the most frequent year of
+    submission of their kept rows, or ``year`` where there is none.
+    """
+    votes = staged.where("kept").select(file_col, F.col("submitted_year").alias("y"))
+    years = reused(most_frequent_year(votes, file_col).withColumnRenamed("analysis_year", "voted_year"), "years")
+    raw = F.col("kind") == "raw"
+    derived = F.coalesce(F.col("voted_year"), F.lit(int(year)))
+    dated = staged.join(years, [file_col], "left").withColumn("analysis_year", F.when(~raw & F.col("has_year"), F.col("own_year")).otherwise(derived).cast("int"))
+    return dated.withColumn("age", F.when(raw, age_at_year_end(F.col("birth_date"), F.col("analysis_year"))).otherwise(F.col("own_age")))
 
 
 def _finish(body: DataFrame, raw: Column, fill: str, keep: list[str], normalise_ints: bool) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from formlens import config as C
 from formlens.operators.clean import analysis_year_by_file
 
-__all__ = ["analysis_year_by_file", "mixed_summary", "multi_year", "quality_summary", "shape_summary"]
+__all__ = ["analysis_year_by_file", "export_counts", "filter_counts", "loss_counts", "mixed_summary", "multi_year", "quality_summary", "shape_summary"]
 
 
 def _indicators(base: str) -> list[str]:
@@ -35,14 +35,50 @@ def quality_summary(input_columns: int, cleaned: DataFrame, kind: str, output_co
     return _long(stats, list(zip(labels, [F.col("rows"), F.lit(input_columns), F.col("rows"), F.lit(out), F.col("births"), F.col("ages")])))
 
 
-def mixed_summary(cleaned: DataFrame, width: DataFrame, output_columns: int) -> DataFrame:
-    """The indicators of exports of both kinds: rows and columns of each kind
-    that is there (``width``: ``kind``, ``columns_in``), then of the result.
+# --- per-export counts: additive, so they can be summed over any set of exports ---
+
+def export_counts(dated: DataFrame, names: DataFrame, year: int) -> DataFrame:
+    """A row of counts for each export, from one pass over ``clean.date_mixed`` rows.
 
-    ``cleaned`` carries the kind of each row.
+    ``(source_file, kind, columns, total, null_or_invalid, other_year, kept,
+    filled_set, filled_parsed, birth_set, births, ages)``: the first counts are
+    over all rows, those from ``kept`` on over the rows that the year filter
+    leaves.  ``names`` has the headers ``(file_id, kind, header)`` of each
+    export, so one without any row is there as well.
     """
-    per_kind = cleaned.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), F.count("birth_date").alias("births"), F.count("age").alias("ages"))
-    both = width.join(per_kind, "kind", "left").groupBy().agg(F.array_sort(F.collect_list(F.struct("kind", "columns_in", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("births", F.lit(0)).alias("births"), F.coalesce("ages", F.lit(0)).alias("ages")))).alias("k"))
+    kept, filled = F.col("kept"), F.col("filled_year")
+    counted = dated.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(filled.isNull()).alias("null_or_invalid"),
+        F.count_if(filled != int(year)).alias("other_year"), F.count_if(kept).alias("kept"),
+        F.count_if("filled_set").alias("filled_set"), F.count_if(kept & filled.isNotNull()).alias("filled_parsed"),
+        F.count_if("birth_set").alias("birth_set"), F.count("birth_date").alias("births"), F.count("age").alias("ages"))
+    files = names.groupBy(F.col("file_id").alias("source_file"), "kind").agg(F.collect_set("header").alias("columns"))
+    return files.join(counted, "source_file", "left").na.fill(0)
+
+
+def filter_counts(counts: DataFrame) -> DataFrame:
+    """O24's four counts, over the rows of raw exports."""
+    raw = counts.where("kind = 'raw'")
+    in_all = lambda n: F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n)
+    rest = raw.agg(in_all("total"), in_all("null_or_invalid"), in_all("other_year"))
+    # kept by the year alone, also where the intake does not filter
+    return rest.select("*", (F.col("total") - F.col("null_or_invalid") - F.col("other_year")).alias("kept"))
+
+
+def loss_counts(counts: DataFrame) -> DataFrame:
+    """``(date_column, non_null, parsed, lost)`` of the two date columns, over the kept rows."""
+    sums = counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in ("filled_set", "filled_parsed", "birth_set", "births")])
+    rows = [F.struct(F.lit(c).alias("date_column"), F.col(a).alias("non_null"), F.col(b).alias("parsed"), (F.col(a) - F.col(b)).alias("lost"))
+            for c, a, b in ((C.FILLED_LABEL, "filled_set", "filled_parsed"), (C.BIRTH_LABEL, "birth_set", "births"))]
+    return sums.select(F.inline(F.array(*rows)))
+
+
+def mixed_summary(counts: DataFrame, output_columns: int) -> DataFrame:
+    """The indicators of exports of both kinds: rows and columns of each kind
+    that is there, then of the result; from their ``export_counts``."""
+    width = counts.select("kind", F.explode("columns").alias("c")).groupBy("kind").agg(F.count_distinct("c").alias("columns_in"))
+    per_kind = counts.groupBy("kind").agg(*[F.sum(a).alias(b) for a, b in (("kept", "rows"), ("births", "births"), ("ages", "ages"))])
+    both = per_kind.join(width, "kind", "left").groupBy().agg(F.collect_list(F.struct("kind", F.coalesce("columns_in", F.lit(0)).alias("columns_in"), "rows", "births", "ages")).alias("k"))
     total = lambda name: F.aggregate("k", F.lit(0).cast("long"), lambda t, x: t + x[name])
     def block(base: str, kind: str) -> Column:
         rows, columns, *_ = _indicators(base)

@@ -168,28 +168,37 @@ def report_suite(cleaned: DataFrame, summary: DataFrame | None = None, keys: lis
     ``input_columns``, computed from the same pass (the cleaned table is a
     row-preserving projection of its input).
     """
+    counts = reused(suite_counts(cleaned, fill=fill, keys=keys), "suite")
+    if summary is None and input_columns is not None:
+        summary = _quality_from_counts(counts, input_columns, len(cleaned.columns), kind)
+    return suite_from_counts(counts, summary, keys, k)
+
+
+def suite_counts(cleaned: DataFrame, by: list[str] | None = None, fill: str = C.FILL_VALUE, keys: list[str] | None = None) -> DataFrame:
+    """Rows counted per (report, category, age, year), and per column of ``by``.
+
+    ``(report, category, x, year, n)``: one entry of each row for each chosen
+    categorical report, its age and its birth date.  Counts of disjoint sets of
+    rows add up, so tables of several batches are merged by a sum.
+    """
+    none = F.lit(None).cast("string")
+    items = [F.struct(F.lit(key).alias("report"), strip_category(F.col(_name_of(label)), fill).alias("category"), F.lit(None).cast("double").alias("x"))
+             for key, label in C.REPORT_CATALOGUE.items() if not keys or key in keys]
+    items.append(F.struct(F.lit("_age").alias("report"), none.alias("category"), F.col("age").cast("double").alias("x")))
+    items.append(F.struct(F.lit("_birth").alias("report"), F.when(F.col("birth_date").isNotNull(), "set").otherwise("null").alias("category"), F.lit(None).cast("double").alias("x")))
+    by = by or []
+    return (
+        cleaned.select(*by, F.col(YEAR).alias("year"), F.inline(F.array(*items)))
+        .groupBy(*by, "report", "category", "x", "year")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def suite_from_counts(counts: DataFrame, summary: DataFrame | None = None, keys: list[str] | None = None, k: int = C.TOP_K) -> DataFrame:
+    """``report_suite`` from a stored table of ``suite_counts``."""
     keys = [key for key in (keys or C.REPORT_KEYS) if key in C.REPORT_CATALOGUE or key == "edad"]
     cat_keys = [key for key in keys if key in C.REPORT_CATALOGUE]
-    items = [
-        F.struct(F.lit(keys.index(key) + 1).alias("ord"), F.lit(key).alias("report"),
-                 strip_category(F.col(_name_of(C.REPORT_CATALOGUE[key])), fill).alias("category"),
-                 F.lit(None).cast("double").alias("x"))
-        for key in cat_keys
-    ]
-    items.append(F.struct(F.lit(-1).alias("ord"), F.lit("_age").alias("report"), F.lit(None).cast("string").alias("category"),
-                          F.col("age").cast("double").alias("x")))
-    items.append(F.struct(F.lit(-2).alias("ord"), F.lit("_birth").alias("report"),
-                          F.when(F.col("birth_date").isNotNull(), "set").otherwise("null").alias("category"),
-                          F.lit(None).cast("double").alias("x")))
-    counts = reused(
-        cleaned.select(F.col(YEAR).alias("year"), F.inline(F.array(*items)))
-        .groupBy("ord", "report", "category", "x", "year")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "suite",
-    )
     parts = []
-    if summary is None and input_columns is not None:
-        summary = _quality_from_counts(counts, input_columns, len(cleaned.columns), kind)
     if summary is not None:
         parts.append(summary.select(
             F.lit(0).alias("ord"), F.lit("resumen_calidad").alias("report"),
@@ -198,7 +207,8 @@ def report_suite(cleaned: DataFrame, summary: DataFrame | None = None, keys: lis
             F.lit(None).cast("double").alias("bin_lo"), F.lit(None).cast("double").alias("bin_hi"),
         ))
     if cat_keys:
-        per_year = counts.where(F.col("ord") > 0).select("ord", "report", "category", "year", "n")
+        place = F.create_map(*[F.lit(x) for key in cat_keys for x in (key, keys.index(key) + 1)])
+        per_year = counts.where(F.col("report").isin(cat_keys)).select(place[F.col("report")].alias("ord"), "report", "category", "year", "n")
         ranked = _rank_categories(per_year, ["ord", "report", "category"], k)
         parts.append(ranked.select(
             "ord", "report", "category", "year", F.col("n").cast("long").alias("n"), F.col("rank").cast("int"),

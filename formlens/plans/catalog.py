@@ -749,7 +749,7 @@ def schema_findings(spark, sf):
 # ---------------------------------------------------------------------------
 
 from formlens.session import shared_path  # noqa: E402
-from formlens.sources import read_cleaned, read_exports, write_cleaned  # noqa: E402
+from formlens.sources import commit, read_cleaned, read_exports, read_rejected, read_store, store_report, write_cleaned  # noqa: E402
 
 _CLEANED_ALL_SELECT = "SELECT * FROM cleaned"
 
@@ -1010,6 +1010,81 @@ def sink_two_years(spark, sf):
     return read_cleaned(spark, path).select("respondent_id", "file_id", *C.CLEANED_NAMES)
 
 
+@register("sink_same_year_twice", _all_sql(select=_CLEANED_ALL_SELECT))
+def sink_same_year_twice(spark, sf):
+    """Several exports of each year in three deliveries: an early, partial one
+    of the first half, then the other half, then the first half in full, which
+    replaces its own rows only."""
+    store = shared_path(spark, "store")
+    c = cleaned_all(spark, sf)
+    half = F.col("respondent_id") % 2
+    rows = c.withColumn("delivered_as", F.concat_ws("-", F.lit("export"), "file_id", half.cast("string")))
+    for part in (rows.where(half == 0).where(F.col("respondent_id") % 3 == 0), rows.where(half == 1), rows.where(half == 0)):
+        files = part.select(F.col("delivered_as").alias("export")).distinct().withColumns({"length": F.lit(None).cast("long"), "modified": F.lit(None).cast("timestamp")})
+        commit(spark, store, part, files, export="delivered_as")
+    return read_store(spark, store).select("respondent_id", "file_id", *C.CLEANED_NAMES)
+
+
+def _deliveries(spark, sf, name):
+    """A folder of form exports that grows: a function that adds a part of them, and one that brings the store up to date."""
+    from formlens.plans.delivery import sync_exports
+
+    base = shared_path(spark, name)
+    f = form(spark, sf)
+    add = lambda i, folder, change=lambda df: df: D.write_lines(change(f.where(F.col("file_id") % 3 == i)), f"{base}/in/{folder}")
+    sync = lambda: sync_exports(spark, f"{base}/in/*", f"{base}/store", YEAR, keep=["respondent_id", "file_id"], filter_by_year=False, glob="part-*")
+    return add, sync, f"{base}/store"
+
+
+def _typed_keys(df):
+    return df.withColumns({n: F.col(n).cast("bigint") for n in ("respondent_id", "file_id")})
+
+
+@register(
+    "intake_quarantine",
+    _all_sql(select="SELECT respondent_id, estate, CAST(NULL AS VARCHAR) AS finding, CAST(NULL AS VARCHAR) AS header FROM cleaned WHERE file_id % 3 <> 1 "
+                    "UNION ALL SELECT NULL, NULL, 'missing_mandatory', 'Estamento' WHERE EXISTS (SELECT 1 FROM form WHERE file_id % 3 = 1)"),
+)
+def intake_quarantine(spark, sf):
+    """O19-O22 in a running intake: files that lack a mandatory column become dead
+    letters with their findings, all others go to the store."""
+    add, sync, store = _deliveries(spark, sf, "quarantine")
+    add(0, "sound")
+    add(1, "broken", lambda df: df.drop("Estamento"))
+    add(2, "later")
+    sync()
+    rows = _typed_keys(read_store(spark, store)).select("respondent_id", "estate", F.lit(None).cast("string").alias("finding"), F.lit(None).cast("string").alias("header"))
+    letters = read_rejected(spark, store).select("finding", "header").distinct()
+    return rows.unionByName(letters, allowMissingColumns=True)
+
+
+@register("intake_incremental", _all_sql(select=_CLEANED_ALL_SELECT))
+def intake_incremental(spark, sf):
+    """O2 again and again: each run reads only files that the store does not have; the last one none."""
+    add, sync, store = _deliveries(spark, sf, "incremental")
+    read = []
+    for i, folder in ((0, "first"), (1, "second"), (2, "third"), (None, None)):
+        if folder:
+            add(i, folder)
+        done = sync()
+        read.append((done.listed, done.read))
+    if [new for _, new in read] != [n - before for (n, _), before in zip(read, [0, *(n for n, _ in read)])]:
+        raise AssertionError(f"files listed and read by each run: {read}")
+    return _typed_keys(read_store(spark, store)).select("respondent_id", "file_id", *C.CLEANED_NAMES)
+
+
+@register("report_incremental", _all_sql(*_suite_sql("form", True), select="SELECT * FROM suite WHERE ord > 0"))
+def report_incremental(spark, sf):
+    """O39-O44 kept up to date: the suite from the added-up counts of two deliveries."""
+    add, sync, store = _deliveries(spark, sf, "reports")
+    add(0, "first")
+    sync()
+    add(1, "second")
+    add(2, "third")
+    sync()
+    return store_report(spark, store).where("ord > 0")
+
+
 def _auto_hist_sql() -> list[str]:
     parts = _hist_sql(False)
     parts[0] = "hc AS (SELECT analysis_year AS year, age AS x, count(*) AS c FROM aged WHERE age IS NOT NULL GROUP BY ALL)"

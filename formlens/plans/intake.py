@@ -2,7 +2,8 @@
 
 ``run_intake`` is the whole flow over a folder (or list) of CSV exports, raw
 or cleaned, of any header layout, in one scan.  Structure is checked per
-file before any row is read.  What it returns are lazy DataFrames.
+file before any row is read.  The rows are then read once and stored; what
+it returns are lazy DataFrames over the stored rows.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from formlens.operators import clean as K
 from formlens.operators import headers as H
 from formlens.operators import metrics as M
 from formlens.operators import report as R
-from formlens.operators.common import FormValidationError
-from formlens.sources.scan import raise_named, scan_exports
+from formlens.operators.common import FormValidationError, reused
+from formlens.sources.scan import raise_missing, scan_exports
 
 
 @dataclass
@@ -35,6 +36,9 @@ class IntakeResult:
     year_counts: DataFrame  # raw rows: total, null_or_invalid, other_year, kept
     date_losses: DataFrame  # per date column: non_null, parsed, lost
     make_report: Callable[[], DataFrame] = field(repr=False, default=None)
+    by_export: DataFrame = None      # cleaned rows with ``source_file`` and ``kind`` (files only)
+    export_counts: DataFrame = None  # additive counts of each file (``metrics.export_counts``; files only)
+    rejected: DataFrame = None       # files set aside (file_id, finding, header)
 
     @cached_property
     def report(self) -> DataFrame:
@@ -42,15 +46,9 @@ class IntakeResult:
         return self.make_report()
 
 
-def harmonised_headers(plan: DataFrame) -> DataFrame:
-    """Header table after renaming: ``(file_id, pos, header)``."""
-    return plan.select("file_id", "pos", F.coalesce("canonical", "header").alias("header"))
-
-
 def check_findings(findings: DataFrame) -> None:
     """Raise if any file lacks a required column; names files and columns."""
-    errors = findings.where(F.col("severity") == "error").select(F.concat_ws(": ", F.col("file_id").cast("string"), "finding", "header").alias("what"))
-    raise_named(errors.orderBy("what"), "required columns missing (all are in the findings table)")
+    raise_missing(findings)
 
 
 def date_losses(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -64,45 +62,48 @@ def run_intake(spark: SparkSession, paths: list[str] | str, year: int, fill: str
                mode: str = "safe", filter_by_year: bool = True, strict: bool = True,
                keep: list[str] | None = None, report_keys: list[str] | None = None,
                file_col: str = "file_id", normalise_ints: bool = False,
-               options: dict[str, str] | None = None, multi_line: bool = True) -> IntakeResult:
+               options: dict[str, str] | None = None, multi_line: bool = True, set_aside: bool = False) -> IntakeResult:
     """Run the whole flow on CSV exports.
 
     Raw exports are filtered to fill-in dates in ``year`` (when
     ``filter_by_year``) and projected through the mapping; cleaned exports
     are read by their labels.  ``strict`` (default) raises before any row is
     read if a file lacks a required column, and if the filter leaves no row
-    of the raw exports.  Per-export analysis years group by ``file_col`` when
-    the exports carry such a column, else by source file.
+    of the raw exports.  With ``set_aside``, files without a header record,
+    of unknown kind or without a required column are left out instead and
+    listed in ``rejected``.  Per-export analysis years group by ``file_col``
+    when the exports carry such a column, else by source file.
+
+    The exports are read once: their typed rows are stored as Parquet in the
+    shared folder (``clean.stage_mixed``), and rows, counts, losses, summary
+    and report all come from there.
     """
-    ex = scan_exports(spark, paths, mode, options, keep=list(dict.fromkeys([*(keep or []), file_col])), multi_line=multi_line)
-    rows, plan = ex.rows, ex.plan
-    harmonised = harmonised_headers(plan)
-    findings = H.schema_findings(harmonised)
-    if strict:
-        check_findings(findings)
-    raw = F.col("kind") == "raw"
+    on_bad = "set_aside" if set_aside else "raise" if strict else "raise_kind"
+    ex = scan_exports(spark, paths, mode, options, keep=list(dict.fromkeys([*(keep or []), file_col])), multi_line=multi_line, on_bad=on_bad)
     group = file_col if file_col in ex.keep else "source_file"
     keep = [k for k in (keep or []) if k in ex.keep]
-    raw_rows = rows.where(raw)
-    source = rows
-    if filter_by_year:
-        filled = F.year(parse_day_first(col_of(C.FILLED_LABEL)))
-        source = rows.where(~raw | (filled == F.lit(int(year))))
-        if strict and not ex.files.where(raw).isEmpty():
-            K.raise_if_empty(source.where(raw), raw_rows, year)
-    cleaned = K.build_mixed(source, year, fill, group, [*keep, "kind"], normalise_ints)
-    names = harmonised.join(ex.files.select("file_id", "kind"), "file_id").where(~F.col("header").isin(list({*keep, file_col})))
-    width = names.groupBy("kind").agg(F.count_distinct("header").alias("columns_in"))
-    summary = M.mixed_summary(cleaned, width, len(C.CLEANED_NAMES))
-    out = cleaned.drop("kind")
+    carried = list(dict.fromkeys([*keep, *([group] if group != "source_file" else [])]))
+    staged = reused(K.stage_mixed(ex.rows, year, filter_by_year, fill, carried, normalise_ints), "staged")
+    dated = K.date_mixed(staged, year, group)
+    names = H.harmonised_headers(ex.plan).join(ex.files.select("file_id", "kind"), "file_id").where(~F.col("header").isin(list({*keep, file_col})))
+    counts = reused(M.export_counts(dated, names, year), "export-counts")
+    year_counts = M.filter_counts(counts)
+    if strict and filter_by_year and not set_aside and not ex.files.where("kind = 'raw'").isEmpty():
+        found = year_counts.first().asDict()
+        if not found["kept"]:
+            raise FormValidationError(f"no rows left after filtering the fill-in date by year {year}: " + ", ".join(f"{k} {v}" for k, v in found.items()))
+    kept = dated.where("kept")
+    cleaned = K.final_projection(kept, keep)
+    summary = M.mixed_summary(counts, len(C.CLEANED_NAMES))
 
     # the report has the quality counts of its own pass over the rows
     def make_report() -> DataFrame:
-        return R.report_suite(out, summary, keys=report_keys, fill=fill)
+        return R.report_suite(cleaned, summary, keys=report_keys, fill=fill)
 
     return IntakeResult(
-        cleaned=out, summary=summary, findings=findings, plan=plan, changes=H.change_log(plan), unmatched=H.unmatched_headers(plan),
-        year_counts=K.year_filter_counts(raw_rows, year), date_losses=date_losses(source, [C.FILLED_LABEL, C.BIRTH_LABEL]), make_report=make_report)
+        cleaned=cleaned, summary=summary, findings=ex.findings, plan=ex.plan, changes=H.change_log(ex.plan), unmatched=H.unmatched_headers(ex.plan),
+        year_counts=year_counts, date_losses=M.loss_counts(counts), make_report=make_report,
+        by_export=K.final_projection(kept, ["source_file", "kind", *keep]), export_counts=counts, rejected=ex.rejected)
 
 
 @dataclass
@@ -138,7 +139,7 @@ def clean_dataframe(df: DataFrame, year: int, fill: str = C.FILL_VALUE, mode: st
     # known columns under their canonical names; every other one stays behind
     taken = [(r["header"], r["canonical"]) for r in planned if r["canonical"] is not None]
     renamed = df.select(*[F.col(c) for c in carried], *[col_of(old).alias(new) for old, new in taken])
-    findings = H.schema_findings(harmonised_headers(plan))
+    findings = H.schema_findings(H.harmonised_headers(plan))
     if strict:
         check_findings(findings)
     source = K.filter_year(renamed, year) if kind == "raw" and filter_by_year else renamed

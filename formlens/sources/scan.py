@@ -72,6 +72,13 @@ def header_table(spark: SparkSession, paths: list[str] | str, options: dict[str,
     spreadsheet-style name ``Unnamed: <index>``.  Files without a record are
     an error.
     """
+    headers, lost = discover_headers(spark, paths, options)
+    raise_named(lost, "export files without a header record")
+    return headers
+
+
+def discover_headers(spark: SparkSession, paths: list[str] | str, options: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The header table of the files that have a record, and the ``file_id`` of those that have none."""
     opts = CSV_OPTIONS | (options or {})
     sep, quote = opts.get("sep") or opts["delimiter"], opts["quote"]
     encoding = opts["encoding"]
@@ -104,9 +111,7 @@ def header_table(spark: SparkSession, paths: list[str] | str, options: dict[str,
     )
     path = reused(found, "headers")
     listed = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file_id"))
-    lost = listed.join(path.select("file_id").distinct(), "file_id", "left_anti")
-    raise_named(lost, "export files without a header record")
-    return path
+    return path, listed.join(path.select("file_id").distinct(), "file_id", "left_anti")
 
 
 def raise_named(bad: DataFrame, what: str, show: int = 20) -> None:
@@ -124,6 +129,8 @@ class Exports:
     files: DataFrame     # one row per file with its headers and kind (``headers.by_file``)
     plan: DataFrame      # rename plan per file (file_id = source_file)
     keep: list[str]      # asked-for columns that some file has
+    findings: DataFrame  # of all files that have a known kind (``headers.schema_findings``)
+    rejected: DataFrame  # files set aside: (file_id, finding, header), a row for each reason
 
 
 def _layouts(files: DataFrame, plan: DataFrame, columns: list[str]) -> DataFrame:
@@ -153,11 +160,14 @@ def read_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
 
 
 def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe", options: dict[str, str] | None = None,
-                 keep: list[str] | None = None, multi_line: bool = True) -> Exports:
-    """``read_exports`` with headers and kinds kept for reuse.
+                 keep: list[str] | None = None, multi_line: bool = True, on_bad: str = "raise_kind") -> Exports:
+    """``read_exports`` with headers, kinds and findings kept for reuse.
 
     ``multi_line=False`` says that no record holds a line break; large files
-    are then split.  Exports of unknown kind are an error.
+    are then split.  ``on_bad`` says what happens to a file without a header
+    record, of unknown kind or without a required column: ``raise`` names
+    them in an error before any row is read; ``raise_kind`` lets missing
+    columns pass; ``set_aside`` leaves them out and lists them in ``rejected``.
     """
     if mode != "safe":
         # greedy matching can rename an identifier column into a cleaned one;
@@ -165,15 +175,30 @@ def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
         raise ValueError("rows are only read with the safe harmonisation mode; use header_plan(..., 'greedy') to compare")
     paths = [paths] if isinstance(paths, str) else list(paths)
     opts = CSV_OPTIONS | {"multiLine": str(multi_line).lower()} | (options or {})
-    headers = header_table(spark, paths, options)
+    headers, lost = discover_headers(spark, paths, options)
     files = reused(H.by_file(headers), "files")
-    raise_named(files.where(F.col("kind") == "unknown").select("file_id").orderBy("file_id"), "exports of unknown kind")
+    unknown = files.where(F.col("kind") == "unknown").select("file_id")
     plan = reused(H.header_plan(files, mode), "plan")
+    findings = H.schema_findings(H.harmonised_headers(plan))
+    reason = lambda df, name: df.select("file_id", F.lit(name).alias("finding"), F.lit(None).cast("string").alias("header"))
+    rejected = reason(lost, "no_header_record").limit(0)
+    if on_bad == "set_aside":
+        missing = findings.where(F.col("severity") == "error").select("file_id", "finding", "header")
+        rejected = reused(reason(lost, "no_header_record").unionByName(reason(unknown, "unknown_kind")).unionByName(missing), "rejected")
+        good = lambda df: df.join(rejected.select("file_id").distinct(), "file_id", "left_anti")
+        files, plan = reused(good(files), "files"), reused(good(plan), "plan")
+    else:
+        raise_named(lost, "export files without a header record")
+        raise_named(unknown.orderBy("file_id"), "exports of unknown kind")
+        if on_bad == "raise":
+            raise_missing(findings)
     width = headers.agg(F.max("pos")).first()[0]
-    if width is None:
+    if width is None and rejected.isEmpty():
         raise FormValidationError("no export files to read")
+    width = width or 1
     keep = [k for k in (keep or []) if k not in KNOWN_COLUMNS]
-    present = {r[0] for r in headers.where(F.col("header").isin(keep)).select("header").distinct().collect()} if keep else set()
+    # only files that are read count: a column of a rejected one is no column of the rows
+    present = {r[0] for r in plan.where(F.col("header").isin(keep)).select("header").distinct().collect()} if keep else set()
     keep = [k for k in keep if k in present]  # at most the names asked for
     columns = [*KNOWN_COLUMNS, *keep]
     # few layouts, many files: rows first get their file's layout, then its positions
@@ -189,7 +214,13 @@ def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
         "source_file", "kind", F.col("positions")[columns.index(C.YEAR_LABEL)].isNotNull().alias("has_year"),
         *[F.get("cells", F.get("positions", F.lit(i)) - 1).alias(c) for i, c in enumerate(columns)],
     )
-    return Exports(rows=rows, files=files, plan=plan, keep=keep)
+    return Exports(rows=rows, files=files, plan=plan, keep=keep, findings=findings, rejected=rejected)
+
+
+def raise_missing(findings: DataFrame) -> None:
+    """Raise if any file lacks a required column; names files and columns."""
+    errors = findings.where(F.col("severity") == "error").select(F.concat_ws(": ", F.col("file_id").cast("string"), "finding", "header").alias("what"))
+    raise_named(errors.orderBy("what"), "required columns missing (all are in the findings table)")
 
 
-__all__ = ["KNOWN_COLUMNS", "Exports", "first_record", "header_table", "raise_named", "read_exports", "scan_exports"]
+__all__ = ["KNOWN_COLUMNS", "Exports", "first_record", "discover_headers", "header_table", "raise_missing", "raise_named", "read_exports", "scan_exports"]

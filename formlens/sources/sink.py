@@ -2,7 +2,8 @@
 
 Parquet keeps types (birth date stays a timestamp); CSV renders the birth
 date as ``dd/MM/yyyy`` with empty cells for nulls.  Both are partitioned by
-analysis year, so a later year filter prunes whole directories.  A write
+analysis year, so a later year filter prunes whole directories.  (Several
+exports of one year, delivered one by one, belong into a ``store``.)  A write
 replaces the years that it holds and keeps all others, so a retried job
 (lost executor) rewrites the same output, and next year's export does not
 take this year's away.  In CSV the year also stays a column of the file, so

@@ -1,5 +1,5 @@
 """Incremental intake of exports with Structured Streaming (foreachBatch)."""
 
-from formlens.streaming.intake import process_exports, read_intake, start_intake
+from formlens.streaming.intake import read_intake, read_rejected, start_intake, store_report
 
-__all__ = ["process_exports", "read_intake", "start_intake"]
+__all__ = ["read_intake", "read_rejected", "start_intake", "store_report"]

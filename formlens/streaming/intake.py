@@ -1,55 +1,52 @@
 """Incremental intake of form exports with Structured Streaming.
 
 Exports arrive as files in a folder.  A file stream lists new files
-(``binaryFile`` with only the path selected, so file contents are not read
-by the stream itself); ``foreachBatch`` runs the batch intake on each
-micro-batch's files (``plans.intake.run_intake``: raw and cleaned exports,
-findings, year filter, build), written to
-``<sink>/batch_id=<n>/analysis_year=<y>``.
-
-Every micro-batch writes its own folder with ``overwrite``, so a batch that
-is replayed after a failure (the checkpoint records which batches
-committed) rewrites the same output instead of appending twice.  The row
-operators are stateless; the only per-export state (the analysis year) is
-computed inside the batch, so a whole export must land in one micro-batch,
-which the file source guarantees for each file.
+(``binaryFile`` without the contents, so they are not read by the stream
+itself); ``foreachBatch`` runs the batch intake on each micro-batch's files
+(``plans.delivery.deliver``: raw and cleaned exports, findings, year filter,
+build) and commits them to a store (``sources.store``).
+
+A commit replaces the rows of its own exports only and is published by one
+rename, so a batch that is replayed after a failure leaves the same store,
+and readers see whole batches.  With ``on_bad="set_aside"`` a broken file goes
+to the dead letters of the same commit instead of failing its batch at every
+restart.  Reports follow each batch from the store's counts
+(``store_report``).  The row operators are stateless; the only per-export
+state (the analysis year) is computed inside the batch, so a whole export must
+land in one micro-batch, which the file source guarantees for each file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from formlens.plans.intake import run_intake
-
-
-def process_exports(spark: SparkSession, paths: list[str], sink: str, batch_id: int, year: int,
-                    file_col: str = "file_id", keep: list[str] | None = None, filter_by_year: bool = True, strict: bool = True) -> None:
-    """The batch flow on the files of one micro-batch: raw and cleaned, checked and filtered."""
-    res = run_intake(spark, paths, year, file_col=file_col, keep=keep, filter_by_year=filter_by_year, strict=strict)
-    folder = f"{sink.rstrip('/')}/batch_id={batch_id}"
-    # a replayed batch replaces all of its folder, also years it no longer has
-    res.cleaned.write.mode("overwrite").partitionBy("analysis_year").parquet(folder)
+from formlens.plans.delivery import deliver
+from formlens.sources.store import read_rejected, read_store, store_report
 
 
 def start_intake(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, year: int,
                  file_col: str = "file_id", keep: list[str] | None = None,
-                 filter_by_year: bool = True, strict: bool = True,
+                 filter_by_year: bool = True, on_bad: str = "raise",
                  available_now: bool = True, max_files_per_trigger: int = 1000,
                  glob: str = "*.csv") -> StreamingQuery:
     """Start the intake stream; ``available_now`` processes what is there and stops.
 
     A micro-batch takes ``max_files_per_trigger`` files at most, which bounds
-    the list of paths that each batch hands to its scan.
+    the list of paths that each batch hands to its scan.  ``on_bad`` is
+    ``raise`` (a broken file fails its batch) or ``set_aside``.
     """
+    if on_bad not in ("raise", "set_aside"):
+        raise ValueError(f"on_bad is 'raise' or 'set_aside', not {on_bad!r}")
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(source_dir).select("path")
+    files = reader.load(source_dir).select("path", F.col("_metadata.file_path").alias("export"), "length", F.col("modificationTime").alias("modified"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        paths = [r["path"] for r in batch.collect()]  # bounded by max_files_per_trigger
-        if paths:
-            process_exports(spark, paths, sink, batch_id, year, file_col, keep, filter_by_year, strict)
+        rows = batch.collect()  # bounded by max_files_per_trigger
+        if rows:
+            deliver(spark, sink, rows, year, keep, file_col, filter_by_year, on_bad == "set_aside")
 
     writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -57,8 +54,8 @@ def start_intake(spark: SparkSession, source_dir: str, sink: str, checkpoint: st
 
 
 def read_intake(spark: SparkSession, sink: str) -> DataFrame:
-    """The cleaned rows written by all committed micro-batches."""
-    return spark.read.parquet(sink).drop("batch_id")
+    """The cleaned rows of all committed micro-batches."""
+    return read_store(spark, sink).drop("export", "export_key")
 
 
-__all__ = ["process_exports", "read_intake", "start_intake"]
+__all__ = ["read_intake", "read_rejected", "start_intake", "store_report"]
