@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -42,6 +43,7 @@ NO_MERGE = (1 << 31) - 1
 CACHE_WORDS = 500_000  # some 100 MB
 LONG_WORD = 64  # bytes; longer pretokens have a tree of their own and are not remembered
 FOREST = 20_000  # trees in one array
+DECODED_ROWS = 1000  # whose texts are made at once
 
 # The pretokens of byte-level vocabularies.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -267,6 +269,13 @@ def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -
     return add_columns(docs, f"`{ids}` array<int>", make, column)
 
 
+def _as_text(raw: pa.Array) -> pa.Array:
+    try:
+        return raw.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:  # some bytes are no UTF-8
+        return pa.array([t.decode("utf-8", "replace") for t in raw.to_pylist()], pa.string())
+
+
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``rows`` plus the column ``text``: the text of the token ids in column ``ids``,
     special tokens included."""
@@ -275,15 +284,23 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     schema = StructType(base.schema.fields + schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = Vocabulary(path).bytes_of
-        top = len(bytes_of)
+        tokens = Vocabulary(path).bytes_of
+        joined = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        size_of = np.array([*map(len, tokens), 0])  # the last: no such token
+        start_of = np.cumsum(size_of) - size_of
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
-                texts = [
-                    b"".join([bytes_of[i] for i in row if i is not None and 0 <= i < top]).decode("utf-8", "replace") if row else ""
-                    for row in (x.as_py() for x in part.column(ids))
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
+            for k in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(k, DECODED_ROWS)
+                lists = part.column(ids)
+                found = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+                found = np.where((found >= 0) & (found < len(tokens)), found, len(tokens))
+                sizes = size_of[found]
+                ends = np.cumsum(sizes)
+                # byte i of the output is byte i - (start of its token there) of the token
+                text_bytes = joined[np.repeat(start_of[found] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                cuts = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
+                whole = pa.Array.from_buffers(pa.large_binary(), part.num_rows, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(text_bytes)])
+                yield pa.RecordBatch.from_arrays([*part.columns, _as_text(whole)], names=schema.names)
 
     return base.mapInArrow(run, schema)
