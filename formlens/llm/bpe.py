@@ -72,7 +72,7 @@ def byte_letters() -> dict[int, str]:
 
 def pretokens(text: str) -> list[str]:
     """The pretokens of a text, in order; joined, they are the text."""
-    if text.isascii() or not _MARK.search(text):
+    if text.isascii() or max(text) < MARKS[0] or not _MARK.search(text):
         return _PRETOKEN.findall(text)
     as_mark = _MARK.sub("§", text)  # same length, so places stay
     return [text[m.start() : m.end()] for m in _PRETOKEN.finditer(as_mark)]
@@ -176,9 +176,9 @@ class Vocabulary:
         for level in range(levels - 1, -1, -1):
             nodes = np.arange(1 << level, 2 << level)
             tree[:, nodes] = np.minimum(tree[:, 2 * nodes], tree[:, 2 * nodes + 1])
-        after = np.minimum(np.tile(np.arange(1, size + 3), (count, 1)), lengths[:, None])
+        after = np.minimum(np.tile(np.arange(1, size + 3, dtype=np.int32), (count, 1)), lengths[:, None].astype(np.int32))
         after[after == lengths[:, None]] = size  # no next symbol
-        before = np.tile(np.arange(-1, size + 1), (count, 1))
+        before = np.tile(np.arange(-1, size + 1, dtype=np.int32), (count, 1))
         rows = np.flatnonzero(tree[:, 1] != NO_MERGE)
         while len(rows):
             low = tree[rows, 1]
