@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from formlens.session import shared_path
 
@@ -21,13 +21,13 @@ def raise_if_missing(columns: list[str], required: list[str], what: str) -> None
         raise FormValidationError(f"{what}: missing columns {listed}")
 
 
-def reused(df: DataFrame, name: str = "reused") -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back.
+def reused(df: DataFrame, name: str = "reused", spark: SparkSession | None = None) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back (by ``spark``, or its own session).
 
     For tables that several results are derived from: computed once, and a
     lost executor does not replay what they were computed from.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -62,7 +62,7 @@ def run_intake(spark: SparkSession, paths: list[str] | str, year: int, fill: str
                mode: str = "safe", filter_by_year: bool = True, strict: bool = True,
                keep: list[str] | None = None, report_keys: list[str] | None = None,
                file_col: str = "file_id", normalise_ints: bool = False,
-               options: dict[str, str] | None = None, multi_line: bool = True, set_aside: bool = False) -> IntakeResult:
+               options: dict[str, str] | None = None, multi_line: bool | str = True, set_aside: bool = False) -> IntakeResult:
     """Run the whole flow on CSV exports.
 
     Raw exports are filtered to fill-in dates in ``year`` (when
@@ -83,7 +83,7 @@ def run_intake(spark: SparkSession, paths: list[str] | str, year: int, fill: str
     group = file_col if file_col in ex.keep else "source_file"
     keep = [k for k in (keep or []) if k in ex.keep]
     carried = list(dict.fromkeys([*keep, *([group] if group != "source_file" else [])]))
-    staged = reused(K.stage_mixed(ex.rows, year, filter_by_year, fill, carried, normalise_ints), "staged")
+    staged = reused(K.stage_mixed(ex.rows, year, filter_by_year, fill, carried, normalise_ints), "staged", spark)
     dated = K.date_mixed(staged, year, group)
     names = H.harmonised_headers(ex.plan).join(ex.files.select("file_id", "kind"), "file_id").where(~F.col("header").isin(list({*keep, file_col})))
     counts = reused(M.export_counts(dated, names, year), "export-counts")

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from formlens import config as C
 from formlens.operators import headers as H
 from formlens.operators.common import FormValidationError, reused
+from formlens.sources.ranges import read_records
 
 CSV_OPTIONS = {
     "header": "true",
@@ -160,11 +161,14 @@ def read_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
 
 
 def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe", options: dict[str, str] | None = None,
-                 keep: list[str] | None = None, multi_line: bool = True, on_bad: str = "raise_kind") -> Exports:
+                 keep: list[str] | None = None, multi_line: bool | str = True, on_bad: str = "raise_kind") -> Exports:
     """``read_exports`` with headers, kinds and findings kept for reuse.
 
-    ``multi_line=False`` says that no record holds a line break; large files
-    are then split.  ``on_bad`` says what happens to a file without a header
+    Large files are read by several tasks, also where cells hold line breaks
+    (``ranges``); ``multi_line="whole"`` has Spark read each file in one task
+    (records that end in a lone CR), and ``multi_line=False`` says that no cell
+    holds a line break.  Quotes that are not escaped by doubling are left to
+    Spark's readers, too.  ``on_bad`` says what happens to a file without a header
     record, of unknown kind or without a required column: ``raise`` names
     them in an error before any row is read; ``raise_kind`` lets missing
     columns pass; ``set_aside`` leaves them out and lists them in ``rejected``.
@@ -174,7 +178,7 @@ def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
         # it exists to compare plans (operators.headers.header_plan), never to read rows
         raise ValueError("rows are only read with the safe harmonisation mode; use header_plan(..., 'greedy') to compare")
     paths = [paths] if isinstance(paths, str) else list(paths)
-    opts = CSV_OPTIONS | {"multiLine": str(multi_line).lower()} | (options or {})
+    opts = CSV_OPTIONS | {"multiLine": str(bool(multi_line)).lower()} | (options or {})
     headers, lost = discover_headers(spark, paths, options)
     files = reused(H.by_file(headers), "files")
     unknown = files.where(F.col("kind") == "unknown").select("file_id")
@@ -207,8 +211,13 @@ def scan_exports(spark: SparkSession, paths: list[str] | str, mode: str = "safe"
     layout_of = reused(per_file.select(F.col("file_id").alias("source_file"), "layout"), "layout-of")
     layouts = reused(per_file.groupBy("layout").agg(F.first("kind").alias("kind"), F.first("positions").alias("positions")), "layouts")
     schema = T.StructType([T.StructField(f"_p{i}", T.StringType()) for i in range(width)])
-    cells = spark.read.options(**opts).schema(schema).csv(paths).select(
-        F.col("_metadata.file_path").alias("source_file"), F.array(*[F.col(f"_p{i}") for i in range(width)]).alias("cells"))
+    cells = F.array(*[F.col(f"_p{i}") for i in range(width)]).alias("cells")
+    if multi_line is True and opts["quote"] == opts["escape"]:
+        records = read_records(spark, paths, opts.get("sep") or opts["delimiter"], opts["quote"], opts["encoding"])
+        parsing = {k: v for k, v in opts.items() if k not in ("header", "enforceSchema", "encoding")}
+        cells = records.select("source_file", F.from_csv("record", schema.simpleString()[len("struct<"):-1].replace(":", " "), parsing).alias("c")).select("source_file", "c.*").select("source_file", cells)
+    else:
+        cells = spark.read.options(**opts).schema(schema).csv(paths).select(F.col("_metadata.file_path").alias("source_file"), cells)
     placed = cells.join(layout_of, "source_file").join(layouts, "layout")
     rows = placed.select(
         "source_file", "kind", F.col("positions")[columns.index(C.YEAR_LABEL)].isNotNull().alias("has_year"),
