@@ -23,12 +23,12 @@ def _packed(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int]:
     code[alphabet] = np.arange(len(alphabet))  # the end mark, 0, stays 0
     bits = max(1, int(len(alphabet) - 1).bit_length())
     count = KEY_BITS // bits
-    symbols = np.concatenate([code[text], np.zeros(count, dtype=np.int64)])
-    left = ends - np.arange(len(text))
+    symbols = np.concatenate([code[text], np.zeros(count, dtype=np.int64)]).astype(np.uint16)
+    left = ends - np.arange(len(text), dtype=np.int32)
     key = np.zeros(len(text), dtype=np.int64)
     for k in range(count):
         key <<= bits
-        key |= np.where(left >= k, symbols[k : k + len(text)], 0)
+        key |= np.where(left >= k, symbols[k : k + len(text)], np.uint16(0))
     return key, count
 
 
@@ -64,7 +64,7 @@ def suffixes(key: np.ndarray, count: int, ends: np.ndarray) -> np.ndarray:
         begins = np.maximum.accumulate(np.where(new_group, np.arange(len(pair)), 0))
         rank[open_places[order]] = old + within[begins]
         size *= 2
-    return np.argsort(rank, kind="stable")
+    return np.argsort(rank, kind="stable").astype(np.int32)
 
 
 def _shared(text: np.ndarray, key: np.ndarray, count: int, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -89,10 +89,10 @@ class RunIndex:
         lengths = np.array([len(s) + 1 for s in strings], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(lengths)])
         marks = self.starts[1:] - 1
-        text = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int64) + 1
+        text = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int16) + np.int16(1)
         text[marks] = 0
         self.text = text
-        self.ends = np.repeat(marks, lengths)
+        self.ends = np.repeat(marks.astype(np.int32), lengths)
         self.key, self.count = _packed(text, self.ends)
         self.order = suffixes(self.key, self.count, self.ends)
         before = text[self.order - 1]  # the transform; the text ends with a mark, so the first suffix gets one too
