@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formlens import config as C
-from formlens.functions import col_of, parse_day_first
+from formlens.functions import coerce_number, col_of, parse_day_first
 from formlens.operators import clean as K
 from formlens.operators import metrics as M
 from formlens.operators import report as R
@@ -1073,6 +1073,28 @@ def intake_incremental(spark, sf):
     return _typed_keys(read_store(spark, store)).select("respondent_id", "file_id", *C.CLEANED_NAMES)
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    """A later layout: upper-case headers, dates as dates, the semester as a number."""
+    dates = {h: parse_day_first(col_of(h)) for h in (C.SUBMITTED_LABEL, C.FILLED_LABEL)}
+    dates[C.BIRTH_LABEL] = parse_day_first(col_of(C.BIRTH_LABEL)).cast("date")
+    typed = df.withColumns(dates).withColumn(C.SEMESTER_LABEL, coerce_number(col_of(C.SEMESTER_LABEL)))
+    return typed.withColumnsRenamed({h: h.upper() for h in df.columns if h not in ("file_id", "respondent_id")})
+
+
+@register("parquet_layouts", _year_sql(select="SELECT * FROM cleaned"))
+def parquet_layouts(spark, sf):
+    """O1, O3: Parquet exports in three layouts of differing columns and types, stacked and filtered by year."""
+    from formlens.plans.parquet_intake import run_parquet_intake
+
+    base = shared_path(spark, "parquet")
+    f = form(spark, sf)
+    part = lambda i: f.where(F.col("file_id") % 3 == i)
+    part(0).write.parquet(f"{base}/text")
+    _typed(part(1)).write.parquet(f"{base}/typed")
+    part(2).select(*map(col_of, reversed(f.columns))).withColumn("file_id", F.col("file_id").cast("string")).write.parquet(f"{base}/other_order")
+    return run_parquet_intake(spark, f"{base}/*", YEAR, keep=["respondent_id"]).cleaned
+
+
 @register("report_incremental", _all_sql(*_suite_sql("form", True), select="SELECT * FROM suite WHERE ord > 0"))
 def report_incremental(spark, sf):
     """O39-O44 kept up to date: the suite from the added-up counts of two deliveries."""
