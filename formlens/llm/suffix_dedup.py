@@ -9,13 +9,11 @@ smaller id, or before in the same one) loses the bytes it covers.
    repeat among stretches of the same hash.  Stretches go out in packed blocks
    by hash; copies within a task are settled there, only the first goes on.
 2. Where a hash meets a single stretch, nothing repeats but within it.  A
-   stretch whose whole text came earlier is removed.  Of hashes with several
-   different texts, only stretches go on that may share a window: equal windows
-   have the smallest gram at one place and so agree on half of the other bytes,
-   on its left or on its right, whose hashes go with the stretch.  What is left
-   are the edges of repeated passages, and stretches that may repeat within
-   themselves.
-3. The texts of these stretches meet in buckets of bounded size.  Each bucket
+   stretch whose whole text came earlier is removed.  What is left are the few
+   hashes with several different texts (the edges of repeated passages), and
+   stretches that may repeat within themselves.
+3. The texts of these stretches meet in buckets of bounded size.  Of equal
+   texts all but the first are removed there; of the others, each bucket
    builds a run-length Burrows-Wheeler index, streams matching statistics
    over it, and marks matches of ``size`` bytes or more but the first
    (``runindex``).  A hash with very many different texts is cut into single
@@ -51,7 +49,7 @@ COLUMNS = ["n_bytes", "n_removed", "spans", "kept_bytes", "kept_text"]
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
-STRETCH = np.dtype([("hash", "<u8"), ("text", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("start", "<u4"), ("last", "<u4"), ("left", "<u4"), ("right", "<u4"), ("loop", "u1")])
+STRETCH = np.dtype([("hash", "<u8"), ("text", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("start", "<u4"), ("last", "<u4"), ("loop", "u1")])
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -77,13 +75,12 @@ class Stretches:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
         """Document number, first and last window start in it, hash, hash of the
-        whole text, hashes of what stands on each side of the smallest gram (0 where
-        the text is too short), and whether its hash comes again within the stretch."""
+        whole text, and whether the smallest hash comes again within the stretch."""
         data = np.frombuffer(b"".join(texts), dtype=np.uint8)
         n = len(data)
         starts = np.cumsum([0, *map(len, texts)])
         counts = np.maximum(np.diff(starts) - self.size + 1, 0)  # windows of each document
-        none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.uint32),) * 2 + (np.zeros(0, bool),)
+        none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, bool),)
         if not counts.sum():
             return none
         if len(self.up) < n + 1:
@@ -107,18 +104,7 @@ class Stretches:
         stretch = np.searchsorted(low, again, "right") - 1
         loop = np.zeros(len(edge), dtype=bool)
         loop[stretch[stretch >= 0]] = True
-        # the smallest gram of each stretch: its first place from the first window on
-        step = np.searchsorted(place, low)
-        while len(other := np.flatnonzero(grams[place[step]] != value[edge])):
-            step[other] += 1
-        gram, side = place[step], (self.size - GRAM + 1) // 2
-        begin, stop = starts[:-1][doc[edge]], starts[1:][doc[edge]]
-        sides = []
-        for a in (gram - side, gram + GRAM):
-            there = (a >= begin) & (a + side <= stop)
-            a = np.where(there, a, 0)
-            sides.append(np.where(there, _mixed((sums[np.minimum(a + side, n)] - sums[a]) * self.down[a]) >> np.uint64(32) | np.uint64(1), np.uint64(0)).astype(np.uint32))
-        return doc[edge], within[edge], within[last], value[edge], whole, *sides, loop
+        return doc[edge], within[edge], within[last], value[edge], whole, loop
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -167,18 +153,10 @@ def _settle(rows: np.ndarray, size: int, hot_texts: int) -> tuple[np.ndarray, np
     rows = rows[_group_starts(rows["hash"], rows["text"], rows["doc"], rows["key"], rows["start"])]  # repeated rows are one document
     first = _group_starts(rows["hash"], rows["text"])
     gone, rows = rows[~first], rows[first]
-    # equal windows have their smallest gram at one place, so they agree on one side of it, or hold it twice
-    loop = rows["loop"] > 0
-    number = np.cumsum(_group_starts(rows["hash"])) - 1
-    look = loop | (np.bincount(number, loop)[number] > 0) & (np.bincount(number)[number] > 1) if len(rows) else loop
-    for side in ("left", "right"):
-        order = np.lexsort((rows[side], rows["hash"]))
-        new = _group_starts(rows["hash"][order], rows[side][order])
-        alone = new & np.concatenate([new[1:], [True]]) if len(rows) else new
-        look[order] |= ~alone & (rows[side][order] > 0)
-    rows = rows[look]
-    texts = np.bincount(number[look])[number[look]] if len(rows) else np.zeros(0, np.int64)
-    return gone, rows, texts > hot_texts
+    group = np.flatnonzero(_group_starts(rows["hash"]))
+    texts = np.repeat(np.diff(np.concatenate([group, [len(rows)]])), np.diff(np.concatenate([group, [len(rows)]])))
+    look = (texts > 1) | (rows["loop"] > 0)
+    return gone, rows[look], texts[look] > hot_texts
 
 
 def _stretch_blocks(docs: DataFrame, size: int, buckets: int) -> DataFrame:
@@ -188,9 +166,9 @@ def _stretch_blocks(docs: DataFrame, size: int, buckets: int) -> DataFrame:
         find, known = Stretches(size), {}
 
         def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-            doc, start, last, value, whole, left, right, loop = find(text_bytes(batch))
+            doc, start, last, value, whole, loop = find(text_bytes(batch))
             rows = np.zeros(len(doc), dtype=STRETCH)
-            rows["hash"], rows["text"], rows["start"], rows["last"], rows["left"], rows["right"], rows["loop"] = value, whole, start, last, left, right, loop
+            rows["hash"], rows["text"], rows["start"], rows["last"], rows["loop"] = value, whole, start, last, loop
             rows["doc"], rows["key"] = (batch.column(c).to_numpy()[doc] for c in ("doc", "key"))
             rows = rows[np.lexsort((rows["start"], rows["key"], rows["doc"], rows["text"], rows["hash"]))]
             rows = rows[_group_starts(rows["hash"], rows["text"], rows["doc"], rows["key"], rows["start"])]
@@ -299,7 +277,14 @@ def _indexed(strings: DataFrame, size: int, buckets: int) -> DataFrame:
     """Rows of ``MARKS`` for what the index of each bucket finds."""
 
     def finish(rows: list[tuple[int, int, int, bytes]]):
-        rows = sorted(set(rows))
+        # a whole string that came earlier goes, and the index holds it once
+        known, copies, distinct = set(), [], []
+        for r in sorted(set(rows)):
+            (copies if r[3] in known else distinct).append(r)
+            known.add(r[3])
+        if copies:
+            yield _batch(_marks([r[0] for r in copies], [r[1] for r in copies], [r[2] for r in copies], [r[2] + len(r[3]) for r in copies]))
+        rows = distinct
         string, at = RunIndex([r[3] for r in rows]).repeats(size)
         if len(string):
             first = np.flatnonzero(np.concatenate([[True], (string[1:] != string[:-1]) | (at[1:] != at[:-1] + 1)]))
