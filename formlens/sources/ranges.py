@@ -78,8 +78,8 @@ def _lines(spark: SparkSession, paths: list[str], range_bytes: int) -> DataFrame
         (F.col("_metadata.file_size") <= range_bytes).alias("single"), F.col("value").cast("binary").alias("value"))
 
 
-def _by_range(batches: Iterator[pa.RecordBatch], encoding: str) -> Iterator[tuple[str, int, dict, list[str]]]:
-    """Runs of lines of one range, as text without the CR of their ends."""
+def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.RecordBatch]]:
+    """Runs of lines of one range."""
     for batch in batches:
         files, blocks = batch.column("source_file"), batch.column("block")
         at = 0
@@ -89,8 +89,22 @@ def _by_range(batches: Iterator[pa.RecordBatch], encoding: str) -> Iterator[tupl
             stop = pc.index(same, False).as_py()
             run = batch.slice(at, batch.num_rows - at if stop < 0 else stop)
             at += run.num_rows
-            rest = {n: run.column(n)[0].as_py() for n in run.schema.names if n not in ("source_file", "block", "value")}
-            yield file, block, rest, [v.decode(encoding, "replace") for v in run.column("value").to_pylist()]
+            yield file, block, run
+
+
+def _texts(run: pa.RecordBatch, encoding: str) -> list[str]:
+    return [v.decode(encoding, "replace") for v in run.column("value").to_pylist()]
+
+
+def _strings(run: pa.RecordBatch, encoding: str) -> pa.Array:
+    try:
+        return run.column("value").cast(pa.string())
+    except pa.ArrowInvalid:  # some bytes are no text of this encoding
+        return pa.array(_texts(run, encoding))
+
+
+def _with(run: pa.RecordBatch, mark: str) -> pa.Array:
+    return pc.match_substring(run.column("value"), mark)
 
 
 def _states(lines: DataFrame, sep: str, quote: str, encoding: str) -> DataFrame:
@@ -98,12 +112,11 @@ def _states(lines: DataFrame, sep: str, quote: str, encoding: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, int], list[bool]] = {}
-        for file, block, _, texts in _by_range(batches, encoding):
+        for file, block, lot in _by_range(batches):
             states = found.setdefault((file, block), [False, True])
-            for text in texts:
-                if quote in text:
-                    text = text.removesuffix("\r")
-                    states[:] = [inside_after(text, s, sep, quote) for s in states]
+            for text in _texts(lot.filter(_with(lot, quote)), encoding):  # others change no state
+                text = text.removesuffix("\r")
+                states[:] = [inside_after(text, s, sep, quote) for s in states]
         rows = [(f, b, *s) for (f, b), s in found.items()]
         columns = zip(*rows) if rows else [[]] * 4
         types = [pa.string(), pa.int64(), pa.bool_(), pa.bool_()]
@@ -115,10 +128,14 @@ def _states(lines: DataFrame, sep: str, quote: str, encoding: str) -> DataFrame:
 def _after_each(states: DataFrame) -> DataFrame:
     """``(source_file, block, before, after)``: whether a cell is open before and after each range."""
     so_far = Window.partitionBy("source_file").orderBy("block")
-    # a file's ranges in order, a few bytes each; a range without lines changes no state
-    maps = F.collect_list(F.struct("from_outside", "from_inside")).over(so_far)
-    step = lambda s, m: F.when(s, m["from_inside"]).otherwise(m["from_outside"])
-    after = states.withColumn("after", F.aggregate(maps, F.lit(False), step))
+    # a range leaves the state as it was, turns it round or sets it, whatever it was before; so it is
+    # what the last range that sets it says, turned round as often as ranges have done so since
+    both = F.col("from_outside") == F.col("from_inside")
+    turns = states.withColumn("turns", F.sum((F.col("from_outside") & ~F.col("from_inside")).cast("long")).over(so_far))
+    last = F.last(F.when(both, F.struct(F.col("from_outside").alias("state"), "turns")), ignorenulls=True).over(so_far)
+    since = turns.withColumn("last", last)
+    odd = (F.col("turns") - F.coalesce("last.turns", F.lit(0))) % 2 == 1
+    after = since.withColumn("after", F.coalesce("last.state", F.lit(False)) != odd)
     return after.select("source_file", "block", "after", F.coalesce(F.lag("after").over(so_far), F.lit(False)).alias("before"))
 
 
@@ -128,7 +145,8 @@ def _cut(sep: str, quote: str, encoding: str):
     types = [pa.string(), pa.int64(), pa.int8(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, single, open_lines, inside, entered, header = None, False, [], False, False, False
+        key, single, open_lines, inside, entered, header, first_line = None, False, [], False, False, False, False
+        plain = encoding.upper() in ("UTF-8", "US-ASCII")
 
         def parts_left() -> list[tuple]:
             """What is open at the end of a range, or of a file."""
@@ -136,15 +154,23 @@ def _cut(sep: str, quote: str, encoding: str):
                 return []
             return [(*key, WHOLE if single else MIDDLE if entered else TAIL, "\n".join(open_lines))]
 
-        for file, block, rest, texts in _by_range(batches, encoding):
+        for file, block, lot in _by_range(batches):
             out = []
             if (file, block) != key:
                 out += parts_left()
-                key, single, open_lines, inside, header = (file, block), rest["single"], [], rest["inside"], block == 0
+                key, single, open_lines, inside, header = (file, block), lot.column("single")[0].as_py(), [], lot.column("inside")[0].as_py(), block == 0
                 entered = inside  # the first lines belong to a record that began before
-                if block == 0 and texts:
-                    texts[0] = texts[0].removeprefix("﻿")
-            for text in texts:
+                first_line = block == 0
+            elif not (open_lines or entered or header or inside) and plain and not pc.any(pc.or_(_with(lot, quote), _with(lot, "\r"))).as_py():
+                # records of one line each, as they are
+                lines = lot.filter(pc.not_equal(pc.binary_length(lot.column("value")), 0))
+                if lines.num_rows:
+                    whole = pa.array([WHOLE] * lines.num_rows, types[2])
+                    yield pa.RecordBatch.from_arrays([lines.column("source_file"), lines.column("block"), whole, _strings(lines, encoding)], names=names)
+                continue
+            for text in _texts(lot, encoding):
+                if first_line:
+                    text, first_line = text.removeprefix("\ufeff"), False
                 bare = text.removesuffix("\r")
                 if quote in bare:
                     inside = inside_after(bare, inside, sep, quote)
