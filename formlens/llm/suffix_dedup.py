@@ -12,9 +12,9 @@ smaller id, or before in the same one) loses the bytes it covers.
    stretch whose whole text came earlier is removed.  What is left are the few
    hashes with several different texts (the edges of repeated passages), and
    stretches that may repeat within themselves.
-3. The texts of these stretches meet in buckets of bounded size.  Of equal
-   texts all but the first are removed there; of the others, each bucket
-   builds a run-length Burrows-Wheeler index, streams matching statistics
+3. The texts of these stretches meet by hash, whole hashes together up to a
+   bounded size.  Of equal texts all but the first are removed there; for the
+   others, each such set builds a run-length Burrows-Wheeler index, streams matching statistics
    over it, and marks matches of ``size`` bytes or more but the first
    (``runindex``).  A hash with very many different texts is cut into single
    windows, dealt out by their content.
@@ -246,35 +246,36 @@ def _strings(docs: DataFrame, look: DataFrame, size: int, buckets: int) -> DataF
             for text, doc, key, stretches in zip(text_bytes(batch), batch.column("doc").to_pylist(), batch.column("key").to_pylist(), batch.column("look").to_pylist()):
                 for s in stretches:
                     if not s["hot"]:
-                        rows.append((s["hash"] % buckets, doc, key, s["start"], text[s["start"] : s["stop"]]))
+                        rows.append((s["hash"] % buckets, s["hash"], doc, key, s["start"], text[s["start"] : s["stop"]]))
                         continue
                     for at in range(s["start"], s["stop"] - size + 1):
                         window = text[at : at + size]
-                        name = (hash_of(window) % buckets, window)
                         # of equal windows of a slab, the first and (to be marked) all others
-                        out.setdefault(name, []).append((doc, key, at))
-            for (bucket, window), places in out.items():
+                        out.setdefault(window, []).append((doc, key, at))
+            for window, places in out.items():
                 places.sort()
-                rows.append((bucket, *places[0], window))
-                rows += [(-1, doc, key, at, b"") for doc, key, at in places[1:] if (doc, key, at) != places[0]]
-            columns = list(zip(*rows)) or [()] * 5
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            return {n: pa.array(c, t) for n, c, t in zip(("bucket", "doc", "key", "start", "string"), columns, types)}
+                name = hash_of(window)
+                rows.append((name % buckets, name, *places[0], window))
+                rows += [(-1, 0, doc, key, at, b"") for doc, key, at in places[1:] if (doc, key, at) != places[0]]
+            columns = list(zip(*rows)) or [()] * 6
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            return {n: pa.array(c, t) for n, c, t in zip(("bucket", "hash", "doc", "key", "start", "string"), columns, types)}
 
         return compute
 
     joined = docs.join(per_doc, ["doc", "key"])
-    return emit(joined, "bucket int, doc long, key long, start long, string binary", make)
+    return emit(joined, "bucket int, hash long, doc long, key long, start long, string binary", make)
 
 
 def hash_of(data: bytes) -> int:
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(data)
+    return xxhash.xxh3_64_intdigest(data) >> 1
 
 
-def _indexed(strings: DataFrame, size: int, buckets: int) -> DataFrame:
-    """Rows of ``MARKS`` for what the index of each bucket finds."""
+def _indexed(strings: DataFrame, size: int, buckets: int, index_bytes: int) -> DataFrame:
+    """Rows of ``MARKS`` for what the indexes find, each over whole hashes, of
+    ``index_bytes`` and the last of them at most."""
 
     def finish(rows: list[tuple[int, int, int, bytes]]):
         # a whole string that came earlier goes, and the index holds it once
@@ -293,17 +294,18 @@ def _indexed(strings: DataFrame, size: int, buckets: int) -> DataFrame:
             yield _batch(_marks([rows[s][0] for s in string[first]], [rows[s][1] for s in string[first]], begin + at[first], begin + at[last] + size))
 
     def run(batches):
-        bucket, rows = None, []
+        last, rows, total = None, [], 0
         for batch in batches:
             settled = []
-            for b, doc, key, start, string in zip(*(batch.column(c).to_pylist() for c in ("bucket", "doc", "key", "start", "string"))):
+            for b, name, doc, key, start, string in zip(*(batch.column(c).to_pylist() for c in ("bucket", "hash", "doc", "key", "start", "string"))):
                 if b < 0:
                     settled.append((doc, key, start))
                     continue
-                if b != bucket:
-                    if rows:
-                        yield from finish(rows)
-                    bucket, rows = b, []
+                if name != last and total >= index_bytes:
+                    yield from finish(rows)
+                    rows, total = [], 0
+                last = name
+                total += len(string)
                 rows.append((doc, key, start, string))
             if settled:
                 doc, key, start = (np.array(c, np.int64) for c in zip(*settled))
@@ -312,7 +314,7 @@ def _indexed(strings: DataFrame, size: int, buckets: int) -> DataFrame:
             yield from finish(rows)
 
     spread = F.when(F.col("bucket") < 0, F.xxhash64("doc", "key", "start")).otherwise(F.col("bucket").cast("long"))
-    return strings.repartition(buckets, spread).sortWithinPartitions("bucket").mapInArrow(run, MARKS)
+    return strings.repartition(buckets, spread).sortWithinPartitions("hash").mapInArrow(run, MARKS)
 
 
 def merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -361,7 +363,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, index_bytes: int = INDEX_B
     look = marks.where("hash is not null")
     weight = look.agg(F.sum(F.when(F.col("hot"), (F.col("stop") - F.col("start") - size + 1) * size).otherwise(F.col("stop") - F.col("start")))).first()[0] or 0
     parts = max(least, -(-weight // index_bytes))
-    found = written(_indexed(_strings(slim, look, size, parts), size, parts), "found")
+    found = written(_indexed(_strings(slim, look, size, parts), size, parts, index_bytes), "found")
     gone = marks.where("hash is null").unionByName(found).groupBy(F.col("doc").alias("_doc"), F.col("key").alias("_key")).agg(F.collect_list(F.struct("start", "stop")).alias("_gone"))
     joined = keyed.join(gone, (F.col("doc") == F.col("_doc")) & F.col("key").eqNullSafe(F.col("_key")), "left")
     out = add_columns(joined.drop("doc", "key", "_doc", "_key"), "n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept_bytes binary, kept_text string", _cut)
