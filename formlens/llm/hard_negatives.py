@@ -147,9 +147,10 @@ def _positives(shared: Broadcast, scale: float, k: int):
             for a, label in enumerate(block["labels"]):
                 asked.setdefault(label, []).append(a)
             for label in by_label.keys() & asked.keys():
-                own = Candidates(table.take(by_label[label]).to_batches(), block, scale)
-                for a in asked[label]:
-                    scores = own.scores(a)
+                same = {"dims": block["dims"], "vectors": [block["vectors"][a] for a in asked[label]]}
+                own = Candidates(table.take(by_label[label]).to_batches(), same, scale)
+                for number, a in enumerate(asked[label]):
+                    scores = own.scores(number)
                     other = np.flatnonzero(own.ids != block["ids"][a])
                     for i in first(scores[other], own.ids[other], k):
                         out.append((block["rows"][a], int(scores[other[i]]), int(own.ids[other[i]])))
