@@ -48,13 +48,19 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+def to_rows(files: DataFrame) -> list:
+    """``files`` on the driver, times in microseconds: they must come back exactly, whatever the time zones."""
+    return files.select("path", "export", "length", F.unix_micros("modified").alias("modified")).collect()
+
+
 def deliver(spark: SparkSession, store: str, files: list, year: int, keep: list[str] | None = None, file_col: str = "file_id",
             filter_by_year: bool = True, set_aside: bool = True, options: dict[str, str] | None = None, multi_line: bool = True) -> tuple[int, int]:
-    """Read ``files`` (rows of ``list_files``) and commit them; returns the
+    """Read ``files`` (``to_rows``) and commit them; returns the
     manifest's version and the number of rejected files."""
     res = run_intake(spark, [literal_path(f["path"]) for f in files], year, keep=keep, file_col=file_col, filter_by_year=filter_by_year,
                      options=options, multi_line=multi_line, set_aside=set_aside)
-    named = spark.createDataFrame([(f["export"], f["length"], f["modified"]) for f in files], "export string, length long, modified timestamp")
+    named = spark.createDataFrame([(f["export"], f["length"], f["modified"]) for f in files], "export string, length long, micros long")
+    named = named.select("export", "length", F.timestamp_micros("micros").alias("modified"))
     rejected = res.rejected.withColumnRenamed("file_id", "export")
     version = commit(spark, store, res.by_export, named, res.export_counts, rejected)
     return version, rejected.select("export").distinct().count()
@@ -72,7 +78,7 @@ def sync_exports(spark: SparkSession, paths: list[str] | str, store: str, year:
     out = Delivery(listed.count(), 0, 0, [])
     while True:
         # in blocks, and each one sees what the one before has published
-        files = changed_files(listed, read_manifest(spark, store)).orderBy("export").limit(files_per_commit).collect()
+        files = to_rows(changed_files(listed, read_manifest(spark, store)).orderBy("export").limit(files_per_commit))
         if not files:
             return out
         version, rejected = deliver(spark, store, files, year, keep, file_col, filter_by_year, True, options, multi_line)
@@ -80,4 +86,4 @@ def sync_exports(spark: SparkSession, paths: list[str] | str, store: str, year:
         out.versions.append(version)
 
 
-__all__ = ["Delivery", "changed_files", "deliver", "list_files", "literal_path", "sync_exports"]
+__all__ = ["Delivery", "changed_files", "deliver", "list_files", "literal_path", "sync_exports", "to_rows"]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from formlens.plans.delivery import deliver
+from formlens.plans.delivery import deliver, to_rows
 from formlens.sources.store import read_rejected, read_store, store_report
 
 
@@ -44,7 +44,7 @@ def start_intake(spark: SparkSession, source_dir: str, sink: str, checkpoint: st
     files = reader.load(source_dir).select("path", F.col("_metadata.file_path").alias("export"), "length", F.col("modificationTime").alias("modified"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.collect()  # bounded by max_files_per_trigger
+        rows = to_rows(batch)  # bounded by max_files_per_trigger
         if rows:
             deliver(spark, sink, rows, year, keep, file_col, filter_by_year, on_bad == "set_aside")
 
