@@ -5,19 +5,25 @@
    one aggregation, not links.
 2. Each tree of the forest sorts all nodes by the signature's values in an
    order of its own.  Rows are dealt out by range of (tree, order, node), so a
-   region of thousands of alike documents spreads over partitions.  Neighbours
+   region of thousands of alike documents spreads over partitions.  The first
+   ``FIRST_TREES`` trees propose adjacent nodes that share ``MIN_DEPTH`` values.
+   Their full sets meet by stretches of the order, at most ``PLACE_ROWS`` rows
+   each, where exact intersection confirms them.  That connects most of a large
+   group of copies by a link or two for each of its nodes.
+3. All trees then propose pairs between different components only.  Neighbours
    by longest common prefix become candidates: a region is cut at greater
    depth until it has at most ``REGION`` nodes; all pairs within that region,
    and each pair of adjacent nodes that share ``MIN_DEPTH`` values, are taken.
    Sizes of the sets, and one bit of each signature value, rule out pairs that
    can't reach the similarity.  Regions of more than ``REGION`` nodes are noted,
    and those at the bounds of a partition, which may go on in the next one.
-3. Candidates form clusters, which are small.  The full sets of a cluster meet
+4. Candidates form clusters, which are small.  The full sets of a cluster meet
    in one task, where union-find confirms candidates by exact intersection
-   and skips pairs already connected.  A cluster too large for that is cut
-   into blocks; pairs between blocks that are still unconnected are confirmed
-   by joins, a few for each pair of components at a time.
-4. What the cuts of step 2 left out: of the noted regions that links do not
+   and skips pairs already connected.  A cluster too large for that, in
+   shingles or in nodes, is cut into blocks; pairs between blocks that are
+   still unconnected are confirmed by joins, a few for each pair of components
+   at first, then more of them.
+5. What the cuts of step 3 left out: of the noted regions that links do not
    connect as a whole, all nodes are compared with all nodes of other
    components, first by sizes and bits, then, where these leave a pair, by
    the full sets.  Both run by blocks of nodes; the largest component of a
@@ -46,6 +52,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -60,7 +67,10 @@ MIN_DEPTH = 4
 MAX_DEPTH = 12
 VALUES = TREES * MIN_DEPTH
 REGION = 8
+FIRST_TREES = 2
+PLACE_ROWS = 2_000  # of a stretch of a tree's order whose sets meet in one task
 CLUSTER_SHINGLES = 4_000_000  # of the sets that meet in one task
+CLUSTER_NODES = 10_000  # that meet in one task
 ROWS_PER_PART = 250_000
 BLOCK_NODES = 20_000  # whose sizes and bits meet in one task
 MEMBER_BITS = 1 << 26  # of a bitmap that is broadcast
@@ -131,9 +141,9 @@ def sketch(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return add_columns(docs, "n_shingles long, set_key binary, signature binary", make)
 
 
-def _forest(nodes: DataFrame) -> DataFrame:
+def _forest(nodes: DataFrame, trees: int = TREES) -> DataFrame:
     """A row for each node and tree: the values in the tree's order, and a bit of every value."""
-    schema = StructType.fromDDL("tree int, sorted binary, node long, n long, bits binary")
+    schema = StructType.fromDDL("tree int, sorted binary, node long, n long, label long, bits binary")
 
     def run(batches):
         for batch in batches:
@@ -141,12 +151,18 @@ def _forest(nodes: DataFrame) -> DataFrame:
                 part = batch.slice(at, 2000)
                 signature = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype=np.uint32).reshape(-1, VALUES)
                 bits = pa.array([b.tobytes() for b in np.packbits(signature & 1 == 1, axis=1)], pa.binary())
-                for t, order in enumerate(ORDERS):
+                for t, order in enumerate(ORDERS[:trees]):
                     values = np.ascontiguousarray(signature[:, order].astype(">u4"))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(values), t, np.int32)), pa.array([v.tobytes() for v in values], pa.binary()), part.column("node"), part.column("n"), bits], names=schema.names)
+                        [pa.array(np.full(len(values), t, np.int32)), pa.array([v.tobytes() for v in values], pa.binary()), part.column("node"), part.column("n"), part.column("label"), bits], names=schema.names)
 
-    return nodes.select("node", "n", "signature").mapInArrow(run, schema)
+    return nodes.select("node", "n", "label", "signature").mapInArrow(run, schema)
+
+
+def _dealt_forest(nodes: DataFrame, rows: int, trees: int) -> DataFrame:
+    """The forest's rows, by ranges of each tree's order, sorted."""
+    order = ["tree", "sorted", "node"]
+    return _forest(nodes, trees).repartitionByRange(max(-(-rows * trees // ROWS_PER_PART), 1), *order).sortWithinPartitions(*order)
 
 
 def _least_bits(similarity: int) -> float:
@@ -155,20 +171,36 @@ def _least_bits(similarity: int) -> float:
     return VALUES * agree - 5.5 * np.sqrt(VALUES * agree * (1 - agree))
 
 
+class _Rows:
+    """Rows of the forest, sorted by tree and order, as arrays."""
+
+    def __init__(self, rows: pa.Table):
+        n = len(rows)
+        self.values = np.frombuffer(b"".join(rows.column("sorted").to_pylist()), dtype=">u4").reshape(n, MAX_DEPTH).astype(np.uint32)
+        self.bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint8).reshape(n, VALUES // 8)
+        self.tree, self.node, self.size, self.label = (rows.column(c).to_numpy() for c in ("tree", "node", "n", "label"))
+        self.shared = np.zeros(n, dtype=np.int64)  # values in common with the row before
+        self.shared[1:] = np.cumprod(self.values[1:] == self.values[:-1], axis=1).sum(axis=1) * (self.tree[1:] == self.tree[:-1])
+
+    def may_link(self, i: np.ndarray, j: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs of rows, those of different components that sizes and bits don't rule out."""
+        low, high = np.minimum(self.size[i], self.size[j]), np.maximum(self.size[i], self.size[j])
+        keep = (100 * low >= similarity * high) & (self.label[i] != self.label[j])
+        i, j = i[keep], j[keep]
+        keep = VALUES - np.bitwise_count(self.bits[i] ^ self.bits[j]).sum(axis=1) >= _least_bits(similarity)
+        return i[keep], j[keep]
+
+
 def _near(rows: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Candidate pairs among rows sorted by tree and order; then number and
     node of the rows in regions of which not all pairs are taken."""
-    n = len(rows)
-    values = np.frombuffer(b"".join(rows.column("sorted").to_pylist()), dtype=">u4").reshape(n, MAX_DEPTH).astype(np.uint32)
-    bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint8).reshape(n, VALUES // 8)
-    tree, node, size = (rows.column(c).to_numpy() for c in ("tree", "node", "n"))
-    shared = np.zeros(n, dtype=np.int64)  # values in common with the row before
-    shared[1:] = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
+    n, r = len(rows), _Rows(rows)
+    shared, values = r.shared, r.values
     left, right = [np.flatnonzero(shared[1:] >= MIN_DEPTH)], [np.flatnonzero(shared[1:] >= MIN_DEPTH) + 1]
     region = np.cumsum(shared < MIN_DEPTH)
     # the first and the last region may go on in other partitions
     crowded = np.flatnonzero((np.bincount(region)[region] > REGION) | (region == region[0]) | (region == region[-1]))
-    number = tree[crowded].astype(np.uint64)
+    number = r.tree[crowded].astype(np.uint64)
     for k in range(MIN_DEPTH):
         number = (number ^ (number >> np.uint64(29)) ^ values[crowded, k]) * np.uint64(0xBF58476D1CE4E5B9)
     open_rows = np.ones(n, dtype=bool)
@@ -180,19 +212,37 @@ def _near(rows: pa.Table, similarity: int) -> tuple[np.ndarray, np.ndarray, np.n
             left.append(i)
             right.append(i + k)
         open_rows &= ~small
-    i, j = np.concatenate(left), np.concatenate(right)
-    low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-    keep = (100 * low >= similarity * high) & (node[i] != node[j])
-    i, j = i[keep], j[keep]
-    keep = VALUES - np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) >= _least_bits(similarity)
-    return node[i[keep]], node[j[keep]], number.view(np.int64), node[crowded]
+    i, j = r.may_link(np.concatenate(left), np.concatenate(right), similarity)
+    return r.node[i], r.node[j], number.view(np.int64), r.node[crowded]
+
+
+def _first_links(docs: DataFrame, nodes: DataFrame, rows: int, shingle: int, similarity: int) -> DataFrame:
+    """``node`` and ``label`` by the links between adjacent nodes of the first trees."""
+    schema = StructType.fromDDL("place long, a long, b long")
+
+    def run(batches):
+        batches = [b for b in batches if b.num_rows]
+        if batches:
+            r = _Rows(pa.Table.from_batches(batches))
+            j = np.flatnonzero(r.shared >= MIN_DEPTH)
+            i, j = r.may_link(j - 1, j, similarity)
+            place = (TaskContext.get().partitionId() << 32) + j // PLACE_ROWS
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(r.node[i]), pa.array(r.node[j])], names=schema.names)
+
+    pairs = written(_dealt_forest(nodes, rows, FIRST_TREES).mapInArrow(run, schema), "adjacent")
+    ends = pairs.select("place", F.col("a").alias("node")).unionByName(pairs.select("place", F.col("b").alias("node"))).distinct()
+    members = written(ends.join(nodes.select("node", "doc_id", "set_key"), "node"), "members")
+    sets = _member_sets(docs, members, shingle)
+    none = lambda t: F.lit(None).cast(t)
+    rows = sets.select(F.col("place").alias("cluster"), F.lit(0).alias("block"), F.col("node").alias("a"), none("long").alias("b"), "shingles").unionByName(
+        pairs.select(F.col("place").alias("cluster"), F.lit(0).alias("block"), "a", "b", none("binary").alias("shingles")))
+    return components(_confirm_blocks(rows, similarity).select(F.col("node").alias("a"), F.col("label").alias("b")))
 
 
 def candidates(nodes: DataFrame, rows: int, similarity: int = SIMILARITY) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of nodes that may be similar enough; and, with
-    the number of a ``region`` and without ``b``, the nodes ``a`` of regions of
-    which not all pairs are among them."""
-    parts = max(-(-rows * TREES // ROWS_PER_PART), 1)
+    """Distinct pairs ``a`` < ``b`` of nodes of different ``label`` that may be
+    similar enough; and, with the number of a ``region`` and without ``b``, the
+    nodes ``a`` of regions of which not all pairs are among them."""
     schema = StructType.fromDDL("region long, a long, b long")
 
     def run(batches):
@@ -202,8 +252,7 @@ def candidates(nodes: DataFrame, rows: int, similarity: int = SIMILARITY) -> Dat
             yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=schema.names)
             yield pa.RecordBatch.from_arrays([pa.array(region), pa.array(node), pa.nulls(len(node), pa.int64())], names=schema.names)
 
-    order = ["tree", "sorted", "node"]
-    return _forest(nodes).repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, schema).distinct()
+    return _dealt_forest(nodes, rows, TREES).mapInArrow(run, schema).distinct()
 
 
 def _similar(a: np.ndarray, b: np.ndarray, similarity: int) -> bool:
@@ -308,7 +357,7 @@ def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
     """``node`` and ``label`` of the nodes of all candidates, by confirmed links."""
     clusters = components(pairs).withColumnRenamed("label", "cluster")
     members = nodes.join(clusters, "node")
-    weights = members.groupBy("cluster").agg(F.ceil(F.sum("n") / cluster_shingles).cast("int").alias("blocks"))
+    weights = members.groupBy("cluster").agg(F.ceil(F.greatest(F.sum("n") / cluster_shingles, F.count("*") / CLUSTER_NODES)).cast("int").alias("blocks"))
     members = written(members.join(weights, "cluster").select("cluster", "blocks", "node", "doc_id", "set_key"), "members")
     sets = written(_member_sets(docs, members, shingle), "sets")
     block = lambda node: F.pmod(F.xxhash64(node), F.col("blocks")).cast("int")
@@ -320,15 +369,15 @@ def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
     if members.where("blocks > 1").isEmpty():
         return labels
     links, left = labels.select(F.col("node").alias("a"), F.col("label").alias("b")), written(between, "between")
-    one = Window.partitionBy("low", "high").orderBy("a", "b")
+    one, turns = Window.partitionBy("low", "high").orderBy("a", "b"), 4
     while True:
         label = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
         left = left.join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b").select("a", "b", F.least("label_a", "label_b").alias("low"), F.greatest("label_a", "label_b").alias("high"))
         left = written(left.withColumn("turn", F.row_number().over(one)), "between")
         if left.isEmpty():
             return labels
-        found = written(_confirm_pairs(left.where("turn <= 4"), sets, similarity), "links")
-        left = left.where("turn > 4").select("a", "b")
+        found = written(_confirm_pairs(left.where(F.col("turn") <= turns), sets, similarity), "links")
+        left, turns = left.where(F.col("turn") > turns).select("a", "b"), 4 * turns
         if not found.isEmpty():
             links = links.unionByName(found)
             # nodes without any link keep themselves
@@ -445,9 +494,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "signature"))
     nodes = ids.where("n_shingles > 0").groupBy("set_key").agg(first.alias("first"))
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", F.col("first.doc_id").alias("doc_id"), F.col("first.n_shingles").alias("n"), F.col("first.signature").alias("signature")), "nodes")
-    found = written(candidates(nodes, nodes.count(), similarity), "pairs")
+    rows = nodes.count()
+    first = _first_links(docs, nodes.withColumn("label", F.col("node")), rows, shingle, similarity)
+    found = written(candidates(nodes.join(first, "node", "left").withColumn("label", F.coalesce("label", "node")), rows, similarity), "pairs")
     pairs, crowds = found.where("region IS NULL").select("a", "b"), found.where("region IS NOT NULL").select("region", F.col("a").alias("node"))
     labels = _confirm(docs, nodes.drop("signature"), pairs, shingle, similarity, cluster_shingles)
+    labels = components(first.unionByName(labels).select(F.col("node").alias("a"), F.col("label").alias("b")))
     labels = _connect(docs, nodes, crowds, labels, shingle, similarity, cluster_shingles)
     # only sets with links to others need more than the smallest id of their own rows
     linked = labels.join(nodes.select("node", "set_key", "doc_id"), "node")
