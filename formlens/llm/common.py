@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -71,6 +72,13 @@ def slabs(batch: pa.RecordBatch, column: str = "text", limit: int = SLAB_BYTES)
         yield batch.slice(first)
 
 
+def release() -> None:
+    """What a task has freed goes back to the system: its worker stays, and so would that memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
 def add_columns(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
                 column: str = "text") -> DataFrame:
     """``df`` plus the columns of ``ddl``; input columns with the same names give way.
@@ -88,6 +96,8 @@ def add_columns(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordB
         for batch in batches:
             for slab in slabs(batch, column):
                 yield pa.RecordBatch.from_arrays([*slab.columns, *compute(slab)], names=names)
+        del compute
+        release()
 
     return base.mapInArrow(run, schema)
 
@@ -103,6 +113,8 @@ def emit(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBatch],
             for slab in slabs(batch, column):
                 out = compute(slab)
                 yield pa.RecordBatch.from_arrays([out[n] for n in schema.names], names=schema.names)
+        del compute
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -57,7 +57,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import add_columns, emit, text_bytes, without, written
+from .common import add_columns, emit, release, text_bytes, without, written
 from .graph import components
 
 SHINGLE = 5
@@ -71,11 +71,11 @@ FIRST_TREES = 2
 PLACE_ROWS = 2_000  # of a stretch of a tree's order whose sets meet in one task
 CLUSTER_SHINGLES = 4_000_000  # of the sets that meet in one task
 CLUSTER_NODES = 10_000  # that meet in one task
-ROWS_PER_PART = 250_000
+ROWS_PER_PART = 100_000  # of the forest, which a task holds as arrays
 BLOCK_NODES = 20_000  # whose sizes and bits meet in one task
 MEMBER_BITS = 1 << 26  # of a bitmap that is broadcast
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 FLIP = _rng.integers(0, 1 << 32, VALUES, dtype=np.uint32)
@@ -228,6 +228,8 @@ def _first_links(docs: DataFrame, nodes: DataFrame, rows: int, shingle: int, sim
             i, j = r.may_link(j - 1, j, similarity)
             place = (TaskContext.get().partitionId() << 32) + j // PLACE_ROWS
             yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(r.node[i]), pa.array(r.node[j])], names=schema.names)
+            del batches, r
+            release()
 
     pairs = written(_dealt_forest(nodes, rows, FIRST_TREES).mapInArrow(run, schema), "adjacent")
     ends = pairs.select("place", F.col("a").alias("node")).unionByName(pairs.select("place", F.col("b").alias("node"))).distinct()
@@ -251,6 +253,8 @@ def candidates(nodes: DataFrame, rows: int, similarity: int = SIMILARITY) -> Dat
             a, b, region, node = _near(pa.Table.from_batches(batches), similarity)
             yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=schema.names)
             yield pa.RecordBatch.from_arrays([pa.array(region), pa.array(node), pa.nulls(len(node), pa.int64())], names=schema.names)
+            del batches, a, b, region, node
+            release()
 
     return _dealt_forest(nodes, rows, TREES).mapInArrow(run, schema).distinct()
 
@@ -301,6 +305,8 @@ def _confirm_blocks(rows: DataFrame, similarity: int) -> DataFrame:
                     union.join(a, b)
         if sets:
             yield labels()
+        sets.clear()
+        release()
 
     sorted_rows = rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", F.col("b").asc_nulls_first(), "a")
     return sorted_rows.mapInArrow(run, "node long, label long")

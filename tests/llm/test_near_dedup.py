@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_llm_helpers import docs_frame, lower_ascii
 
@@ -120,3 +121,19 @@ def test_few_documents_and_many_partitions(spark, monkeypatch, pairs, per_part):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert {x.doc_id: x.component_id for x in out} == {d: d // 10 * 10 for d, _ in rows}
+
+
+def test_a_full_partition_of_the_forest_takes_little_memory():
+    import tracemalloc
+
+    n = N.ROWS_PER_PART
+    rng = np.random.default_rng(1)
+    values = np.sort(rng.integers(0, 1 << 32, n, dtype=np.uint64)).astype(">u4")
+    rows = pa.table({
+        "tree": pa.array(np.zeros(n, np.int32)), "sorted": pa.array([v.tobytes() * N.MAX_DEPTH for v in values], pa.binary()), "node": pa.array(np.arange(n)),
+        "n": pa.array(np.full(n, 50)), "label": pa.array(np.arange(n)), "bits": pa.array([b"x" * (N.VALUES // 8)] * n, pa.binary())})
+    tracemalloc.start()
+    N._near(rows, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
