@@ -148,6 +148,44 @@ def _literals(rows: list[tuple], names: list[str]) -> Column:
     return F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])
 
 
+_SCHEMAS = {schema: norm_map(names) for schema, names in C.EXPECTED_SCHEMAS.items()}
+
+
+def _places(spark: SparkSession) -> DataFrame:
+    """Of each expected name, its place in each expected schema (a few hundred fixed rows)."""
+    at = [{n: i for i, n in enumerate(expected, start=1)} for expected in _SCHEMAS.values()]
+    norms = dict.fromkeys(n for names in at for n in names)
+    return spark.createDataFrame([(n, *(names.get(n) for names in at)) for n in norms], ", ".join(["header_norm string", *(f"place{k} int" for k in range(len(at)))]))
+
+
+def _compared(headers: DataFrame) -> DataFrame:
+    """One row per file with three arrays for each schema ``k``: ``matched{k}`` and
+    ``missing{k}``, places in the schema; ``extra{k}``, (pos, header) of other names.
+
+    Names are looked up by one join and places by hashing, so the work of a
+    file grows with its headers alone.
+    """
+    if "cells" in headers.columns:
+        headers = headers.select("file_id", F.inline("cells")).select("file_id", "pos", "header", "header_norm")
+    places = [f"place{k}" for k in range(len(_SCHEMAS))]
+    named = normalise_headers(headers).join(F.broadcast(_places(headers.sparkSession)), "header_norm", "left")
+    files = named.groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct("header_norm", "pos", "header", *places))).alias("c"))
+    # equal names are neighbours: the first one has the position, the last one the spelling
+    first = F.filter("c", lambda c, i: (i == 0) | (F.get("c", i - 1).header_norm != c.header_norm))
+    last = F.filter("c", lambda c, i: (i == F.size("c") - 1) | (F.get("c", i + 1).header_norm != c.header_norm))
+    files = files.select("file_id", "c", first.alias("first"))
+    twice = F.size("first") < F.size("c")
+    files = files.select("file_id", "first", F.when(twice, last).otherwise(F.col("first")).alias("last"))
+
+    def against(k: int, size: int) -> list[Column]:
+        known, own = F.array(*[F.lit(i) for i in range(1, size + 1)]), F.col("first")[places[k]]
+        cells = F.transform("first", lambda c, i: F.struct(c[places[k]].alias("place"), c.pos.alias("pos"), F.get("last", i).header.alias("header")))
+        extra = F.filter(cells, lambda c: c.place.isNull())
+        return [F.array_intersect(known, own).alias(f"matched{k}"), F.array_except(known, own).alias(f"missing{k}"), extra.alias(f"extra{k}")]
+
+    return files.select("file_id", *[c for k, expected in enumerate(_SCHEMAS.values()) for c in against(k, len(expected))])
+
+
 def schema_diff(headers: DataFrame) -> DataFrame:
     """Per file and schema, matched, missing and extra headers.
 
@@ -155,32 +193,21 @@ def schema_diff(headers: DataFrame) -> DataFrame:
     expected spelling and order, extras the file's (last) spelling and first
     position.  Comparison is on normalised names.
     """
-    files = by_file(headers).withColumn("norms", F.transform("cells", lambda c: c.header_norm))
-    first = F.filter("cells", lambda c, i: F.array_position("norms", c.header_norm) == i + 1)
 
-    def parts(schema: str, names: list[str]) -> list[Column]:
-        expected = norm_map(names)
-        rows = _literals([(i, n, h) for i, (n, h) in enumerate(expected.items(), start=1)], ["ord", "norm", "header"])
-        known = F.array(*[F.lit(n) for n in expected])
-        checked = F.transform(rows, lambda e: F.struct(
-            F.lit(schema).alias("schema"), F.when(F.array_contains("norms", e.norm), "match").otherwise("missing").alias("status"), e.ord.alias("ord"), e.header.alias("header")))
-        extra = F.transform(F.filter(first, lambda c: ~F.array_contains(known, c.header_norm)), lambda c: F.struct(
-            F.lit(schema).alias("schema"), F.lit("extra").alias("status"), c.pos.alias("ord"),
-            F.element_at(F.filter("cells", lambda d: d.header_norm == c.header_norm), -1).header.alias("header")))
-        return [checked, extra]
+    def parts(k: int, schema: str, expected: dict[str, str]) -> list[Column]:
+        spelled = F.array(*[F.lit(h) for h in expected.values()])
+        row = lambda status, ord, header: F.struct(F.lit(schema).alias("schema"), F.lit(status).alias("status"), ord.alias("ord"), header.alias("header"))
+        return [F.transform(f"matched{k}", lambda i: row("match", i, F.get(spelled, i - 1))), F.transform(f"missing{k}", lambda i: row("missing", i, F.get(spelled, i - 1))),
+                F.transform(f"extra{k}", lambda c: row("extra", c.pos, c.header))]
 
-    return files.select("file_id", F.inline(F.concat(*[p for schema, names in C.EXPECTED_SCHEMAS.items() for p in parts(schema, names)])))
+    return _compared(headers).select("file_id", F.inline(F.concat(*[p for k, (schema, expected) in enumerate(_SCHEMAS.items()) for p in parts(k, schema, expected)])))
 
 
 def schema_conformance(headers: DataFrame) -> DataFrame:
     """``matched of expected``, missing and extra counts per file and schema."""
-    sizes = {s: len(norm_map(h)) for s, h in C.EXPECTED_SCHEMAS.items()}
-    size = F.create_map(*[x for s, n in sizes.items() for x in (F.lit(s), F.lit(n))])
-    return schema_diff(headers).groupBy("file_id", "schema").agg(
-        F.count_if(F.col("status") == "match").alias("n_matched"),
-        F.count_if(F.col("status") == "missing").alias("n_missing"),
-        F.count_if(F.col("status") == "extra").alias("n_extra"),
-    ).withColumn("n_expected", size[F.col("schema")].cast("long"))
+    rows = [F.struct(F.lit(schema).alias("schema"), *[F.size(f"{a}{k}").cast("long").alias(f"n_{a}") for a in ("matched", "missing", "extra")],
+                     F.lit(len(expected)).cast("long").alias("n_expected")) for k, (schema, expected) in enumerate(_SCHEMAS.items())]
+    return _compared(headers).select("file_id", F.inline(F.array(*rows)))
 
 
 # ---------------------------------------------------------------------------

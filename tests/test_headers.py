@@ -142,3 +142,15 @@ def test_structure_check(spark):
     got = {r["file_id"]: r for r in H.structure_check(table(spark, files)).collect()}
     assert [got[i]["exact"] for i in (1, 2, 3)] == [True, False, False]
     assert (got[2]["missing"], got[2]["extra"], got[3]["n_missing"]) == (C.RAW_COLUMNS[0], "Nueva", 0)
+
+
+def test_conformance_counts_places_not_rows(spark):
+    names = list(C.RAW_COLUMNS)
+    headers = table(spark, {1: names, 2: [names[0], names[0].upper(), "Otro", "OTRO", *names[5:9]]})
+    rows = {(r["file_id"], r["schema"]): r for r in H.schema_conformance(headers).collect()}
+    for r in H.schema_diff(headers).groupBy("file_id", "schema").pivot("status", ["match", "missing", "extra"]).count().na.fill(0).collect():
+        own = rows.pop((r["file_id"], r["schema"]))
+        assert (own["n_matched"], own["n_missing"], own["n_extra"]) == (r["match"], r["missing"], r["extra"])
+    assert not rows
+    plan = H.schema_conformance(headers)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 1 and "count_if" not in plan and "HashAggregate" not in plan.replace("ObjectHashAggregate", "")
