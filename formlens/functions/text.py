@@ -51,6 +51,11 @@ WS_CHARS = "".join(ch for ch in map(chr, range(0x10000)) if ch.isspace())
 _SPACES = " " * len(WS_CHARS)
 
 
+# Text that ``collapse_ws`` leaves as it is: words of characters in two ranges without whitespace, single spaces between.
+_VISIBLE = r"[!-~\x{a1}-\x{167f}]"
+PLAIN_RE = rf"^(?:{_VISIBLE}++(?: {_VISIBLE}++)*+)?+\z"
+
+
 def _to_spaces(c: Column) -> Column:
     """Map every whitespace character to a plain space (no regex)."""
     return F.translate(c, WS_CHARS, _SPACES)
@@ -59,11 +64,13 @@ def _to_spaces(c: Column) -> Column:
 def collapse_ws(c: Column) -> Column:
     """Whitespace runs become one space, then edge spaces are removed.
 
-    ``translate`` turns all whitespace into spaces; the regex only runs on
-    values that contain a double space.
+    ``translate`` turns all whitespace into spaces, character by character, so
+    it only runs on values that one test does not find to be plain; the second
+    regex only on those that contain a double space.
     """
     t = _to_spaces(c)
-    return F.trim(F.when(F.instr(t, "  ") > 0, F.regexp_replace(t, " {2,}", " ")).otherwise(t))
+    whole = F.trim(F.when(F.instr(t, "  ") > 0, F.regexp_replace(t, " {2,}", " ")).otherwise(t))
+    return F.when(c.rlike(PLAIN_RE), c).otherwise(whole)
 
 
 def strip_ws(c: Column) -> Column:

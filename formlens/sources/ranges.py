@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,6 +32,8 @@ RANGE_BYTES = 64 << 20
 #: Ranges that begin inside a cell: up to so many, their table goes to all tasks (some 200 bytes each);
 #: beyond, the lines are shuffled by range and put in order again.
 BROADCAST_RANGES = 100_000
+#: Lines that go to Python at once, and those that pass unchanged as an array of their own.
+BATCH_LINES, RUN_LINES = 2_000, 32
 
 WHOLE, HEAD, MIDDLE, TAIL = 0, 1, 2, 3  # a record, or what a range has of one
 
@@ -73,6 +76,9 @@ def _lines(spark: SparkSession, paths: list[str], range_bytes: int) -> DataFrame
             own.conf.set(name, value)
     own.conf.set("spark.sql.files.maxPartitionBytes", str(range_bytes))
     own.conf.set("spark.sql.files.openCostInBytes", str(range_bytes))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_LINES))
+    # the JVM does not compile larger methods, and projections of many columns make them
+    own.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return own.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
         (F.col("_metadata.file_size") <= range_bytes).alias("single"), F.col("value").cast("binary").alias("value"))
@@ -107,16 +113,43 @@ def _with(run: pa.RecordBatch, mark: str) -> pa.Array:
     return pc.match_substring(run.column("value"), mark)
 
 
+def _closed_form(sep: str, quote: str, encoding: str) -> str | None:
+    """A pattern of the lines for which ``inside_after(line, False)`` is false; ``None`` if bytes don't tell."""
+    if encoding.upper() not in ("UTF-8", "US-ASCII") or not all(len(c) == 1 and c.isascii() for c in (sep, quote)) or sep == quote:
+        return None
+    s, q = (rf"\x{ord(c):02x}" for c in (sep, quote))
+    cell = f"(?:[^{q}{s}][^{s}]*|{q}(?:[^{q}]|{q}{q})*{q}(?:[^{q}{s}][^{s}]*)?)?"
+    return f"^{cell}(?:{s}{cell})*$"
+
+
+def _open_lines(run: pa.RecordBatch, form: str) -> np.ndarray:
+    """Places of the lines that leave a cell open, if they begin outside of one."""
+    return np.flatnonzero(~pc.match_substring_regex(run.column("value"), form).to_numpy(zero_copy_only=False))
+
+
 def _states(lines: DataFrame, sep: str, quote: str, encoding: str) -> DataFrame:
     """``(source_file, block, from_outside, from_inside)``: the state after each range, by that before it."""
 
+    form = _closed_form(sep, quote, encoding)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, int], list[bool]] = {}
         for file, block, lot in _by_range(batches):
             states = found.setdefault((file, block), [False, True])
-            for text in _texts(lot.filter(_with(lot, quote)), encoding):  # others change no state
-                text = text.removesuffix("\r")
-                states[:] = [inside_after(text, s, sep, quote) for s in states]
+            lot = lot.filter(_with(lot, quote))  # others change no state
+            values, n, i = lot.column("value"), lot.num_rows, 0
+            opens = _open_lines(lot, form) if form else np.arange(n)
+            while i < n:
+                if not any(states):
+                    # only a line that leaves a cell open changes this
+                    at = np.searchsorted(opens, i)
+                    if at == len(opens):
+                        break
+                    i = int(opens[at])
+                text = values[i].as_py().decode(encoding, "replace").removesuffix("\r")
+                after = {s: inside_after(text, s, sep, quote) for s in set(states)}
+                states[:] = [after[s] for s in states]
+                i += 1
         rows = [(f, b, *s) for (f, b), s in found.items()]
         columns = zip(*rows) if rows else [[]] * 4
         types = [pa.string(), pa.int64(), pa.bool_(), pa.bool_()]
@@ -144,9 +177,10 @@ def _cut(sep: str, quote: str, encoding: str):
     names = ["source_file", "block", "part", "record"]
     types = [pa.string(), pa.int64(), pa.int8(), pa.string()]
 
+    form = _closed_form(sep, quote, encoding)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, single, open_lines, inside, entered, header, first_line = None, False, [], False, False, False, False
-        plain = encoding.upper() in ("UTF-8", "US-ASCII")
 
         def parts_left() -> list[tuple]:
             """What is open at the end of a range, or of a file."""
@@ -154,6 +188,9 @@ def _cut(sep: str, quote: str, encoding: str):
                 return []
             return [(*key, WHOLE if single else MIDDLE if entered else TAIL, "\n".join(open_lines))]
 
+        def arrays(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
         for file, block, lot in _by_range(batches):
             out = []
             if (file, block) != key:
@@ -161,14 +198,26 @@ def _cut(sep: str, quote: str, encoding: str):
                 key, single, open_lines, inside, header = (file, block), lot.column("single")[0].as_py(), [], lot.column("inside")[0].as_py(), block == 0
                 entered = inside  # the first lines belong to a record that began before
                 first_line = block == 0
-            elif not (open_lines or entered or header or inside) and plain and not pc.any(pc.or_(_with(lot, quote), _with(lot, "\r"))).as_py():
-                # records of one line each, as they are
-                lines = lot.filter(pc.not_equal(pc.binary_length(lot.column("value")), 0))
-                if lines.num_rows:
-                    whole = pa.array([WHOLE] * lines.num_rows, types[2])
-                    yield pa.RecordBatch.from_arrays([lines.column("source_file"), lines.column("block"), whole, _strings(lines, encoding)], names=names)
-                continue
-            for text in _texts(lot, encoding):
+            values, n, i = lot.column("value"), lot.num_rows, 0
+            # lines that are not records as they are
+            odd = np.union1d(_open_lines(lot, form), np.flatnonzero(_with(lot, "\r").to_numpy(zero_copy_only=False))) if form else None
+            while i < n:
+                if form and not (open_lines or entered or header or inside):
+                    at = np.searchsorted(odd, i)
+                    stop = int(odd[at]) if at < len(odd) else n
+                    if stop - i >= RUN_LINES:
+                        if out:
+                            yield arrays(out)
+                            out = []
+                        lines = lot.slice(i, stop - i)
+                        lines = lines.filter(pc.not_equal(pc.binary_length(lines.column("value")), 0))
+                        if lines.num_rows:
+                            whole = pa.array(np.full(lines.num_rows, WHOLE, np.int8))
+                            yield pa.RecordBatch.from_arrays([lines.column("source_file"), lines.column("block"), whole, _strings(lines, encoding)], names=names)
+                        i = stop
+                        continue
+                text = values[i].as_py().decode(encoding, "replace")
+                i += 1
                 if first_line:
                     text, first_line = text.removeprefix("\ufeff"), False
                 bare = text.removesuffix("\r")
@@ -188,9 +237,9 @@ def _cut(sep: str, quote: str, encoding: str):
                     out.append((*key, WHOLE, record))
                 entered = False
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                yield arrays(out)
         if last := parts_left():
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*last), types)], names=names)
+            yield arrays(last)
 
     return run
 

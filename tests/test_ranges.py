@@ -108,3 +108,35 @@ def test_a_large_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
     res = run_intake(spark, str(tmp_path), 2025)
     assert res.cleaned.where("estate = 'two lines'").count() == 2000
     assert run_intake(spark, str(tmp_path), 2025, multi_line="whole").cleaned.exceptAll(res.cleaned).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet='ab,"\ré ', max_size=16), st.sampled_from([",", ";", "|"]))
+def test_closed_form_says_what_inside_after_says(line, sep):
+    line = line.replace(",", sep)
+    lot = R.pa.RecordBatch.from_arrays([R.pa.array([line.encode()])], names=["value"])
+    assert bool(len(R._open_lines(lot, R._closed_form(sep, '"', "UTF-8")))) == R.inside_after(line, False, sep, '"')
+
+
+def batch_of(lines):
+    n = len(lines)
+    columns = [["f"] * n, [0] * n, [True] * n, [line.encode() for line in lines], [False] * n]
+    return R.pa.RecordBatch.from_arrays([R.pa.array(c) for c in columns], names=["source_file", "block", "single", "value", "inside"])
+
+
+def test_lines_with_closed_quotes_pass_as_arrays(monkeypatch):
+    lines = ["a,b", *['1,"x, y"'] * 500, '2,"open', 'and, shut"', "", *['3,"z"'] * 40, 'stray,"q"z"', '4,"last']
+    stepped = []
+    inside_after = R.inside_after
+    monkeypatch.setattr(R, "inside_after", lambda line, *a: stepped.append(line) or inside_after(line, *a))
+    out = [r for b in R._cut(",", '"', "UTF-8")(iter([batch_of(lines)])) for r in b.column("record").to_pylist()]
+    assert out == [*lines[1:501], '2,"open\nand, shut"', *lines[504:544], 'stray,"q"z"', '4,"last']
+    assert len(stepped) < 10
+
+
+def test_states_step_only_through_lines_that_leave_a_cell_open(spark, tmp_path):
+    text = "a,b\n" + '1,"x, y"\n' * 300 + '2,"open\nand, shut"\n' + '3,"z"\n' * 50
+    path = tmp_path / "a.csv"
+    path.write_text(text)
+    for size in (64, 500, 1500):
+        assert by_ranges(spark, str(path), size) == sorted((*r, "<null>") for r in list(csv.reader(io.StringIO(text)))[1:])
