@@ -77,8 +77,6 @@ def _lines(spark: SparkSession, paths: list[str], range_bytes: int) -> DataFrame
     own.conf.set("spark.sql.files.maxPartitionBytes", str(range_bytes))
     own.conf.set("spark.sql.files.openCostInBytes", str(range_bytes))
     own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_LINES))
-    # the JVM does not compile larger methods, and projections of many columns make them
-    own.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return own.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
         (F.col("_metadata.file_size") <= range_bytes).alias("single"), F.col("value").cast("binary").alias("value"))
