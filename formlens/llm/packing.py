@@ -24,9 +24,9 @@ rows are packed row by row; without rows there are no pieces.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from bisect import bisect_left, insort
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -40,24 +40,74 @@ from .common import slabs, without, written
 CAPACITY = 2048
 END_ID = 0
 SLAB = 4 << 20  # bytes of text that are tokenized at once
-CACHE_WORDS = 1_000_000  # of each kind that a task remembers: some 200 MB
-#: Blanks at which a text may be cut before it is tokenized (the tokenizer drops all white space).
-CHUNK = re.compile("[^ \n\t\r]+")
-#: Chunks with other characters than these can't be split into runs: no accents apart from their
-#: letters, no apostrophes (contractions) and no bars (special tokens).
-NOT_PLAIN = re.compile("[^\n]*[^\n!-&(-{}~À-ÖØ-öø-ÿ][^\n]*")
-RUN = re.compile("\n|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@[-`{}~]+")
+CACHE_WORDS = 1_000_000  # that a task remembers: some 200 MB
+CACHE_IDS = 16_000_000  # of remembered words: 64 MB
+BLANK, LETTER, DIGIT, MARK, ODD = range(5)
+
+
+def _kinds() -> np.ndarray:
+    """The kind of each UTF-8 byte, if it is part of an ASCII character or of a letter from À to ÿ.
+
+    Chunks with other characters can't be split into runs: no accents apart from their letters, no
+    apostrophes (contractions) and no bars (special tokens)."""
+    kinds = np.full(256, ODD, dtype=np.uint8)
+    kinds[0x21:0x7F] = MARK
+    kinds[[ord(c) for c in "'|"]] = ODD
+    kinds[[ord(c) for c in " \n\t\r"]] = BLANK  # where a text may be cut: the tokenizer drops all white space
+    kinds[ord("0") : ord("9") + 1] = DIGIT
+    kinds[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), 0xC3, *range(0x80, 0xC0)]] = LETTER
+    return kinds
+
+
+KINDS = _kinds()
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 PIECES = "piece int, start long, length long, ids_crc32 long, _part int, _rank long"
 
 
+def _runs(raw: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of texts that lie one after the other in ``raw`` from ``starts`` on (the last
+    is their end): runs of letters or marks, single digits, and whole chunks between blanks if
+    they are odd.  With them, which are odd, and before which of them each text begins."""
+    kind, low = KINDS[raw], LOWER[raw]
+    second = np.flatnonzero(raw[:-1] == 0xC3) + 1  # byte of a letter from À to ÿ, or of × or ÷
+    low[second[raw[second] <= 0x9E]] += 32
+    kind[second[(raw[second] == 0x97) | (raw[second] == 0xB7)]] = ODD
+    blank, begins = kind == BLANK, np.zeros(len(raw), dtype=bool)
+    begins[starts[starts < len(raw)]] = True
+    first = begins | (kind == DIGIT)
+    first[1:] |= kind[1:] != kind[:-1]
+    first &= ~blank
+    odd = np.flatnonzero(kind == ODD)
+    whole = np.zeros(len(raw), dtype=bool)
+    if len(odd):
+        stops = np.flatnonzero(blank | begins)
+        k = np.unique(np.searchsorted(stops, odd, "right")) - 1  # of the chunk's blank before it, or its own first byte
+        heads = stops[k] + blank[stops[k]]
+        step = np.zeros(len(raw) + 1, dtype=np.int8)
+        step[heads] = 1
+        step[np.append(stops, len(raw))[k + 1]] -= 1
+        whole = np.cumsum(step[:-1], dtype=np.int8).astype(bool)
+        first[whole] = False
+        first[heads] = True
+        low = np.where(whole, raw, low)
+    at = np.flatnonzero(first)
+    text, blanks = low[~blank], np.cumsum(blank, dtype=np.int32)
+    offsets = np.append(at - blanks[at], len(text)).astype(np.int32)
+    runs = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+    return runs, whole[at], np.searchsorted(at, starts)
+
+
 class ChunkTokenizer:
     """Token ids of a text as little-endian 32-bit bytes.
 
     The tokenizer drops white space and splits what is left before it merges,
     so the ids of a text are those of its chunks between blanks, one after the
     other.  Plain chunks are split further, into runs of letters, digits and
-    marks; thousands of new ones are encoded in one call, in which the tokens
-    that end a word show where each of them ends.  Known ones are remembered.
+    marks.  All texts of a call are split at once, as arrays of bytes, and each
+    different word is looked up once; thousands of new ones are encoded in one
+    call, in which the tokens that end a word show where each of them ends.
+    Known ones are remembered.
     """
 
     def __init__(self, path: str):
@@ -68,51 +118,63 @@ class ChunkTokenizer:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}  # word k has the ids from ends[k] to ends[k + 1]
+        self.ids, self.ends = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes], odd: np.ndarray) -> None:
+        """Remembers the ids of words; odd ones are encoded one by one."""
+        flags = odd.tolist()
+        plain, whole = [w for w, o in zip(words, flags) if not o], [w for w, o in zip(words, flags) if o]
+        new, ends = [self.ids], [self.ends]
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        def add(ids: np.ndarray, cuts: np.ndarray) -> None:
+            new.append(ids)
+            ends.append(ends[-1][-1] + cuts)
 
-    def _learn_runs(self, runs: list[str]) -> None:
-        for k in range(0, len(runs), 10_000):
-            part = runs[k : k + 10_000]
-            texts = [" ".join(part[i : i + 200]) for i in range(0, len(part), 200)]
-            ids = np.array([i for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], dtype="<u4")
+        for k in range(0, len(plain), 10_000):
+            part = plain[k : k + 10_000]
+            ids = np.concatenate(self._encode([b" ".join(part[i : i + 200]) for i in range(0, len(part), 200)]))
             cuts = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(cuts) == len(part):
-                raw, ends = ids.tobytes(), (4 * cuts).tolist()
-                self.runs.update(zip(part, (raw[a:b] for a, b in zip([0, *ends], ends))))
-            else:  # words without an end token: a tokenizer of another kind
-                self.runs.update((r, self._encode(r).tobytes()) for r in part)
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Remembers the ids of chunks; all of them are split in one go, a line feed (which none has) between two."""
-        joined = "\n".join(chunks)
-        other = set(NOT_PLAIN.findall(joined))
-        plain = [c for c in chunks if c not in other] if other else chunks
-        runs = RUN.findall(("\n".join(plain) if other else joined).lower())
-        self._learn_runs([r for r in set(runs) if r not in self.runs and r != "\n"])
-        of, known, own, at = self.runs, self.known, [], 0
-        for r in runs:
-            if r == "\n":
-                known[plain[at]] = b"".join(own)
-                at, own = at + 1, []
-            else:
-                own.append(of[r])
-        if plain:
-            known[plain[at]] = b"".join(own)
-        for c in other:
-            known[c] = self._encode(c).tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        chunks = [CHUNK.findall(t) for t in texts]
-        own = {c for cs in chunks for c in cs}
-        for seen in (self.known, self.runs):
-            if len(seen) + len(own) > CACHE_WORDS:
-                seen.clear()
-        self._learn([c for c in own if c not in self.known])
-        return [b"".join([self.known[c] for c in cs]) for cs in chunks]
+            if len(cuts) != len(part):  # words without an end token: a tokenizer of another kind
+                each = self._encode(part)
+                ids, cuts = np.concatenate(each), np.cumsum([len(x) for x in each])
+            add(ids, cuts)
+        for w in whole:
+            ids = self._encode([w])[0]
+            add(ids, np.array([len(ids)]))
+        self.ids, self.ends = np.concatenate(new), np.concatenate(ends)
+        self.known.update(zip([*plain, *whole], count(len(self.known))))
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("").cast(pa.large_string())
+        if not len(texts):
+            return []
+        _, starts, raw = texts.buffers()
+        starts = np.frombuffer(starts, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(raw or b"", dtype=np.uint8)[starts[0] : starts[-1]]
+        runs, odd, first = _runs(raw, starts - starts[0])
+        runs = runs.dictionary_encode()
+        words, at = runs.dictionary.to_pylist(), runs.indices.to_numpy()
+        is_odd = np.zeros(len(words), dtype=bool)
+        is_odd[at[odd]] = True
+        new = np.array([w not in self.known for w in words], dtype=bool)
+        if len(self.known) + new.sum() > CACHE_WORDS or len(self.ids) > CACHE_IDS:
+            self._forget()
+            new[:] = True
+        if new.any():
+            self._learn([words[i] for i in np.flatnonzero(new)], is_odd[new])
+        k = np.fromiter((self.known[w] for w in words), dtype=np.int64, count=len(words))[at]
+        lengths = self.ends[k + 1] - self.ends[k]
+        places = np.append(0, np.cumsum(lengths))
+        ids = self.ids[np.repeat(self.ends[k] - places[:-1], lengths) + np.arange(places[-1])].tobytes()
+        cuts = (4 * places[first]).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -133,7 +195,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
         for batch in batches:
             for slab in slabs(batch, limit=SLAB):
                 row, piece, start, length, crc, rank, ids = [], [], [], [], [], [], []
-                for d, tokens in enumerate(tokenize([t or "" for t in slab.column(place).to_pylist()])):
+                for d, tokens in enumerate(tokenize(slab.column(place))):
                     tokens += end
                     for k, at in enumerate(range(0, len(tokens), 4 * capacity)):
                         own = tokens[at : at + 4 * capacity]

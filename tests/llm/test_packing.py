@@ -1,8 +1,10 @@
 import random
+import time
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_llm_helpers import docs_frame
 
@@ -40,6 +42,31 @@ def test_chunked_ids_equal_whole_text():
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_ids_of_any_mix_of_characters(monkeypatch):
+    tokenizer = tokenizers.Tokenizer.from_file(tokenizer_path())
+    own = P.ChunkTokenizer(tokenizer_path())
+    r = random.Random(3)
+    marks = list("abcXYZ09 \n\t\r ''|!?.-_{}~éÉÀÞþßÿ×÷œ’日Ω\u0301\u0308\u00a0\u0085\u200d\x0b\x1c\x00\x7f")
+    pool = marks + ["<|endoftext|>", "'S", "don't", "the", "İ", "😀"]
+    for k in range(60):
+        if k == 40:
+            monkeypatch.setattr(P, "CACHE_WORDS", 10)  # forgets all the time
+        texts = ["".join(r.choices(pool, k=r.choice([0, 1, 2, 8, 60]))) for _ in range(r.randint(0, 20))]
+        given = pa.array(["before é", *(t or r.choice([t, None]) for t in texts), "after'"], r.choice([pa.string(), pa.large_string()]))
+        found = own(given.slice(1, len(texts)))
+        assert len(found) == len(texts)
+        for text, ids in zip(texts, found):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_work_follows_the_length_of_a_word():
+    own = P.ChunkTokenizer(tokenizer_path())
+    own(["warm up"])
+    began = time.process_time()
+    assert len(own(["a" * 100_000])[0]) >= 4
+    assert time.process_time() - began < 10  # before: grew with the square, 9.5 s for 30,000 letters
+
+
 def test_pieces_and_places(spark):
     tokenizer = tokenizers.Tokenizer.from_file(tokenizer_path())
     r = random.Random(1)
