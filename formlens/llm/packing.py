@@ -45,7 +45,7 @@ CACHE_IDS = 16_000_000  # of remembered words: 64 MB
 BLANK, LETTER, DIGIT, MARK, ODD = range(5)
 
 
-def _kinds() -> np.ndarray:
+def _kinds() -> bytes:
     """The kind of each UTF-8 byte, if it is part of an ASCII character or of a letter from À to ÿ.
 
     Chunks with other characters can't be split into runs: no accents apart from their letters, no
@@ -56,12 +56,10 @@ def _kinds() -> np.ndarray:
     kinds[[ord(c) for c in " \n\t\r"]] = BLANK  # where a text may be cut: the tokenizer drops all white space
     kinds[ord("0") : ord("9") + 1] = DIGIT
     kinds[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), 0xC3, *range(0x80, 0xC0)]] = LETTER
-    return kinds
+    return kinds.tobytes()
 
 
 KINDS = _kinds()
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[ord("A") : ord("Z") + 1] += 32
 PIECES = "piece int, start long, length long, ids_crc32 long, _part int, _rank long"
 
 
@@ -69,7 +67,8 @@ def _runs(raw: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, np.ndarray, np
     """The words of texts that lie one after the other in ``raw`` from ``starts`` on (the last
     is their end): runs of letters or marks, single digits, and whole chunks between blanks if
     they are odd.  With them, which are odd, and before which of them each text begins."""
-    kind, low = KINDS[raw], LOWER[raw]
+    text = raw.tobytes()
+    kind, low = np.frombuffer(bytearray(text.translate(KINDS)), np.uint8), np.frombuffer(bytearray(text.lower()), np.uint8)
     second = np.flatnonzero(raw[:-1] == 0xC3) + 1  # byte of a letter from À to ÿ, or of × or ÷
     low[second[raw[second] <= 0x9E]] += 32
     kind[second[(raw[second] == 0x97) | (raw[second] == 0xB7)]] = ODD
@@ -91,10 +90,10 @@ def _runs(raw: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, np.ndarray, np
         first[whole] = False
         first[heads] = True
         low = np.where(whole, raw, low)
-    at = np.flatnonzero(first)
-    text, blanks = low[~blank], np.cumsum(blank, dtype=np.int32)
-    offsets = np.append(at - blanks[at], len(text)).astype(np.int32)
-    runs = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+    at, filled = np.flatnonzero(first), ~blank
+    words, offsets = low[filled], np.flatnonzero(first[filled])
+    offsets = np.append(offsets, len(words)).astype(np.int32)
+    runs = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(words)])
     return runs, whole[at], np.searchsorted(at, starts)
 
 
@@ -163,17 +162,20 @@ class ChunkTokenizer:
         words, at = runs.dictionary.to_pylist(), runs.indices.to_numpy()
         is_odd = np.zeros(len(words), dtype=bool)
         is_odd[at[odd]] = True
-        new = np.array([w not in self.known for w in words], dtype=bool)
-        if len(self.known) + new.sum() > CACHE_WORDS or len(self.ids) > CACHE_IDS:
+        places = list(map(self.known.get, words))
+        new = [i for i, k in enumerate(places) if k is None]
+        if len(self.known) + len(new) > CACHE_WORDS or len(self.ids) > CACHE_IDS:
             self._forget()
-            new[:] = True
-        if new.any():
-            self._learn([words[i] for i in np.flatnonzero(new)], is_odd[new])
-        k = np.fromiter((self.known[w] for w in words), dtype=np.int64, count=len(words))[at]
-        lengths = self.ends[k + 1] - self.ends[k]
-        places = np.append(0, np.cumsum(lengths))
-        ids = self.ids[np.repeat(self.ends[k] - places[:-1], lengths) + np.arange(places[-1])].tobytes()
-        cuts = (4 * places[first]).tolist()
+            new = range(len(words))
+        if new:
+            self._learn([words[i] for i in new], is_odd[new])
+            for i in new:
+                places[i] = self.known[words[i]]
+        own = pa.Array.from_buffers(pa.large_binary(), len(self.known), [None, pa.py_buffer(4 * self.ends), pa.py_buffer(self.ids)])
+        of = own.take(pa.array(places, pa.int64()))  # the ids of this call's words
+        _, ends, ids = of.take(runs.indices).buffers()
+        cuts = np.frombuffer(ends, dtype=np.int64)[first].tolist()
+        ids = (ids or pa.py_buffer(b"")).to_pybytes()
         return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
